@@ -60,7 +60,8 @@ def rank_within(df: DataFrame, group: str, order: Sequence[str | Column],
     )
 
 
-def top_n_per_group(df: DataFrame, group: str, rank: str, n: int | str,
+def top_n_per_group(df: DataFrame, group: str | Sequence[str],
+                    rank: str | Column | Sequence[str | Column], n: int | str,
                     max_n: int | None = None, tiebreak: str | None = None,
                     keep_position: str | None = None) -> DataFrame:
     """Rows whose position inside ``group`` (ordered by ``rank``) is <= n.
@@ -70,8 +71,10 @@ def top_n_per_group(df: DataFrame, group: str, rank: str, n: int | str,
     ``WindowGroupLimit`` that trims every map partition to the top rows
     before the shuffle -- hot groups never move whole).
     """
-    order = [F.col(rank)] + ([F.col(tiebreak)] if tiebreak else [])
-    pos = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    ranks = [rank] if isinstance(rank, (str, Column)) else list(rank)
+    order = _as_cols(ranks) + ([F.col(tiebreak)] if tiebreak else [])
+    groups = [group] if isinstance(group, str) else list(group)
+    pos = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
     pos_name = keep_position or "_pos"
     ranked = df.withColumn(pos_name, pos)
     if isinstance(n, int):
@@ -84,7 +87,8 @@ def top_n_per_group(df: DataFrame, group: str, rank: str, n: int | str,
     return kept if keep_position else kept.drop(pos_name)
 
 
-def rejected_applicants(df: DataFrame, group: str, rank: str, n: int | str,
+def rejected_applicants(df: DataFrame, group: str | Sequence[str], rank: str,
+                        n: int | str,
                         key: Sequence[str], max_n: int | None = None,
                         tiebreak: str | None = None) -> DataFrame:
     """Complement of :func:`top_n_per_group` (F2): those beyond the n best.
@@ -93,13 +97,7 @@ def rejected_applicants(df: DataFrame, group: str, rank: str, n: int | str,
     the big side is never gathered per group.
     """
     kept = top_n_per_group(df, group, rank, n, max_n=max_n, tiebreak=tiebreak)
-    kept = kept.select(*key)
-    bound = None
-    if isinstance(n, int):
-        bound = n
-    elif max_n is not None:
-        bound = max_n
-    if bound is not None:
-        # Bounded by n rows per group; measure before choosing a broadcast.
-        kept = counted_broadcast(cut_lineage(kept), row_bytes=8 * len(key) + 16)
+    # At most n rows per group: materialise and measure before broadcasting.
+    kept = counted_broadcast(cut_lineage(kept.select(*key)),
+                             row_bytes=8 * len(key) + 16)
     return df.join(kept, list(key), "left_anti")

@@ -70,12 +70,15 @@ def match_hospital_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
         match = cut_lineage(best_offers(e, n, max_n))
         if trace:
             changes.append(count_changes(match, prev, count_lost=False))
-        keep = match.select(DOCTOR, F.col(DOCTOR_RANK).alias("_best"))
-        e_next = (e.join(counted_broadcast(keep, row_bytes=24), DOCTOR, "left")
-                  .where(F.col("_best").isNull()
-                         | (F.col(DOCTOR_RANK) <= F.col("_best")))
-                  .drop("_best"))
-        e_next = cut_lineage(e_next)
+        # Delete edges ranked below the doctor's best offer.  An anti join
+        # (not outer join + filter): its size estimate is the left side's,
+        # so the checkpointed plan statistics do not compound over rounds.
+        best = counted_broadcast(
+            match.select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_best")),
+            row_bytes=24)
+        e_next = cut_lineage(e.join(
+            best, (F.col(DOCTOR) == F.col("_d")) & (F.col(DOCTOR_RANK) > F.col("_best")),
+            "left_anti"))
         n_next = e_next.count()
         removed = n_edges - n_next
         e, n_edges, prev = e_next, n_next, match

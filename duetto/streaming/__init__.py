@@ -1,0 +1,5 @@
+"""Streaming surface: intentionally empty.
+
+The reference creates no streaming context, source, watermark or state store;
+it is batch only.  Nothing here is built for it (see README).
+"""
