@@ -49,9 +49,10 @@ class MatchResult:
         return spark.createDataFrame(rows, TRACE_SCHEMA)
 
 
-def count_changes(new: DataFrame, old: DataFrame | None,
-                  count_lost: bool) -> int:
-    """Doctors whose hospital differs between two small matchings.
+def changes_frame(new: DataFrame, old: DataFrame | None,
+                  count_lost: bool) -> DataFrame:
+    """One row ``n_changes``: doctors whose hospital differs between two
+    small matchings.
 
     ``count_lost`` also counts doctors that were matched before and are not
     now (possible in doctor-proposing rounds, impossible in
@@ -59,12 +60,17 @@ def count_changes(new: DataFrame, old: DataFrame | None,
     """
     cur = new.select(DOCTOR, F.col(HOSPITAL).alias("_h_new"))
     if old is None:
-        return cur.count()
+        return cur.agg(F.count(F.lit(1)).alias("n_changes"))
     prev = old.select(DOCTOR, F.col(HOSPITAL).alias("_h_old"))
     how = "full" if count_lost else "left"
     return (cur.join(prev, DOCTOR, how)
             .where(~F.col("_h_new").eqNullSafe(F.col("_h_old")))
-            .count())
+            .agg(F.count(F.lit(1)).alias("n_changes")))
+
+
+def count_changes(new: DataFrame, old: DataFrame | None, count_lost: bool) -> int:
+    """Number of doctors whose hospital differs (see :func:`changes_frame`)."""
+    return int(changes_frame(new, old, count_lost).first()["n_changes"])
 
 
 def attach_quota(edges: DataFrame, quota) -> tuple[DataFrame, int | str, int]:

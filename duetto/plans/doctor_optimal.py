@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import top_n_per_group
-from duetto.plans.common import MatchResult, attach_quota, count_changes
-from duetto.session import counted_broadcast, cut_lineage
+from duetto.plans.common import MatchResult, attach_quota, changes_frame, count_changes
+from duetto.session import bounded_broadcast, counted_broadcast, cut_lineage
 
 
 def _layout(e: DataFrame, n_parts: int) -> DataFrame:
@@ -47,23 +47,73 @@ def held_proposals(prop: DataFrame, n, max_n: int) -> DataFrame:
                            keep_position="_pos")
 
 
-def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
-                         accelerate: bool = True,
-                         trace: bool = False) -> MatchResult:
-    """Doctor-optimal stable matching of ``edges`` with ``quota`` places.
+def _cuts(held: DataFrame, n) -> DataFrame:
+    """Per full hospital: the rank of its worst held proposal (``_h, _cut``)."""
+    full = F.col("_np") >= (F.lit(n) if isinstance(n, int) else F.col("_q"))
+    agg = [F.max(HOSPITAL_RANK).alias("_cut"), F.max("_pos").alias("_np")]
+    if not isinstance(n, int):
+        agg.append(F.max(n).alias("_q"))
+    return (held.groupBy(HOSPITAL).agg(*agg).where(full)
+            .select(F.col(HOSPITAL).alias("_h"), "_cut"))
 
-    ``quota``: int or DataFrame ``(hospital_id, quota)``.  ``accelerate``
-    drops every edge below a full hospital's worst held proposal each round
-    (same matching, far fewer rounds).
+
+def _round_summary(held: DataFrame, prev: DataFrame | None, n, worst_h: DataFrame,
+                   bound: int, trace: bool) -> tuple[bool, int]:
+    """(whether this round's cuts delete an edge, changed matches) in one job.
+
+    Cuts only move up.  A hospital whose cut moved up deletes at least the
+    edge at its old cut; a hospital full for the first time deletes
+    something iff it ranks a doctor below the new cut.
     """
-    spark = edges.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
-    e = cut_lineage(_layout(e, n_parts))
-    n_edges = e.count()
+    cur = _cuts(held, n).select(F.col("_h").alias(HOSPITAL), "_cut")
+    if prev is None:
+        j = cur.withColumn("_prev", F.lit(None).cast("int"))
+    else:
+        old = _cuts(prev, n).select(F.col("_h").alias(HOSPITAL), F.col("_cut").alias("_prev"))
+        j = cur.join(old, HOSPITAL, "left")
+    j = bounded_broadcast(j, bound, row_bytes=24).join(worst_h, HOSPITAL)
+    out = j.agg(F.sum(F.when(F.col("_cut") < F.coalesce(F.col("_prev"), F.col("_worst")), 1)
+                      .otherwise(0)).alias("deleting"))
+    if trace:
+        out = out.crossJoin(changes_frame(held, prev, count_lost=True))
+    row = out.first()
+    return bool(row["deleting"]), (int(row["n_changes"]) if trace else 0)
+
+
+def _accelerated(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
+    """Accelerated rounds.  Cuts only move up (a hospital's held proposals
+    keep proposing to it), so the remaining edges are always "original edges
+    minus those below their hospital's current cut": the state is the held
+    proposals (at most quota x hospitals rows) and the edge table is never
+    rewritten.  Two jobs per round: the held proposals, then one summary."""
+    worst_h = cut_lineage(e.groupBy(HOSPITAL).agg(F.max(HOSPITAL_RANK).alias("_worst")))
+    bound = worst_h.count()              # one cut per hospital at most
     changes: list[int] = []
-    prev = None
-    prop = None
+    held = None
+    converged = False
+    rounds = 0
+    for rounds in range(1, max_iter + 1):
+        live = e
+        if held is not None:
+            live = e.join(bounded_broadcast(_cuts(held, n), bound, row_bytes=24),
+                          (F.col(HOSPITAL) == F.col("_h")) & (F.col(HOSPITAL_RANK) > F.col("_cut")),
+                          "left_anti")
+        new = cut_lineage(held_proposals(proposals(live), n, max_n))
+        deleting, changed = _round_summary(new, held, n, worst_h, bound, trace)
+        if trace:
+            changes.append(changed)
+        held = new
+        if not deleting:
+            converged = True
+            break
+    # No deletion in the last round: every proposal is held.
+    return held, rounds, converged, changes
+
+
+def _plain(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
+    """Plain rounds: only the rejected proposals' edges are deleted."""
+    changes: list[int] = []
+    prev = held = None
     converged = False
     rounds = 0
     for rounds in range(1, max_iter + 1):
@@ -71,34 +121,33 @@ def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
         held = cut_lineage(held_proposals(prop, n, max_n))
         if trace:
             changes.append(count_changes(held, prev, count_lost=True))
-        if accelerate:
-            full = F.col("_np") >= (F.lit(n) if isinstance(n, int) else F.col("_q"))
-            agg = [F.max(HOSPITAL_RANK).alias("_cut"), F.max("_pos").alias("_np")]
-            if not isinstance(n, int):
-                agg.append(F.max(n).alias("_q"))
-            cut = cut_lineage(held.groupBy(HOSPITAL).agg(*agg).where(full)
-                              .select(F.col(HOSPITAL).alias("_h"), "_cut"))
-            # Anti join: size estimate = left side, no compounding statistics.
-            e_next = cut_lineage(e.join(
-                counted_broadcast(cut, row_bytes=24),
-                (F.col(HOSPITAL) == F.col("_h")) & (F.col(HOSPITAL_RANK) > F.col("_cut")),
-                "left_anti"))
-            n_next = e_next.count()
-            removed = n_edges - n_next
-        else:
-            rejected = prop.select(DOCTOR, HOSPITAL).join(
-                held.select(DOCTOR), DOCTOR, "left_anti")
-            rejected = cut_lineage(rejected)
-            removed = rejected.count()
-            n_next = n_edges - removed
-            e_next = e
-            if removed:
-                e_next = cut_lineage(e.join(
-                    counted_broadcast(rejected, row_bytes=24),
-                    [DOCTOR, HOSPITAL], "left_anti"))
-        e, n_edges, prev = e_next, n_next, held
+        rejected = cut_lineage(prop.select(DOCTOR, HOSPITAL).join(
+            held.select(DOCTOR), DOCTOR, "left_anti"))
+        removed = rejected.count()
+        if removed:
+            e = cut_lineage(e.join(counted_broadcast(rejected, row_bytes=24),
+                                   [DOCTOR, HOSPITAL], "left_anti"), keep_layout=True)
+        prev = held
         if removed == 0:
             converged = True
             break
-    return MatchResult(matching=prop.select(*EDGE_COLUMNS), rounds=rounds,
+    return held, rounds, converged, changes
+
+
+def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
+                         accelerate: bool = True,
+                         trace: bool = False) -> MatchResult:
+    """Doctor-optimal stable matching of ``edges`` with ``quota`` places.
+
+    ``quota``: int or DataFrame ``(hospital_id, quota)``.  ``accelerate``
+    drops every edge below a full hospital's worst held proposal each round
+    (same matching, far fewer rounds).
+    """
+    spark = edges.sparkSession
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
+    e = cut_lineage(_layout(e, n_parts), keep_layout=True)
+    run = _accelerated if accelerate else _plain
+    held, rounds, converged, changes = run(e, n, max_n, max_iter, trace)
+    return MatchResult(matching=held.select(*EDGE_COLUMNS), rounds=rounds,
                        converged=converged, changes=changes)

@@ -1,6 +1,6 @@
 """Hospital-optimal stable matching (I2): the "propose everywhere" loop.
 
-Round on the remaining edges ``e``:
+Round on the remaining edges ``E``:
 
 1. offers: every hospital offers its ``quota`` best remaining doctors
    (top-n per hospital by ``hospital_rank``);
@@ -12,13 +12,25 @@ Stop when a round deletes nothing; the matching is that round's kept offers.
 This is hospital-proposing deferred acceptance run in parallel rounds, so the
 fixpoint is the hospital-optimal stable matching.
 
-Physical layout: edges are hash-partitioned by doctor and sorted by
-(hospital, hospital_rank) inside each partition.  The top-n step then trims
-every partition to ``quota`` rows per hospital before its shuffle (partial
-``WindowGroupLimit``, no sort), and the per-doctor filter joins a table of at
-most ``quota x hospitals`` rows -- broadcast when that is small, otherwise
-shuffled to the edges' doctor partitioning.  The full edge table is never
-shuffled inside the loop.
+State.  A doctor's best offer never gets worse, so after round k the remaining
+edges are exactly "the original edges minus those a doctor ranks below its
+current best offer".  The loop therefore never rewrites the edge table: the
+only state is the round's matching (at most quota x hospitals rows), and
+each round reads the original edges through an anti join with it.
+
+Stop rule without counting edges: round k deletes something iff some doctor's
+best offer is now better than its previous one, or a doctor got its first
+offer and still lists a hospital below it (compared with the doctor's worst
+rank, a per-doctor table computed once).
+
+Physical layout: the edges are hash-partitioned by doctor and sorted by
+(hospital, hospital_rank) inside each partition once.  Each round is then one
+pass: broadcast anti join (keeps the layout) -> partial ``WindowGroupLimit``
+that trims every partition to ``quota`` rows per hospital with no sort ->
+shuffle of those rows only -> final top-n -> best offer per doctor.  A hot
+hospital never moves whole.  The state is broadcast only below the session's
+broadcast threshold (it is counted first); beyond it the planner shuffles the
+state to the edges' doctor partitioning instead.
 """
 
 from __future__ import annotations
@@ -28,12 +40,8 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import top_n_per_group
-from duetto.plans.common import MatchResult, attach_quota, count_changes
-from duetto.session import counted_broadcast, cut_lineage
-
-
-def _layout(e: DataFrame, n_parts: int) -> DataFrame:
-    return e.repartition(n_parts, DOCTOR).sortWithinPartitions(HOSPITAL, HOSPITAL_RANK)
+from duetto.plans.common import MatchResult, attach_quota
+from duetto.session import bounded_broadcast, cut_lineage
 
 
 def best_offers(e: DataFrame, n, max_n: int) -> DataFrame:
@@ -46,6 +54,44 @@ def best_offers(e: DataFrame, n, max_n: int) -> DataFrame:
                        F.col("_b." + HOSPITAL_RANK).alias(HOSPITAL_RANK))
 
 
+def remaining_edges(e: DataFrame, match: DataFrame | None, bound: int) -> DataFrame:
+    """Edges no doctor has ranked below its current best offer.
+
+    ``bound``: proven upper bound on the rows of ``match``.
+    """
+    if match is None:
+        return e
+    cap = bounded_broadcast(
+        match.select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_cap")),
+        bound, row_bytes=24)
+    return e.join(cap, (F.col(DOCTOR) == F.col("_d")) & (F.col(DOCTOR_RANK) > F.col("_cap")),
+                  "left_anti")
+
+
+def _round_summary(match: DataFrame, prev: DataFrame | None, worst: DataFrame,
+                   bound: int) -> tuple[int, int, bool]:
+    """(rows in match, doctors whose match changed, whether edges were deleted).
+
+    One small job: the new matching against the previous one and against
+    each doctor's worst rank (only doctors in the matching are looked up).
+    """
+    cur = match.select(DOCTOR, HOSPITAL, DOCTOR_RANK)
+    if prev is None:
+        j = cur.withColumn("_ph", F.lit(None).cast("bigint")).withColumn(
+            "_pr", F.lit(None).cast("int"))
+    else:
+        p = prev.select(DOCTOR, F.col(HOSPITAL).alias("_ph"), F.col(DOCTOR_RANK).alias("_pr"))
+        j = cur.join(p, DOCTOR, "left")
+    j = bounded_broadcast(j, bound, row_bytes=48).join(worst, DOCTOR)
+    row = j.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(~F.col(HOSPITAL).eqNullSafe(F.col("_ph")), 1).otherwise(0)).alias("changed"),
+        F.sum(F.when(F.col(DOCTOR_RANK) < F.coalesce(F.col("_pr"), F.col("_worst")), 1)
+              .otherwise(0)).alias("deleting"),
+    ).first()
+    return int(row["n"]), int(row["changed"] or 0), bool(row["deleting"])
+
+
 def match_hospital_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
                            trace: bool = False) -> MatchResult:
     """Hospital-optimal stable matching of ``edges`` with ``quota`` places.
@@ -53,36 +99,27 @@ def match_hospital_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
     ``quota`` is an int for all hospitals or a DataFrame
     ``(hospital_id, quota)``.  Returns the matching of the last round, the
     number of rounds, whether a fixpoint was reached within ``max_iter`` and
-    (with ``trace``) the match changes per round.
+    the match changes per round (``changes``; computed every round since the
+    stop rule needs the same small job anyway).
     """
     spark = edges.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
-    e = cut_lineage(_layout(e, n_parts))
-    n_edges = e.count()
+    e = cut_lineage(e.repartition(n_parts, DOCTOR)
+                    .sortWithinPartitions(HOSPITAL, HOSPITAL_RANK), keep_layout=True)
+    worst = cut_lineage(e.groupBy(DOCTOR).agg(F.max(DOCTOR_RANK).alias("_worst")))
+    # Proven bound on the matching: at most max_n offers per hospital.
+    bound = max_n * e.select(HOSPITAL).distinct().count()
     changes: list[int] = []
-    prev = None
     match = None
     converged = False
     rounds = 0
     for rounds in range(1, max_iter + 1):
-        # At most quota x hospitals rows: materialise, then broadcast if small.
-        match = cut_lineage(best_offers(e, n, max_n))
-        if trace:
-            changes.append(count_changes(match, prev, count_lost=False))
-        # Delete edges ranked below the doctor's best offer.  An anti join
-        # (not outer join + filter): its size estimate is the left side's,
-        # so the checkpointed plan statistics do not compound over rounds.
-        best = counted_broadcast(
-            match.select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_best")),
-            row_bytes=24)
-        e_next = cut_lineage(e.join(
-            best, (F.col(DOCTOR) == F.col("_d")) & (F.col(DOCTOR_RANK) > F.col("_best")),
-            "left_anti"))
-        n_next = e_next.count()
-        removed = n_edges - n_next
-        e, n_edges, prev = e_next, n_next, match
-        if removed == 0:
+        new = cut_lineage(best_offers(remaining_edges(e, match, bound), n, max_n))
+        _, changed, deleting = _round_summary(new, match, worst, bound)
+        changes.append(changed)
+        match = new
+        if not deleting:
             converged = True
             break
     return MatchResult(matching=match.select(*EDGE_COLUMNS), rounds=rounds,

@@ -74,15 +74,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, keep_layout: bool = False) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder.
 
-    Reliable checkpoints survive executor loss (unlike local checkpoints) and
-    keep the plan's output partitioning and ordering, so later rounds reuse
-    them without a new exchange or sort.
+    Reliable checkpoints survive executor loss (unlike local checkpoints).
+    With ``keep_layout`` the checkpoint also records the plan's hash
+    partitioning and sort order, so later rounds reuse them without a new
+    exchange or sort.  An adaptive plan reports its layout as unknown, so
+    adaptive execution is switched off for the duration of this one
+    materialisation (a repartition + local sort gains nothing from it) and
+    restored right after.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if not keep_layout:
+        return df.checkpoint(eager=True)
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def broadcast_budget(spark: SparkSession) -> int:
