@@ -4,8 +4,8 @@ Runs on ``local[$BENCH_CPUS]`` (default 8) against ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) and prints one JSON line:
     {"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}
 
-Each query is timed end to end (plan + all Spark jobs + collecting its small
-result).  The market is built once by the first query and reused by the
+Each query is timed end to end (plan + all Spark jobs + executing its result
+plan into a ``noop`` sink).  The market is built once by the first query and reused by the
 others, as a user would reuse a built edge table.
 """
 
@@ -43,8 +43,10 @@ def main() -> None:
     for name in HEADLINE:
         t = time.time()
         df = QUERIES[name](spark, sf_dir)
-        rows[name] = len(df.collect())
+        # Run the whole plan without pulling rows into Python.
+        df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t, 3)
+        rows[name] = df.count()          # outside the timing
         print(f"{name}: {times[name]}s, {rows[name]} rows", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
+from duetto.session import counted_broadcast
 
 
 def blocking_pairs(edges: DataFrame, matching: DataFrame, quota=6) -> DataFrame:
@@ -19,7 +20,10 @@ def blocking_pairs(edges: DataFrame, matching: DataFrame, quota=6) -> DataFrame:
     m_d = matching.select(DOCTOR, F.col(DOCTOR_RANK).alias("_mdr"))
     m_h = matching.groupBy(HOSPITAL).agg(F.count(F.lit(1)).alias("_fill"),
                                          F.max(HOSPITAL_RANK).alias("_worst"))
-    e = edges.join(m_d, DOCTOR, "left").join(m_h, HOSPITAL, "left")
+    # One row per matched doctor / per hospital: broadcast when measured
+    # small, so the edges are scanned once without a shuffle.
+    e = (edges.join(counted_broadcast(m_d, row_bytes=16), DOCTOR, "left")
+         .join(counted_broadcast(m_h, row_bytes=24), HOSPITAL, "left"))
     if isinstance(quota, int):
         cap = F.lit(quota)
     else:

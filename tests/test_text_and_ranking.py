@@ -47,3 +47,17 @@ def test_terms_do_not_overflow_on_large_ids(spark):
     assert r["u"] == ((d + 17) * (h + 79) * 393342739) % 200
     assert r["p"] == ((d + 7) * (h + 3) * 413158511) % 500
     assert r["b"] == ((h * 67867967) % 700) + 300
+
+
+def test_write_matching_text_and_parquet(spark):
+    from duetto.sources.sinks import write_matching
+    m = spark.createDataFrame([(0, 5), (2, 7)], "doctor_id long, hospital_id long")
+    docs = spark.range(4).select(F.col("id").alias(DOCTOR))
+    p = scratch_path(spark, "matching-text")
+    write_matching(m, p, doctors=docs, fmt="text")
+    lines = sorted(r["value"] for r in spark.read.text(p).collect())
+    assert lines == ["0 5", "1 -1", "2 7", "3 -1"]
+    q = scratch_path(spark, "matching-parquet")
+    write_matching(m, q, doctors=docs)
+    got = {r[DOCTOR]: r[HOSPITAL] for r in spark.read.parquet(q).collect()}
+    assert got == {0: 5, 1: None, 2: 7, 3: None}
