@@ -32,7 +32,7 @@ from duetto.operators import joins as jn
 from duetto.operators import reshape as rs
 from duetto.operators import verify as vf
 from duetto.operators.knapsack import knapsack_select
-from duetto.operators.ranking import rejected_applicants, top_n_per_group
+from duetto.operators.ranking import rank_within, rejected_applicants, top_n_per_group
 from duetto.plans.contracts import match_contracts
 from duetto.plans.doctor_optimal import held_proposals, match_doctor_optimal, proposals
 from duetto.plans.hospital_optimal import best_offers, match_hospital_optimal
@@ -79,16 +79,16 @@ def market(spark: SparkSession, sf_dir: str, variant: str = "price") -> DataFram
                  lambda: cut_lineage(tpch_market(spark, sf_dir, variant)))
 
 
-def hospital_optimal(spark, sf_dir, variant="price"):
-    return _memo(spark, ("I2", sf_dir, variant),
+def hospital_optimal(spark, sf_dir, variant="price", trace=False):
+    return _memo(spark, ("I2", sf_dir, variant, trace),
                  lambda: match_hospital_optimal(market(spark, sf_dir, variant),
-                                                QUOTA, trace=True))
+                                                QUOTA, trace=trace))
 
 
-def doctor_optimal(spark, sf_dir, variant="price"):
-    return _memo(spark, ("I1", sf_dir, variant),
+def doctor_optimal(spark, sf_dir, variant="price", trace=False):
+    return _memo(spark, ("I1", sf_dir, variant, trace),
                  lambda: match_doctor_optimal(market(spark, sf_dir, variant),
-                                              QUOTA, trace=True))
+                                              QUOTA, trace=trace))
 
 
 def first_proposals(spark, sf_dir) -> DataFrame:
@@ -131,16 +131,17 @@ def q_match_doctor_optimal(spark, sf_dir):
 
 
 def q_convergence_trace(spark, sf_dir):
-    return bigint_out(hospital_optimal(spark, sf_dir).trace(spark))
+    return bigint_out(hospital_optimal(spark, sf_dir, trace=True).trace(spark))
 
 
 def q_convergence_trace_doctor(spark, sf_dir):
-    return bigint_out(doctor_optimal(spark, sf_dir).trace(spark))
+    return bigint_out(doctor_optimal(spark, sf_dir, trace=True).trace(spark))
 
 
 def q_convergence_report(spark, sf_dir):
-    traces = label_trace(hospital_optimal(spark, sf_dir).trace(spark), "hospital_optimal") \
-        .unionByName(label_trace(doctor_optimal(spark, sf_dir).trace(spark), "doctor_optimal"))
+    i2 = hospital_optimal(spark, sf_dir, trace=True).trace(spark)
+    i1 = doctor_optimal(spark, sf_dir, trace=True).trace(spark)
+    traces = label_trace(i2, "hospital_optimal").unionByName(label_trace(i1, "doctor_optimal"))
     return bigint_out(convergence_report(traces))
 
 
@@ -274,9 +275,9 @@ def q_mutual_edges(spark, sf_dir):
     d = lines.groupBy(DOCTOR, HOSPITAL).agg(F.sum("l_quantity").alias("qty"))
     h = (lines.where(F.col("l_returnflag") != "R").groupBy(DOCTOR, HOSPITAL)
          .agg(F.max("l_extendedprice").alias("top_price")))
-    from duetto.operators.ranking import rank_within
-    d = rank_within(d, DOCTOR, [F.col("qty").desc(), F.col(HOSPITAL)], DOCTOR_RANK)
-    h = rank_within(h, HOSPITAL, [F.col("top_price").desc(), F.col(DOCTOR)], HOSPITAL_RANK)
+    d = rank_within(cut_lineage(d), DOCTOR, [F.col("qty").desc(), F.col(HOSPITAL)], DOCTOR_RANK)
+    h = rank_within(cut_lineage(h), HOSPITAL, [F.col("top_price").desc(), F.col(DOCTOR)],
+                    HOSPITAL_RANK)
     return bigint_out(jn.mutual_edges(d.select(DOCTOR, HOSPITAL, DOCTOR_RANK),
                                       h.select(DOCTOR, HOSPITAL, HOSPITAL_RANK)))
 

@@ -3,10 +3,12 @@
 ``rank_within`` gives every row its 1-based position inside its group under a
 total order.  A plain ``row_number() OVER (PARTITION BY g ...)`` sends a whole
 group to one task; if one group holds a third of all rows that task does a
-third of the work alone.  Here the rows are range-partitioned on the full sort
-key instead, so a hot group is split over many partitions; each partition
-numbers its rows locally and a tiny per-(partition, group) count table supplies
-the offsets.
+third of the work alone.  So the size of the largest group is measured first
+(one cheap aggregation).  Small groups use the plain window; above
+``MAX_GROUP_ROWS`` the rows are range-partitioned on the full sort key
+instead, so a hot group is split over many partitions; each partition numbers
+its rows locally and a tiny per-(partition, group) count table supplies the
+offsets.
 """
 
 from __future__ import annotations
@@ -23,14 +25,41 @@ def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+# Largest group a single task may rank with a plain window (rows).  A group
+# this size sorts in well under a second in one task; anything larger is
+# split across range partitions.
+MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_groups(df: DataFrame, groups: Sequence[str]) -> dict[str, int]:
+    """Row count of the largest group for each grouping column (one job;
+    partial aggregation before the shuffle, so hot keys cost nothing)."""
+    frames = [df.groupBy(g).agg(F.count(F.lit(1)).alias("_n"))
+              .agg(F.coalesce(F.max("_n"), F.lit(0)).alias(g)) for g in groups]
+    row = frames[0]
+    for f in frames[1:]:
+        row = row.crossJoin(f)       # one-row frames
+    r = row.first()
+    return {g: int(r[g]) for g in groups}
+
+
 def rank_within(df: DataFrame, group: str, order: Sequence[str | Column],
-                out: str, num_partitions: int | None = None) -> DataFrame:
+                out: str, num_partitions: int | None = None,
+                split: bool | None = None) -> DataFrame:
     """Add ``out`` = 1-based row number of each row inside ``group``.
 
     ``order`` must make the order total inside a group (end it with a unique
-    id column).  Hot groups are split across range partitions, so no task
-    holds more than about one partition's worth of rows.
+    id column).  ``split``: rank by range partitions (hot groups are spread
+    over many tasks) or by a plain window (one task per group).  ``None``
+    measures the largest group first and splits only above
+    ``MAX_GROUP_ROWS``; pass a materialised ``df`` then, since it is read
+    twice.
     """
+    if split is None:
+        split = largest_groups(df, [group])[group] > MAX_GROUP_ROWS
+    if not split:
+        w = Window.partitionBy(group).orderBy(*_as_cols(order))
+        return df.withColumn(out, F.row_number().over(w))
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = [F.col(group)] + _as_cols(order)

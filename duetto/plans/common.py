@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,3 +85,15 @@ def attach_quota(edges: DataFrame, quota) -> tuple[DataFrame, int | str, int]:
     q = quota.select(HOSPITAL, F.col("quota").cast("int").alias("_quota"))
     max_q = q.agg(F.max("_quota")).first()[0] or 0
     return edges.join(q, HOSPITAL, "inner"), "_quota", int(max_q)
+
+
+def with_row_count(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Attach a row-count metric to ``df``.
+
+    The count is collected by whichever job computes ``df`` (no extra job);
+    read it with ``obs.get["n"]`` after that job.  Re-executed tasks can make
+    observed metrics inexact, so callers use it only to decide when to run an
+    exact check, never as the final word.
+    """
+    obs = Observation()
+    return df.observe(obs, F.count(F.lit(1)).alias("n")), obs

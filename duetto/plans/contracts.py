@@ -24,7 +24,7 @@ from duetto.functions.terms import contract_terms
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.knapsack import knapsack_select
 from duetto.plans.common import MatchResult, count_changes
-from duetto.session import counted_broadcast, cut_lineage
+from duetto.session import counted_broadcast, cut_lineage, pin_layout
 
 
 def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
@@ -43,7 +43,7 @@ def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
     else:
         e = e.join(terms.select(DOCTOR, HOSPITAL, "utility", "price", "budget"),
                    [DOCTOR, HOSPITAL])
-    e = cut_lineage(e.repartition(n_parts, DOCTOR))
+    e = pin_layout(e.repartition(n_parts, DOCTOR))
     state = None
     changes: list[int] = []
     converged = False
@@ -69,6 +69,7 @@ def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
         if n_changed <= tolerance:
             converged = n_changed == 0
             break
+    e.unpersist()
     return MatchResult(
         matching=state.select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK,
                               "utility", "price"),

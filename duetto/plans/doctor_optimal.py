@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import top_n_per_group
-from duetto.plans.common import MatchResult, attach_quota, changes_frame, count_changes
-from duetto.session import bounded_broadcast, counted_broadcast, cut_lineage
+from duetto.plans.common import (MatchResult, attach_quota, changes_frame, count_changes,
+                                  with_row_count)
+from duetto.session import bounded_broadcast, counted_broadcast, cut_lineage, pin_layout
 
 
 def _layout(e: DataFrame, n_parts: int) -> DataFrame:
@@ -85,29 +86,44 @@ def _accelerated(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
     keep proposing to it), so the remaining edges are always "original edges
     minus those below their hospital's current cut": the state is the held
     proposals (at most quota x hospitals rows) and the edge table is never
-    rewritten.  Two jobs per round: the held proposals, then one summary."""
+    rewritten.
+
+    The live edges only shrink, so round k-1 deleted nothing iff round k sees
+    as many live edges as round k-1.  That count is observed inside the
+    round's one job; only when it repeats does an exact small-table check
+    run to confirm the fixpoint.  With ``trace`` every round runs the exact
+    check together with the change count instead.
+    """
     worst_h = cut_lineage(e.groupBy(HOSPITAL).agg(F.max(HOSPITAL_RANK).alias("_worst")))
     bound = worst_h.count()              # one cut per hospital at most
     changes: list[int] = []
-    held = None
-    converged = False
-    rounds = 0
+    held = older = None
+    n_live_prev = None
     for rounds in range(1, max_iter + 1):
         live = e
         if held is not None:
             live = e.join(bounded_broadcast(_cuts(held, n), bound, row_bytes=24),
                           (F.col(HOSPITAL) == F.col("_h")) & (F.col(HOSPITAL_RANK) > F.col("_cut")),
                           "left_anti")
+        live, obs = with_row_count(live)
         new = cut_lineage(held_proposals(proposals(live), n, max_n))
-        deleting, changed = _round_summary(new, held, n, worst_h, bound, trace)
         if trace:
+            deleting, changed = _round_summary(new, held, n, worst_h, bound, True)
             changes.append(changed)
-        held = new
-        if not deleting:
-            converged = True
-            break
-    # No deletion in the last round: every proposal is held.
-    return held, rounds, converged, changes
+            if not deleting:
+                return new, rounds, True, changes
+        else:
+            n_live = obs.get["n"]
+            if n_live == n_live_prev and not _round_summary(held, older, n, worst_h,
+                                                            bound, False)[0]:
+                # Round rounds-1 deleted nothing: its proposals are the answer
+                # (this round recomputed the same ones).
+                return held, rounds - 1, True, changes
+            n_live_prev = n_live
+        older, held = held, new
+    if not trace and not _round_summary(held, older, n, worst_h, bound, False)[0]:
+        return held, max_iter, True, changes
+    return held, max_iter, False, changes
 
 
 def _plain(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
@@ -146,8 +162,9 @@ def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
     spark = edges.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
-    e = cut_lineage(_layout(e, n_parts), keep_layout=True)
+    e = pin_layout(_layout(e, n_parts))
     run = _accelerated if accelerate else _plain
     held, rounds, converged, changes = run(e, n, max_n, max_iter, trace)
+    e.unpersist()
     return MatchResult(matching=held.select(*EDGE_COLUMNS), rounds=rounds,
                        converged=converged, changes=changes)

@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import top_n_per_group
-from duetto.plans.common import MatchResult, attach_quota
-from duetto.session import bounded_broadcast, cut_lineage
+from duetto.plans.common import MatchResult, attach_quota, with_row_count
+from duetto.session import bounded_broadcast, cut_lineage, pin_layout
 
 
 def best_offers(e: DataFrame, n, max_n: int) -> DataFrame:
@@ -98,29 +98,45 @@ def match_hospital_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
 
     ``quota`` is an int for all hospitals or a DataFrame
     ``(hospital_id, quota)``.  Returns the matching of the last round, the
-    number of rounds, whether a fixpoint was reached within ``max_iter`` and
-    the match changes per round (``changes``; computed every round since the
-    stop rule needs the same small job anyway).
+    number of rounds, whether a fixpoint was reached within ``max_iter`` and,
+    with ``trace``, the match changes per round (``changes``).
     """
     spark = edges.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
-    e = cut_lineage(e.repartition(n_parts, DOCTOR)
-                    .sortWithinPartitions(HOSPITAL, HOSPITAL_RANK), keep_layout=True)
+    e = pin_layout(e.repartition(n_parts, DOCTOR).sortWithinPartitions(HOSPITAL, HOSPITAL_RANK))
     worst = cut_lineage(e.groupBy(DOCTOR).agg(F.max(DOCTOR_RANK).alias("_worst")))
     # Proven bound on the matching: at most max_n offers per hospital.
     bound = max_n * e.select(HOSPITAL).distinct().count()
-    changes: list[int] = []
-    match = None
-    converged = False
-    rounds = 0
-    for rounds in range(1, max_iter + 1):
-        new = cut_lineage(best_offers(remaining_edges(e, match, bound), n, max_n))
-        _, changed, deleting = _round_summary(new, match, worst, bound)
-        changes.append(changed)
-        match = new
-        if not deleting:
-            converged = True
-            break
+    match, rounds, converged, changes = _rounds(e, n, max_n, max_iter, trace, worst, bound)
+    e.unpersist()
     return MatchResult(matching=match.select(*EDGE_COLUMNS), rounds=rounds,
                        converged=converged, changes=changes)
+
+
+def _rounds(e, n, max_n, max_iter, trace, worst, bound):
+    """The loop.  The live edges only shrink, so round k-1 deleted nothing iff
+    round k sees as many live edges; that count is observed inside the
+    round's one job, and only a repeated count triggers the exact check.
+    With ``trace`` every round runs the exact check and the change count
+    (one small job)."""
+    changes: list[int] = []
+    match = older = None
+    n_live_prev = None
+    for rounds in range(1, max_iter + 1):
+        live, obs = with_row_count(remaining_edges(e, match, bound))
+        new = cut_lineage(best_offers(live, n, max_n))
+        if trace:
+            _, changed, deleting = _round_summary(new, match, worst, bound)
+            changes.append(changed)
+            if not deleting:
+                return new, rounds, True, changes
+        else:
+            n_live = obs.get["n"]
+            if n_live == n_live_prev and not _round_summary(match, older, worst, bound)[2]:
+                return match, rounds - 1, True, changes
+            n_live_prev = n_live
+        older, match = match, new
+    if not trace and not _round_summary(match, older, worst, bound)[2]:
+        return match, max_iter, True, changes
+    return match, max_iter, False, changes

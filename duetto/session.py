@@ -13,6 +13,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,6 +99,18 @@ def cut_lineage(df: DataFrame, keep_layout: bool = False) -> DataFrame:
         spark.conf.set(key, before)
 
 
+def pin_layout(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` with its layout, then keep a cached copy for reuse.
+
+    The loops read the same laid-out edges every round.  The checkpoint is
+    the fault-tolerant copy (a lost cache block is rebuilt from it, not from
+    the lineage); the memory-and-disk cache saves decoding the checkpoint
+    files every round.  The cached plan keeps the checkpoint's partitioning
+    and ordering.  Call ``unpersist()`` when the loop is done.
+    """
+    return cut_lineage(df, keep_layout=True).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def broadcast_budget(spark: SparkSession) -> int:
     """Bytes we allow to broadcast: the session's auto threshold if enabled."""
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")

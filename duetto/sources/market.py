@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
-from duetto.operators.ranking import rank_within
+from duetto.operators.ranking import MAX_GROUP_ROWS, largest_groups, rank_within
+from duetto.session import cut_lineage
 
 
 def market_from_interactions(pairs: DataFrame,
@@ -24,11 +25,18 @@ def market_from_interactions(pairs: DataFrame,
     ``pairs`` has one row per (doctor_id, hospital_id) plus whatever columns
     the orders refer to.  Both orders get the counterpart id as the last
     tie-break, so ranks are total and deterministic.  Ranks are 1-based.
+    The pairs are materialised once; the largest group of each side decides
+    between a plain window and the range-split ranking.
     """
+    pairs = cut_lineage(pairs)
+    # Each side is ranked by a plain window unless one of its groups is too
+    # big for one task; then that side is ranked over range partitions.
+    big = largest_groups(pairs, [DOCTOR, HOSPITAL])
     ranked = rank_within(pairs, DOCTOR, list(doctor_order) + [F.col(HOSPITAL)],
-                         DOCTOR_RANK)
+                         DOCTOR_RANK, split=big[DOCTOR] > MAX_GROUP_ROWS)
     ranked = rank_within(ranked, HOSPITAL,
-                         list(hospital_order) + [F.col(DOCTOR)], HOSPITAL_RANK)
+                         list(hospital_order) + [F.col(DOCTOR)], HOSPITAL_RANK,
+                         split=big[HOSPITAL] > MAX_GROUP_ROWS)
     return ranked.select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK)
 
 

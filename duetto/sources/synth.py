@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import rank_within
+from duetto.session import cut_lineage
 
 PRIME = 2147483647          # 2**31 - 1; every product below stays < 2**62
 DRAW_STRIDE = 1009          # separates draw numbers of one doctor
@@ -46,7 +47,7 @@ def generate_preferences(doctors: DataFrame, n_hospitals: int, k: int,
     pairs = draws.groupBy(DOCTOR, HOSPITAL).agg(F.min("_i").cast("int").alias(DOCTOR_RANK))
     pair_key = (F.pmod(d, F.lit(PRIME).cast("bigint")) * PAIR_STRIDE
                 + F.pmod(F.col(HOSPITAL), F.lit(PRIME).cast("bigint")))
-    pairs = pairs.withColumn("_key", mix(pair_key, seed + 1))
+    pairs = cut_lineage(pairs.withColumn("_key", mix(pair_key, seed + 1)))
     ranked = rank_within(pairs, HOSPITAL, [F.col("_key"), d], HOSPITAL_RANK)
     return ranked.select(DOCTOR, HOSPITAL, DOCTOR_RANK,
                          (F.col(HOSPITAL_RANK) - 1).cast("int").alias(HOSPITAL_RANK))

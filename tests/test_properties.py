@@ -86,3 +86,16 @@ def test_stop_after_max_iter(spark):
     e = _edges(spark, 60, 8, 4, 1)
     r = match_doctor_optimal(e, 6, max_iter=1, accelerate=False)
     assert r.rounds == 1 and not r.converged
+
+
+def test_observed_stop_rule_gives_the_traced_rounds(spark):
+    # Untraced runs stop on an observed live-edge count (confirmed exactly);
+    # they must report the same rounds and matching as traced runs.
+    for quota, seed in ((6, 1), (1, 3)):
+        e = _edges(spark, 60, 12, 5, seed).cache()
+        for fn in (match_hospital_optimal, match_doctor_optimal):
+            a, b = fn(e, quota, trace=True), fn(e, quota)
+            assert (a.rounds, a.converged) == (b.rounds, b.converged)
+            assert _as_dict(a.matching) == _as_dict(b.matching)
+        capped = match_hospital_optimal(e, quota, max_iter=1)
+        assert capped.rounds == 1

@@ -29,12 +29,20 @@ def test_rank_within_equals_row_number_on_skewed_groups(spark):
     df = spark.range(0, 30000).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 101).alias("g"),
         (F.col("id") * 7919 % 1000).alias("v"), F.col("id"))
-    got = rank_within(df, "g", [F.col("v").desc(), F.col("id")], "r", num_partitions=16)
     want = df.withColumn("r", F.row_number().over(
         Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("id"))))
-    a = sorted((r["id"], r["r"]) for r in got.select("id", "r").collect())
     b = sorted((r["id"], r["r"]) for r in want.select("id", "r").collect())
-    assert a == b
+    for split in (True, False, None):
+        got = rank_within(df, "g", [F.col("v").desc(), F.col("id")], "r",
+                          num_partitions=16, split=split)
+        a = sorted((r["id"], r["r"]) for r in got.select("id", "r").collect())
+        assert a == b
+
+
+def test_largest_groups(spark):
+    from duetto.operators.ranking import largest_groups
+    df = spark.range(0, 900).select((F.col("id") % 3).alias("a"), (F.col("id") % 300).alias("b"))
+    assert largest_groups(df, ["a", "b"]) == {"a": 300, "b": 3}
 
 
 def test_terms_do_not_overflow_on_large_ids(spark):
