@@ -36,7 +36,7 @@ from duetto.operators.ranking import rank_within, rejected_applicants, top_n_per
 from duetto.plans.contracts import match_contracts
 from duetto.plans.doctor_optimal import held_proposals, match_doctor_optimal, proposals
 from duetto.plans.hospital_optimal import best_offers, match_hospital_optimal
-from duetto.plans.report import convergence_report, label_trace
+from duetto.plans.report import convergence_report, label_trace, running_changes
 from duetto.session import cut_lineage, ensure_checkpoint_dir, scratch_path
 from duetto.sources.market import (market_from_interactions, order_lines,
                                    read_table, tpch_market)
@@ -56,7 +56,9 @@ _MEMO: dict[tuple, object] = {}
 
 
 def _memo(spark: SparkSession, key: tuple, build: Callable[[], object]):
-    k = (id(spark.sparkContext),) + key
+    # The application id is unique per SparkContext (an object id may be
+    # reused after a context stops).
+    k = (spark.sparkContext.applicationId,) + key
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]
@@ -145,6 +147,13 @@ def q_convergence_report(spark, sf_dir):
     return bigint_out(convergence_report(traces))
 
 
+def q_convergence_running(spark, sf_dir):
+    i2 = hospital_optimal(spark, sf_dir, trace=True).trace(spark)
+    i1 = doctor_optimal(spark, sf_dir, trace=True).trace(spark)
+    traces = label_trace(i2, "hospital_optimal").unionByName(label_trace(i1, "doctor_optimal"))
+    return bigint_out(running_changes(traces))
+
+
 def q_blocking_pairs(spark, sf_dir):
     return bigint_out(vf.blocking_pairs(market(spark, sf_dir),
                                         first_round_state(spark, sf_dir), QUOTA))
@@ -374,6 +383,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "convergence_trace": q_convergence_trace,
     "convergence_trace_doctor": q_convergence_trace_doctor,
     "convergence_report": q_convergence_report,
+    "convergence_running": q_convergence_running,
     "blocking_pairs": q_blocking_pairs,
     "stability_check": q_stability_check,
     "matching_consistency": q_matching_consistency,

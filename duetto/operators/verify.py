@@ -27,7 +27,8 @@ def blocking_pairs(edges: DataFrame, matching: DataFrame, quota=6) -> DataFrame:
     if isinstance(quota, int):
         cap = F.lit(quota)
     else:
-        e = e.join(quota.select(HOSPITAL, F.col("quota").alias("_cap")), HOSPITAL, "left")
+        caps = quota.select(HOSPITAL, F.col("quota").alias("_cap"))
+        e = e.join(counted_broadcast(caps, row_bytes=16), HOSPITAL, "left")
         cap = F.coalesce(F.col("_cap"), F.lit(0))
     doctor_wants = F.col("_mdr").isNull() | (F.col(DOCTOR_RANK) < F.col("_mdr"))
     hospital_wants = ((F.coalesce(F.col("_fill"), F.lit(0)) < cap)

@@ -156,6 +156,14 @@ SELECT run, max(iteration)::BIGINT AS rounds,
        sum(n_changes)::BIGINT AS total_changes
 FROM tr GROUP BY run""",
 
+    "convergence_running": _w(MARKET, I2, TRACE2, I1, TRACE1, """
+tr AS (SELECT 'hospital_optimal' AS run, * FROM t2 UNION ALL SELECT 'doctor_optimal', * FROM t1)""",
+                              recursive=True) + """
+SELECT run, iteration, n_changes,
+       sum(n_changes) OVER (PARTITION BY run ORDER BY iteration
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS cumulative_changes
+FROM tr""",
+
     "blocking_pairs": _w(MARKET, STATE, "mt AS (SELECT * FROM state)", BLOCKING)
         + f"SELECT {EDGE_SELECT} FROM bp",
 

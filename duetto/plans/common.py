@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duetto.names import DOCTOR, HOSPITAL
+from duetto.session import counted_broadcast, cut_lineage
 
 TRACE_SCHEMA = T.StructType([
     T.StructField("iteration", T.IntegerType(), False),
@@ -82,9 +83,10 @@ def attach_quota(edges: DataFrame, quota) -> tuple[DataFrame, int | str, int]:
     """
     if isinstance(quota, int):
         return edges, quota, quota
-    q = quota.select(HOSPITAL, F.col("quota").cast("int").alias("_quota"))
+    q = cut_lineage(quota.select(HOSPITAL, F.col("quota").cast("int").alias("_quota")))
     max_q = q.agg(F.max("_quota")).first()[0] or 0
-    return edges.join(q, HOSPITAL, "inner"), "_quota", int(max_q)
+    # One row per hospital: broadcast when measured small.
+    return edges.join(counted_broadcast(q, row_bytes=16), HOSPITAL, "inner"), "_quota", int(max_q)
 
 
 def with_row_count(df: DataFrame) -> tuple[DataFrame, Observation]:
