@@ -23,8 +23,11 @@ Spark does the heavy lifting and bounds the work per group:
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +45,11 @@ CHOICE_SCHEMA = T.StructType([
 # Largest budget the contract terms produce (300 + 699); bounds the top-n.
 MAX_BUDGET = 999
 
+# The grouped function runs in Python workers.  Pickle this module's
+# functions by value so workers need only numpy and pandas, not this package
+# on their path (no --py-files needed for the solver).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def solve_knapsack(pdf: pd.DataFrame, keep: tuple[str, ...] = ()) -> pd.DataFrame:
     """Exact 0/1 knapsack for one hospital's (bounded) candidate rows.
