@@ -34,13 +34,14 @@ MAX_GROUP_ROWS = 2_000_000
 def largest_groups(df: DataFrame, groups: Sequence[str]) -> dict[str, int]:
     """Row count of the largest group for each grouping column (one job;
     partial aggregation before the shuffle, so hot keys cost nothing)."""
-    frames = [df.groupBy(g).agg(F.count(F.lit(1)).alias("_n"))
-              .agg(F.coalesce(F.max("_n"), F.lit(0)).alias(g)) for g in groups]
-    row = frames[0]
-    for f in frames[1:]:
-        row = row.crossJoin(f)       # one-row frames
-    r = row.first()
-    return {g: int(r[g]) for g in groups}
+    sizes = None
+    for g in groups:
+        f = df.groupBy(g).agg(F.count(F.lit(1)).alias("_n")).select(
+            F.lit(g).alias("_g"), "_n")
+        sizes = f if sizes is None else sizes.unionByName(f)
+    got = {r["_g"]: int(r["_m"]) for r in
+           sizes.groupBy("_g").agg(F.max("_n").alias("_m")).collect()}   # one row per column
+    return {g: got.get(g, 0) for g in groups}
 
 
 def rank_within(df: DataFrame, group: str, order: Sequence[str | Column],

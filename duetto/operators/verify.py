@@ -56,18 +56,24 @@ def matching_consistency(edges: DataFrame, matching: DataFrame, quota: int = 6)
     matched doctors = filled places; no doctor twice; no hospital over its
     quota; every matched pair is an edge.
     """
-    per_h = matching.groupBy(HOSPITAL).agg(F.count(F.lit(1)).alias("_f"))
-    per_d = matching.groupBy(DOCTOR).agg(F.count(F.lit(1)).alias("_k"))
-    h_row = per_h.agg(F.coalesce(F.sum("_f"), F.lit(0)).cast("bigint").alias("n_filled"),
-                      F.coalesce(F.max("_f"), F.lit(0)).cast("bigint").alias("max_fill"),
-                      F.sum(F.when(F.col("_f") > quota, 1).otherwise(0))
-                      .cast("bigint").alias("n_over_quota"))
-    d_row = per_d.agg(F.count(F.lit(1)).alias("n_matched_doctors"),
-                      F.coalesce(F.max("_k"), F.lit(0)).cast("bigint").alias("max_per_doctor"))
+    # One aggregation over tagged rows: per-hospital fills, per-doctor
+    # counts and matched pairs that are not edges.
+    per_h = matching.groupBy(HOSPITAL).agg(F.count(F.lit(1)).alias("c")).select(
+        F.lit("h").alias("kind"), "c")
+    per_d = matching.groupBy(DOCTOR).agg(F.count(F.lit(1)).alias("c")).select(
+        F.lit("d").alias("kind"), "c")
     stray = (matching.select(DOCTOR, HOSPITAL)
              .join(edges.select(DOCTOR, HOSPITAL), [DOCTOR, HOSPITAL], "left_anti")
-             .agg(F.count(F.lit(1)).alias("n_not_edges")))
-    out = h_row.crossJoin(d_row).crossJoin(stray)  # three one-row frames
+             .select(F.lit("s").alias("kind"), F.lit(1).cast("bigint").alias("c")))
+    rows = per_h.unionByName(per_d).unionByName(stray)
+    is_h, is_d, is_s = (F.col("kind") == "h"), (F.col("kind") == "d"), (F.col("kind") == "s")
+    out = rows.agg(
+        F.coalesce(F.sum(F.when(is_h, F.col("c"))), F.lit(0)).cast("bigint").alias("n_filled"),
+        F.coalesce(F.max(F.when(is_h, F.col("c"))), F.lit(0)).cast("bigint").alias("max_fill"),
+        F.sum(F.when(is_h & (F.col("c") > quota), 1).otherwise(0)).cast("bigint").alias("n_over_quota"),
+        F.sum(F.when(is_d, 1).otherwise(0)).cast("bigint").alias("n_matched_doctors"),
+        F.coalesce(F.max(F.when(is_d, F.col("c"))), F.lit(0)).cast("bigint").alias("max_per_doctor"),
+        F.sum(F.when(is_s, 1).otherwise(0)).cast("bigint").alias("n_not_edges"))
     return out.withColumn(
         "consistent",
         (F.col("n_matched_doctors") == F.col("n_filled"))

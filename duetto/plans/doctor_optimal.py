@@ -74,11 +74,12 @@ def _round_summary(held: DataFrame, prev: DataFrame | None, n, worst_h: DataFram
         j = cur.join(old, HOSPITAL, "left")
     j = bounded_broadcast(j, bound, row_bytes=24).join(worst_h, HOSPITAL)
     out = j.agg(F.sum(F.when(F.col("_cut") < F.coalesce(F.col("_prev"), F.col("_worst")), 1)
-                      .otherwise(0)).alias("deleting"))
+                      .otherwise(0)).cast("bigint").alias("v")).select(F.lit("deleting").alias("k"), "v")
     if trace:
-        out = out.crossJoin(changes_frame(held, prev, count_lost=True))
-    row = out.first()
-    return bool(row["deleting"]), (int(row["n_changes"]) if trace else 0)
+        out = out.unionByName(changes_frame(held, prev, count_lost=True).select(
+            F.lit("changes").alias("k"), F.col("n_changes").cast("bigint").alias("v")))
+    got = {r["k"]: r["v"] for r in out.collect()}      # one or two rows, one job
+    return bool(got["deleting"]), int(got.get("changes") or 0)
 
 
 def _accelerated(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
