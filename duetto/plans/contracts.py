@@ -24,7 +24,7 @@ from duetto.functions.terms import contract_terms
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.knapsack import knapsack_select
 from duetto.plans.common import MatchResult, count_changes
-from duetto.session import counted_broadcast, cut_lineage, pin_layout
+from duetto.session import counted_broadcast, cut_lineage, layout_partitions, pin_layout
 
 
 def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
@@ -36,7 +36,7 @@ def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
     ``changes`` holds the changed matches per round.
     """
     spark = edges.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = layout_partitions(spark, edges.count())
     e = edges.select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK)
     if terms is None:
         e = contract_terms(e)

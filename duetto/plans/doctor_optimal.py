@@ -30,7 +30,7 @@ from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_R
 from duetto.operators.ranking import top_n_per_group
 from duetto.plans.common import (MatchResult, attach_quota, changes_frame, count_changes,
                                   with_row_count)
-from duetto.session import bounded_broadcast, counted_broadcast, cut_lineage, pin_layout
+from duetto.session import bounded_broadcast, counted_broadcast, cut_lineage, layout_partitions, pin_layout
 
 
 def _layout(e: DataFrame, n_parts: int) -> DataFrame:
@@ -161,8 +161,8 @@ def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
     (same matching, far fewer rounds).
     """
     spark = edges.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
+    n_parts = layout_partitions(spark, e.count())
     e = pin_layout(_layout(e, n_parts))
     run = _accelerated if accelerate else _plain
     held, rounds, converged, changes = run(e, n, max_n, max_iter, trace)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import top_n_per_group
 from duetto.plans.common import MatchResult, attach_quota, with_row_count
-from duetto.session import bounded_broadcast, cut_lineage, pin_layout
+from duetto.session import bounded_broadcast, cut_lineage, layout_partitions, pin_layout
 
 
 def best_offers(e: DataFrame, n, max_n: int) -> DataFrame:
@@ -102,8 +102,8 @@ def match_hospital_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
     with ``trace``, the match changes per round (``changes``).
     """
     spark = edges.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
+    n_parts = layout_partitions(spark, e.count())
     e = pin_layout(e.repartition(n_parts, DOCTOR).sortWithinPartitions(HOSPITAL, HOSPITAL_RANK))
     worst = cut_lineage(e.groupBy(DOCTOR).agg(F.max(DOCTOR_RANK).alias("_worst")))
     # Proven bound on the matching: at most max_n offers per hospital.

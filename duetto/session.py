@@ -99,6 +99,18 @@ def cut_lineage(df: DataFrame, keep_layout: bool = False) -> DataFrame:
         spark.conf.set(key, before)
 
 
+# Edge rows per partition of a laid-out edge table (~100 MB of 4-column rows).
+EDGES_PER_PARTITION = 4_000_000
+
+
+def layout_partitions(spark: SparkSession, n_rows: int) -> int:
+    """Partitions for a laid-out table of ``n_rows``: enough to keep each
+    partition near ``EDGES_PER_PARTITION`` rows, never fewer than the
+    cluster's default parallelism (so every core gets work)."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(cores, -(-n_rows // EDGES_PER_PARTITION))
+
+
 def pin_layout(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` with its layout, then keep a cached copy for reuse.
 
