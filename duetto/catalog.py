@@ -41,7 +41,8 @@ from duetto.session import cut_lineage, ensure_checkpoint_dir, scratch_path
 from duetto.sources.market import (market_from_interactions, order_lines,
                                    read_table, tpch_market)
 from duetto.sources.synth import generate_preferences
-from duetto.sources.text import read_preferences_text, write_preferences_text
+from duetto.sources.text import (read_market_text, read_preferences_text, write_market_text,
+                                 write_preferences_text)
 
 QUOTA = 6
 CONTRACT_ROUNDS = 4
@@ -208,6 +209,14 @@ def q_pref_text_roundtrip(spark, sf_dir):
     return _list_rows(back, HOSPITAL)
 
 
+def q_market_text_roundtrip(spark, sf_dir):
+    base = scratch_path(spark, "market-text")
+    write_market_text(market(spark, sf_dir), customers(spark, sf_dir), suppliers(spark, sf_dir),
+                      base + "/doctors", base + "/hospitals")
+    edges, _ = read_market_text(spark, base + "/doctors", base + "/hospitals")
+    return bigint_out(edges)
+
+
 def q_next_choice(spark, sf_dir):
     e = market(spark, sf_dir)
     rejected = rejected_applicants(first_proposals(spark, sf_dir), HOSPITAL, HOSPITAL_RANK,
@@ -392,6 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "explode_preferences": q_explode_preferences,
     "collapse_preferences": q_collapse_preferences,
     "pref_text_roundtrip": q_pref_text_roundtrip,
+    "market_text_roundtrip": q_market_text_roundtrip,
     "next_choice": q_next_choice,
     "drop_first_choice": q_drop_first_choice,
     "choices_at_or_above": q_choices_at_or_above,

@@ -40,9 +40,14 @@ def collapse_preferences(edges: DataFrame, id_col: str, item_col: str,
         F.transform(ordered, lambda x: x[item_col]).alias(out))
 
 
-def list_text(prefs: Column | str) -> Column:
-    """Space-separated text of an id list (the text file line format)."""
+def list_text(prefs: Column | str, pad: int | None = None) -> Column:
+    """Space-separated text of an id list (the text file line format).
+
+    ``pad`` right-aligns every id in a field of that width (``%5d``-style).
+    """
     c = F.col(prefs) if isinstance(prefs, str) else prefs
+    if pad:
+        return F.array_join(F.transform(c, lambda x: F.lpad(x.cast("string"), pad, " ")), " ")
     return F.array_join(F.transform(c, lambda x: x.cast("string")), " ")
 
 

@@ -212,6 +212,10 @@ SELECT s_suppkey::BIGINT AS hospital_id, count(e.doctor_id)::BIGINT AS n_prefs,
        coalesce(string_agg(e.doctor_id::VARCHAR, ' ' ORDER BY e.hospital_rank), '') AS prefs_text
 FROM supplier LEFT JOIN edges e ON e.hospital_id = s_suppkey GROUP BY s_suppkey""",
 
+    "market_text_roundtrip": _w(MARKET) + """
+SELECT doctor_id::BIGINT AS doctor_id, hospital_id::BIGINT AS hospital_id,
+       (doctor_rank - 1)::BIGINT AS doctor_rank, (hospital_rank - 1)::BIGINT AS hospital_rank FROM edges""",
+
     "next_choice": _w(MARKET, STATE, """
 rej AS (SELECT doctor_id, hospital_id FROM ranked_prop WHERE pos > 6),
 rem AS (SELECT * FROM edges ANTI JOIN rej USING (doctor_id, hospital_id))""") + """

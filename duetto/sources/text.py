@@ -15,7 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duetto.operators.reshape import list_text
+from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
+from duetto.operators.filters import one_sided_pairs
+from duetto.operators.joins import mutual_edges
+from duetto.operators.reshape import collapse_preferences, explode_preferences, list_text
 from duetto.session import counted_broadcast
 
 
@@ -47,14 +50,45 @@ def read_preferences_text(spark: SparkSession, path: str, id_col: str,
 
 def write_preferences_text(lists: DataFrame, id_col: str, path: str,
                            prefs_col: str = "prefs",
-                           entities: DataFrame | None = None) -> None:
+                           entities: DataFrame | None = None,
+                           pad: int | None = None) -> None:
     """Write one line per id in id order (A3).
 
     Ids must be 0..n-1; pass ``entities`` (a table of all ids) to emit blank
-    lines for entities without a list.  The global sort range-partitions the
-    lines, so part files are written in parallel and in id order.
+    lines for entities without a list.  ``pad`` writes every id right-aligned
+    in a field of that width (the padded doctor-file style).  The global sort
+    range-partitions the lines, so part files are written in parallel and in
+    id order.
     """
     if entities is not None:
         lists = entities.select(id_col).join(lists, id_col, "left")
-    lines = lists.select(id_col, F.coalesce(list_text(prefs_col), F.lit("")).alias("value"))
+    lines = lists.select(id_col, F.coalesce(list_text(prefs_col, pad), F.lit("")).alias("value"))
     lines.orderBy(id_col).select("value").write.mode("overwrite").text(path)
+
+
+def write_market_text(edges: DataFrame, doctors: DataFrame, hospitals: DataFrame,
+                      doctor_path: str, hospital_path: str,
+                      doctor_pad: int | None = 5) -> None:
+    """Write a market as the two preference files: doctors' lists (padded)
+    and hospitals' lists (ragged, blank line for a hospital nobody applied
+    to).  ``doctors`` / ``hospitals`` hold every id (0..n-1)."""
+    dl = collapse_preferences(edges, DOCTOR, HOSPITAL, DOCTOR_RANK)
+    hl = collapse_preferences(edges, HOSPITAL, DOCTOR, HOSPITAL_RANK)
+    write_preferences_text(dl, DOCTOR, doctor_path, entities=doctors, pad=doctor_pad)
+    write_preferences_text(hl, HOSPITAL, hospital_path, entities=hospitals)
+
+
+def read_market_text(spark: SparkSession, doctor_path: str,
+                     hospital_path: str) -> tuple[DataFrame, DataFrame]:
+    """Read the two preference files into (edges, one-sided pairs).
+
+    Ranks are first 0-based positions (lists may repeat ids).  Pairs listed
+    by one side only are not edges; they are returned separately so they can
+    be reported instead of failing the run.
+    """
+    dl = read_preferences_text(spark, doctor_path, DOCTOR)
+    hl = read_preferences_text(spark, hospital_path, HOSPITAL)
+    de = explode_preferences(dl, DOCTOR, "prefs", HOSPITAL, DOCTOR_RANK)
+    he = explode_preferences(hl, HOSPITAL, "prefs", DOCTOR, HOSPITAL_RANK)
+    edges = mutual_edges(de, he).select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK)
+    return edges, one_sided_pairs(de, he)

@@ -69,3 +69,23 @@ def test_write_matching_text_and_parquet(spark):
     write_matching(m, q, doctors=docs)
     got = {r[DOCTOR]: r[HOSPITAL] for r in spark.read.parquet(q).collect()}
     assert got == {0: 5, 1: None, 2: 7, 3: None}
+
+
+def test_market_text_files_padded_and_blank_lines(spark):
+    from duetto.sources.text import read_market_text, write_market_text
+    from duetto.names import DOCTOR_RANK, HOSPITAL_RANK
+    edges = spark.createDataFrame(
+        [(0, 1, 1, 1), (0, 0, 2, 1), (1, 0, 1, 2), (2, 1, 1, 2)],
+        "doctor_id long, hospital_id long, doctor_rank int, hospital_rank int")
+    docs = spark.range(3).select(F.col("id").alias(DOCTOR))
+    hosp = spark.range(3).select(F.col("id").alias(HOSPITAL))      # hospital 2: nobody
+    base = scratch_path(spark, "market")
+    write_market_text(edges, docs, hosp, base + "/d", base + "/h")
+    d_lines = [r["value"] for r in spark.read.text(base + "/d").collect()]
+    assert sorted(d_lines) == sorted(["    1     0", "    0", "    1"])
+    h_lines = [r["value"] for r in spark.read.text(base + "/h").collect()]
+    assert "" in h_lines and "0 1" in h_lines
+    back, one_sided = read_market_text(spark, base + "/d", base + "/h")
+    got = sorted((r[DOCTOR], r[HOSPITAL], r[DOCTOR_RANK], r[HOSPITAL_RANK]) for r in back.collect())
+    assert got == [(0, 0, 1, 0), (0, 1, 0, 0), (1, 0, 0, 1), (2, 1, 0, 1)]
+    assert one_sided.count() == 0
