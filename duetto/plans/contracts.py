@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from duetto.functions.terms import contract_terms
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.knapsack import knapsack_select
-from duetto.plans.common import MatchResult, count_changes
-from duetto.session import counted_broadcast, cut_lineage, layout_partitions, pin_layout
+from duetto.plans.common import MatchResult, count_changes, with_row_count
+from duetto.session import bounded_broadcast, cut_lineage, layout_partitions, pin_layout
 
 
 def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
@@ -44,7 +44,7 @@ def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
         e = e.join(terms.select(DOCTOR, HOSPITAL, "utility", "price", "budget"),
                    [DOCTOR, HOSPITAL])
     e = pin_layout(e.repartition(n_parts, DOCTOR))
-    state = None
+    state, n_state = None, 0
     changes: list[int] = []
     converged = False
     rounds = 0
@@ -54,15 +54,20 @@ def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
         else:
             # Applications at or above the current match: drop the rest with an
             # anti join (size estimate = left side; no compounding statistics).
+            # The state's size was observed while it was written; observed
+            # counts can only over-count (retried tasks), so the check errs
+            # towards not broadcasting.
             st = state.select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_mr"))
-            apps = e.join(counted_broadcast(st, row_bytes=16),
+            apps = e.join(bounded_broadcast(st, n_state, row_bytes=16),
                           (F.col(DOCTOR) == F.col("_d")) & (F.col(DOCTOR_RANK) > F.col("_mr")),
                           "left_anti")
         accepted = knapsack_select(apps, keep=(DOCTOR_RANK, HOSPITAL_RANK))
         best = accepted.groupBy(DOCTOR).agg(
             F.min(F.struct(DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK, "utility", "price"))
             .alias("_b"))
-        new_state = cut_lineage(best.select(DOCTOR, "_b.*"))
+        best, obs = with_row_count(best.select(DOCTOR, "_b.*"))
+        new_state = cut_lineage(best)
+        n_state = obs.get["n"]
         n_changed = count_changes(new_state, state, count_lost=True)
         changes.append(n_changed)
         state = new_state
