@@ -14,11 +14,14 @@ Round on the remaining edges ``e``:
 Stop when a round deletes nothing; the proposals then are the matching.
 
 Physical layout: edges hash-partitioned by doctor and sorted by
-(doctor, doctor_rank), so step 1 is a streaming pass with no exchange and no
-sort.  Step 2 works on at most one row per doctor, trimmed to ``quota`` rows
-per hospital on every map task before its shuffle.  Step 3 joins a table of at
-most one row per hospital (accelerated) or per rejected doctor (plain), which
-is broadcast when small.
+(doctor, doctor_rank) once, checkpointed and cached, so step 1 is a streaming
+pass with no exchange and no sort.  Step 2 works on at most one row per
+doctor, trimmed to ``quota`` rows per hospital on every map task before its
+shuffle.  Accelerated mode never rewrites the edges: its state is the held
+proposals, and step 3 is an anti join with one cut per full hospital
+(broadcast below the session's threshold).  Plain mode rewrites the edges
+without the rejected proposals (at most one per doctor), keyed by doctor so
+the layout is kept.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_R
 from duetto.operators.ranking import top_n_per_group
 from duetto.plans.common import (MatchResult, attach_quota, changes_frame, count_changes,
                                   with_row_count)
-from duetto.session import bounded_broadcast, counted_broadcast, cut_lineage, layout_partitions, pin_layout
+from duetto.session import (bounded_broadcast, counted_broadcast, cut_lineage, layout_partitions,
+                            pin_layout)
 
 
 def _layout(e: DataFrame, n_parts: int) -> DataFrame:
@@ -142,8 +146,10 @@ def _plain(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
             held.select(DOCTOR), DOCTOR, "left_anti"))
         removed = rejected.count()
         if removed:
-            e = cut_lineage(e.join(counted_broadcast(rejected, row_bytes=24),
-                                   [DOCTOR, HOSPITAL], "left_anti"), keep_layout=True)
+            rej = rejected.select(F.col(DOCTOR).alias("_d"), F.col(HOSPITAL).alias("_h"))
+            e = cut_lineage(e.join(counted_broadcast(rej, row_bytes=24),
+                                   (F.col(DOCTOR) == F.col("_d")) & (F.col(HOSPITAL) == F.col("_h")),
+                                   "left_anti"), keep_layout=True)
         prev = held
         if removed == 0:
             converged = True
