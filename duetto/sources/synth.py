@@ -31,14 +31,18 @@ def mix(x: Column, salt: int) -> Column:
     return F.pmod(c * F.lit(16807).cast("bigint") + F.lit(salt).cast("bigint"), p)
 
 
-def generate_preferences(doctors: DataFrame, n_hospitals: int, k: int,
-                         seed: int = 42) -> DataFrame:
-    """Edges of a random market over the doctor ids in ``doctors``.
+def generate_preferences(doctors: DataFrame | int, n_hospitals: int, k: int,
+                         seed: int = 42, spark=None) -> DataFrame:
+    """Edges of a random market over the doctor ids in ``doctors`` (a
+    DataFrame with ``doctor_id``, or a count n for ids 0..n-1; then pass
+    ``spark``).
 
     ``doctor_rank`` is the first 0-based position of the hospital in the
     doctor's list; ``hospital_rank`` the 0-based position of the doctor in
     the hospital's list.  Hospitals without applicants have no edges.
     """
+    if isinstance(doctors, int):
+        doctors = spark.range(doctors).select(F.col("id").alias(DOCTOR))
     d = F.col(DOCTOR)
     draws = doctors.select(DOCTOR).select(
         DOCTOR, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))

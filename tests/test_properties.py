@@ -99,3 +99,13 @@ def test_observed_stop_rule_gives_the_traced_rounds(spark):
             assert _as_dict(a.matching) == _as_dict(b.matching)
         capped = match_hospital_optimal(e, quota, max_iter=1)
         assert capped.rounds == 1
+
+
+def test_generator_accepts_a_count_and_is_deterministic(spark):
+    a = generate_preferences(40, 7, 5, seed=9, spark=spark)
+    b = _edges(spark, 40, 7, 5, 9)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(a) == rows(b)
+    # every doctor drew k times with replacement: at most k distinct choices
+    per = {r[DOCTOR]: r["c"] for r in a.groupBy(DOCTOR).agg(F.count("*").alias("c")).collect()}
+    assert len(per) == 40 and max(per.values()) <= 5
