@@ -181,6 +181,8 @@ def q_programs_by_applicant(spark, sf_dir):
 
 
 def q_explode_preferences(spark, sf_dir):
+    # List form with repeats: each order's suppliers in line order.  A list
+    # holds one order's lines, so it is bounded by the lines per order.
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     ordered = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey")))
     lists = li.groupBy(F.col("l_orderkey").alias("order_id")).agg(
@@ -268,24 +270,28 @@ def q_active_proposers(spark, sf_dir):
     return bigint_out(flt.active_proposers(market(spark, sf_dir), first_round_state(spark, sf_dir)))
 
 
+def _state_of(docs: DataFrame, matching: DataFrame) -> DataFrame:
+    """Every doctor's hospital: the initial all-unmatched state
+    updated with a matching (NULL where unmatched)."""
+    m = matching.select(DOCTOR, F.col(HOSPITAL).alias("_h"))
+    return (rs.initial_state(docs).join(m, DOCTOR, "left")
+            .select(DOCTOR, F.coalesce(F.col("_h"), F.col(HOSPITAL)).alias(HOSPITAL)))
+
+
 def q_changed_matches(spark, sf_dir):
     docs = customers(spark, sf_dir)
-    old = rs.initial_state(docs).select(DOCTOR).join(
-        first_round_state(spark, sf_dir).select(DOCTOR, HOSPITAL), DOCTOR, "left")
-    new = docs.join(hospital_optimal(spark, sf_dir).matching.select(DOCTOR, HOSPITAL), DOCTOR, "left")
+    old = _state_of(docs, first_round_state(spark, sf_dir))
+    new = _state_of(docs, hospital_optimal(spark, sf_dir).matching)
     return bigint_out(flt.changed_matches(old, new))
 
 
-def _sided_pairs(spark, sf_dir):
+def q_one_sided_pairs(spark, sf_dir):
+    # Doctors list every supplier they bought from; suppliers list only the
+    # customers with a line that was not returned.
     lines = order_lines(spark, sf_dir)
     doctor_side = lines.select(DOCTOR, HOSPITAL)
     hospital_side = lines.where(F.col("l_returnflag") != "R").select(DOCTOR, HOSPITAL)
-    return lines, doctor_side, hospital_side
-
-
-def q_one_sided_pairs(spark, sf_dir):
-    _, d, h = _sided_pairs(spark, sf_dir)
-    return bigint_out(flt.one_sided_pairs(d, h))
+    return bigint_out(flt.one_sided_pairs(doctor_side, hospital_side))
 
 
 def q_mutual_edges(spark, sf_dir):
