@@ -109,3 +109,14 @@ def test_generator_accepts_a_count_and_is_deterministic(spark):
     # every doctor drew k times with replacement: at most k distinct choices
     per = {r[DOCTOR]: r["c"] for r in a.groupBy(DOCTOR).agg(F.count("*").alias("c")).collect()}
     assert len(per) == 40 and max(per.values()) <= 5
+
+
+def test_empty_market(spark):
+    from duetto.plans.contracts import match_contracts
+    e = spark.createDataFrame([], "doctor_id long, hospital_id long, doctor_rank int, hospital_rank int")
+    for fn in (match_hospital_optimal, match_doctor_optimal):
+        for trace in (False, True):
+            r = fn(e, 6, trace=trace)
+            assert r.converged and r.matching.count() == 0
+    r = match_contracts(e, max_iter=3)
+    assert r.converged and r.matching.count() == 0
