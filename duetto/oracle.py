@@ -364,3 +364,30 @@ SELECT h::BIGINT AS hospital_id, list_max(dp)::BIGINT AS utility,
 
     "match_synthetic": _w(SYNTH, I2, recursive=True) + f"SELECT {EDGE_SELECT} FROM i2",
 }
+
+
+# Plain doctor-proposing rounds (no acceleration): only rejected proposals are
+# deleted.  Not registered (about 120 rounds at sf0.01); the tests compare it
+# with the engine at sf0.001.
+I1_PLAIN = """
+p1(it, doctor_id, hospital_id, doctor_rank, hospital_rank, o, held, kept, removed) AS (
+  SELECT 0, doctor_id, hospital_id, doctor_rank, hospital_rank, false, false, true, 1::HUGEINT
+  FROM edges
+  UNION ALL
+  SELECT it + 1, doctor_id, hospital_id, doctor_rank, hospital_rank, o2, o2 AND rn <= 6,
+         NOT (o2 AND rn > 6), sum(CASE WHEN o2 AND rn > 6 THEN 1 ELSE 0 END) OVER ()
+  FROM (SELECT *, row_number() OVER (PARTITION BY hospital_id, o2 ORDER BY hospital_rank) AS rn
+        FROM (SELECT it, doctor_id, hospital_id, doctor_rank, hospital_rank,
+                     row_number() OVER (PARTITION BY doctor_id ORDER BY doctor_rank) = 1 AS o2
+              FROM p1 WHERE removed > 0 AND kept) x) y),
+ip AS (SELECT doctor_id, hospital_id, doctor_rank, hospital_rank FROM p1
+       WHERE it = (SELECT max(it) FROM p1) AND o)"""
+
+TRACE_PLAIN = (TRACE1.replace("a1", "p1").replace("m1", "mp").replace("its1", "itsp")
+               .replace("prv1", "prvp").replace("ch1", "chp").replace("c1", "cp")
+               .replace("t1 AS", "tp AS"))
+
+PLAIN_SQL = {
+    "match_doctor_optimal_plain": _w(MARKET, I1_PLAIN, recursive=True) + f"SELECT {EDGE_SELECT} FROM ip",
+    "convergence_trace_plain": _w(MARKET, I1_PLAIN, TRACE_PLAIN, recursive=True) + "SELECT * FROM tp",
+}

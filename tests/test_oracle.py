@@ -33,3 +33,20 @@ def test_entry_runs(spark):
     df = ent.entry(spark)
     assert df.count() > 0
     assert df.columns == ["doctor_id", "hospital_id", "doctor_rank", "hospital_rank"]
+
+
+def test_plain_doctor_optimal_rounds_match_sql(spark, con):
+    # The classic one-choice-per-round loop: same matching and the same
+    # per-round change counts as the recursive SQL (small size only; about
+    # 120 rounds at sf0.01).
+    from duetto.catalog import bigint_out, market
+    from duetto.oracle import PLAIN_SQL
+    from duetto.plans.doctor_optimal import match_doctor_optimal
+    r = match_doctor_optimal(market(spark, SF), 6, accelerate=False, trace=True)
+    ok, msg = compare(spark, con, SF, "plain", lambda s, d: bigint_out(r.matching),
+                      PLAIN_SQL["match_doctor_optimal_plain"])
+    assert ok, msg
+    ok, msg = compare(spark, con, SF, "plain_trace", lambda s, d: bigint_out(r.trace(s)),
+                      PLAIN_SQL["convergence_trace_plain"])
+    assert ok, msg
+    assert r.rounds > 10
