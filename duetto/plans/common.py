@@ -93,9 +93,22 @@ def with_row_count(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Attach a row-count metric to ``df``.
 
     The count is collected by whichever job computes ``df`` (no extra job);
-    read it with ``obs.get["n"]`` after that job.  Re-executed tasks can make
+    read it with :func:`observed_count` after that job.  Re-executed tasks can make
     observed metrics inexact, so callers use it only to decide when to run an
     exact check, never as the final word.
     """
     obs = Observation()
     return df.observe(obs, F.count(F.lit(1)).alias("n")), obs
+
+
+def observed_count(obs: Observation) -> int | None:
+    """The observed row count, or None when no metric was collected.
+
+    Spark drops a subtree it proves empty (statically or, with AQE, at run
+    time), and the metric node with it; callers then fall back to an exact
+    computation.
+    """
+    try:
+        return int(obs.get["n"])
+    except Exception:   # metric missing: the observed plan was pruned away
+        return None

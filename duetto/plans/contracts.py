@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from duetto.functions.terms import contract_terms
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.knapsack import knapsack_select
-from duetto.plans.common import MatchResult, count_changes, with_row_count
+from duetto.plans.common import MatchResult, count_changes, observed_count, with_row_count
 from duetto.session import bounded_broadcast, cut_lineage, layout_partitions, pin_layout
 
 
@@ -67,7 +67,9 @@ def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
             .alias("_b"))
         best, obs = with_row_count(best.select(DOCTOR, "_b.*"))
         new_state = cut_lineage(best)
-        n_state = obs.get["n"]
+        n_state = observed_count(obs)
+        if n_state is None:
+            n_state = new_state.count()
         n_changed = count_changes(new_state, state, count_lost=True)
         changes.append(n_changed)
         state = new_state

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import top_n_per_group
 from duetto.plans.common import (MatchResult, attach_quota, changes_frame, count_changes,
-                                  with_row_count)
+                                  observed_count, with_row_count)
 from duetto.session import (bounded_broadcast, counted_broadcast, cut_lineage, layout_partitions,
                             pin_layout)
 
@@ -118,9 +118,9 @@ def _accelerated(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
             if not deleting:
                 return new, rounds, True, changes
         else:
-            n_live = obs.get["n"]
-            if n_live == n_live_prev and not _round_summary(held, older, n, worst_h,
-                                                            bound, False)[0]:
+            n_live = observed_count(obs)
+            if (n_live is None or n_live == n_live_prev) and held is not None \
+                    and not _round_summary(held, older, n, worst_h, bound, False)[0]:
                 # Round rounds-1 deleted nothing: its proposals are the answer
                 # (this round recomputed the same ones).
                 return held, rounds - 1, True, changes
@@ -132,29 +132,44 @@ def _accelerated(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
 
 
 def _plain(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
-    """Plain rounds: only the rejected proposals' edges are deleted."""
+    """Plain rounds: only the rejected proposals' edges are deleted.
+
+    A doctor proposes down its list, so the edges it has lost are exactly
+    those ranked at or above its last rejected proposal: the state is one
+    "floor" per doctor ever rejected, and the edges are never rewritten.
+    Two jobs per round: the proposals (one pass over the edges), then the
+    new floors (at most one row per doctor), whose job also observes how
+    many proposals were rejected; a zero is confirmed exactly before
+    stopping.
+    """
     changes: list[int] = []
-    prev = held = None
-    converged = False
-    rounds = 0
+    floors, n_floors = None, 0
+    prop = prev_prop = None
     for rounds in range(1, max_iter + 1):
-        prop = cut_lineage(proposals(e))
-        held = cut_lineage(held_proposals(prop, n, max_n))
+        live = e
+        if floors is not None:
+            live = e.join(bounded_broadcast(floors, n_floors, row_bytes=16),
+                          (F.col(DOCTOR) == F.col("_d")) & (F.col(DOCTOR_RANK) <= F.col("_floor")),
+                          "left_anti")
+        prop = cut_lineage(proposals(live))
+        held = held_proposals(prop, n, max_n)
         if trace:
-            changes.append(count_changes(held, prev, count_lost=True))
-        rejected = cut_lineage(prop.select(DOCTOR, HOSPITAL).join(
-            held.select(DOCTOR), DOCTOR, "left_anti"))
-        removed = rejected.count()
-        if removed:
-            rej = rejected.select(F.col(DOCTOR).alias("_d"), F.col(HOSPITAL).alias("_h"))
-            e = cut_lineage(e.join(counted_broadcast(rej, row_bytes=24),
-                                   (F.col(DOCTOR) == F.col("_d")) & (F.col(HOSPITAL) == F.col("_h")),
-                                   "left_anti"), keep_layout=True)
-        prev = held
-        if removed == 0:
-            converged = True
-            break
-    return held, rounds, converged, changes
+            changes.append(count_changes(
+                held, None if prev_prop is None else held_proposals(prev_prop, n, max_n),
+                count_lost=True))
+        rejected = (prop.join(held.select(DOCTOR), DOCTOR, "left_anti")
+                    .select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_floor")))
+        observed, obs_rej = with_row_count(rejected)      # an Observation serves one query
+        grown = observed if floors is None else floors.unionByName(observed)
+        grown, obs_all = with_row_count(grown.groupBy("_d").agg(F.max("_floor").alias("_floor")))
+        new_floors = cut_lineage(grown)
+        n_rej = observed_count(obs_rej)
+        if (n_rej is None or n_rej == 0) and rejected.isEmpty():   # observed, then exact
+            return cut_lineage(held), rounds, True, changes
+        n_all = observed_count(obs_all)
+        floors, prev_prop = new_floors, prop
+        n_floors = n_all if n_all is not None else new_floors.count()
+    return cut_lineage(held_proposals(prop, n, max_n)), max_iter, False, changes
 
 
 def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import top_n_per_group
-from duetto.plans.common import MatchResult, attach_quota, with_row_count
+from duetto.plans.common import MatchResult, attach_quota, observed_count, with_row_count
 from duetto.session import bounded_broadcast, cut_lineage, layout_partitions, pin_layout
 
 
@@ -132,8 +132,9 @@ def _rounds(e, n, max_n, max_iter, trace, worst, bound):
             if not deleting:
                 return new, rounds, True, changes
         else:
-            n_live = obs.get["n"]
-            if n_live == n_live_prev and not _round_summary(match, older, worst, bound)[2]:
+            n_live = observed_count(obs)
+            if (n_live is None or n_live == n_live_prev) and match is not None \
+                    and not _round_summary(match, older, worst, bound)[2]:
                 return match, rounds - 1, True, changes
             n_live_prev = n_live
         older, match = match, new
