@@ -15,8 +15,11 @@ fixpoint is the hospital-optimal stable matching.
 State.  A doctor's best offer never gets worse, so after round k the remaining
 edges are exactly "the original edges minus those a doctor ranks below its
 current best offer".  The loop therefore never rewrites the edge table: the
-only state is the round's matching (at most quota x hospitals rows), and
-each round reads the original edges through an anti join with it.
+only state is the round's offers (at most quota x hospitals rows), and each
+round reads the original edges through an anti join with them ("some offer
+ranks better" is the same test as "below the best offer", so the offers need
+no per-doctor reduction and the round has a single shuffle: the trimmed
+top-n rows).
 
 Stop rule without counting edges: round k deletes something iff some doctor's
 best offer is now better than its previous one, or a doctor got its first
@@ -27,7 +30,7 @@ Physical layout: the edges are hash-partitioned by doctor and sorted by
 (hospital, hospital_rank) inside each partition once.  Each round is then one
 pass: broadcast anti join (keeps the layout) -> partial ``WindowGroupLimit``
 that trims every partition to ``quota`` rows per hospital with no sort ->
-shuffle of those rows only -> final top-n -> best offer per doctor.  A hot
+shuffle of those rows only -> final top-n, checkpointed as the state.  A hot
 hospital never moves whole.  The state is broadcast only below the session's
 broadcast threshold (it is counted first); beyond it the planner shuffles the
 state to the edges' doctor partitioning instead.
@@ -44,9 +47,14 @@ from duetto.plans.common import MatchResult, attach_quota, observed_count, with_
 from duetto.session import bounded_broadcast, cut_lineage, layout_partitions, pin_layout
 
 
-def best_offers(e: DataFrame, n, max_n: int) -> DataFrame:
-    """One round's offers reduced to each doctor's best: the round matching."""
-    offers = top_n_per_group(e, HOSPITAL, HOSPITAL_RANK, n, max_n=max_n)
+def round_offers(e: DataFrame, n, max_n: int) -> DataFrame:
+    """One round's offers: every hospital's ``n`` best remaining doctors."""
+    return top_n_per_group(e, HOSPITAL, HOSPITAL_RANK, n, max_n=max_n).select(
+        DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK)
+
+
+def best_of(offers: DataFrame) -> DataFrame:
+    """Each doctor's best offer: the round's matching (small input)."""
     best = offers.groupBy(DOCTOR).agg(
         F.min(F.struct(DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK)).alias("_b"))
     return best.select(DOCTOR, F.col("_b." + HOSPITAL).alias(HOSPITAL),
@@ -54,15 +62,23 @@ def best_offers(e: DataFrame, n, max_n: int) -> DataFrame:
                        F.col("_b." + HOSPITAL_RANK).alias(HOSPITAL_RANK))
 
 
-def remaining_edges(e: DataFrame, match: DataFrame | None, bound: int) -> DataFrame:
-    """Edges no doctor has ranked below its current best offer.
+def best_offers(e: DataFrame, n, max_n: int) -> DataFrame:
+    """One round's offers reduced to each doctor's best: the round matching."""
+    return best_of(round_offers(e, n, max_n))
+
+
+def remaining_edges(e: DataFrame, offers: DataFrame | None, bound: int) -> DataFrame:
+    """Edges no doctor has ranked below an offer it holds.
 
-    ``bound``: proven upper bound on the rows of ``match``.
+    An edge goes as soon as *some* offer to its doctor ranks better -- the
+    same as "below the doctor's best offer" -- so the raw offers serve as
+    the state and need no per-doctor reduction (no shuffle by doctor).
+    ``bound``: proven upper bound on the rows of ``offers``.
     """
-    if match is None:
+    if offers is None:
         return e
     cap = bounded_broadcast(
-        match.select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_cap")),
+        offers.select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_cap")),
         bound, row_bytes=24)
     return e.join(cap, (F.col(DOCTOR) == F.col("_d")) & (F.col(DOCTOR_RANK) > F.col("_cap")),
                   "left_anti")
@@ -121,23 +137,27 @@ def _rounds(e, n, max_n, max_iter, trace, worst, bound):
     With ``trace`` every round runs the exact check and the change count
     (one small job)."""
     changes: list[int] = []
-    match = older = None
+    offers = older = None       # this round's and the previous round's offers
     n_live_prev = None
+
+    def summary(cur, prev):
+        return _round_summary(best_of(cur), None if prev is None else best_of(prev),
+                              worst, bound)
+
     for rounds in range(1, max_iter + 1):
-        live, obs = with_row_count(remaining_edges(e, match, bound))
-        new = cut_lineage(best_offers(live, n, max_n))
+        live, obs = with_row_count(remaining_edges(e, offers, bound))
+        new = cut_lineage(round_offers(live, n, max_n))
         if trace:
-            _, changed, deleting = _round_summary(new, match, worst, bound)
+            _, changed, deleting = summary(new, offers)
             changes.append(changed)
             if not deleting:
-                return new, rounds, True, changes
+                return cut_lineage(best_of(new)), rounds, True, changes
         else:
             n_live = observed_count(obs)
-            if (n_live is None or n_live == n_live_prev) and match is not None \
-                    and not _round_summary(match, older, worst, bound)[2]:
-                return match, rounds - 1, True, changes
+            if (n_live is None or n_live == n_live_prev) and offers is not None \
+                    and not summary(offers, older)[2]:
+                return cut_lineage(best_of(offers)), rounds - 1, True, changes
             n_live_prev = n_live
-        older, match = match, new
-    if not trace and not _round_summary(match, older, worst, bound)[2]:
-        return match, max_iter, True, changes
-    return match, max_iter, False, changes
+        older, offers = offers, new
+    converged = not trace and not summary(offers, older)[2]
+    return cut_lineage(best_of(offers)), max_iter, converged, changes

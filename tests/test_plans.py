@@ -15,7 +15,7 @@ from duetto.functions.terms import contract_terms
 from duetto.names import DOCTOR, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.knapsack import knapsack_select
 from duetto.plans import doctor_optimal as D
-from duetto.plans.hospital_optimal import best_offers, remaining_edges
+from duetto.plans.hospital_optimal import remaining_edges, round_offers
 from duetto.session import pin_layout
 from duetto.sources.synth import generate_preferences
 
@@ -37,11 +37,13 @@ def _edges(spark):
 
 def test_hospital_optimal_round_reads_edges_without_exchange_or_sort(spark):
     e = pin_layout(_edges(spark).repartition(8, DOCTOR).sortWithinPartitions(HOSPITAL, HOSPITAL_RANK))
-    state = best_offers(e, 6, 6).checkpoint()
-    plan = _plan(best_offers(remaining_edges(e, state, 120), 6, 6))
+    state = round_offers(e, 6, 6).checkpoint()
+    plan = _plan(round_offers(remaining_edges(e, state, 120), 6, 6))
     below = _below(plan, "row_number(), 6, Partial")
     assert "BroadcastHashJoin" in "\n".join(below)
     assert not [x for x in below if "Exchange hashpartitioning" in x or "Sort [" in x]
+    # one shuffle per round: the trimmed top-n rows, by hospital
+    assert plan.count("Exchange hashpartitioning") == 1
     e.unpersist()
 
 
@@ -56,11 +58,11 @@ def test_doctor_optimal_round_reads_edges_without_exchange_or_sort(spark):
 
 def test_state_beyond_broadcast_budget_is_shuffled_not_the_edges(spark):
     e = pin_layout(_edges(spark).repartition(8, DOCTOR).sortWithinPartitions(HOSPITAL, HOSPITAL_RANK))
-    state = best_offers(e, 6, 6).checkpoint()
+    state = round_offers(e, 6, 6).checkpoint()
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
     try:
-        plan = _plan(best_offers(remaining_edges(e, state, 120), 6, 6))
+        plan = _plan(round_offers(remaining_edges(e, state, 120), 6, 6))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     below = _below(plan, "row_number(), 6, Partial")
