@@ -40,6 +40,7 @@ from duetto.plans.report import convergence_report, label_trace, running_changes
 from duetto.session import cut_lineage, ensure_checkpoint_dir, scratch_path
 from duetto.sources.market import (market_from_interactions, order_lines,
                                    read_table, tpch_market)
+from duetto.sources.sinks import write_matching
 from duetto.sources.synth import generate_preferences
 from duetto.sources.text import (read_market_text, read_preferences_text, write_market_text,
                                  write_preferences_text)
@@ -219,6 +220,15 @@ def q_market_text_roundtrip(spark, sf_dir):
     return bigint_out(edges)
 
 
+def q_matching_text_output(spark, sf_dir):
+    path = scratch_path(spark, "matching-text")
+    write_matching(hospital_optimal(spark, sf_dir).matching, path,
+                   doctors=customers(spark, sf_dir), fmt="text")
+    parts = F.split(F.trim(F.col("value")), " ")
+    return bigint_out(spark.read.text(path).select(
+        parts[0].cast("bigint").alias(DOCTOR), parts[1].cast("bigint").alias(HOSPITAL)))
+
+
 def q_next_choice(spark, sf_dir):
     e = market(spark, sf_dir)
     rejected = rejected_applicants(first_proposals(spark, sf_dir), HOSPITAL, HOSPITAL_RANK,
@@ -408,6 +418,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "collapse_preferences": q_collapse_preferences,
     "pref_text_roundtrip": q_pref_text_roundtrip,
     "market_text_roundtrip": q_market_text_roundtrip,
+    "matching_text_output": q_matching_text_output,
     "next_choice": q_next_choice,
     "drop_first_choice": q_drop_first_choice,
     "choices_at_or_above": q_choices_at_or_above,

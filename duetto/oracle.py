@@ -216,6 +216,10 @@ FROM supplier LEFT JOIN edges e ON e.hospital_id = s_suppkey GROUP BY s_suppkey"
 SELECT doctor_id::BIGINT AS doctor_id, hospital_id::BIGINT AS hospital_id,
        (doctor_rank - 1)::BIGINT AS doctor_rank, (hospital_rank - 1)::BIGINT AS hospital_rank FROM edges""",
 
+    "matching_text_output": _w(MARKET, I2, recursive=True) + """
+SELECT c_custkey::BIGINT AS doctor_id, coalesce(m.hospital_id, -1)::BIGINT AS hospital_id
+FROM customer LEFT JOIN i2 m ON m.doctor_id = c_custkey""",
+
     "next_choice": _w(MARKET, STATE, """
 rej AS (SELECT doctor_id, hospital_id FROM ranked_prop WHERE pos > 6),
 rem AS (SELECT * FROM edges ANTI JOIN rej USING (doctor_id, hospital_id))""") + """
