@@ -9,10 +9,12 @@ not converge: it stops after ``max_iter`` rounds or when the number of changed
 matches is at most ``tolerance``, and reports ``converged`` only for zero
 changes.  No stability claim is made.
 
-Physical shape: contract terms are computed once on the edges; each round
-joins the edges with the per-doctor state (at most one row per doctor,
-broadcast when small), trims applicants per (hospital, price) on the map side
-and solves bounded groups in pandas.
+Physical shape: contract terms are computed once on the edges, which are laid
+out once (checkpointed and cached).  Each round anti-joins them with the
+previous round's acceptances (broadcast when their observed size is small),
+trims applicants per (hospital, price) on the map side, and solves the
+bounded groups in pandas; the per-doctor best acceptance is computed only on
+the small acceptance tables (change count, final matching).
 """
 
 from __future__ import annotations
@@ -27,6 +29,13 @@ from duetto.plans.common import MatchResult, count_changes, observed_count, with
 from duetto.session import bounded_broadcast, cut_lineage, layout_partitions, pin_layout
 
 
+def _best(accepted: DataFrame) -> DataFrame:
+    """Each doctor's best acceptance (its match)."""
+    b = accepted.groupBy(DOCTOR).agg(
+        F.min(F.struct(DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK, "utility", "price")).alias("_b"))
+    return b.select(DOCTOR, "_b.*")
+
+
 def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
                     terms: DataFrame | None = None) -> MatchResult:
     """Budgeted matching on ``edges``.
@@ -35,6 +44,8 @@ def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
     defaults to the reference's contract formulas.  The result's
     ``changes`` holds the changed matches per round.
     """
+    if max_iter < 1:
+        raise ValueError("max_iter must be at least 1")
     spark = edges.sparkSession
     n_parts = layout_partitions(spark, edges.count())
     e = edges.select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK)
@@ -44,38 +55,38 @@ def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
         e = e.join(terms.select(DOCTOR, HOSPITAL, "utility", "price", "budget"),
                    [DOCTOR, HOSPITAL])
     e = pin_layout(e.repartition(n_parts, DOCTOR))
-    state, n_state = None, 0
+    accepted, n_acc = None, 0    # the state: this round's acceptances
     changes: list[int] = []
     converged = False
     rounds = 0
     for rounds in range(1, max_iter + 1):
-        if state is None:
+        if accepted is None:
             apps = e
         else:
-            # Applications at or above the current match: drop the rest with an
-            # anti join (size estimate = left side; no compounding statistics).
-            # The state's size was observed while it was written; observed
-            # counts can only over-count (retried tasks), so the check errs
-            # towards not broadcasting.
-            st = state.select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_mr"))
-            apps = e.join(bounded_broadcast(st, n_state, row_bytes=16),
+            # Applications at or above the current match: an edge goes if
+            # some acceptance of its doctor ranks better (= below the best
+            # one), so the raw acceptances are the state and need no
+            # per-doctor shuffle.  Anti join: size estimate = left side.
+            # Their size was observed while they were written; observed
+            # counts can only over-count, so the check errs towards not
+            # broadcasting.
+            st = accepted.select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_mr"))
+            apps = e.join(bounded_broadcast(st, n_acc, row_bytes=16),
                           (F.col(DOCTOR) == F.col("_d")) & (F.col(DOCTOR_RANK) > F.col("_mr")),
                           "left_anti")
-        accepted = knapsack_select(apps, keep=(DOCTOR_RANK, HOSPITAL_RANK))
-        best = accepted.groupBy(DOCTOR).agg(
-            F.min(F.struct(DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK, "utility", "price"))
-            .alias("_b"))
-        best, obs = with_row_count(best.select(DOCTOR, "_b.*"))
-        new_state = cut_lineage(best)
-        n_state = observed_count(obs)
-        if n_state is None:
-            n_state = new_state.count()
-        n_changed = count_changes(new_state, state, count_lost=True)
+        chosen, obs = with_row_count(knapsack_select(apps, keep=(DOCTOR_RANK, HOSPITAL_RANK)))
+        new = cut_lineage(chosen)
+        n_acc = observed_count(obs)
+        if n_acc is None:
+            n_acc = new.count()
+        n_changed = count_changes(_best(new), None if accepted is None else _best(accepted),
+                                  count_lost=True)
         changes.append(n_changed)
-        state = new_state
+        accepted = new
         if n_changed <= tolerance:
             converged = n_changed == 0
             break
+    state = cut_lineage(_best(accepted))
     e.unpersist()
     return MatchResult(
         matching=state.select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK,
