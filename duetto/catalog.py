@@ -35,11 +35,10 @@ from duetto.operators.knapsack import knapsack_select
 from duetto.operators.ranking import rank_within, rejected_applicants, top_n_per_group
 from duetto.plans.contracts import match_contracts
 from duetto.plans.doctor_optimal import held_proposals, match_doctor_optimal, proposals
-from duetto.plans.hospital_optimal import best_offers, match_hospital_optimal
+from duetto.plans.hospital_optimal import match_hospital_optimal
 from duetto.plans.report import convergence_report, label_trace, running_changes
 from duetto.session import cut_lineage, ensure_checkpoint_dir, scratch_path
-from duetto.sources.market import (market_from_interactions, order_lines,
-                                   read_table, tpch_market)
+from duetto.sources.market import order_lines, read_table, tpch_market
 from duetto.sources.sinks import write_matching
 from duetto.sources.synth import generate_preferences
 from duetto.sources.text import (read_market_text, read_preferences_text, write_market_text,

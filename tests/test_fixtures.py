@@ -1,7 +1,6 @@
 """Hand fixtures F1-F5 (expected values worked out by hand)."""
 
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
@@ -13,9 +12,6 @@ from duetto.operators.ranking import rejected_applicants, top_n_per_group
 from duetto.plans.doctor_optimal import match_doctor_optimal
 from duetto.plans.hospital_optimal import match_hospital_optimal
 
-EDGE_SCHEMA = "doctor_id long, hospital_id long, doctor_rank int, hospital_rank int"
-
-
 def market(spark, doctor_lists, hospital_lists):
     """Edges from hand-written lists (0-based ranks; mutual pairs only)."""
     d = [(i, h, r) for i, hs in doctor_lists.items() for r, h in enumerate(hs)]
