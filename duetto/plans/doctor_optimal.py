@@ -33,7 +33,8 @@ from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_R
 from duetto.operators.ranking import top_n_per_group
 from duetto.plans.common import (MatchResult, attach_quota, changes_frame, count_changes,
                                   observed_count, with_row_count)
-from duetto.session import bounded_broadcast, cut_lineage, layout_partitions, pin_layout
+from duetto.session import (bounded_broadcast, cut_lineage, fits_broadcast, layout_partitions,
+                            pin_layout)
 
 
 def _layout(e: DataFrame, n_parts: int) -> DataFrame:
@@ -85,7 +86,49 @@ def _round_summary(held: DataFrame, prev: DataFrame | None, n, worst_h: DataFram
     return bool(got["deleting"]), int(got.get("changes") or 0)
 
 
-def _accelerated(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
+def _moved_cuts(new: DataFrame, old: DataFrame | None, n) -> DataFrame:
+    """Cuts that are new or moved up this round (``_h, _cut``)."""
+    cur = _cuts(new, n)
+    if old is None:
+        return cur
+    return cur.join(_cuts(old, n), ["_h", "_cut"], "left_anti")
+
+
+def _accelerated_rewrite(e: DataFrame, n, max_n: int, max_iter: int, trace: bool,
+                         worst_h: DataFrame, bound: int, n_parts: int):
+    """Accelerated rounds when the cut table is too big to broadcast.
+
+    Edges below an unchanged cut were deleted when that cut was set, so each
+    round deletes only below the cuts that moved -- usually far fewer rows,
+    broadcast when they fit -- and rewrites the laid-out edges without them.
+    Only when even the moved cuts exceed the budget does a round shuffle the
+    edges (by hospital, then back to the doctor layout).
+    """
+    spark = e.sparkSession
+    changes: list[int] = []
+    held = None
+    cur = e
+    for rounds in range(1, max_iter + 1):
+        new = cut_lineage(held_proposals(proposals(cur), n, max_n))
+        deleting, changed = _round_summary(new, held, n, worst_h, bound, trace)
+        if trace:
+            changes.append(changed)
+        if not deleting:
+            return new, rounds, True, changes
+        moved = cut_lineage(_moved_cuts(new, held, n))
+        n_moved = moved.count()
+        below = (F.col(HOSPITAL) == F.col("_h")) & (F.col(HOSPITAL_RANK) > F.col("_cut"))
+        if fits_broadcast(spark, n_moved, 24):
+            nxt = cur.join(F.broadcast(moved), below, "left_anti")
+        else:
+            nxt = _layout(cur.join(moved.hint("shuffle_hash"), below, "left_anti"), n_parts)
+        cur = cut_lineage(nxt, keep_layout=True)
+        held = new
+    return held, max_iter, False, changes
+
+
+def _accelerated(e: DataFrame, n, max_n: int, max_iter: int, trace: bool,
+                 n_parts: int | None = None):
     """Accelerated rounds.  Cuts only move up (a hospital's held proposals
     keep proposing to it), so the remaining edges are always "original edges
     minus those below their hospital's current cut": the state is the held
@@ -100,6 +143,9 @@ def _accelerated(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
     """
     worst_h = cut_lineage(e.groupBy(HOSPITAL).agg(F.max(HOSPITAL_RANK).alias("_worst")))
     bound = worst_h.count()              # one cut per hospital at most
+    if not fits_broadcast(e.sparkSession, bound, 24):
+        return _accelerated_rewrite(e, n, max_n, max_iter, trace, worst_h, bound,
+                                    n_parts or e.rdd.getNumPartitions())
     changes: list[int] = []
     held = older = None
     n_live_prev = None
@@ -184,8 +230,10 @@ def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
     n_parts = layout_partitions(spark, e.count())
     e = pin_layout(_layout(e, n_parts))
-    run = _accelerated if accelerate else _plain
-    held, rounds, converged, changes = run(e, n, max_n, max_iter, trace)
+    if accelerate:
+        held, rounds, converged, changes = _accelerated(e, n, max_n, max_iter, trace, n_parts)
+    else:
+        held, rounds, converged, changes = _plain(e, n, max_n, max_iter, trace)
     e.unpersist()
     return MatchResult(matching=held.select(*EDGE_COLUMNS), rounds=rounds,
                        converged=converged, changes=changes)

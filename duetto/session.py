@@ -133,6 +133,12 @@ def broadcast_budget(spark: SparkSession) -> int:
     return v if v > 0 else 0
 
 
+def fits_broadcast(spark: SparkSession, max_rows: int, row_bytes: int = 32) -> bool:
+    """Whether ``max_rows`` rows of ``row_bytes`` fit the broadcast budget."""
+    budget = broadcast_budget(spark)
+    return bool(budget) and max_rows * row_bytes <= budget
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int, row_bytes: int = 32) -> DataFrame:
     """Broadcast ``df`` only if ``max_rows`` (a proven upper bound on its row
     count) times ``row_bytes`` fits in the broadcast budget.
@@ -141,8 +147,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int, row_bytes: int = 32) -> Data
     the planner shuffles this (small) side to the big side's partitioning
     instead of sorting the big side.
     """
-    budget = broadcast_budget(df.sparkSession)
-    if budget and max_rows * row_bytes <= budget:
+    if fits_broadcast(df.sparkSession, max_rows, row_bytes):
         return F.broadcast(df)
     return df.hint("shuffle_hash")
 

@@ -120,3 +120,20 @@ def test_empty_market(spark):
             assert r.converged and r.matching.count() == 0
     r = match_contracts(e, max_iter=3)
     assert r.converged and r.matching.count() == 0
+
+
+def test_doctor_optimal_when_cuts_do_not_fit_the_broadcast_budget(spark):
+    # A 100-byte budget forces the rewrite path (moved cuts only) and, for
+    # rounds with many moved cuts, its shuffle fallback.
+    e = _edges(spark, 80, 12, 5, 4).cache()
+    rows = [tuple(r) for r in e.select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK).collect()]
+    normal = match_doctor_optimal(e, 3, trace=True)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        small = match_doctor_optimal(e, 3, trace=True)
+        got = _as_dict(small.matching)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == bf.doctor_proposing(rows, 3)
+    assert (small.rounds, small.changes) == (normal.rounds, normal.changes)
