@@ -19,9 +19,13 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+if __package__ in (None, ""):       # run as a script (spark-submit duetto/jobs.py)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, HOSPITAL
