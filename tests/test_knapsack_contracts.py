@@ -95,3 +95,19 @@ def test_contracts_loop_matches_serial_loop(spark):
     want, changes = _serial_contracts(edges, t, 6)
     assert got == want
     assert res.changes == changes
+
+
+def test_contracts_tolerance_and_round_cap(spark):
+    rng = random.Random(5)
+    rows = []
+    for d in range(30):
+        hs = rng.sample(range(5), 3)
+        rows += [(d, h, r, (d * 7 + h * 3) % 31) for r, h in enumerate(hs)]
+    e = spark.createDataFrame(rows, "doctor_id long, hospital_id long, doctor_rank int, hospital_rank int")
+    loose = match_contracts(e, max_iter=5, tolerance=10 ** 9)
+    assert loose.rounds == 1 and len(loose.changes) == 1
+    assert loose.converged == (loose.changes[0] == 0)
+    capped = match_contracts(e, max_iter=2)
+    assert capped.rounds <= 2 and len(capped.changes) == capped.rounds
+    if capped.rounds == 2 and capped.changes[-1] != 0:
+        assert not capped.converged
