@@ -89,3 +89,22 @@ def test_market_text_files_padded_and_blank_lines(spark):
     got = sorted((r[DOCTOR], r[HOSPITAL], r[DOCTOR_RANK], r[HOSPITAL_RANK]) for r in back.collect())
     assert got == [(0, 0, 1, 0), (0, 1, 0, 0), (1, 0, 0, 1), (2, 1, 0, 1)]
     assert one_sided.count() == 0
+
+
+def test_line_numbers_survive_many_splits_per_file(spark, tmp_path):
+    # One file cut into many small splits (and tasks): ids must still be the
+    # line numbers, blank lines included.
+    lines = ["" if i % 11 == 0 else " ".join(str((i * 7 + j) % 97) for j in range(1 + i % 5))
+             for i in range(3000)]
+    path = tmp_path / "prefs.txt"
+    path.write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        df = read_preferences_text(spark, str(path), HOSPITAL)
+        assert df.rdd.getNumPartitions() > 5
+        got = {r[HOSPITAL]: list(r["prefs"]) for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {i: [int(x) for x in line.split()] for i, line in enumerate(lines)}
+    assert got == want
