@@ -15,6 +15,12 @@ operators  row and group operators (ranking, reshaping, filters, joins,
 plans      iterative matching plans (hospital-optimal, doctor-optimal,
            contracts) and their convergence reports
 streaming  intentionally empty (the reference has no streaming surface)
+
+Modules
+-------
+jobs       command-line jobs: generate preference files; match, verify, write
+catalog    registered queries on the driver tables (see __spark_entry__.py)
+oracle     DuckDB SQL for those queries
 """
 
 from duetto.names import DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK
