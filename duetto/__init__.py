@@ -9,7 +9,8 @@ windows, joins and aggregates.
 Sub-packages
 ------------
 sources    readers / writers / market builders / generator
-functions  column functions (contract terms, array helpers)
+functions  column functions (contract terms); list helpers live in
+           operators.reshape and sources.text
 operators  row and group operators (ranking, reshaping, filters, joins,
            aggregates, set operations, knapsack choice, verification)
 plans      iterative matching plans (hospital-optimal, doctor-optimal,
