@@ -118,7 +118,8 @@ def license_hits(docs: DataFrame, grams: DataFrame) -> DataFrame:
 
 def license_spans(hits: DataFrame) -> DataFrame:
     """``doc_id, th, label, exact, start, end, cover``: places of the phrases
-    (exact) and spans of the templates, in words, end exclusive."""
+    (exact) and spans of the templates, in words, end exclusive.  Of template
+    spans that overlap, those with the largest cover are returned."""
     key = ["doc_id", "th", "template"]
     diag = (hits.filter("template is not null")
             .groupBy(*key, "label", "exact", "grams", (F.col("d") - F.col("t")).alias("diag"))
@@ -135,9 +136,17 @@ def license_spans(hits: DataFrame) -> DataFrame:
              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("n"),
                   F.min("lo").alias("start"), (F.max("hi") + K).alias("end")))
     cover = F.col("n") / F.col("grams")
-    return (spans.withColumn("cover", cover)
+    good = (spans.withColumn("cover", cover)
             .filter(F.when(F.col("exact"), F.col("n") == F.col("grams"))
-                    .otherwise(F.col("cover") >= MIN_COVER))
+                    .otherwise(F.col("cover") >= MIN_COVER)))
+    # Templates that share words overlap: of spans that overlap, the best covered stay.
+    place = Window.partitionBy("doc_id", "th", "exact").orderBy("start", "end", "template")
+    before = F.max("end").over(place.rowsBetween(Window.unboundedPreceding, -1))
+    return (good.withColumn("new", F.when(F.col("start") < before, 0).otherwise(1))
+            .withColumn("isle", F.sum("new").over(place.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("best", F.max("cover").over(
+                Window.partitionBy("doc_id", "th", "exact", "isle")))
+            .filter("exact or cover = best")
             .select("doc_id", "th", "label", "exact", F.col("start").cast("bigint").alias("start"),
                     F.col("end").cast("bigint").alias("end"), "cover"))
 
