@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -27,9 +29,14 @@ from pyspark.sql import functions as F
 
 #: A block ends with its task's input or at about so many characters.
 BLOCK_CHARS = 64_000_000
-#: The splitting rule is applied by the regex library below this code point, and
-#: by the tokenizer's own code above it, where Unicode versions may differ.
-PLAIN_BELOW = 0x250
+#: Texts whose characters are all below this code point are split by Python's re,
+#: with the letters and numbers of that range written out; others by the
+#: tokenizer's own code.
+PLAIN_BELOW = 0x180
+#: The rule and the normaliser that the plain way knows.
+PLAIN_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                {"type": "Lowercase"}]
 
 
 def vocabulary_file(name: str) -> str:
@@ -54,11 +61,22 @@ def check_form(spec: dict) -> None:
         raise ValueError("this tokenizer's words can't be encoded one by one")
 
 
+def plain_rule() -> re.Pattern:
+    """``PLAIN_RULE`` for text below ``PLAIN_BELOW``.  There the normaliser only
+    lowers letters, one by one, and joins white space, which no word holds."""
+    def members(kind: str) -> str:
+        return "".join(re.escape(chr(c)) for c in range(PLAIN_BELOW)
+                       if unicodedata.category(chr(c))[0] == kind)
+
+    letters, numbers, space = members("L"), members("N"), r"\t-\r \x85\xa0"
+    # The dot above, which a lowered capital I with dot leaves, is neither.
+    return re.compile(f"[{letters}]+|[{numbers}]|'(?:s|t|re|ve|m|ll|d)|[^{space}{letters}{numbers}]+")
+
+
 class Splitter:
     """Words of a text, as the tokenizer splits it; special tokens are words."""
 
     def __init__(self, vocabulary: str):
-        import regex
         from tokenizers import Tokenizer
 
         spec = json.loads(vocabulary)
@@ -69,40 +87,50 @@ class Splitter:
             **spec, "added_tokens": [], "pre_tokenizer": rule, "post_processor": None,
             "model": {**spec["model"], "vocab": {"a": 0}, "merges": []}}))
         self.normal, self.rule = own.normalizer, own.pre_tokenizer
-        self.plain = regex.compile(rule["pattern"]["Regex"])
         names = sorted(self.specials, key=len, reverse=True)
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self.far = regex.compile(f"[^\\x00-\\u{PLAIN_BELOW - 1:04x}]")
+        self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        plain = (rule["pattern"]["Regex"] == PLAIN_RULE
+                 and (spec["normalizer"] or {}).get("normalizers") == PLAIN_NORMAL)
+        self.plain = plain_rule() if plain else None
+        self.far = re.compile(f"[^\\x00-\\u{PLAIN_BELOW - 1:04x}]")
 
     def words(self, text: str | None) -> list[str]:
         if not text:
             return []
+        parts = self.cut.split(text) if self.cut and "<" in text else [text]
+        if self.plain and not self.far.search(text):
+            if len(parts) == 1:
+                return self.plain.findall(text.lower())
+            split = lambda s: self.plain.findall(s.lower())     # noqa: E731
+        else:
+            def split(s: str) -> list[str]:
+                s = self.normal.normalize_str(s) if self.normal else s
+                return [w for w, _ in self.rule.pre_tokenize_str(s)]
         out: list[str] = []
-        parts = self.cut.split(text) if self.cut else [text]
         for i, part in enumerate(parts):
-            if i % 2:
-                out.append(part)
-            elif part:
-                s = self.normal.normalize_str(part) if self.normal else part
-                if self.far.search(s):
-                    out += [w for w, _ in self.rule.pre_tokenize_str(s)]
-                else:
-                    out += self.plain.findall(s)
+            out += [part] if i % 2 else split(part) if part else []
         return out
 
 
+class _Numbers(dict):
+    """Words by number, in the order in which they came."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class Numbered:
     """One block: its distinct words, and its texts as word numbers."""
 
     def __init__(self) -> None:
-        self.numbers: dict[str, int] = {}
+        self.numbers = _Numbers()
         self.texts: list[np.ndarray] = []
         self.chars = 0
 
     def add(self, text: str | None, splitter: Splitter) -> None:
-        at, get = self.numbers, self.numbers.setdefault
         words = splitter.words(text)
-        self.texts.append(np.fromiter((get(w, len(at)) for w in words), dtype=np.uint32,
+        self.texts.append(np.fromiter(map(self.numbers.__getitem__, words), dtype=np.uint32,
                                       count=len(words)))
         self.chars += len(text or "")
 
@@ -126,8 +154,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], splitter: Splitter) -> Iterator[t
     block, kept = Numbered(), []
     for b in batches:
         kept.append(b.column("doc_id"))
-        for text in b.column("text").to_pylist():
-            block.add(text, splitter)
+        for at in range(0, b.num_rows, 500):
+            for text in b.column("text").slice(at, 500).to_pylist():
+                block.add(text, splitter)
         if block.chars >= BLOCK_CHARS:
             yield block, kept
             block, kept = Numbered(), []
@@ -169,8 +198,9 @@ def block_texts(docs: DataFrame, vocabulary) -> DataFrame:
 
 
 def encode_words(words: DataFrame, vocabulary) -> DataFrame:
-    """``word, ids, decoded`` for distinct ``word``s: the ids of a word by the
-    model's merges, and its pieces by a join of the ids, with spaces between."""
+    """``word, places, ids, decoded``: every distinct word of ``words(block,
+    number, word)`` once, with the blocks and numbers it has there, its ids by
+    the model's merges, and its pieces by a join of the ids, with spaces between."""
     spark = words.sparkSession
 
     @F.pandas_udf("array<int>")
@@ -183,22 +213,29 @@ def encode_words(words: DataFrame, vocabulary) -> DataFrame:
             **spec, "added_tokens": [], "normalizer": None, "post_processor": None,
             "truncation": None, "padding": None,
             "pre_tokenizer": spec["pre_tokenizer"]["pretokenizers"][1]}))
+        del spec
         for s in batches:
             got = model.encode_batch(s.tolist(), add_special_tokens=False)
             yield pd.Series([[special[w]] if w in special else e.ids for w, e in zip(s, got)])
 
-    spec = json.loads(vocabulary.value)
+    # What stands between the shuffle by word and the decoded words needs no other.
+    each = (words.groupBy("word").agg(F.collect_list(F.struct("block", "number")).alias("places"))
+            .withColumn("ids", encode("word"))
+            .select("word", "places", F.posexplode_outer("ids").alias("at", "id"))
+            .join(F.broadcast(pieces(spark, vocabulary.value)), "id", "left"))
+    parts = F.sort_array(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "id", "piece"))))
+    return (each.groupBy("word").agg(F.first("places").alias("places"), parts.alias("p"))
+            .select("word", "places", F.col("p.id").alias("ids"),
+                    F.array_join("p.piece", " ").alias("decoded")))
+
+
+def pieces(spark: SparkSession, vocabulary: str) -> DataFrame:
+    """``id, piece``: one row for each id; as many as the tokenizer has."""
+    spec = json.loads(vocabulary)
     names = {**{i: t for t, i in spec["model"]["vocab"].items()},
              **{t["id"]: t["content"] for t in spec["added_tokens"]}}
-    # One row for each piece of the vocabulary: its size is the tokenizer's.
-    pieces = F.broadcast(spark.createDataFrame(
-        pa.table({"id": pa.array(list(names), pa.int32()), "piece": pa.array(list(names.values()))})))
-    coded = words.select("word").distinct().withColumn("ids", encode("word"))
-    each = (coded.select("word", F.posexplode_outer("ids").alias("at", "id"))
-            .join(pieces, "id", "left"))
-    parts = F.sort_array(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "id", "piece"))))
-    return (each.groupBy("word").agg(parts.alias("p"))
-            .select("word", F.col("p.id").alias("ids"), F.array_join("p.piece", " ").alias("decoded")))
+    return spark.createDataFrame(
+        pa.table({"id": pa.array(list(names), pa.int32()), "piece": pa.array(list(names.values()))}))
 
 
 def _packed_words(coded: DataFrame) -> DataFrame:
@@ -275,7 +312,9 @@ def _assemble(docs: DataFrame, vocabulary: str, of, names: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     check_form(json.loads(vocabulary))
     words = block_words(docs, shared)
-    coded = words.join(encode_words(words, shared), "word")
+    coded = (encode_words(words, shared)
+             .select(F.explode("places").alias("place"), "ids", "decoded")
+             .select("place.block", "place.number", "ids", "decoded"))
     texts = block_texts(docs, shared)
     kind = texts.schema["doc_id"].dataType.simpleString()
     fields = [x.split(" ")[0] for x in names.split(", ")]
@@ -317,13 +356,8 @@ def decode(rows: DataFrame, vocabulary: str) -> DataFrame:
     """``doc_id, decoded`` of every row of ``rows(doc_id, ids)``: ids joined to
     their pieces.  Rows that repeat a doc_id and its ids are one result."""
     spark: SparkSession = rows.sparkSession
-    spec = json.loads(vocabulary)
-    names = {**{i: t for t, i in spec["model"]["vocab"].items()},
-             **{t["id"]: t["content"] for t in spec["added_tokens"]}}
-    pieces = F.broadcast(spark.createDataFrame(
-        pa.table({"id": pa.array(list(names), pa.int32()), "piece": pa.array(list(names.values()))})))
     each = (rows.select("doc_id", "ids").distinct()
             .select("doc_id", F.xxhash64("ids").alias("h"), F.posexplode_outer("ids").alias("at", "id")))
     parts = F.sort_array(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "piece"))))
-    return (each.join(pieces, "id", "left").groupBy("doc_id", "h").agg(parts.alias("p"))
+    return (each.join(F.broadcast(pieces(spark, vocabulary)), "id", "left").groupBy("doc_id", "h").agg(parts.alias("p"))
             .select("doc_id", F.array_join("p.piece", " ").alias("decoded")))
