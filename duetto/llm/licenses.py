@@ -62,7 +62,7 @@ def words_of(text: Column) -> Column:
     begin nor any ASCII word, but for the Kelvin sign, which would become a k;
     it is replaced by another letter first.
     """
-    safe = F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("å"))
+    safe = F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u00e5"))
     return F.array_remove(F.split(F.lower(safe), _NOT_WORD, -1), "")
 
 

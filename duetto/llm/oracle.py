@@ -1,3 +1,190 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express.
 
-SQL: dict[str, str] = {}
+Language, toxicity and packing are fitted or greedy, BPE needs the merges, and
+the randomness battery of the secret scan would be a second copy of its formulas;
+these are tested against brute-force versions instead.
+"""
+
+from __future__ import annotations
+
+from duetto.llm.licenses import K, MAX_SHIFT, MIN_COVER, PHRASES, TEMPLATES
+from duetto.llm.quality import (MAX_DUP_LINE_SHARE, MAX_HOST_RATE, MAX_REPEAT_PERCENT,
+                                MAX_SYMBOLS_PER_WORD, MEAN_WORD_CHARS, MIN_WORDS)
+from duetto.llm.urls import RULES
+
+_BLANK = r"[\x20\x09-\x0D]"
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _lower(x: str) -> str:
+    """A-Z in lower case."""
+    return f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+NEARDUP = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{_WORD}') AS ws FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                ELSE list_sort(list_distinct(list_transform(range(1, len(ws) - 3),
+                       lambda i: array_to_string(ws[i:i + 4], ' ')))) END AS s FROM w),
+classes AS (SELECT min(doc_id) AS rep, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+items AS (SELECT rep, n, unnest(s) AS x FROM classes),
+pairs AS (SELECT a.rep AS u, b.rep AS v FROM items a JOIN items b ON a.x = b.x AND a.rep < b.rep
+          GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+links AS (SELECT u, v FROM pairs UNION SELECT v, u FROM pairs),
+reach(a, b) AS (SELECT u, v FROM links UNION SELECT r.a, l.v FROM reach r JOIN links l ON r.b = l.u),
+comp AS (SELECT a AS rep, least(a, min(b)) AS component FROM reach GROUP BY a)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles,
+       coalesce(p.component, c.rep, d.doc_id) AS component_id,
+       d.doc_id = coalesce(p.component, c.rep, d.doc_id) AS kept
+FROM sets d LEFT JOIN classes c ON c.s = d.s LEFT JOIN comp p ON p.rep = c.rep"""
+
+
+def _rule(host: str, path: str, value: str) -> str:
+    whens = " ".join(
+        f"WHEN ({host} = '{r.host}' OR ends_with({host}, '.{r.host}')) AND starts_with({path}, '{r.path}') "
+        f"THEN '{getattr(r, value)}'" for r in sorted(RULES, key=lambda r: -len(r.name)))
+    return f"CASE {whens} END"
+
+
+def _host(x: str) -> str:
+    return _lower(f"regexp_extract(coalesce({x}, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1)")
+
+
+def _path(x: str) -> str:
+    return f"regexp_extract(coalesce({x}, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2)"
+
+
+def _resource(x: str) -> str:
+    bare = f"regexp_replace({x}, '(?s)#.*$', '')"
+    head = f"regexp_extract({bare}, '(?s)^(.*?://[^/?]*)', 1)"
+    return (f"CASE WHEN contains({x}, '://') THEN {_lower(head)} || "
+            f"substr({bare}, length({head}) + 1) END")
+
+
+URLS = f"""
+WITH RECURSIVE tags AS (
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM pages
+  WHERE url IS NOT NULL AND html IS NOT NULL),
+named AS (SELECT url, CASE
+    WHEN regexp_matches(tag, '(?is)^<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b')
+      THEN regexp_extract(tag, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)
+    WHEN regexp_matches(tag, '(?is)^<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')
+      THEN regexp_extract(tag, '(?is)\\bcontent\\s*=\\s*["'']?[^"''>]*?\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1)
+    END AS h FROM tags),
+base AS (SELECT url, replace(h, '&amp;', '&') AS h, regexp_replace(url, '(?s)[?#].*$', '') AS bare,
+                regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS root,
+                regexp_extract(url, '(?s)^(.*?):', 1) AS scheme FROM named WHERE h <> ''),
+fold AS (SELECT *, regexp_extract(bare, '(?s)^(.*?://[^/]*(?:/.*)?)/[^/]*$', 1) AS f FROM base),
+target AS (SELECT url, CASE
+    WHEN contains(h, '://') THEN h WHEN starts_with(h, '//') THEN scheme || ':' || h
+    WHEN starts_with(h, '/') THEN root || h WHEN starts_with(h, '#') THEN url
+    WHEN starts_with(h, '?') THEN bare || h
+    ELSE CASE WHEN contains(f, '://') THEN f ELSE root END || '/' || h END AS t FROM fold),
+pairs AS (SELECT DISTINCT src, dst FROM (
+            SELECT {_resource("url")} AS src, {_resource("t")} AS dst FROM target)
+          WHERE src IS NOT NULL AND dst IS NOT NULL AND src <> dst),
+links AS (SELECT src AS u, dst AS v FROM pairs UNION SELECT dst, src FROM pairs),
+reach(a, b) AS (SELECT u, u FROM links UNION SELECT r.a, l.v FROM reach r JOIN links l ON r.b = l.u),
+acts AS (SELECT a, b, {_rule(_host("b"), _path("b"), "action")} AS act FROM reach),
+bad AS (SELECT a AS resource FROM acts GROUP BY a
+        HAVING bool_or(act = 'block') AND NOT coalesce(bool_or(act = 'allow'), false)),
+own AS (SELECT page_id, {_host("url")} AS host, {_path("url")} AS path, {_resource("url")} AS resource
+        FROM pages)
+SELECT page_id, host, path, {_rule("host", "path", "name")} AS rule,
+       coalesce({_rule("host", "path", "action")},
+                CASE WHEN b.resource IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM own LEFT JOIN bad b ON b.resource = own.resource"""
+
+QUALITY = f"""
+WITH w AS (SELECT doc_id, source, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+windows AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i,
+                   unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i:i + 2])) AS t FROM w
+            WHERE len(ws) >= 3),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, t) > 1),
+repeated AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice)
+             GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+          FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w)
+          WHERE regexp_matches(line, '{_WORD}') GROUP BY doc_id),
+stats AS (SELECT doc_id, source, len(ws)::BIGINT AS n_words,
+                 length(regexp_replace(text, '{_BLANK}', '', 'g'))::BIGINT AS word_chars,
+                 len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                 coalesce(l.n, 0) AS n_lines, coalesce(l.dup, 0)::BIGINT AS n_dup_lines,
+                 coalesce(r.n, 0)::BIGINT AS n_repeat_words
+          FROM w LEFT JOIN lines l USING (doc_id) LEFT JOIN repeated r USING (doc_id)),
+ruled AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed
+          FROM stats),
+judged AS (SELECT *, base_failed OR n_symbols > {MAX_SYMBOLS_PER_WORD}::DOUBLE * greatest(n_words, 1)
+             OR n_dup_lines > {MAX_DUP_LINE_SHARE}::DOUBLE * n_lines
+             OR word_chars / greatest(n_words, 1) < {MEAN_WORD_CHARS[0]}::DOUBLE
+             OR word_chars / greatest(n_words, 1) > {MEAN_WORD_CHARS[1]}::DOUBLE AS failed FROM ruled),
+hosts AS (SELECT source, count(*) AS docs, sum(failed::INTEGER) AS failures FROM judged GROUP BY source),
+prior AS (SELECT sum(failures) / sum(docs) AS m,
+                 coalesce(var_samp(failures / docs), 0) - (sum(failures) / sum(docs))
+                   * (1 - sum(failures) / sum(docs)) * avg(1.0::DOUBLE / docs) AS v FROM hosts),
+beta AS (SELECT m, CASE WHEN v > 1e-6 THEN greatest(m * (1 - m) / v - 1, 1.0) ELSE 1e6 END AS s FROM prior),
+verdicts AS (SELECT source, (failures + s * m) / (docs + s) <= {MAX_HOST_RATE} AS host_kept FROM hosts, beta)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT failed AND host_kept AS kept
+FROM judged j JOIN verdicts v ON j.source IS NOT DISTINCT FROM v.source"""
+
+TOPK = """
+WITH x AS (SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.vec_id AS query_id, p.vec_id, list_dot_product(q.x, p.x)::BIGINT AS score
+      FROM x q JOIN x p ON q.vec_id <> p.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM s
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER best <= 5"""
+
+
+def _licenses() -> str:
+    rows = []
+    for exact, (label, text) in ([(True, x) for x in PHRASES.items()] + [(False, x) for x in TEMPLATES]):
+        words = text.split(" ")
+        first = len(rows)
+        rows += [f"({first}, '{label}', {str(exact).lower()}, {t}, {len(words) - K + 1}, "
+                 f"'{' '.join(words[t:t + K])}')" for t in range(len(words) - K + 1)]
+    return f"""
+WITH grams(template, label, exact, t, grams, gram) AS (VALUES {", ".join(rows)}),
+w AS (SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")},
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+each AS (SELECT doc_id, unnest(range(0, len(ws) - {K - 1})) AS d,
+                unnest(list_transform(range(1, len(ws) - {K - 2}), lambda i: array_to_string(ws[i:i + {K - 1}], ' ')))
+                  AS gram FROM w WHERE len(ws) >= {K}),
+hits AS (SELECT doc_id, template, label, exact, grams, t, d FROM each JOIN grams USING (gram)),
+diag AS (SELECT doc_id, template, label, exact, grams, d - t AS diag, list(DISTINCT t) AS ts,
+                min(d) AS lo, max(d) AS hi FROM hits GROUP BY ALL),
+steps AS (SELECT *, CASE WHEN NOT exact AND abs(diag - lag(diag) OVER o) <= {MAX_SHIFT}
+                          AND lo - lag(lo) OVER o <= grams + {MAX_SHIFT} THEN 0 ELSE 1 END AS new
+          FROM diag WINDOW o AS (PARTITION BY doc_id, template ORDER BY lo, diag)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY lo, diag
+                                  ROWS UNBOUNDED PRECEDING) AS run FROM steps),
+spans AS (SELECT doc_id, template, label, exact, grams, len(list_distinct(flatten(list(ts)))) AS n,
+                 min(lo) AS start, max(hi) + {K} AS stop FROM runs
+          GROUP BY doc_id, template, label, exact, grams, run),
+good AS (SELECT *, n / grams AS cover FROM spans
+         WHERE CASE WHEN exact THEN n = grams ELSE n / grams >= {MIN_COVER} END),
+isles AS (SELECT *, sum(CASE WHEN start < before THEN 0 ELSE 1 END) OVER (
+                      PARTITION BY doc_id, exact ORDER BY start, stop, template ROWS UNBOUNDED PRECEDING) AS isle
+          FROM (SELECT *, max(stop) OVER (PARTITION BY doc_id, exact ORDER BY start, stop, template
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM good)),
+final AS (SELECT * FROM isles
+          QUALIFY exact OR cover = max(cover) OVER (PARTITION BY doc_id, exact, isle))
+SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, count(*) FILTER (f.exact)::BIGINT AS n_base,
+       min(f.start) FILTER (f.exact)::BIGINT AS first_word, max(f.start) FILTER (f.exact)::BIGINT AS last_word,
+       coalesce(string_agg(DISTINCT f.label, ',' ORDER BY f.label) FILTER (f.exact), '') AS base_labels,
+       coalesce(string_agg(DISTINCT f.label, ',' ORDER BY f.label), '') AS labels,
+       coalesce(max(f.cover), 0.0)::DOUBLE AS score
+FROM w LEFT JOIN final f USING (doc_id) GROUP BY w.doc_id, len(w.ws)"""
+
+
+SQL: dict[str, str] = {
+    "op3_neardup": NEARDUP,
+    "op5_urls": URLS,
+    "op7_quality": QUALITY,
+    "op8_topk": TOPK,
+    "op9_licenses": _licenses(),
+}

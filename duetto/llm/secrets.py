@@ -22,6 +22,7 @@ Everything is DataFrame operations.  Offsets are code points, end exclusive.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -79,6 +80,10 @@ def _normal_log10_tail(z: Column) -> Column:
     return F.when(z > 0, far).otherwise(F.log10(_normal_tail(z)))
 
 
+def _reaches(least: int) -> Callable[[Column], Column]:
+    return lambda match: F.length(match) >= least
+
+
 def _pattern_rows(docs: DataFrame) -> DataFrame:
     """``doc_id, th, kind, i, gap, match, ok``: all matches of a document."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -90,8 +95,7 @@ def _pattern_rows(docs: DataFrame) -> DataFrame:
             F.lit(kind).alias("kind"),
             F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(got)).alias("gap"),
                          got.alias("match"),
-                         F.transform(judged, lambda m, least=least: F.length(m) >= least)
-                         .alias("ok")).alias("m"))))
+                         F.transform(judged, _reaches(least)).alias("ok")).alias("m"))))
     return (docs.select("doc_id", F.xxhash64("text").alias("th"),
                         F.explode(F.array(*kinds)).alias("k")).filter("k is not null")
             .select("doc_id", "th", F.col("k.kind").alias("kind"), F.posexplode("k.m").alias("i", "m"))
@@ -271,8 +275,10 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         F.concat(F.col(cuts)["start"], F.array(F.length("text").cast("bigint"))),
         lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), (b - a).cast("int")))
     text = F.when(F.col(cuts).isNull(), F.col("text")).otherwise(F.array_join(kept, mark))
-    out = {"text": text}
+    new = fresh(docs, "new")
+    both = both.withColumn(new, text)       # a column of its own: later ones read it
+    out = {"text": F.col(new)}
     if "n_chars" in docs.columns:
         out["n_chars"] = F.when(F.col(cuts).isNull(), F.col("n_chars")).otherwise(
-            F.length(text).cast(docs.schema["n_chars"].dataType))
+            F.length(new).cast(docs.schema["n_chars"].dataType))
     return both.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns])
