@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL
+from duetto.plans.common import quota_table
 
 
 def group_proposals(proposals: DataFrame) -> DataFrame:
@@ -20,16 +21,25 @@ def group_proposals(proposals: DataFrame) -> DataFrame:
         F.max(DOCTOR).alias("max_doctor_id"))
 
 
-def fill_report(hospitals: DataFrame, matching: DataFrame, quota: int) -> DataFrame:
-    """One row: hospitals, filled places, capacity, full and empty."""
+def fill_report(hospitals: DataFrame, matching: DataFrame, quota) -> DataFrame:
+    """One row: hospitals, filled places, capacity, full and empty.
+
+    ``quota`` is an int or a DataFrame ``(hospital_id, quota)``; missing
+    hospitals have no places and count as full.
+    """
     fill = matching.groupBy(HOSPITAL).agg(F.count(F.lit(1)).alias("_fill"))
-    per = hospitals.select(HOSPITAL).join(fill, HOSPITAL, "left").select(
-        F.coalesce("_fill", F.lit(0)).alias("_fill"))
+    per = hospitals.select(HOSPITAL).join(fill, HOSPITAL, "left")
+    if isinstance(quota, int):
+        per = per.withColumn("_cap", F.lit(quota))
+    else:
+        per = per.join(quota_table(quota), HOSPITAL, "left")
+    per = per.select(F.coalesce("_fill", F.lit(0)).alias("_fill"),
+                     F.coalesce("_cap", F.lit(0)).alias("_cap"))
     return per.agg(
         F.count(F.lit(1)).alias("n_hospitals"),
         F.sum("_fill").cast("bigint").alias("filled"),
-        (F.count(F.lit(1)) * F.lit(quota)).cast("bigint").alias("capacity"),
-        F.sum(F.when(F.col("_fill") >= quota, 1).otherwise(0)).cast("bigint").alias("n_full"),
+        F.sum("_cap").cast("bigint").alias("capacity"),
+        F.sum(F.when(F.col("_fill") >= F.col("_cap"), 1).otherwise(0)).cast("bigint").alias("n_full"),
         F.sum(F.when(F.col("_fill") == 0, 1).otherwise(0)).cast("bigint").alias("n_empty"))
 
 

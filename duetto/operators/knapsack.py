@@ -13,8 +13,9 @@ Spark does the heavy lifting and bounds the work per group:
   applicants, and the best ones of a price are those with the highest
   utility (exchange argument: swapping in a better applicant of the same
   price keeps the spend and cannot lower the utility).  So a top-n per
-  (hospital, price) keeps at most sum_p floor(998/p) < 7,500 rows per
-  hospital, however many applied.  The top-n is planned with a partial
+  (hospital, price) keeps at most sum_p floor((budget-1)/p) rows per
+  hospital, about budget * ln(budget), however many applied.  Of equal ones the
+  larger doctor_id is better, as in the search.  The top-n is planned with a partial
   ``WindowGroupLimit``, so even a hospital holding a third of all rows is
   trimmed on every map task before its shuffle.
 * The remaining, bounded group runs a numpy dynamic programme inside
@@ -42,9 +43,6 @@ CHOICE_SCHEMA = T.StructType([
     T.StructField("price", T.LongType(), False),
 ])
 
-# Largest budget the contract terms produce (300 + 699); bounds the top-n.
-MAX_BUDGET = 999
-
 # The grouped function runs in Python workers.  Pickle this module's
 # functions by value so workers need only numpy and pandas, not this package
 # on their path (no --py-files needed for the solver).
@@ -63,6 +61,8 @@ def solve_knapsack(pdf: pd.DataFrame, keep: tuple[str, ...] = ()) -> pd.DataFram
         return pd.DataFrame({c: pd.Series(dtype="int64") for c in out_cols})
     pdf = pdf.sort_values(DOCTOR, kind="stable").reset_index(drop=True)
     cap = int(pdf["budget"].iloc[0])          # columns 0..cap-1: spend <= cap-1
+    if (pdf["budget"] != cap).any():
+        raise ValueError("a hospital has more than one budget")
     vals = pdf["utility"].to_numpy(np.int64)
     prices = pdf["price"].to_numpy(np.int64)
     n = len(pdf)
@@ -87,16 +87,26 @@ def solve_knapsack(pdf: pd.DataFrame, keep: tuple[str, ...] = ()) -> pd.DataFram
     return res.reset_index(drop=True)
 
 
-def knapsack_select(items: DataFrame, max_budget: int = MAX_BUDGET,
-                    keep: tuple[str, ...] = ()) -> DataFrame:
+def affordable(items: DataFrame) -> int:
+    """The largest number of applicants of one positive price that any hospital
+    can pay for (one aggregation without groups)."""
+    row = items.where("price > 0 and price < budget").agg(
+        F.max(F.floor((F.col("budget") - 1) / F.col("price"))).alias("n")).first()
+    return int(row["n"] or 1)
+
+
+def knapsack_select(items: DataFrame, keep: tuple[str, ...] = (),
+                    most: int | None = None) -> DataFrame:
     """Chosen applicants per hospital.
 
     ``items``: hospital_id, doctor_id, utility, price, budget (all integral;
-    ``budget`` constant per hospital and at most ``max_budget``), plus the
-    integral columns named in ``keep``, which are passed through.  Returns
+    ``budget`` constant per hospital), plus the integral columns named in
+    ``keep``, which are passed through.  ``most`` is :func:`affordable` of the
+    items or of a table that holds them; it is computed if not given.  Returns
     hospital_id, doctor_id, utility, price (+ ``keep``) of the chosen rows.
     """
     keep = tuple(keep)
+    most = affordable(items) if most is None else most
     cand = items.select(
         F.col(HOSPITAL).cast("bigint").alias(HOSPITAL),
         F.col(DOCTOR).cast("bigint").alias(DOCTOR),
@@ -110,8 +120,8 @@ def knapsack_select(items: DataFrame, max_budget: int = MAX_BUDGET,
     paid = cand.where(F.col("price") > 0).withColumn(
         "_n", F.floor((F.col("budget") - 1) / F.col("price")).cast("int"))
     paid = top_n_per_group(paid, [HOSPITAL, "price"],
-                           [F.col("utility").desc(), F.col(DOCTOR).asc()],
-                           "_n", max_n=max_budget - 1).drop("_n")
+                           [F.col("utility").desc(), F.col(DOCTOR).desc()],
+                           "_n", max_n=most).drop("_n")
     schema = T.StructType(CHOICE_SCHEMA.fields
                           + [T.StructField(k, T.LongType(), False) for k in keep])
     picked = paid.groupBy(HOSPITAL).applyInPandas(

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duetto.session import counted_broadcast, cut_lineage
+from duetto.session import counted_broadcast, cut_lineage, layout_partitions
 
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -61,8 +61,7 @@ def rank_within(df: DataFrame, group: str, order: Sequence[str | Column],
     if not split:
         w = Window.partitionBy(group).orderBy(*_as_cols(order))
         return df.withColumn(out, F.row_number().over(w))
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or layout_partitions(df.sparkSession, df.count())
     key = [F.col(group)] + _as_cols(order)
     laid = (
         df.repartitionByRange(n, *key)

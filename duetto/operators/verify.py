@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
+from duetto.plans.common import quota_table
 from duetto.session import counted_broadcast
 
 
@@ -15,7 +16,8 @@ def blocking_pairs(edges: DataFrame, matching: DataFrame, quota=6) -> DataFrame:
     A doctor prefers ``h`` if unmatched or ``h`` ranks above its match; a
     hospital prefers ``d`` if it has a free place or ranks ``d`` above the
     worst doctor it holds.  Empty result = stable.  ``quota`` is an int or a
-    DataFrame ``(hospital_id, quota)`` (missing hospitals have no places).
+    DataFrame ``(hospital_id, quota)``; missing hospitals and those with a null
+    or negative quota have no places.
     """
     m_d = matching.select(DOCTOR, F.col(DOCTOR_RANK).alias("_mdr"))
     m_h = matching.groupBy(HOSPITAL).agg(F.count(F.lit(1)).alias("_fill"),
@@ -27,12 +29,11 @@ def blocking_pairs(edges: DataFrame, matching: DataFrame, quota=6) -> DataFrame:
     if isinstance(quota, int):
         cap = F.lit(quota)
     else:
-        caps = quota.select(HOSPITAL, F.col("quota").alias("_cap"))
-        e = e.join(counted_broadcast(caps, row_bytes=16), HOSPITAL, "left")
+        e = e.join(counted_broadcast(quota_table(quota), row_bytes=16), HOSPITAL, "left")
         cap = F.coalesce(F.col("_cap"), F.lit(0))
     doctor_wants = F.col("_mdr").isNull() | (F.col(DOCTOR_RANK) < F.col("_mdr"))
-    hospital_wants = ((F.coalesce(F.col("_fill"), F.lit(0)) < cap)
-                      | (F.col(HOSPITAL_RANK) < F.col("_worst")))
+    hospital_wants = (cap > 0) & ((F.coalesce(F.col("_fill"), F.lit(0)) < cap)
+                                  | (F.col(HOSPITAL_RANK) < F.col("_worst")))
     return (e.where(doctor_wants & hospital_wants)
             .select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK))
 
@@ -50,27 +51,35 @@ def assert_stable(edges: DataFrame, matching: DataFrame, quota=6) -> None:
         raise AssertionError("matching is not stable: blocking pairs exist")
 
 
-def matching_consistency(edges: DataFrame, matching: DataFrame, quota: int = 6) -> DataFrame:
+def matching_consistency(edges: DataFrame, matching: DataFrame, quota=6) -> DataFrame:
     """One row of consistency counts.
 
     matched doctors = filled places; no doctor twice; no hospital over its
-    quota; every matched pair is an edge.
+    quota (an int, or a DataFrame as in :func:`blocking_pairs`); every matched
+    pair is an edge.
     """
     # One aggregation over tagged rows: per-hospital fills, per-doctor
     # counts and matched pairs that are not edges.
-    per_h = matching.groupBy(HOSPITAL).agg(F.count(F.lit(1)).alias("c")).select(
-        F.lit("h").alias("kind"), "c")
+    fill = matching.groupBy(HOSPITAL).agg(F.count(F.lit(1)).alias("c"))
+    if isinstance(quota, int):
+        over = F.col("c") > quota
+    else:
+        fill = fill.join(quota_table(quota), HOSPITAL, "left")
+        over = F.col("c") > F.coalesce(F.col("_cap"), F.lit(0))
+    per_h = fill.select(F.lit("h").alias("kind"), "c", over.alias("over"))
     per_d = matching.groupBy(DOCTOR).agg(F.count(F.lit(1)).alias("c")).select(
-        F.lit("d").alias("kind"), "c")
+        F.lit("d").alias("kind"), "c", F.lit(False).alias("over"))
     stray = (matching.select(DOCTOR, HOSPITAL)
              .join(edges.select(DOCTOR, HOSPITAL), [DOCTOR, HOSPITAL], "left_anti")
-             .select(F.lit("s").alias("kind"), F.lit(1).cast("bigint").alias("c")))
+             .select(F.lit("s").alias("kind"), F.lit(1).cast("bigint").alias("c"),
+                     F.lit(False).alias("over")))
     rows = per_h.unionByName(per_d).unionByName(stray)
     is_h, is_d, is_s = (F.col("kind") == "h"), (F.col("kind") == "d"), (F.col("kind") == "s")
     out = rows.agg(
         F.coalesce(F.sum(F.when(is_h, F.col("c"))), F.lit(0)).cast("bigint").alias("n_filled"),
         F.coalesce(F.max(F.when(is_h, F.col("c"))), F.lit(0)).cast("bigint").alias("max_fill"),
-        F.sum(F.when(is_h & (F.col("c") > quota), 1).otherwise(0)).cast("bigint").alias("n_over_quota"),
+        F.coalesce(F.sum(F.when(F.col("over"), 1).otherwise(0)), F.lit(0)).cast("bigint")
+        .alias("n_over_quota"),
         F.sum(F.when(is_d, 1).otherwise(0)).cast("bigint").alias("n_matched_doctors"),
         F.coalesce(F.max(F.when(is_d, F.col("c"))), F.lit(0)).cast("bigint").alias("max_per_doctor"),
         F.sum(F.when(is_s, 1).otherwise(0)).cast("bigint").alias("n_not_edges"))

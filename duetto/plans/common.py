@@ -7,8 +7,10 @@ a reliable checkpoint every round.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,15 @@ from pyspark.sql import types as T
 from duetto.names import DOCTOR, HOSPITAL
 from duetto.session import counted_broadcast, cut_lineage
 
+class NotConverged(RuntimeError):
+    """A caller's round limit ended a loop, or the loop can never end."""
+
+
+def round_numbers(max_iter: int | None):
+    """1, 2, ... up to ``max_iter``; without end if it is None."""
+    return itertools.count(1) if max_iter is None else range(1, max_iter + 1)
+
+
 TRACE_SCHEMA = T.StructType([
     T.StructField("iteration", T.IntegerType(), False),
     T.StructField("n_changes", T.LongType(), False),
@@ -79,16 +90,28 @@ def attach_quota(edges: DataFrame, quota) -> tuple[DataFrame, int | str, int]:
 
     Returns the edges (with a ``_quota`` column in the per-hospital case),
     the value to use as n in the top-n step, and a literal upper bound.
-    Hospitals missing from a quota table get no places.
+    Hospitals missing from a quota table, or whose quota is null or below 1, have
+    no places, and so no edges.  A hospital with two quotas is an error.
     """
     if isinstance(quota, int):
-        return edges, quota, quota
-    q = cut_lineage(quota.select(HOSPITAL, F.col("quota").cast("int").alias("_quota")))
-    max_q = q.agg(F.max("_quota")).first()[0] or 0
+        return (edges if quota >= 1 else edges.where(F.lit(False))), quota, max(quota, 1)
+    q = cut_lineage(quota_table(quota).where("_cap >= 1")
+                    .withColumnRenamed("_cap", "_quota"))
+    row = q.agg(F.max("_quota").alias("top"), F.count(F.lit(1)).alias("n"),
+                F.countDistinct(HOSPITAL).alias("hospitals")).first()
+    if row["n"] != row["hospitals"]:
+        raise ValueError("a hospital has more than one quota")
+    max_q = row["top"] or 1
     # One row per hospital: broadcast when measured small.
     return edges.join(counted_broadcast(q, row_bytes=16), HOSPITAL, "inner"), "_quota", int(max_q)
 
 
+def quota_table(quota: DataFrame) -> DataFrame:
+    """A quota table as ``hospital_id, _cap``; null and negative quotas are 0."""
+    return quota.select(HOSPITAL, F.greatest(F.coalesce(F.col("quota").cast("int"), F.lit(0)),
+                                             F.lit(0)).alias("_cap"))
+
+
 def with_row_count(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Attach a row-count metric to ``df``.
 
@@ -110,5 +133,5 @@ def observed_count(obs: Observation) -> int | None:
     """
     try:
         return int(obs.get["n"])
-    except Exception:   # metric missing: the observed plan was pruned away
+    except Py4JJavaError:       # Spark has no metric: the observed plan was pruned away
         return None

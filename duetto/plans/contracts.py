@@ -4,10 +4,11 @@ choice rule.
 Round: every doctor applies to all hospitals at least as good as its current
 match (everywhere if unmatched); every hospital picks the applicants of
 maximal total utility it can pay for (I4); every doctor takes its best
-acceptance.  The knapsack is not a substitutes choice rule, so the loop need
-not converge: it stops after ``max_iter`` rounds or when the number of changed
-matches is at most ``tolerance``, and reports ``converged`` only for zero
-changes.  No stability claim is made.
+acceptance.  It stops when the number of changed matches is at most
+``tolerance``.  The knapsack is not a substitutes choice rule, so that need not
+happen: a round depends on the matching only, so a matching that comes again
+comes for ever, and without ``max_iter`` is reported as an error; a ``max_iter``
+ends the loop with ``converged`` false.  No stability claim is made.
 
 Physical shape: contract terms are computed once on the edges, which are laid
 out once (checkpointed and cached).  Each round anti-joins them with the
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 
 from duetto.functions.terms import contract_terms
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
-from duetto.operators.knapsack import knapsack_select
-from duetto.plans.common import MatchResult, count_changes, observed_count, with_row_count
+from duetto.operators.knapsack import affordable, knapsack_select
+from duetto.plans.common import (MatchResult, NotConverged, count_changes, observed_count,
+                                 round_numbers, with_row_count)
 from duetto.session import bounded_broadcast, cut_lineage, layout_partitions, pin_layout
 
 
@@ -36,15 +38,23 @@ def _best(accepted: DataFrame) -> DataFrame:
     return b.select(DOCTOR, "_b.*")
 
 
-def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
+def _digest(matching: DataFrame) -> tuple[int, int]:
+    """Size and order-free checksum of a matching."""
+    row = matching.agg(F.count(F.lit(1)).alias("n"), F.sum(
+        F.xxhash64(DOCTOR, HOSPITAL).cast("decimal(38,0)")).alias("h")).first()
+    return row["n"], int(row["h"] or 0)
+
+
+def match_contracts(edges: DataFrame, max_iter: int | None = None, tolerance: int = 0,
                     terms: DataFrame | None = None) -> MatchResult:
     """Budgeted matching on ``edges``.
 
-    ``terms``: optional (doctor_id, hospital_id, utility, price, budget);
-    defaults to the reference's contract formulas.  The result's
-    ``changes`` holds the changed matches per round.
+    ``terms``: optional (doctor_id, hospital_id, utility, price, budget), the
+    budget constant within a hospital; defaults to :func:`contract_terms`.  The
+    result's ``changes`` holds the changed matches per round.  Without
+    ``max_iter``, raises :class:`NotConverged` if a matching comes again.
     """
-    if max_iter < 1:
+    if max_iter is not None and max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     spark = edges.sparkSession
     n_parts = layout_partitions(spark, edges.count())
@@ -55,11 +65,13 @@ def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
         e = e.join(terms.select(DOCTOR, HOSPITAL, "utility", "price", "budget"),
                    [DOCTOR, HOSPITAL])
     e = pin_layout(e.repartition(n_parts, DOCTOR))
+    most = affordable(e)
+    seen: set[tuple[int, int]] = set()
     accepted, n_acc = None, 0    # the state: this round's acceptances
     changes: list[int] = []
     converged = False
     rounds = 0
-    for rounds in range(1, max_iter + 1):
+    for rounds in round_numbers(max_iter):
         if accepted is None:
             apps = e
         else:
@@ -74,7 +86,8 @@ def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
             apps = e.join(bounded_broadcast(st, n_acc, row_bytes=16),
                           (F.col(DOCTOR) == F.col("_d")) & (F.col(DOCTOR_RANK) > F.col("_mr")),
                           "left_anti")
-        chosen, obs = with_row_count(knapsack_select(apps, keep=(DOCTOR_RANK, HOSPITAL_RANK)))
+        chosen, obs = with_row_count(knapsack_select(
+            apps, keep=(DOCTOR_RANK, HOSPITAL_RANK), most=most))
         new = cut_lineage(chosen)
         n_acc = observed_count(obs)
         if n_acc is None:
@@ -86,6 +99,12 @@ def match_contracts(edges: DataFrame, max_iter: int = 10, tolerance: int = 0,
         if n_changed <= tolerance:
             converged = n_changed == 0
             break
+        if max_iter is None:
+            digest = _digest(_best(new))
+            if digest in seen:
+                e.unpersist()
+                raise NotConverged(f"the matching of round {rounds} came before")
+            seen.add(digest)
     state = cut_lineage(_best(accepted))
     e.unpersist()
     return MatchResult(

@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import top_n_per_group
-from duetto.plans.common import (MatchResult, attach_quota, changes_frame, count_changes,
-                                  observed_count, with_row_count)
+from duetto.plans.common import (MatchResult, NotConverged, attach_quota, changes_frame,
+                                 count_changes, observed_count, round_numbers, with_row_count)
 from duetto.session import (bounded_broadcast, cut_lineage, fits_broadcast, layout_partitions,
                             pin_layout)
 
@@ -94,7 +94,7 @@ def _moved_cuts(new: DataFrame, old: DataFrame | None, n) -> DataFrame:
     return cur.join(_cuts(old, n), ["_h", "_cut"], "left_anti")
 
 
-def _accelerated_rewrite(e: DataFrame, n, max_n: int, max_iter: int, trace: bool,
+def _accelerated_rewrite(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool,
                          worst_h: DataFrame, bound: int, n_parts: int):
     """Accelerated rounds when the cut table is too big to broadcast.
 
@@ -108,7 +108,7 @@ def _accelerated_rewrite(e: DataFrame, n, max_n: int, max_iter: int, trace: bool
     changes: list[int] = []
     held = None
     cur = e
-    for rounds in range(1, max_iter + 1):
+    for rounds in round_numbers(max_iter):
         new = cut_lineage(held_proposals(proposals(cur), n, max_n))
         deleting, changed = _round_summary(new, held, n, worst_h, bound, trace)
         if trace:
@@ -124,10 +124,10 @@ def _accelerated_rewrite(e: DataFrame, n, max_n: int, max_iter: int, trace: bool
             nxt = _layout(cur.join(moved.hint("shuffle_hash"), below, "left_anti"), n_parts)
         cur = cut_lineage(nxt, keep_layout=True)
         held = new
-    return held, max_iter, False, changes
+    raise NotConverged(f"edges are still deleted after {max_iter} rounds")
 
 
-def _accelerated(e: DataFrame, n, max_n: int, max_iter: int, trace: bool,
+def _accelerated(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool,
                  n_parts: int | None = None):
     """Accelerated rounds.  Cuts only move up (a hospital's held proposals
     keep proposing to it), so the remaining edges are always "original edges
@@ -149,7 +149,7 @@ def _accelerated(e: DataFrame, n, max_n: int, max_iter: int, trace: bool,
     changes: list[int] = []
     held = older = None
     n_live_prev = None
-    for rounds in range(1, max_iter + 1):
+    for rounds in round_numbers(max_iter):
         live = e
         if held is not None:
             live = e.join(bounded_broadcast(_cuts(held, n), bound, row_bytes=24),
@@ -173,10 +173,10 @@ def _accelerated(e: DataFrame, n, max_n: int, max_iter: int, trace: bool,
         older, held = held, new
     if not trace and not _round_summary(held, older, n, worst_h, bound, False)[0]:
         return held, max_iter, True, changes
-    return held, max_iter, False, changes
+    raise NotConverged(f"edges are still deleted after {max_iter} rounds")
 
 
-def _plain(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
+def _plain(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool):
     """Plain rounds: only the rejected proposals' edges are deleted.
 
     A doctor proposes down its list, so the edges it has lost are exactly
@@ -190,7 +190,7 @@ def _plain(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
     changes: list[int] = []
     floors, n_floors = None, 0
     prop = prev_prop = None
-    for rounds in range(1, max_iter + 1):
+    for rounds in round_numbers(max_iter):
         live = e
         if floors is not None:
             live = e.join(bounded_broadcast(floors, n_floors, row_bytes=16),
@@ -214,26 +214,30 @@ def _plain(e: DataFrame, n, max_n: int, max_iter: int, trace: bool):
         n_all = observed_count(obs_all)
         floors, prev_prop = new_floors, prop
         n_floors = n_all if n_all is not None else new_floors.count()
-    return cut_lineage(held_proposals(prop, n, max_n)), max_iter, False, changes
+    raise NotConverged(f"proposals are still rejected after {max_iter} rounds")
 
 
-def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
+def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int | None = None,
                          accelerate: bool = True,
                          trace: bool = False) -> MatchResult:
     """Doctor-optimal stable matching of ``edges`` with ``quota`` places.
 
     ``quota``: int or DataFrame ``(hospital_id, quota)``.  ``accelerate``
     drops every edge below a full hospital's worst held proposal each round
-    (same matching, far fewer rounds).
+    (same matching, far fewer rounds).  Every round but the last deletes an
+    edge, so the loop ends; a ``max_iter`` that ends it earlier raises
+    :class:`NotConverged`.
     """
     spark = edges.sparkSession
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
     n_parts = layout_partitions(spark, e.count())
     e = pin_layout(_layout(e, n_parts))
-    if accelerate:
-        held, rounds, converged, changes = _accelerated(e, n, max_n, max_iter, trace, n_parts)
-    else:
-        held, rounds, converged, changes = _plain(e, n, max_n, max_iter, trace)
-    e.unpersist()
+    try:
+        if accelerate:
+            held, rounds, converged, changes = _accelerated(e, n, max_n, max_iter, trace, n_parts)
+        else:
+            held, rounds, converged, changes = _plain(e, n, max_n, max_iter, trace)
+    finally:
+        e.unpersist()
     return MatchResult(matching=held.select(*EDGE_COLUMNS), rounds=rounds,
                        converged=converged, changes=changes)

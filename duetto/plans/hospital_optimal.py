@@ -26,14 +26,20 @@ best offer is now better than its previous one, or a doctor got its first
 offer and still lists a hospital below it (compared with the doctor's worst
 rank, a per-doctor table computed once).
 
-Physical layout: the edges are hash-partitioned by doctor and sorted by
-(hospital, hospital_rank) inside each partition once.  Each round is then one
-pass: broadcast anti join (keeps the layout) -> partial ``WindowGroupLimit``
-that trims every partition to ``quota`` rows per hospital with no sort ->
-shuffle of those rows only -> final top-n, checkpointed as the state.  A hot
-hospital never moves whole.  The state is broadcast only below the session's
-broadcast threshold (it is counted first); beyond it the planner shuffles the
-state to the edges' doctor partitioning instead.
+Physical layout: the edges are hash-partitioned once by (hospital, block of
+``RANK_BLOCK`` hospital ranks) and sorted by (hospital, hospital_rank) inside
+each partition.  Each round is then one pass: broadcast anti join (keeps the
+layout) -> partial ``WindowGroupLimit`` that trims every partition to ``quota``
+rows per hospital with no sort -> shuffle of those rows only -> final top-n,
+checkpointed as the state.  A hospital is in as many partitions as it has
+blocks, however many partitions there are, so a round shuffles at most quota
+rows for each block; a hot hospital and a hot doctor are both spread.
+
+The state is broadcast only below the session's broadcast threshold, by its
+proven bound (quota x hospitals).  Beyond it the edges are hash-partitioned by
+doctor instead: the planner then shuffles the state to that partitioning and
+leaves the edges where they are, at the price of a weaker trim (quota rows for
+each hospital and partition).
 """
 
 from __future__ import annotations
@@ -43,8 +49,13 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import top_n_per_group
-from duetto.plans.common import MatchResult, attach_quota, observed_count, with_row_count
-from duetto.session import bounded_broadcast, cut_lineage, layout_partitions, pin_layout
+from duetto.plans.common import (MatchResult, NotConverged, attach_quota, observed_count,
+                                 round_numbers, with_row_count)
+from duetto.session import (bounded_broadcast, cut_lineage, fits_broadcast, layout_partitions,
+                            pin_layout)
+
+#: Hospital ranks that stay together in one partition.
+RANK_BLOCK = 4096
 
 
 def round_offers(e: DataFrame, n, max_n: int) -> DataFrame:
@@ -108,26 +119,41 @@ def _round_summary(match: DataFrame, prev: DataFrame | None, worst: DataFrame,
     return int(row["n"]), int(row["changed"] or 0), bool(row["deleting"])
 
 
-def match_hospital_optimal(edges: DataFrame, quota=6, max_iter: int = 1000,
-                           trace: bool = False) -> MatchResult:
+def layout(e: DataFrame, n_parts: int, by_doctor: bool = False) -> DataFrame:
+    """The edges as the rounds read them (see the module's docstring)."""
+    keys = [F.col(DOCTOR)] if by_doctor else [
+        F.col(HOSPITAL), F.floor(F.col(HOSPITAL_RANK) / RANK_BLOCK)]
+    return e.repartition(n_parts, *keys).sortWithinPartitions(HOSPITAL, HOSPITAL_RANK)
+
+
+def match_hospital_optimal(edges: DataFrame, quota=6, max_iter: int | None = None,
+                           trace: bool = False, n_parts: int | None = None) -> MatchResult:
     """Hospital-optimal stable matching of ``edges`` with ``quota`` places.
 
     ``quota`` is an int for all hospitals or a DataFrame
-    ``(hospital_id, quota)``.  Returns the matching of the last round, the
-    number of rounds, whether a fixpoint was reached within ``max_iter`` and,
-    with ``trace``, the match changes per round (``changes``).
+    ``(hospital_id, quota)``.  Returns the matching of the fixpoint, the
+    number of rounds and, with ``trace``, the match changes per round
+    (``changes``).  Every round but the last deletes an edge, so the loop ends;
+    a ``max_iter`` that ends it earlier raises :class:`NotConverged`.
+    ``n_parts`` overrides the number of partitions of the layout.
     """
     spark = edges.sparkSession
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
-    n_parts = layout_partitions(spark, e.count())
-    e = pin_layout(e.repartition(n_parts, DOCTOR).sortWithinPartitions(HOSPITAL, HOSPITAL_RANK))
+    size = e.agg(F.count(F.lit(1)).alias("edges"),
+                 F.approx_count_distinct(HOSPITAL, 0.01).alias("hospitals")).first()
+    n_parts = n_parts or layout_partitions(spark, size["edges"])
+    # The estimate only picks the layout; both give the same rounds.
+    by_doctor = not fits_broadcast(spark, int(1.1 * max_n * size["hospitals"]) + 1, 24)
+    e = pin_layout(layout(e, n_parts, by_doctor))
     worst = cut_lineage(e.groupBy(DOCTOR).agg(F.max(DOCTOR_RANK).alias("_worst")))
     # Proven bound on the matching: at most max_n offers per hospital.
     bound = max_n * e.select(HOSPITAL).distinct().count()
-    match, rounds, converged, changes = _rounds(e, n, max_n, max_iter, trace, worst, bound)
-    e.unpersist()
+    try:
+        match, rounds, changes = _rounds(e, n, max_n, max_iter, trace, worst, bound)
+    finally:
+        e.unpersist()
     return MatchResult(matching=match.select(*EDGE_COLUMNS), rounds=rounds,
-                       converged=converged, changes=changes)
+                       converged=True, changes=changes)
 
 
 def _rounds(e, n, max_n, max_iter, trace, worst, bound):
@@ -144,20 +170,21 @@ def _rounds(e, n, max_n, max_iter, trace, worst, bound):
         return _round_summary(best_of(cur), None if prev is None else best_of(prev),
                               worst, bound)
 
-    for rounds in range(1, max_iter + 1):
+    for rounds in round_numbers(max_iter):
         live, obs = with_row_count(remaining_edges(e, offers, bound))
         new = cut_lineage(round_offers(live, n, max_n))
         if trace:
             _, changed, deleting = summary(new, offers)
             changes.append(changed)
             if not deleting:
-                return cut_lineage(best_of(new)), rounds, True, changes
+                return cut_lineage(best_of(new)), rounds, changes
         else:
             n_live = observed_count(obs)
             if (n_live is None or n_live == n_live_prev) and offers is not None \
                     and not summary(offers, older)[2]:
-                return cut_lineage(best_of(offers)), rounds - 1, True, changes
+                return cut_lineage(best_of(offers)), rounds - 1, changes
             n_live_prev = n_live
         older, offers = offers, new
-    converged = not trace and not summary(offers, older)[2]
-    return cut_lineage(best_of(offers)), max_iter, converged, changes
+    if not trace and not summary(offers, older)[2]:
+        return cut_lineage(best_of(offers)), max_iter, changes
+    raise NotConverged(f"edges are still deleted after {max_iter} rounds")

@@ -2,12 +2,14 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 import bruteforce as bf
 from duetto.functions.terms import contract_terms
 from duetto.names import DOCTOR, HOSPITAL
-from duetto.operators.knapsack import knapsack_select
+from duetto.operators.knapsack import knapsack_select, solve_knapsack
+from duetto.plans.common import NotConverged
 from duetto.plans.contracts import match_contracts
 
 
@@ -63,7 +65,8 @@ def _serial_contracts(edges, terms, rounds):
                 for sub in itertools.combinations(cands, r):
                     s = sum(terms[(d, h)][1] for d in sub)
                     v = sum(terms[(d, h)][0] for d in sub)
-                    if s <= cap - 1 and (v > best[0] or (v == best[0] and s < best[1])):
+                    # of equal value and spend, the set with the later doctors
+                    if s <= cap - 1 and (v, -s, sub[::-1]) > (best[0], -best[1], best_set[::-1]):
                         best, best_set = (v, s), sub
             for d in best_set:
                 accepted.setdefault(d, []).append(h)
@@ -76,8 +79,7 @@ def _serial_contracts(edges, terms, rounds):
 
 
 def test_contracts_loop_matches_serial_loop(spark):
-    # Small market; the knapsack's chosen set is unique here (checked by the
-    # serial loop's strict tie rule agreeing on every round).
+    # Small market; of equal sets, both take the later doctors.
     rng = random.Random(9)
     rows = []
     for d in range(14):
@@ -111,3 +113,45 @@ def test_contracts_tolerance_and_round_cap(spark):
     assert capped.rounds <= 2 and len(capped.changes) == capped.rounds
     if capped.rounds == 2 and capped.changes[-1] != 0:
         assert not capped.converged
+
+
+ITEM = "hospital_id long, doctor_id long, utility long, price long, budget long"
+
+
+def test_knapsack_has_no_budget_cap(spark):
+    # 1,500 doctors of price 1 and budget 2001 can all be paid.
+    df = spark.createDataFrame([(0, d, 1 + d % 7, 1, 2001) for d in range(1500)], ITEM)
+    assert knapsack_select(df).count() == 1500
+
+
+def test_knapsack_prefers_the_later_doctor_with_and_without_the_prefilter(spark):
+    df = spark.createDataFrame([(0, d, 5, 1, 3) for d in range(3)], ITEM)
+    alone = sorted(solve_knapsack(df.toPandas())["doctor_id"])
+    assert sorted(r[DOCTOR] for r in knapsack_select(df).collect()) == alone == [1, 2]
+    rng = random.Random(4)
+    rows = [(h, d, rng.randint(1, 6), rng.randint(0, 5), 15 + h) for h in range(6) for d in range(40)]
+    df = spark.createDataFrame(rows, ITEM)
+    got = sorted((r[HOSPITAL], r[DOCTOR]) for r in knapsack_select(df).collect())
+    want = []
+    for h in range(6):
+        part = df.toPandas().query(f"hospital_id == {h}")
+        want += [(h, d) for d in solve_knapsack(part)["doctor_id"]]
+    assert got == sorted(want)
+
+
+def test_two_budgets_of_a_hospital_are_an_error(spark):
+    df = spark.createDataFrame([(0, 1, 5, 1, 3), (0, 2, 5, 1, 4)], ITEM)
+    with pytest.raises(Exception, match="more than one budget"):
+        knapsack_select(df).collect()
+
+
+def test_contracts_that_repeat_a_matching_raise_or_end(spark):
+    # Without a limit the loop ends at zero changes or at a matching that came before.
+    rng = random.Random(8)
+    rows = [(d, h, r, (d * 7 + h * 3) % 31) for d in range(20)
+            for r, h in enumerate(rng.sample(range(4), 3))]
+    e = spark.createDataFrame(rows, "doctor_id long, hospital_id long, doctor_rank int, hospital_rank int")
+    try:
+        assert match_contracts(e).converged
+    except NotConverged as err:
+        assert "came before" in str(err)

@@ -9,13 +9,15 @@
   edges.
 """
 
+import pytest
 from pyspark.sql import functions as F
 
 from duetto.functions.terms import contract_terms
 from duetto.names import DOCTOR, HOSPITAL, HOSPITAL_RANK
-from duetto.operators.knapsack import knapsack_select
+from duetto.operators.knapsack import affordable, knapsack_select
 from duetto.plans import doctor_optimal as D
-from duetto.plans.hospital_optimal import remaining_edges, round_offers
+from duetto.plans.hospital_optimal import (layout, match_hospital_optimal,
+                                            remaining_edges, round_offers)
 from duetto.session import pin_layout
 from duetto.sources.synth import generate_preferences
 
@@ -36,7 +38,7 @@ def _edges(spark):
 
 
 def test_hospital_optimal_round_reads_edges_without_exchange_or_sort(spark):
-    e = pin_layout(_edges(spark).repartition(8, DOCTOR).sortWithinPartitions(HOSPITAL, HOSPITAL_RANK))
+    e = pin_layout(layout(_edges(spark), 8))
     state = round_offers(e, 6, 6).checkpoint()
     plan = _plan(round_offers(remaining_edges(e, state, 120), 6, 6))
     below = _below(plan, "row_number(), 6, Partial")
@@ -57,7 +59,7 @@ def test_doctor_optimal_round_reads_edges_without_exchange_or_sort(spark):
 
 
 def test_state_beyond_broadcast_budget_is_shuffled_not_the_edges(spark):
-    e = pin_layout(_edges(spark).repartition(8, DOCTOR).sortWithinPartitions(HOSPITAL, HOSPITAL_RANK))
+    e = pin_layout(layout(_edges(spark), 8, by_doctor=True))
     state = round_offers(e, 6, 6).checkpoint()
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
@@ -74,8 +76,39 @@ def test_state_beyond_broadcast_budget_is_shuffled_not_the_edges(spark):
     e.unpersist()
 
 
+@pytest.mark.parametrize("n_parts", [8, 200, 1000])
+def test_rows_shuffled_per_round_do_not_grow_with_the_partitions(spark, n_parts):
+    # What passes a partition's trim is what a round shuffles.
+    docs = spark.range(3000).select(F.col("id").alias(DOCTOR))
+    e = pin_layout(layout(generate_preferences(docs, 30, 12, 5), n_parts))
+    offers = None
+    for _ in range(3):
+        live = remaining_edges(e, offers, 180)
+        passed = (live.groupBy(F.spark_partition_id().alias("p"), HOSPITAL).count()
+                  .agg(F.sum(F.least("count", F.lit(6))).alias("n")).first()["n"])
+        assert 0 < passed <= 6 * 30
+        offers = round_offers(live, 6, 6).checkpoint()
+    e.unpersist()
+
+
+@pytest.mark.parametrize("n_parts", [8, 200])
+def test_matching_and_rounds_are_the_same_for_any_layout(spark, n_parts):
+    e = _edges(spark).checkpoint()
+    rows = lambda m: sorted((r[DOCTOR], r[HOSPITAL]) for r in m.matching.collect())
+    one = match_hospital_optimal(e, 4, trace=True, n_parts=4)
+    two = match_hospital_optimal(e, 4, trace=True, n_parts=n_parts)
+    assert (rows(one), one.rounds, one.changes) == (rows(two), two.rounds, two.changes)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100b")      # by doctor
+    try:
+        three = match_hospital_optimal(e, 4, trace=True, n_parts=4)
+        assert (rows(three), three.changes) == (rows(one), one.changes)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_knapsack_trims_before_its_shuffle(spark):
     items = contract_terms(_edges(spark).select(DOCTOR, HOSPITAL))
     plan = _plan(knapsack_select(items))
-    below = _below(plan, "row_number(), 998, Partial")
+    below = _below(plan, f"row_number(), {affordable(items)}, Partial")
     assert not [x for x in below if "Exchange hashpartitioning" in x]

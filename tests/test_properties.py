@@ -4,12 +4,15 @@ Markets come from the engine's own generator (A2) over doctor ids 0..n-1;
 both over- and under-supplied markets, quota 1 and 6.
 """
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 import bruteforce as bf
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
 from duetto.operators import verify as vf
+from duetto.plans.common import NotConverged
 from duetto.plans.doctor_optimal import match_doctor_optimal
 from duetto.plans.hospital_optimal import match_hospital_optimal
 from duetto.sources.synth import generate_preferences
@@ -71,6 +74,77 @@ def test_quota_per_hospital(spark):
     assert vf.blocking_pairs(e, d, quotas).count() == 0
 
 
+def test_no_place_null_and_repeated_quotas(spark):
+    # A hospital without places refuses its proposers instead of keeping them waiting.
+    e = spark.createDataFrame([(0, 0, 0, 0), (0, 1, 1, 0)],
+                              "doctor_id long, hospital_id long, doctor_rank int, hospital_rank int")
+    for none in (0, None, -1):
+        q = spark.createDataFrame([(0, none), (1, 1)], "hospital_id long, quota int")
+        for fn, kw in ((match_hospital_optimal, {}), (match_doctor_optimal, {}),
+                       (match_doctor_optimal, {"accelerate": False})):
+            m = fn(e, q, **kw).matching
+            assert _as_dict(m) == {0: 1}
+            vf.assert_stable(e, m, q)
+            assert vf.matching_consistency(e, m, q).first()["consistent"]
+    assert match_hospital_optimal(e, 0).matching.count() == 0
+    twice = spark.createDataFrame([(0, 1), (0, 2)], "hospital_id long, quota int")
+    with pytest.raises(ValueError):
+        match_hospital_optimal(e, twice)
+
+
+def test_assert_stable_raises_on_a_blocking_pair(spark):
+    e = spark.createDataFrame([(0, 0, 0, 0), (0, 1, 1, 0)],
+                              "doctor_id long, hospital_id long, doctor_rank int, hospital_rank int")
+    with pytest.raises(AssertionError):
+        vf.assert_stable(e, e.where("hospital_id = 1"), 1)
+
+
+def chain(spark, n):
+    """A market in which every rejection causes the next: doctor d prefers
+    hospital d - 1 to d, and hospital h prefers doctor h + 1 to h, but doctor 0
+    lists hospital 0 only, and is its first choice."""
+    rows = [(0, 0, 0, 0)]
+    for d in range(1, n):
+        rows += [(d, d - 1, 0, 1 if d == 1 else 0), (d, d, 1, 1)]
+    return spark.createDataFrame(rows, "doctor_id long, hospital_id long, doctor_rank int, hospital_rank int")
+
+
+def test_long_chains_run_to_their_end(spark):
+    e = chain(spark, 25).checkpoint()
+    rows = [tuple(r) for r in e.collect()]
+    for fn in (match_hospital_optimal, match_doctor_optimal):
+        r = fn(e, 1, trace=True)
+        vf.assert_stable(e, r.matching, 1)
+        assert r.converged
+    assert _as_dict(match_hospital_optimal(e, 1).matching) == bf.hospital_proposing(rows, 1)
+
+
+@pytest.mark.skipif(not os.environ.get("DUETTO_LONG_TESTS"), reason="over 1,000 rounds: many minutes")
+def test_over_a_thousand_rounds(spark):
+    e = chain(spark, 1050).checkpoint()
+    for fn in (match_hospital_optimal, match_doctor_optimal):
+        r = fn(e, 1)
+        vf.assert_stable(e, r.matching, 1)
+    assert max(match_hospital_optimal(e, 1).rounds, match_doctor_optimal(e, 1).rounds) > 1000
+
+
+def test_draws_without_replacement_are_distinct(spark):
+    docs = spark.range(50).select(F.col("id").alias(DOCTOR))
+    for n_h, k in ((7, 7), (10, 6), (1, 1)):
+        e = generate_preferences(docs, n_h, k, 5, replace=False)
+        per = e.groupBy(DOCTOR).agg(F.count("*").alias("n"), F.max(DOCTOR_RANK).alias("r"),
+                                    F.max(HOSPITAL).alias("h")).collect()
+        assert len(per) == 50 and all((r["n"], r["r"]) == (k, k - 1) and r["h"] < n_h for r in per)
+
+
+def test_draws_of_neighbouring_doctors_are_unrelated(spark):
+    docs = spark.range(2).select(F.col("id").alias(DOCTOR))
+    e = generate_preferences(docs, 100_000, 3000, 5)
+    own = {d: [r[HOSPITAL] for r in e.where(F.col(DOCTOR) == d).orderBy(DOCTOR_RANK).collect()]
+           for d in (0, 1)}
+    assert len(set(own[0]) & set(own[1])) < 300
+
+
 def test_blocking_pairs_match_bruteforce_on_unstable_matching(spark):
     e = _edges(spark, 60, 8, 4, 5).cache()
     rows = [tuple(r) for r in e.select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK).collect()]
@@ -84,8 +158,11 @@ def test_blocking_pairs_match_bruteforce_on_unstable_matching(spark):
 
 def test_stop_after_max_iter(spark):
     e = _edges(spark, 60, 8, 4, 1)
-    r = match_doctor_optimal(e, 6, max_iter=1, accelerate=False)
-    assert r.rounds == 1 and not r.converged
+    for fn, kw in ((match_doctor_optimal, {"accelerate": False}), (match_doctor_optimal, {}),
+                   (match_hospital_optimal, {})):
+        for trace in (False, True):
+            with pytest.raises(NotConverged):
+                fn(e, 6, max_iter=1, trace=trace, **kw)
 
 
 def test_observed_stop_rule_gives_the_traced_rounds(spark):
@@ -97,8 +174,6 @@ def test_observed_stop_rule_gives_the_traced_rounds(spark):
             a, b = fn(e, quota, trace=True), fn(e, quota)
             assert (a.rounds, a.converged) == (b.rounds, b.converged)
             assert _as_dict(a.matching) == _as_dict(b.matching)
-        capped = match_hospital_optimal(e, quota, max_iter=1)
-        assert capped.rounds == 1
 
 
 def test_generator_accepts_a_count_and_is_deterministic(spark):
