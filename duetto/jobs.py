@@ -33,7 +33,7 @@ from duetto.operators import verify as vf
 from duetto.plans.contracts import match_contracts
 from duetto.plans.doctor_optimal import match_doctor_optimal
 from duetto.plans.hospital_optimal import match_hospital_optimal
-from duetto.session import ensure_checkpoint_dir
+from duetto.session import cut_lineage, ensure_checkpoint_dir
 from duetto.sources.sinks import write_matching
 from duetto.sources.synth import generate_preferences
 from duetto.sources.text import read_market_text, read_preferences_text, write_market_text
@@ -54,13 +54,13 @@ def match(spark: SparkSession, doctor_file: str, hospital_file: str,
           out: str | None = None, fmt: str = "text") -> dict:
     """Read a market from its two files, match it, verify, write the result.
 
-    ``max_iter`` defaults to 1000 rounds for the stable algorithms (they
-    converge) and 10 for contracts (which need not converge; the report says
-    whether it did).
+    Without ``max_iter`` the loops run to their end.  A stable algorithm that the
+    limit ends earlier raises; contracts report whether they converged.  A
+    matching that fails its check, or contracts that did not converge, are
+    reported and not written.
     """
-    if max_iter is None:
-        max_iter = 10 if algorithm == "contracts" else 1000
     edges, one_sided = read_market_text(spark, doctor_file, hospital_file)
+    edges = cut_lineage(edges)      # the files are parsed once
     report = {"algorithm": algorithm, "one_sided_pairs": one_sided.count()}
     if algorithm == "hospital":
         res = match_hospital_optimal(edges, quota, max_iter=max_iter)
@@ -79,13 +79,19 @@ def match(spark: SparkSession, doctor_file: str, hospital_file: str,
         report["blocking_pairs"] = vf.blocking_pairs(edges, res.matching, quota).count()
         report["consistent"] = bool(vf.matching_consistency(edges, res.matching, quota)
                                     .first()["consistent"])
-    if out:
+    if out and succeeded(report):
         doctors = read_doctor_ids(spark, doctor_file)
         write_matching(res.matching.select(DOCTOR, HOSPITAL), out, doctors=doctors, fmt=fmt)
         report["out"] = out
     return report
 
 
+def succeeded(report: dict) -> bool:
+    """Whether the loop ended by itself and the matching passed its check."""
+    return (report.get("converged", True) and report.get("blocking_pairs", 0) == 0
+            and report.get("consistent", True))
+
+
 def read_doctor_ids(spark: SparkSession, doctor_file: str) -> DataFrame:
     """Every doctor id of a doctor file (one per line, blank lines included)."""
     return read_preferences_text(spark, doctor_file, DOCTOR).select(DOCTOR)
@@ -110,7 +116,9 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--out")
     m.add_argument("--format", default="text", choices=["text", "parquet"])
     a = p.parse_args(argv)
-    spark = SparkSession.builder.appName("duetto").getOrCreate()
+    # Checkpoints of past rounds go when nothing refers to them any more.
+    spark = (SparkSession.builder.appName("duetto")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate())
     ensure_checkpoint_dir(spark)
     if a.cmd == "generate":
         rep = generate(spark, a.out_dir, a.doctors, a.hospitals, a.choices, a.seed)
@@ -118,8 +126,7 @@ def main(argv: list[str] | None = None) -> int:
         rep = match(spark, a.doctor_file, a.hospital_file, a.algorithm, a.quota,
                     a.max_iter, a.out, a.format)
     print(json.dumps(rep))
-    ok = rep.get("blocking_pairs", 0) == 0 and rep.get("consistent", True)
-    return 0 if ok else 1
+    return 0 if succeeded(rep) else 1
 
 
 if __name__ == "__main__":

@@ -10,6 +10,7 @@ driver's smoke runs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -57,10 +58,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir; create a scratch one only if unset.
 
     A cluster sets ``spark.checkpoint.dir`` to a shared folder; local runs
-    (tests, bench, smoke checks) get a fresh folder under the temp dir.
+    (tests, bench, smoke checks) get a fresh folder under the temp dir.  Without
+    either, this raises: other machines would not see a local folder.
     """
     d = checkpoint_dir(spark)
     if d is None:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set for the cluster {master}")
         d = tempfile.mkdtemp(prefix="duetto-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d
@@ -125,12 +130,17 @@ def pin_layout(df: DataFrame) -> DataFrame:
 
 def broadcast_budget(spark: SparkSession) -> int:
     """Bytes we allow to broadcast: the session's auto threshold if enabled."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        v = int(str(raw).lower().replace("b", ""))
-    except ValueError:
-        v = _DEFAULT_BROADCAST_BYTES
-    return v if v > 0 else 0
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(_DEFAULT_BROADCAST_BYTES))
+    return max(0, byte_size(raw))
+
+
+def byte_size(text: str) -> int:
+    """A size as Spark writes it: digits and an optional binary unit (b, k, m, g,
+    t, p, each with or without a b); without a unit, bytes."""
+    m = re.fullmatch(r"\s*(-?\d+)\s*(?:([kmgtp])b?|b)?\s*", str(text).lower())
+    if not m:
+        raise ValueError(f"not a size in bytes: {text!r}")
+    return int(m[1]) * 1024 ** ("kmgtp".index(m[2]) + 1 if m[2] else 0)
 
 
 def fits_broadcast(spark: SparkSession, max_rows: int, row_bytes: int = 32) -> bool:

@@ -19,7 +19,7 @@ from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.filters import one_sided_pairs
 from duetto.operators.joins import mutual_edges
 from duetto.operators.reshape import collapse_preferences, explode_preferences, list_text
-from duetto.session import counted_broadcast
+from duetto.session import counted_broadcast, cut_lineage
 
 
 def parse_id_list(line) -> F.Column:
@@ -41,7 +41,8 @@ def read_preferences_text(spark: SparkSession, path: str, id_col: str,
                                          F.count(F.lit(1)).alias("_n"))
     # One row per file split: the running total is tiny.
     w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    # Written once: counting it for the broadcast must not read the lines again.
+    splits = cut_lineage(splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))))
     return (raw.join(counted_broadcast(splits.select("_f", "_b", "_first", "_off"),
                                        row_bytes=200), ["_f", "_b"])
             .select((F.col("_off") + F.col("_mid") - F.col("_first")).alias(id_col),
