@@ -7,10 +7,11 @@ their largest line price (market "price") or by total quantity, least first
 (market "contested", where doctor- and hospital-optimal matchings differ).
 Quota 6 everywhere, ranks 1-based.
 
-"State" below is round 1 of doctor-proposing deferred acceptance: every
-customer proposes to its first choice, every supplier holds its 6 best
-proposals.  It is deliberately unstable, which gives the row operators and
-the blocking-pair check something to find.
+"State" below is round 2 of doctor-proposing deferred acceptance with
+``STATE_QUOTA`` places: every customer has proposed to its first choice, and
+those it refused to their second.  Some suppliers are full and others have free
+places, some customers hold their second choice and others nothing, so that
+every branch of the row operators and of the blocking-pair check has rows.
 
 Each query function takes (spark, sf_dir) and returns a DataFrame whose
 integral columns are bigint; the SQL casts to the same names and types.
@@ -45,7 +46,8 @@ from duetto.sources.text import (read_market_text, read_preferences_text, write_
                                  write_preferences_text)
 
 QUOTA = 6
-CONTRACT_ROUNDS = 4
+STATE_QUOTA = 20
+CONTRACT_ROUNDS = 4         # the rounds that the registered query shows, see there
 SYNTH_CHOICES = 10
 SYNTH_SEED = 42
 
@@ -100,11 +102,39 @@ def first_proposals(spark, sf_dir) -> DataFrame:
 
 def first_round_state(spark, sf_dir) -> DataFrame:
     """Held proposals after round 1 (an unstable matching)."""
-    return _memo(spark, ("state", sf_dir), lambda: cut_lineage(
+    return _memo(spark, ("state1", sf_dir), lambda: cut_lineage(
         held_proposals(first_proposals(spark, sf_dir), QUOTA, QUOTA)
         .select(*EDGE_COLUMNS)))
 
 
+def second_round_state(spark, sf_dir) -> DataFrame:
+    """Held proposals after round 2 with ``STATE_QUOTA`` places."""
+    def build() -> DataFrame:
+        refused = rejected_applicants(first_proposals(spark, sf_dir), HOSPITAL, HOSPITAL_RANK,
+                                      STATE_QUOTA, key=[DOCTOR, HOSPITAL])
+        rest = market(spark, sf_dir).join(refused.select(DOCTOR, HOSPITAL),
+                                          [DOCTOR, HOSPITAL], "left_anti")
+        return cut_lineage(held_proposals(proposals(rest), STATE_QUOTA, STATE_QUOTA)
+                           .select(*EDGE_COLUMNS))
+    return _memo(spark, ("state2", sf_dir), build)
+
+
+def supplier_quotas(spark, sf_dir) -> DataFrame:
+    """A quota table with 0 to 8 places, null for some and none for others."""
+    key = F.col("s_suppkey")
+    return (read_table(spark, sf_dir, "supplier").where(key % 10 != 9)
+            .select(key.alias(HOSPITAL), F.when(key % 10 != 8, key % 9).cast("int").alias("quota")))
+
+
+def broken_matching(spark, sf_dir) -> DataFrame:
+    """A matching with every kind of fault: the hospital-optimal one, and for
+    every third of its doctors a second place at the next hospital, which takes
+    the doctor whether they list each other or not."""
+    good = hospital_optimal(spark, sf_dir).matching
+    more = good.where(F.col(DOCTOR) % 3 == 0).withColumn(HOSPITAL, F.col(HOSPITAL) + 1)
+    return good.unionByName(more)
+
+
 def customers(spark, sf_dir) -> DataFrame:
     return read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias(DOCTOR))
 
@@ -157,17 +187,59 @@ def q_convergence_running(spark, sf_dir):
 
 def q_blocking_pairs(spark, sf_dir):
     return bigint_out(vf.blocking_pairs(market(spark, sf_dir),
-                                        first_round_state(spark, sf_dir), QUOTA))
+                                        second_round_state(spark, sf_dir), STATE_QUOTA))
 
 
 def q_stability_check(spark, sf_dir):
-    return bigint_out(vf.stability_check(market(spark, sf_dir),
-                                         hospital_optimal(spark, sf_dir).matching, QUOTA))
+    good = vf.stability_check(market(spark, sf_dir),
+                              hospital_optimal(spark, sf_dir).matching, QUOTA)
+    bad = vf.stability_check(market(spark, sf_dir), second_round_state(spark, sf_dir), STATE_QUOTA)
+    return bigint_out(good.withColumn("matching", F.lit("hospital_optimal"))
+                      .unionByName(bad.withColumn("matching", F.lit("second_round"))))
 
 
 def q_matching_consistency(spark, sf_dir):
-    return bigint_out(vf.matching_consistency(market(spark, sf_dir),
-                                              hospital_optimal(spark, sf_dir).matching, QUOTA))
+    good = vf.matching_consistency(market(spark, sf_dir),
+                                   hospital_optimal(spark, sf_dir).matching, QUOTA)
+    bad = vf.matching_consistency(market(spark, sf_dir), broken_matching(spark, sf_dir), QUOTA)
+    return bigint_out(good.withColumn("matching", F.lit("hospital_optimal"))
+                      .unionByName(bad.withColumn("matching", F.lit("broken"))))
+
+
+def q_match_hospital_optimal_quotas(spark, sf_dir):
+    return bigint_out(match_hospital_optimal(market(spark, sf_dir),
+                                             supplier_quotas(spark, sf_dir)).matching)
+
+
+def q_match_doctor_optimal_quotas(spark, sf_dir):
+    return bigint_out(_memo(spark, ("I1 quotas", sf_dir), lambda: match_doctor_optimal(
+        market(spark, sf_dir, "contested"), supplier_quotas(spark, sf_dir))).matching)
+
+
+def q_blocking_pairs_quotas(spark, sf_dir):
+    return bigint_out(vf.blocking_pairs(market(spark, sf_dir), second_round_state(spark, sf_dir),
+                                        supplier_quotas(spark, sf_dir)))
+
+
+def q_matching_consistency_quotas(spark, sf_dir):
+    return bigint_out(vf.matching_consistency(
+        market(spark, sf_dir), second_round_state(spark, sf_dir), supplier_quotas(spark, sf_dir)))
+
+
+def q_fill_report_quotas(spark, sf_dir):
+    return bigint_out(agg.fill_report(suppliers(spark, sf_dir), second_round_state(spark, sf_dir),
+                                      supplier_quotas(spark, sf_dir)))
+
+
+def q_rank_within_split(spark, sf_dir):
+    """Ranking by range partitions, which hot groups take: every line of a
+    supplier by price."""
+    lines = order_lines(spark, sf_dir).select(
+        HOSPITAL, "l_orderkey", DOCTOR, "l_quantity", "l_extendedprice", "l_returnflag")
+    prices = lines.groupBy(HOSPITAL, "l_orderkey").agg(F.max("l_extendedprice").alias("price"))
+    ranked = rank_within(cut_lineage(prices), HOSPITAL, [F.col("price").desc(), F.col("l_orderkey")],
+                         "position", split=True)
+    return bigint_out(ranked.select(HOSPITAL, F.col("l_orderkey").alias("order_id"), "position"))
 
 
 def q_contiguous_ids(spark, sf_dir):
@@ -237,46 +309,46 @@ def q_next_choice(spark, sf_dir):
 
 
 def q_drop_first_choice(spark, sf_dir):
-    state = first_round_state(spark, sf_dir).select(DOCTOR, HOSPITAL)
+    state = second_round_state(spark, sf_dir).select(DOCTOR, HOSPITAL)
     return _list_rows(rs.drop_first_choice(_doctor_lists(spark, sf_dir), state), DOCTOR)
 
 
 def q_choices_at_or_above(spark, sf_dir):
     return bigint_out(rs.choices_at_or_above(market(spark, sf_dir),
-                                             first_round_state(spark, sf_dir))
+                                             second_round_state(spark, sf_dir))
                       .select(DOCTOR, HOSPITAL, DOCTOR_RANK))
 
 
 def q_choices_strictly_above(spark, sf_dir):
     return bigint_out(rs.choices_strictly_above(market(spark, sf_dir),
-                                                first_round_state(spark, sf_dir))
+                                                second_round_state(spark, sf_dir))
                       .select(DOCTOR, HOSPITAL, DOCTOR_RANK))
 
 
 def q_candidates_above_worst(spark, sf_dir):
     return bigint_out(rs.candidates_above_worst(market(spark, sf_dir),
-                                                first_round_state(spark, sf_dir)))
+                                                second_round_state(spark, sf_dir)))
 
 
 def q_rank_lookup(spark, sf_dir):
-    state = first_round_state(spark, sf_dir).select(DOCTOR, HOSPITAL)
+    state = second_round_state(spark, sf_dir).select(DOCTOR, HOSPITAL)
     j = state.join(_doctor_lists(spark, sf_dir), DOCTOR)
     return bigint_out(j.select(DOCTOR, HOSPITAL, rs.rank_lookup("prefs", HOSPITAL).alias("position")))
 
 
 def q_matching_with_unmatched(spark, sf_dir):
     return bigint_out(jn.matching_with_unmatched(customers(spark, sf_dir),
-                                                 first_round_state(spark, sf_dir)))
+                                                 second_round_state(spark, sf_dir)))
 
 
 def q_matched_only(spark, sf_dir):
-    full = jn.matching_with_unmatched(customers(spark, sf_dir), first_round_state(spark, sf_dir))
+    full = jn.matching_with_unmatched(customers(spark, sf_dir), second_round_state(spark, sf_dir))
     state = full.select(DOCTOR, F.when(F.col(HOSPITAL) >= 0, F.col(HOSPITAL)).alias(HOSPITAL))
     return bigint_out(flt.matched_only(state))
 
 
 def q_active_proposers(spark, sf_dir):
-    return bigint_out(flt.active_proposers(market(spark, sf_dir), first_round_state(spark, sf_dir)))
+    return bigint_out(flt.active_proposers(market(spark, sf_dir), second_round_state(spark, sf_dir)))
 
 
 def _state_of(docs: DataFrame, matching: DataFrame) -> DataFrame:
@@ -289,23 +361,24 @@ def _state_of(docs: DataFrame, matching: DataFrame) -> DataFrame:
 
 def q_changed_matches(spark, sf_dir):
     docs = customers(spark, sf_dir)
-    old = _state_of(docs, first_round_state(spark, sf_dir))
+    old = _state_of(docs, second_round_state(spark, sf_dir))
     new = _state_of(docs, hospital_optimal(spark, sf_dir).matching)
     return bigint_out(flt.changed_matches(old, new))
 
 
 def q_one_sided_pairs(spark, sf_dir):
-    # Doctors list every supplier they bought from; suppliers list only the
-    # customers with a line that was not returned.
+    # Doctors list the suppliers of lines that are not flagged A; suppliers the
+    # customers with a line that was not returned.  Neither holds the other.
     lines = order_lines(spark, sf_dir)
-    doctor_side = lines.select(DOCTOR, HOSPITAL)
+    doctor_side = lines.where(F.col("l_returnflag") != "A").select(DOCTOR, HOSPITAL)
     hospital_side = lines.where(F.col("l_returnflag") != "R").select(DOCTOR, HOSPITAL)
     return bigint_out(flt.one_sided_pairs(doctor_side, hospital_side))
 
 
 def q_mutual_edges(spark, sf_dir):
     lines = order_lines(spark, sf_dir)
-    d = lines.groupBy(DOCTOR, HOSPITAL).agg(F.sum("l_quantity").alias("qty"))
+    d = (lines.where(F.col("l_returnflag") != "A").groupBy(DOCTOR, HOSPITAL)
+         .agg(F.sum("l_quantity").alias("qty")))
     h = (lines.where(F.col("l_returnflag") != "R").groupBy(DOCTOR, HOSPITAL)
          .agg(F.max("l_extendedprice").alias("top_price")))
     d = rank_within(cut_lineage(d), DOCTOR, [F.col("qty").desc(), F.col(HOSPITAL)], DOCTOR_RANK)
@@ -330,7 +403,7 @@ def q_fill_report(spark, sf_dir):
 
 
 def q_worst_held_rank(spark, sf_dir):
-    return bigint_out(rs.worst_held(first_round_state(spark, sf_dir)))
+    return bigint_out(rs.worst_held(second_round_state(spark, sf_dir)))
 
 
 def q_best_offer(spark, sf_dir):
@@ -360,14 +433,14 @@ def q_union_options(spark, sf_dir):
 
 def q_pair_intersection(spark, sf_dir):
     e = market(spark, sf_dir)
-    state = first_round_state(spark, sf_dir)
+    state = second_round_state(spark, sf_dir)
     return bigint_out(agg.pair_intersection(rs.choices_strictly_above(e, state),
                                             rs.candidates_above_worst(e, state)))
 
 
 def q_better_not_held(spark, sf_dir):
     e = market(spark, sf_dir)
-    state = first_round_state(spark, sf_dir)
+    state = second_round_state(spark, sf_dir)
     return bigint_out(agg.better_not_held(rs.candidates_above_worst(e, state), state))
 
 
@@ -383,8 +456,11 @@ def q_knapsack_best_value(spark, sf_dir):
 
 
 def q_match_contracts(spark, sf_dir):
+    """The budgeted loop after ``CONTRACT_ROUNDS`` rounds: the limit is part of
+    the query (the loop need not converge), and its outcome of the result."""
     res = match_contracts(market(spark, sf_dir), max_iter=CONTRACT_ROUNDS)
-    return bigint_out(res.matching)
+    return bigint_out(res.matching.withColumn("rounds", F.lit(res.rounds))
+                      .withColumn("converged", F.lit(res.converged)))
 
 
 def q_synthetic_market(spark, sf_dir):
@@ -393,6 +469,12 @@ def q_synthetic_market(spark, sf_dir):
                                            SYNTH_CHOICES, SYNTH_SEED))
 
 
+def q_synthetic_market_distinct(spark, sf_dir):
+    n_h = suppliers(spark, sf_dir).count()
+    return bigint_out(generate_preferences(customers(spark, sf_dir), n_h, min(SYNTH_CHOICES, n_h),
+                                           SYNTH_SEED, replace=False))
+
+
 def q_match_synthetic(spark, sf_dir):
     n_h = suppliers(spark, sf_dir).count()
     e = generate_preferences(customers(spark, sf_dir), n_h, SYNTH_CHOICES, SYNTH_SEED)
@@ -411,6 +493,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "blocking_pairs": q_blocking_pairs,
     "stability_check": q_stability_check,
     "matching_consistency": q_matching_consistency,
+    "match_hospital_optimal_quotas": q_match_hospital_optimal_quotas,
+    "match_doctor_optimal_quotas": q_match_doctor_optimal_quotas,
+    "blocking_pairs_quotas": q_blocking_pairs_quotas,
+    "matching_consistency_quotas": q_matching_consistency_quotas,
+    "fill_report_quotas": q_fill_report_quotas,
+    "rank_within_split": q_rank_within_split,
     "contiguous_ids": q_contiguous_ids,
     "programs_by_applicant": q_programs_by_applicant,
     "explode_preferences": q_explode_preferences,
@@ -445,4 +533,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "match_contracts": q_match_contracts,
     "synthetic_market": q_synthetic_market,
     "match_synthetic": q_match_synthetic,
+    "synthetic_market_distinct": q_synthetic_market_distinct,
 }

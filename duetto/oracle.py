@@ -28,6 +28,23 @@ ranked_prop AS (SELECT *, row_number() OVER (PARTITION BY hospital_id ORDER BY h
                 FROM prop),
 state AS (SELECT doctor_id, hospital_id, doctor_rank, hospital_rank FROM ranked_prop WHERE pos <= 6)"""
 
+# Round 2 with 20 places: whom a supplier refused proposes to its second choice.
+STATE2 = """
+prop1 AS (SELECT * FROM edges WHERE doctor_rank = 1),
+rp1 AS (SELECT *, row_number() OVER (PARTITION BY hospital_id ORDER BY hospital_rank) AS pos FROM prop1),
+prop2 AS (SELECT doctor_id, hospital_id, doctor_rank, hospital_rank FROM rp1 WHERE pos <= 20
+          UNION ALL
+          SELECT e.doctor_id, e.hospital_id, e.doctor_rank, e.hospital_rank
+          FROM edges e JOIN rp1 r USING (doctor_id) WHERE r.pos > 20 AND e.doctor_rank = 2),
+rp2 AS (SELECT *, row_number() OVER (PARTITION BY hospital_id ORDER BY hospital_rank) AS pos FROM prop2),
+state AS (SELECT doctor_id, hospital_id, doctor_rank, hospital_rank FROM rp2 WHERE pos <= 20)"""
+
+# Quotas of 0 to 8 places, null for some suppliers and none for others.
+QUOTAS = """
+qt AS (SELECT s_suppkey AS hospital_id, CASE WHEN s_suppkey % 10 <> 8 THEN s_suppkey % 9 END AS q
+       FROM supplier WHERE s_suppkey % 10 <> 9),
+caps AS (SELECT hospital_id, greatest(coalesce(q, 0), 0) AS cap FROM qt)"""
+
 # Hospital-optimal rounds: offers = top 6 per hospital, doctors keep the best,
 # edges below a doctor's best offer are deleted; stop when nothing is deleted.
 I2 = """
@@ -85,13 +102,54 @@ t1 AS (SELECT it::BIGINT AS iteration, n::BIGINT AS n_changes FROM c1
 EDGE_SELECT = """doctor_id::BIGINT AS doctor_id, hospital_id::BIGINT AS hospital_id,
 doctor_rank::BIGINT AS doctor_rank, hospital_rank::BIGINT AS hospital_rank"""
 
-# Blocking pairs of a matching "mt" (free place, or ranked above the worst held).
-BLOCKING = """
+# The same rounds with the column q of a quota table in place of 6.
+_Q_EDGES = "edges AS (SELECT e.*, cap AS q FROM all_edges e JOIN caps USING (hospital_id) WHERE cap >= 1)"
+
+
+def _quota_market(market: str) -> str:
+    return market.replace("edges AS (SELECT", "all_edges AS (SELECT") + "," + QUOTAS + "," + _Q_EDGES
+
+
+def _with_q(rounds: str, name: str) -> str:
+    return (rounds.replace("<= 6", "<= q").replace("rn = 6", "rn = q")
+            .replace("hospital_rank, o", "hospital_rank, q, o").replace("hospital_rank, false", "hospital_rank, q, false")
+            .replace("doctor_rank, hospital_rank,\n", "doctor_rank, hospital_rank, q,\n"))
+
+
+def _blocking(cap: str = "6", edges: str = "edges") -> str:
+    """Blocking pairs of a matching "mt" (free place, or ranked above the worst held)."""
+    return f"""
 md AS (SELECT doctor_id, doctor_rank AS mdr FROM mt),
 mh AS (SELECT hospital_id, count(*) AS fill, max(hospital_rank) AS worst FROM mt GROUP BY 1),
-bp AS (SELECT e.* FROM edges e LEFT JOIN md USING (doctor_id) LEFT JOIN mh USING (hospital_id)
-       WHERE (md.mdr IS NULL OR e.doctor_rank < md.mdr)
-         AND (coalesce(mh.fill, 0) < 6 OR e.hospital_rank < mh.worst))"""
+bp AS (SELECT e.* FROM {edges} e LEFT JOIN md USING (doctor_id) LEFT JOIN mh USING (hospital_id)
+       {"LEFT JOIN caps USING (hospital_id)" if cap != "6" and cap != "20" else ""}
+       WHERE (md.mdr IS NULL OR e.doctor_rank < md.mdr) AND {cap} > 0
+         AND (coalesce(mh.fill, 0) < {cap} OR e.hospital_rank < mh.worst))"""
+
+
+BLOCKING = _blocking()
+CAP = "coalesce(cap, 0)"
+
+
+def _consistency(mt: str, over: str, label: str | None = None) -> str:
+    """The consistency row of a matching; ``over`` selects the hospitals over their quota."""
+    tail = f", '{label}' AS matching" if label else ""
+    return f"""
+SELECT (SELECT count(*) FROM {mt})::BIGINT AS n_filled,
+       (SELECT max(c) FROM (SELECT count(*) AS c FROM {mt} GROUP BY hospital_id))::BIGINT AS max_fill,
+       ({over})::BIGINT AS n_over_quota,
+       (SELECT count(DISTINCT doctor_id) FROM {mt})::BIGINT AS n_matched_doctors,
+       (SELECT max(c) FROM (SELECT count(*) AS c FROM {mt} GROUP BY doctor_id))::BIGINT AS max_per_doctor,
+       (SELECT count(*) FROM {mt} ANTI JOIN edges USING (doctor_id, hospital_id))::BIGINT AS n_not_edges,
+       (SELECT count(*) FROM {mt}) = (SELECT count(DISTINCT doctor_id) FROM {mt})
+         AND (SELECT max(c) FROM (SELECT count(*) AS c FROM {mt} GROUP BY doctor_id)) <= 1
+         AND ({over}) = 0
+         AND (SELECT count(*) FROM {mt} ANTI JOIN edges USING (doctor_id, hospital_id)) = 0
+         AS consistent{tail}"""
+
+
+def _over_six(mt: str) -> str:
+    return f"SELECT count(*) FROM (SELECT count(*) AS c FROM {mt} GROUP BY hospital_id) WHERE c > 6"
 
 # Synthetic market hash (same arithmetic as duetto.sources.synth.mix).
 def _mix(x: str, salt: int) -> str:
@@ -102,18 +160,81 @@ def _mix(x: str, salt: int) -> str:
     return f"(({c} * 16807 + {salt}) % {p})"
 
 
-SYNTH = f"""
+def _pair_mix(a: str, b: str, salt: int) -> str:
+    return _mix(f"{_mix(a, salt)} + 1000003 * (({b}) % 2147483647)", salt)
+
+
+_DRAWS = f"""
 draws AS (SELECT c_custkey AS doctor_id, t.i AS i,
-                 {_mix(f"(c_custkey % 2147483647) * 1009 + t.i", 42)} % (SELECT count(*) FROM supplier)
-                   AS hospital_id
-          FROM customer, range(0, 10) t(i)),
+                 {_pair_mix("c_custkey", "t.i", 42)} % (SELECT count(*) FROM supplier) AS hospital_id
+          FROM customer, range(0, 10) t(i)),"""
+
+# Without replacement: a walk through the numbers below the next prime.
+_DISTINCT_DRAWS = f"""
+nh AS (SELECT count(*) AS n FROM supplier),
+prime AS (SELECT min(x) AS p FROM range(2, 2 * (SELECT n FROM nh) + 4) r(x), nh
+          WHERE x >= n AND NOT EXISTS (SELECT 1 FROM range(2, 2 * (SELECT n FROM nh) + 4) f(y)
+                                       WHERE y * y <= x AND x % y = 0)),
+walk AS (SELECT c_custkey AS doctor_id, t.j AS j,
+                ({_mix("c_custkey", 42)} % p + ({_mix("c_custkey", 44)} % greatest(1, p - 1) + 1) * t.j) % p
+                  AS hospital_id
+         FROM customer, prime, nh, range(0, 20 + 2 * (SELECT n FROM nh)) t(j)
+         WHERE t.j < least(10, n) + p - n),
+draws AS (SELECT doctor_id, hospital_id, i FROM (
+            SELECT doctor_id, hospital_id, row_number() OVER (PARTITION BY doctor_id ORDER BY j) - 1 AS i
+            FROM walk, nh WHERE hospital_id < n) WHERE i < (SELECT least(10, n) FROM nh)),"""
+
+_SYNTH = f"""
 sp AS (SELECT doctor_id, hospital_id, min(i) AS doctor_rank FROM draws GROUP BY 1, 2),
 edges AS (SELECT doctor_id, hospital_id, doctor_rank,
                  row_number() OVER (PARTITION BY hospital_id ORDER BY
-                   {_mix("(doctor_id % 2147483647) * 7919 + (hospital_id % 2147483647)", 43)}, doctor_id) - 1
+                   {_pair_mix("doctor_id", "hospital_id", 43)}, doctor_id) - 1
                    AS hospital_rank
           FROM sp)"""
 
+SYNTH, DISTINCT_SYNTH = _DRAWS + _SYNTH, _DISTINCT_DRAWS + _SYNTH
+
+# One round of the budgeted loop: who applies (at or above the match of round
+# r - 1), the knapsack's table forward, the chosen items backward from the first
+# column of the largest value (an item that ties is taken), and the best acceptance.
+TERMS = """
+terms AS MATERIALIZED (SELECT *, (((doctor_id + 17) * (hospital_id + 79) % 200 * 393342739) % 200)::INTEGER AS v,
+  (((doctor_id + 7) * (hospital_id + 3) % 500 * 413158511) % 500)::INTEGER AS p,
+  ((hospital_id * 67867967) % 700 + 300)::INTEGER AS cap FROM edges)"""
+
+
+def _contract_round(r: int) -> str:
+    at = "" if r == 1 else (f"LEFT JOIN m{r - 1} m USING (doctor_id) "
+                            "WHERE m.doctor_rank IS NULL OR t.doctor_rank <= m.doctor_rank")
+    return f"""
+ap{r} AS (SELECT t.* FROM terms t {at}),
+it{r} AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY hospital_id ORDER BY doctor_id) AS rn
+                       FROM ap{r} WHERE v > 0 AND p < cap),
+fw{r}(h, rn, cap, dp) AS MATERIALIZED (
+  SELECT hospital_id, 0::BIGINT, any_value(cap), list_transform(range(any_value(cap)), lambda x: 0::INTEGER)
+  FROM it{r} GROUP BY hospital_id
+  UNION ALL
+  SELECT f.h, i.rn, f.cap, list_transform(range(f.cap), lambda j: greatest(f.dp[j + 1],
+    CASE WHEN j >= i.p THEN f.dp[j - i.p + 1] + i.v ELSE 0 END)::INTEGER)
+  FROM fw{r} f JOIN it{r} i ON i.hospital_id = f.h AND i.rn = f.rn + 1),
+bw{r}(h, rn, j, taken) AS (
+  SELECT h, max(rn) + 1, arg_max(list_position(dp, list_max(dp)), rn)::BIGINT - 1, false FROM fw{r} GROUP BY h
+  UNION ALL
+  SELECT h, rn, CASE WHEN take THEN j - p ELSE j END, take FROM (
+    SELECT b.h, i.rn, b.j, i.p, CASE WHEN b.j >= i.p THEN f.dp[b.j - i.p + 1] + i.v >= f.dp[b.j + 1]
+                                     ELSE false END AS take
+    FROM bw{r} b JOIN it{r} i ON i.hospital_id = b.h AND i.rn = b.rn - 1
+    JOIN fw{r} f ON f.h = b.h AND f.rn = i.rn - 1) x),
+m{r} AS MATERIALIZED (
+  SELECT i.doctor_id, min(i.doctor_rank) AS doctor_rank, arg_min(i.hospital_id, i.doctor_rank) AS hospital_id,
+         arg_min(i.hospital_rank, i.doctor_rank) AS hospital_rank, arg_min(i.v, i.doctor_rank) AS v,
+         arg_min(i.p, i.doctor_rank) AS p
+  FROM it{r} i JOIN bw{r} b ON b.h = i.hospital_id AND b.rn = i.rn AND b.taken GROUP BY i.doctor_id),
+n{r} AS (SELECT count(*) AS n FROM m{r} a {f"FULL JOIN m{r - 1} b USING (doctor_id) WHERE a.hospital_id IS DISTINCT FROM b.hospital_id" if r > 1 else ""})"""
+
+
+CONTRACT_ROUNDS = 4
+
 KNAPSACK = """
 kp AS (SELECT DISTINCT doctor_id AS d, hospital_id AS h FROM edges),
 ki AS (SELECT h, d, ((d + 17) * (h + 79) % 200 * 393342739) % 200 AS v,
@@ -164,24 +285,49 @@ SELECT run, iteration, n_changes,
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS cumulative_changes
 FROM tr""",
 
-    "blocking_pairs": _w(MARKET, STATE, "mt AS (SELECT * FROM state)", BLOCKING)
+    "blocking_pairs": _w(MARKET, STATE2, "mt AS (SELECT * FROM state)", _blocking("20"))
         + f"SELECT {EDGE_SELECT} FROM bp",
 
-    "stability_check": _w(MARKET, I2, "mt AS (SELECT * FROM i2)", BLOCKING, recursive=True)
-        + "SELECT count(*)::BIGINT AS n_blocking, count(*) = 0 AS is_stable FROM bp",
-
-    "matching_consistency": _w(MARKET, I2, recursive=True) + """
-SELECT (SELECT count(*) FROM i2)::BIGINT AS n_filled,
-       (SELECT max(c) FROM (SELECT count(*) AS c FROM i2 GROUP BY hospital_id))::BIGINT AS max_fill,
-       (SELECT count(*) FROM (SELECT count(*) AS c FROM i2 GROUP BY hospital_id) WHERE c > 6)::BIGINT
-         AS n_over_quota,
-       (SELECT count(DISTINCT doctor_id) FROM i2)::BIGINT AS n_matched_doctors,
-       (SELECT max(c) FROM (SELECT count(*) AS c FROM i2 GROUP BY doctor_id))::BIGINT AS max_per_doctor,
-       (SELECT count(*) FROM i2 ANTI JOIN edges USING (doctor_id, hospital_id))::BIGINT AS n_not_edges,
-       (SELECT count(*) FROM i2) = (SELECT count(DISTINCT doctor_id) FROM i2)
-         AND (SELECT max(c) FROM (SELECT count(*) AS c FROM i2 GROUP BY doctor_id)) <= 1
-         AND (SELECT count(*) FROM (SELECT count(*) AS c FROM i2 GROUP BY hospital_id) WHERE c > 6) = 0
-         AND (SELECT count(*) FROM i2 ANTI JOIN edges USING (doctor_id, hospital_id)) = 0 AS consistent""",
+    "stability_check": _w(MARKET, I2, "mt AS (SELECT * FROM i2)", BLOCKING, STATE2,
+                          _blocking("20").replace("mt", "state").replace("md ", "md2 ")
+                          .replace("md.", "md2.").replace("md U", "md2 U").replace("mh", "mh2")
+                          .replace("bp AS", "bp2 AS"), recursive=True)
+        + "SELECT count(*)::BIGINT AS n_blocking, count(*) = 0 AS is_stable, "
+          "'hospital_optimal' AS matching FROM bp UNION ALL "
+          "SELECT count(*)::BIGINT, count(*) = 0, 'second_round' FROM bp2",
+
+    "match_hospital_optimal_quotas":
+        _w(_quota_market(MARKET), _with_q(I2, "a2"), recursive=True) + f"SELECT {EDGE_SELECT} FROM i2",
+
+    "match_doctor_optimal_quotas":
+        _w(_quota_market(CONTESTED), _with_q(I1, "a1"), recursive=True) + f"SELECT {EDGE_SELECT} FROM i1",
+
+    "blocking_pairs_quotas": _w(MARKET, QUOTAS, STATE2, "mt AS (SELECT * FROM state)", _blocking(CAP))
+        + f"SELECT {EDGE_SELECT} FROM bp",
+
+    "matching_consistency_quotas": _w(MARKET, QUOTAS, STATE2) + _consistency("state", """
+         SELECT count(*) FROM (SELECT hospital_id, count(*) AS c FROM state GROUP BY 1) f
+         LEFT JOIN caps USING (hospital_id) WHERE c > coalesce(cap, 0)"""),
+
+    "fill_report_quotas": _w(MARKET, QUOTAS, STATE2, """
+f AS (SELECT s.s_suppkey, count(m.doctor_id) AS fill, coalesce(any_value(cap), 0) AS cap
+      FROM supplier s LEFT JOIN state m ON m.hospital_id = s.s_suppkey
+      LEFT JOIN caps c ON c.hospital_id = s.s_suppkey GROUP BY s.s_suppkey)""") + """
+SELECT count(*)::BIGINT AS n_hospitals, sum(fill)::BIGINT AS filled, sum(cap)::BIGINT AS capacity,
+       sum(CASE WHEN fill >= cap THEN 1 ELSE 0 END)::BIGINT AS n_full,
+       sum(CASE WHEN fill = 0 THEN 1 ELSE 0 END)::BIGINT AS n_empty FROM f""",
+
+    "rank_within_split": """
+SELECT hospital_id::BIGINT AS hospital_id, l_orderkey::BIGINT AS order_id,
+       row_number() OVER (PARTITION BY hospital_id ORDER BY price DESC, l_orderkey)::BIGINT AS position
+FROM (SELECT l_suppkey AS hospital_id, l_orderkey, max(l_extendedprice) AS price
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)""",
+
+    "matching_consistency": _w(MARKET, I2, """
+broken AS (SELECT doctor_id, hospital_id FROM i2
+           UNION ALL SELECT doctor_id, hospital_id + 1 FROM i2 WHERE doctor_id % 3 = 0)""", recursive=True)
+        + _consistency("i2", _over_six("i2"), "hospital_optimal") + " UNION ALL "
+        + _consistency("broken", _over_six("broken"), "broken"),
 
     "contiguous_ids": """
 SELECT min(c_custkey)::BIGINT AS min_id, max(c_custkey)::BIGINT AS max_id,
@@ -226,7 +372,7 @@ rem AS (SELECT * FROM edges ANTI JOIN rej USING (doctor_id, hospital_id))""") +
 SELECT doctor_id::BIGINT AS doctor_id, arg_min(hospital_id, doctor_rank)::BIGINT AS hospital_id,
        min(doctor_rank)::BIGINT AS doctor_rank FROM rem GROUP BY doctor_id""",
 
-    "drop_first_choice": _w(MARKET, STATE, """
+    "drop_first_choice": _w(MARKET, STATE2, """
 docs AS (SELECT DISTINCT doctor_id FROM edges),
 kept AS (SELECT e.* FROM edges e LEFT JOIN state s USING (doctor_id)
          WHERE NOT (s.doctor_id IS NULL AND e.doctor_rank = 1))""") + """
@@ -234,39 +380,39 @@ SELECT d.doctor_id::BIGINT AS doctor_id, count(k.hospital_id)::BIGINT AS n_prefs
        coalesce(string_agg(k.hospital_id::VARCHAR, ' ' ORDER BY k.doctor_rank), '') AS prefs_text
 FROM docs d LEFT JOIN kept k USING (doctor_id) GROUP BY d.doctor_id""",
 
-    "choices_at_or_above": _w(MARKET, STATE) + """
+    "choices_at_or_above": _w(MARKET, STATE2) + """
 SELECT e.doctor_id::BIGINT AS doctor_id, e.hospital_id::BIGINT AS hospital_id,
        e.doctor_rank::BIGINT AS doctor_rank
 FROM edges e LEFT JOIN state s USING (doctor_id)
 WHERE s.doctor_rank IS NULL OR e.doctor_rank <= s.doctor_rank""",
 
-    "choices_strictly_above": _w(MARKET, STATE) + """
+    "choices_strictly_above": _w(MARKET, STATE2) + """
 SELECT e.doctor_id::BIGINT AS doctor_id, e.hospital_id::BIGINT AS hospital_id,
        e.doctor_rank::BIGINT AS doctor_rank
 FROM edges e LEFT JOIN state s USING (doctor_id)
 WHERE s.doctor_rank IS NULL OR e.doctor_rank < s.doctor_rank""",
 
-    "candidates_above_worst": _w(MARKET, STATE, """
+    "candidates_above_worst": _w(MARKET, STATE2, """
 w AS (SELECT hospital_id, max(hospital_rank) AS worst FROM state GROUP BY 1)""") + """
 SELECT e.hospital_id::BIGINT AS hospital_id, e.doctor_id::BIGINT AS doctor_id,
        e.hospital_rank::BIGINT AS hospital_rank
 FROM edges e JOIN w USING (hospital_id) WHERE e.hospital_rank < w.worst""",
 
-    "rank_lookup": _w(MARKET, STATE) + """
+    "rank_lookup": _w(MARKET, STATE2) + """
 SELECT doctor_id::BIGINT AS doctor_id, hospital_id::BIGINT AS hospital_id,
        (doctor_rank - 1)::BIGINT AS position FROM state""",
 
-    "matching_with_unmatched": _w(MARKET, STATE) + """
+    "matching_with_unmatched": _w(MARKET, STATE2) + """
 SELECT c_custkey::BIGINT AS doctor_id, coalesce(s.hospital_id, -1)::BIGINT AS hospital_id
 FROM customer LEFT JOIN state s ON s.doctor_id = c_custkey""",
 
-    "matched_only": _w(MARKET, STATE) + """
+    "matched_only": _w(MARKET, STATE2) + """
 SELECT doctor_id::BIGINT AS doctor_id, hospital_id::BIGINT AS hospital_id FROM state""",
 
-    "active_proposers": _w(MARKET, STATE) + """
+    "active_proposers": _w(MARKET, STATE2) + """
 SELECT DISTINCT doctor_id::BIGINT AS doctor_id FROM edges ANTI JOIN state USING (doctor_id)""",
 
-    "changed_matches": _w(MARKET, STATE, I2, recursive=True) + """
+    "changed_matches": _w(MARKET, STATE2, I2, recursive=True) + """
 SELECT c_custkey::BIGINT AS doctor_id, s.hospital_id::BIGINT AS old_hospital_id,
        m.hospital_id::BIGINT AS new_hospital_id
 FROM customer LEFT JOIN state s ON s.doctor_id = c_custkey LEFT JOIN i2 m ON m.doctor_id = c_custkey
@@ -275,7 +421,7 @@ WHERE s.hospital_id IS DISTINCT FROM m.hospital_id""",
     "one_sided_pairs": """
 WITH l AS (SELECT o_custkey AS doctor_id, l_suppkey AS hospital_id, l_returnflag
            FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-d AS (SELECT DISTINCT doctor_id, hospital_id FROM l),
+d AS (SELECT DISTINCT doctor_id, hospital_id FROM l WHERE l_returnflag <> 'A'),
 h AS (SELECT DISTINCT doctor_id, hospital_id FROM l WHERE l_returnflag <> 'R')
 SELECT doctor_id::BIGINT AS doctor_id, hospital_id::BIGINT AS hospital_id, 'doctor' AS side
 FROM d ANTI JOIN h USING (doctor_id, hospital_id)
@@ -287,7 +433,7 @@ WITH l AS (SELECT o_custkey AS doctor_id, l_suppkey AS hospital_id, l_quantity,
            FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 d AS (SELECT doctor_id, hospital_id,
              row_number() OVER (PARTITION BY doctor_id ORDER BY sum(l_quantity) DESC, hospital_id) AS doctor_rank
-      FROM l GROUP BY 1, 2),
+      FROM l WHERE l_returnflag <> 'A' GROUP BY 1, 2),
 h AS (SELECT doctor_id, hospital_id,
              row_number() OVER (PARTITION BY hospital_id ORDER BY max(l_extendedprice) DESC, doctor_id)
                AS hospital_rank
@@ -313,7 +459,7 @@ SELECT count(*)::BIGINT AS n_hospitals, sum(fill)::BIGINT AS filled, (count(*) *
        sum(CASE WHEN fill >= 6 THEN 1 ELSE 0 END)::BIGINT AS n_full,
        sum(CASE WHEN fill = 0 THEN 1 ELSE 0 END)::BIGINT AS n_empty FROM f""",
 
-    "worst_held_rank": _w(MARKET, STATE) + """
+    "worst_held_rank": _w(MARKET, STATE2) + """
 SELECT hospital_id::BIGINT AS hospital_id, max(hospital_rank)::BIGINT AS worst_rank,
        count(*)::BIGINT AS n_held FROM state GROUP BY hospital_id""",
 
@@ -338,7 +484,7 @@ new_apps AS (SELECT e.hospital_id, e.doctor_id FROM edges e JOIN bumped USING (d
 SELECT DISTINCT hospital_id::BIGINT AS hospital_id, doctor_id::BIGINT AS doctor_id
 FROM (SELECT hospital_id, doctor_id FROM new_apps UNION ALL SELECT hospital_id, doctor_id FROM state)""",
 
-    "pair_intersection": _w(MARKET, STATE, """
+    "pair_intersection": _w(MARKET, STATE2, """
 w AS (SELECT hospital_id, max(hospital_rank) AS worst FROM state GROUP BY 1),
 dp AS (SELECT e.doctor_id, e.hospital_id FROM edges e LEFT JOIN state s USING (doctor_id)
        WHERE s.doctor_rank IS NULL OR e.doctor_rank < s.doctor_rank),
@@ -347,7 +493,7 @@ hp AS (SELECT e.doctor_id, e.hospital_id FROM edges e JOIN w USING (hospital_id)
 SELECT doctor_id::BIGINT AS doctor_id, hospital_id::BIGINT AS hospital_id FROM dp
 INTERSECT SELECT doctor_id, hospital_id FROM hp""",
 
-    "better_not_held": _w(MARKET, STATE, """
+    "better_not_held": _w(MARKET, STATE2, """
 w AS (SELECT hospital_id, max(hospital_rank) AS worst FROM state GROUP BY 1),
 cand AS (SELECT e.hospital_id, e.doctor_id FROM edges e JOIN w USING (hospital_id)
          WHERE e.hospital_rank < w.worst)""") + """
@@ -366,6 +512,17 @@ SELECT h::BIGINT AS hospital_id, list_max(dp)::BIGINT AS utility,
 
     "synthetic_market": _w(SYNTH) + f"SELECT {EDGE_SELECT} FROM edges",
 
+    "match_contracts": _w(MARKET, TERMS, *[_contract_round(r) for r in range(1, CONTRACT_ROUNDS + 1)],
+                          recursive=True) + f"""
+SELECT doctor_id::BIGINT AS doctor_id, hospital_id::BIGINT AS hospital_id, doctor_rank::BIGINT AS doctor_rank,
+       hospital_rank::BIGINT AS hospital_rank, v::BIGINT AS utility, p::BIGINT AS price,
+       (CASE {" ".join(f"WHEN (SELECT n FROM n{r}) = 0 THEN {r}" for r in range(1, CONTRACT_ROUNDS))}
+        ELSE {CONTRACT_ROUNDS} END)::BIGINT AS rounds,
+       {" OR ".join(f"(SELECT n FROM n{r}) = 0" for r in range(1, CONTRACT_ROUNDS + 1))} AS converged
+FROM m{CONTRACT_ROUNDS}""",
+
+    "synthetic_market_distinct": _w(DISTINCT_SYNTH) + f"SELECT {EDGE_SELECT} FROM edges",
+
     "match_synthetic": _w(SYNTH, I2, recursive=True) + f"SELECT {EDGE_SELECT} FROM i2",
 }
 
