@@ -15,7 +15,6 @@ operators  row and group operators (ranking, reshaping, filters, joins,
            aggregates, set operations, knapsack choice, verification)
 plans      iterative matching plans (hospital-optimal, doctor-optimal,
            contracts) and their convergence reports
-streaming  intentionally empty (the reference has no streaming surface)
 
 Modules
 -------
