@@ -7,6 +7,10 @@ Runs on ``local[$BENCH_CPUS]`` (default 8) against ``$BENCH_SF_DIR`` (default
 Each query is timed end to end (plan + all Spark jobs + executing its result
 plan into a ``noop`` sink).  The market is built once by the first query and reused by the
 others, as a user would reuse a built edge table.
+
+``BENCH_PUBLISHED="4100x500x300,10250x1250x300"`` times instead the matching and
+its check on generated markets of these sizes (doctors x hospitals x choices),
+laid out over at least 64 partitions.
 """
 
 from __future__ import annotations
@@ -29,7 +33,36 @@ HEADLINE = [
 ]
 
 
+def published(sizes: str) -> None:
+    """Hospital-optimal matching plus check on generated markets."""
+    from pyspark.sql import functions as F
+
+    from duetto.names import DOCTOR
+    from duetto.operators.verify import assert_stable
+    from duetto.plans.hospital_optimal import match_hospital_optimal
+    from duetto.session import cut_lineage, layout_partitions, local_session
+    from duetto.sources.synth import generate_preferences
+
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
+    times, rounds, edges = {}, {}, {}
+    for size in sizes.split(","):
+        n_d, n_h, k = map(int, size.split("x"))
+        docs = spark.range(n_d).select(F.col("id").alias(DOCTOR))
+        e = cut_lineage(generate_preferences(docs, n_h, k))
+        edges[size] = e.count()
+        t = time.time()
+        r = match_hospital_optimal(e, 6, n_parts=max(64, layout_partitions(spark, edges[size])))
+        assert_stable(e, r.matching, 6)
+        times[size], rounds[size] = round(time.time() - t, 3), r.rounds
+    print(json.dumps({"metric": "published_sizes_total", "value": round(sum(times.values()), 3),
+                      "unit": "sec", "queries": times, "rounds": rounds, "edges": edges}))
+    spark.stop()
+
+
 def main() -> None:
+    if os.environ.get("BENCH_PUBLISHED"):
+        return published(os.environ["BENCH_PUBLISHED"])
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from duetto.catalog import QUERIES
