@@ -22,6 +22,12 @@ class NotConverged(RuntimeError):
     """A caller's round limit ended a loop, or the loop can never end."""
 
 
+#: The edges are written anew when fewer than this share of them is left.  Dead
+#: edges then cost no more than the live ones, and all the copies together are
+#: smaller than the first.
+COMPACT_BELOW = 0.5
+
+
 def round_numbers(max_iter: int | None):
     """1, 2, ... up to ``max_iter``; without end if it is None."""
     return itertools.count(1) if max_iter is None else range(1, max_iter + 1)

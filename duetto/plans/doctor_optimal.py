@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import top_n_per_group
+from duetto.plans import common
 from duetto.plans.common import (MatchResult, NotConverged, attach_quota, changes_frame,
                                  count_changes, observed_count, round_numbers, with_row_count)
-from duetto.session import (bounded_broadcast, cut_lineage, fits_broadcast, layout_partitions,
+from duetto.session import (bounded_broadcast, compacted, cut_lineage, fits_broadcast, layout_partitions,
                             pin_layout)
 
 
@@ -128,12 +129,12 @@ def _accelerated_rewrite(e: DataFrame, n, max_n: int, max_iter: int | None, trac
 
 
 def _accelerated(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool,
-                 n_parts: int | None = None):
+                 n_parts: int, size: int):
     """Accelerated rounds.  Cuts only move up (a hospital's held proposals
     keep proposing to it), so the remaining edges are always "original edges
     minus those below their hospital's current cut": the state is the held
-    proposals (at most quota x hospitals rows) and the edge table is never
-    rewritten.
+    proposals (at most quota x hospitals rows).  The edges are written anew,
+    without the dead ones, only when most of them are dead.
 
     The live edges only shrink, so round k-1 deleted nothing iff round k sees
     as many live edges as round k-1.  That count is observed inside the
@@ -144,8 +145,7 @@ def _accelerated(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool,
     worst_h = cut_lineage(e.groupBy(HOSPITAL).agg(F.max(HOSPITAL_RANK).alias("_worst")))
     bound = worst_h.count()              # one cut per hospital at most
     if not fits_broadcast(e.sparkSession, bound, 24):
-        return _accelerated_rewrite(e, n, max_n, max_iter, trace, worst_h, bound,
-                                    n_parts or e.rdd.getNumPartitions())
+        return _accelerated_rewrite(e, n, max_n, max_iter, trace, worst_h, bound, n_parts)
     changes: list[int] = []
     held = older = None
     n_live_prev = None
@@ -155,22 +155,28 @@ def _accelerated(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool,
             live = e.join(bounded_broadcast(_cuts(held, n), bound, row_bytes=24),
                           (F.col(HOSPITAL) == F.col("_h")) & (F.col(HOSPITAL_RANK) > F.col("_cut")),
                           "left_anti")
-        live, obs = with_row_count(live)
+        left = live
+        live, obs = with_row_count(left)
         new = cut_lineage(held_proposals(proposals(live), n, max_n))
+        n_live = observed_count(obs)
         if trace:
             deleting, changed = _round_summary(new, held, n, worst_h, bound, True)
             changes.append(changed)
             if not deleting:
+                e.unpersist()
                 return new, rounds, True, changes
         else:
-            n_live = observed_count(obs)
             if (n_live is None or n_live == n_live_prev) and held is not None \
                     and not _round_summary(held, older, n, worst_h, bound, False)[0]:
                 # Round rounds-1 deleted nothing: its proposals are the answer
                 # (this round recomputed the same ones).
+                e.unpersist()
                 return held, rounds - 1, True, changes
             n_live_prev = n_live
+        if n_live and n_live < common.COMPACT_BELOW * size:
+            e, size = compacted(left, e), n_live
         older, held = held, new
+    e.unpersist()
     if not trace and not _round_summary(held, older, n, worst_h, bound, False)[0]:
         return held, max_iter, True, changes
     raise NotConverged(f"edges are still deleted after {max_iter} rounds")
@@ -230,11 +236,12 @@ def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int | None = None,
     """
     spark = edges.sparkSession
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
-    n_parts = layout_partitions(spark, e.count())
+    size = e.count()
+    n_parts = layout_partitions(spark, size)
     e = pin_layout(_layout(e, n_parts))
     try:
         if accelerate:
-            held, rounds, converged, changes = _accelerated(e, n, max_n, max_iter, trace, n_parts)
+            held, rounds, converged, changes = _accelerated(e, n, max_n, max_iter, trace, n_parts, size)
         else:
             held, rounds, converged, changes = _plain(e, n, max_n, max_iter, trace)
     finally:

@@ -14,9 +14,10 @@ fixpoint is the hospital-optimal stable matching.
 
 State.  A doctor's best offer never gets worse, so after round k the remaining
 edges are exactly "the original edges minus those a doctor ranks below its
-current best offer".  The loop therefore never rewrites the edge table: the
+current best offer".  The loop therefore needs no edge table of its own: the
 only state is the round's offers (at most quota x hospitals rows), and each
-round reads the original edges through an anti join with them ("some offer
+round reads the laid-out edges through an anti join with them; these are
+written anew, without the dead ones, whenever most of them are dead ("some offer
 ranks better" is the same test as "below the best offer", so the offers need
 no per-doctor reduction and the round has a single shuffle: the trimmed
 top-n rows).
@@ -49,10 +50,11 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import top_n_per_group
+from duetto.plans import common
 from duetto.plans.common import (MatchResult, NotConverged, attach_quota, observed_count,
                                  round_numbers, with_row_count)
-from duetto.session import (bounded_broadcast, cut_lineage, fits_broadcast, layout_partitions,
-                            pin_layout)
+from duetto.session import (bounded_broadcast, compacted, cut_lineage, fits_broadcast,
+                            layout_partitions, pin_layout)
 
 #: Hospital ranks that stay together in one partition.
 RANK_BLOCK = 4096
@@ -148,15 +150,12 @@ def match_hospital_optimal(edges: DataFrame, quota=6, max_iter: int | None = Non
     worst = cut_lineage(e.groupBy(DOCTOR).agg(F.max(DOCTOR_RANK).alias("_worst")))
     # Proven bound on the matching: at most max_n offers per hospital.
     bound = max_n * e.select(HOSPITAL).distinct().count()
-    try:
-        match, rounds, changes = _rounds(e, n, max_n, max_iter, trace, worst, bound)
-    finally:
-        e.unpersist()
+    match, rounds, changes = _rounds(e, n, max_n, max_iter, trace, worst, bound, size["edges"])
     return MatchResult(matching=match.select(*EDGE_COLUMNS), rounds=rounds,
                        converged=True, changes=changes)
 
 
-def _rounds(e, n, max_n, max_iter, trace, worst, bound):
+def _rounds(e, n, max_n, max_iter, trace, worst, bound, size):
     """The loop.  The live edges only shrink, so round k-1 deleted nothing iff
     round k sees as many live edges; that count is observed inside the
     round's one job, and only a repeated count triggers the exact check.
@@ -171,20 +170,26 @@ def _rounds(e, n, max_n, max_iter, trace, worst, bound):
                               worst, bound)
 
     for rounds in round_numbers(max_iter):
-        live, obs = with_row_count(remaining_edges(e, offers, bound))
+        left = remaining_edges(e, offers, bound)
+        live, obs = with_row_count(left)
         new = cut_lineage(round_offers(live, n, max_n))
+        n_live = observed_count(obs)
         if trace:
             _, changed, deleting = summary(new, offers)
             changes.append(changed)
             if not deleting:
+                e.unpersist()
                 return cut_lineage(best_of(new)), rounds, changes
         else:
-            n_live = observed_count(obs)
             if (n_live is None or n_live == n_live_prev) and offers is not None \
                     and not summary(offers, older)[2]:
+                e.unpersist()
                 return cut_lineage(best_of(offers)), rounds - 1, changes
             n_live_prev = n_live
+        if n_live and n_live < common.COMPACT_BELOW * size:
+            e, size = compacted(left, e), n_live
         older, offers = offers, new
+    e.unpersist()
     if not trace and not summary(offers, older)[2]:
         return cut_lineage(best_of(offers)), max_iter, changes
     raise NotConverged(f"edges are still deleted after {max_iter} rounds")

@@ -128,6 +128,14 @@ def pin_layout(df: DataFrame) -> DataFrame:
     return cut_lineage(df, keep_layout=True).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def compacted(live: DataFrame, old: DataFrame) -> DataFrame:
+    """``live``, rows of the laid-out ``old``, pinned in its place (layout kept)."""
+    new = pin_layout(live)
+    new.count()         # filled from the checkpoint before the old copy goes
+    old.unpersist()
+    return new
+
+
 def broadcast_budget(spark: SparkSession) -> int:
     """Bytes we allow to broadcast: the session's auto threshold if enabled."""
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(_DEFAULT_BROADCAST_BYTES))

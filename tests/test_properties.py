@@ -99,6 +99,19 @@ def test_assert_stable_raises_on_a_blocking_pair(spark):
         vf.assert_stable(e, e.where("hospital_id = 1"), 1)
 
 
+@pytest.mark.parametrize("trace", [False, True])
+def test_compacted_edges_give_the_same_rounds(spark, monkeypatch, trace):
+    from duetto.plans import common
+    e = _edges(spark, 80, 12, 5, 4).checkpoint()
+    for fn in (match_hospital_optimal, match_doctor_optimal):
+        monkeypatch.setattr(common, "COMPACT_BELOW", 0.0)       # never
+        a = fn(e, 3, trace=trace)
+        monkeypatch.setattr(common, "COMPACT_BELOW", 0.999)     # whenever an edge is dead
+        b = fn(e, 3, trace=trace)
+        assert (a.rounds, a.changes) == (b.rounds, b.changes)
+        assert _as_dict(a.matching) == _as_dict(b.matching)
+
+
 def chain(spark, n):
     """A market in which every rejection causes the next: doctor d prefers
     hospital d - 1 to d, and hospital h prefers doctor h + 1 to h, but doctor 0
