@@ -36,6 +36,7 @@ ALPHABET = 61           # letters that are told apart; the rest is one symbol
 BLOCK = 1024            # texts are parsed in blocks of so many symbols
 LANES = 4096            # blocks that advance together
 UNDETERMINED = "und"
+ABOVE_CHANCE = 1.05     # a score that is no better than this times chance tells nothing
 SCORE_SCALE = 1.0       # bits a symbol; the score is a softmax of -entropy / scale
 
 GAP, OTHER, FIRST = 0, 1, 2     # symbols: between letters; a letter beyond the alphabet
@@ -264,10 +265,15 @@ def identify(docs: DataFrame) -> DataFrame:
                       F.col("language.score").alias("score"), F.col("language.bits").alias("bits"))
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
+def least_score(languages: int) -> float:
+    """The score that tells a language from chance among so many."""
+    return min(1.0, ABOVE_CHANCE / max(1, languages))
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is known: predicted, and with a score
-    of ``min_score`` at least.  All columns stay as they are."""
-    name = fresh(docs, "language")
-    judged = predict(docs, fit(training_sample(docs)), name)
+    of :func:`least_score` at least.  All columns stay as they are."""
+    name, model = fresh(docs, "language"), fit(training_sample(docs))
+    judged = predict(docs, model, name)
     return judged.filter((F.col(f"{name}.lang_pred") != UNDETERMINED)
-                         & (F.col(f"{name}.score") >= min_score)).drop(name)
+                         & (F.col(f"{name}.score") >= least_score(len(model.languages)))).drop(name)

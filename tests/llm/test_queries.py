@@ -72,7 +72,7 @@ def test_stages_on_the_documents(spark):
     two = corpus_pipeline.identified(spark, one, SF).checkpoint()
     judged = {r["doc_id"]: r for r in language.identify(one).collect()}
     kept = {r["doc_id"] for r in two.collect()}
-    assert kept == {i for i, r in judged.items() if r["lang_pred"] != "und" and r["score"] >= 0.3}
+    assert kept == {i for i, r in judged.items() if r["lang_pred"] != "und" and r["score"] >= language.least_score(4)}
     # Near-duplicates: the smallest of each component, by comparing all pairs.
     three = corpus_pipeline.deduplicated(spark, two, SF).checkpoint()
     comp = brute.near_components([(i, texts[i]) for i in sorted(kept)])
