@@ -1,10 +1,10 @@
 """Subword encoding and decoding through a distinct-word table.
 
 Texts are split into words (the tokenizer's normaliser and splitting rule) in
-blocks: a block numbers its distinct words and keeps its texts as numbers.  All
-blocks' words meet in one table of distinct words, where each is encoded once
-and decoded through a join of its ids to the vocabulary's pieces.  The ids are
-joined back to the blocks' numbers, and every text is put together by position.
+blocks: a block numbers its distinct words and keeps its texts as numbers.  The
+words of all blocks meet by word; each distinct word is encoded once, and its ids
+go back to the blocks that have it.  There the ids are joined to the vocabulary's
+pieces, and every text is put together by position.
 
 What is shuffled is the distinct words of each block, not the words of each
 text.  A block is named by a digest of its words, so that a block and its words
@@ -21,7 +21,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -134,9 +133,23 @@ class Numbered:
                                       count=len(words)))
         self.chars += len(text or "")
 
-    def name(self) -> bytes:
-        return hashlib.blake2b("\0".join(self.numbers).encode("utf-8", "surrogatepass"),
-                               digest_size=12).digest()
+    def words(self) -> list[str]:
+        """The words, the frequent ones first, and the texts numbered so: small
+        numbers take less room in the shuffle."""
+        count = np.zeros(len(self.numbers), np.int64)
+        for at in range(0, len(self.texts), 500):
+            count += np.bincount(np.concatenate(self.texts[at:at + 500]), minlength=len(count))
+        order = np.argsort(-count, kind="stable")
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order), dtype=np.uint32)
+        self.texts = [place[t] for t in self.texts]
+        own = list(self.numbers)
+        return [own[i] for i in order.tolist()]
+
+
+def _name(words: list[str]) -> bytes:
+    return hashlib.blake2b("\0".join(words).encode("utf-8", "surrogatepass"),
+                           digest_size=12).digest()
 
 
 def _squeeze(numbers: np.ndarray) -> bytes:
@@ -168,7 +181,8 @@ def block_words(docs: DataFrame, vocabulary) -> DataFrame:
     """``block, number, word``: the distinct words of every block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _ in _blocks(batches, Splitter(vocabulary.value)):
-            words, name = list(block.numbers), block.name()
+            words = block.words()
+            name = _name(words)
             for at in range(0, len(words), 20_000):
                 some = words[at:at + 20_000]
                 yield pa.RecordBatch.from_arrays(
@@ -183,7 +197,7 @@ def block_texts(docs: DataFrame, vocabulary) -> DataFrame:
     """``block, doc_id, numbers``: every row of ``docs`` as word numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, ids in _blocks(batches, Splitter(vocabulary.value)):
-            name, at = block.name(), 0
+            name, at = _name(block.words()), 0
             for part in ids:
                 texts = block.texts[at:at + len(part)]
                 at += len(part)
@@ -197,105 +211,103 @@ def block_texts(docs: DataFrame, vocabulary) -> DataFrame:
     return own.mapInArrow(run, f"block binary, doc_id {kind}, numbers binary")
 
 
-def encode_words(words: DataFrame, vocabulary) -> DataFrame:
-    """``word, places, ids, decoded``: every distinct word of ``words(block,
-    number, word)`` once, with the blocks and numbers it has there, its ids by
-    the model's merges, and its pieces by a join of the ids, with spaces between."""
-    spark = words.sparkSession
+def encoded_words(words: DataFrame, vocabulary) -> DataFrame:
+    """``block, numbers, sizes, ids``: the words of each block with their ids, a
+    few packed rows a block, from ``words(block, number, word)``.
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    All rows of a word are in one partition, next to one another: it is encoded
+    once and kept no longer than its rows last.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
         spec = json.loads(vocabulary.value)
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        special = {t["content"]: [t["id"]] for t in spec["added_tokens"]}
         model = Tokenizer.from_str(json.dumps({
             **spec, "added_tokens": [], "normalizer": None, "post_processor": None,
             "truncation": None, "padding": None,
             "pre_tokenizer": spec["pre_tokenizer"]["pretokenizers"][1]}))
         del spec
-        for s in batches:
-            got = model.encode_batch(s.tolist(), add_special_tokens=False)
-            yield pd.Series([[special[w]] if w in special else e.ids for w, e in zip(s, got)])
-
-    # What stands between the shuffle by word and the decoded words needs no other.
-    each = (words.groupBy("word").agg(F.collect_list(F.struct("block", "number")).alias("places"))
-            .withColumn("ids", encode("word"))
-            .select("word", "places", F.posexplode_outer("ids").alias("at", "id"))
-            .join(F.broadcast(pieces(spark, vocabulary.value)), "id", "left"))
-    parts = F.sort_array(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "id", "piece"))))
-    return (each.groupBy("word").agg(F.first("places").alias("places"), parts.alias("p"))
-            .select("word", "places", F.col("p.id").alias("ids"),
-                    F.array_join("p.piece", " ").alias("decoded")))
-
-
-def pieces(spark: SparkSession, vocabulary: str) -> DataFrame:
-    """``id, piece``: one row for each id; as many as the tokenizer has."""
-    spec = json.loads(vocabulary)
-    names = {**{i: t for t, i in spec["model"]["vocab"].items()},
-             **{t["id"]: t["content"] for t in spec["added_tokens"]}}
-    return spark.createDataFrame(
-        pa.table({"id": pa.array(list(names), pa.int32()), "piece": pa.array(list(names.values()))}))
-
-
-def _packed_words(coded: DataFrame) -> DataFrame:
-    """``block, numbers, sizes, ids, decoded``: the encoded words of a block in a
-    few packed rows, so that the way back to the blocks moves little."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, list] = {}
-        count = 0
+        held: dict[bytes, list[tuple]] = {}
+        count, last = 0, (None, [])
 
         def out() -> pa.RecordBatch:
             rows = []
             for name, parts in held.items():
-                numbers, ids, decoded = (pa.concat_arrays([p[i] for p in parts]) for i in range(3))
-                rows.append((name, _squeeze(numbers.to_numpy()),
-                             _squeeze(np.asarray(pc.list_value_length(ids))),
-                             _squeeze(ids.flatten().to_numpy()),
-                             zlib.compress("\n".join(decoded.to_pylist()).encode(), 1)))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.binary()) for c in zip(*rows)],
-                names=["block", "numbers", "sizes", "ids", "decoded"])
+                numbers, sizes, ids = (np.concatenate(x) for x in zip(*parts))
+                rows.append((name, _squeeze(numbers), _squeeze(sizes), _squeeze(ids)))
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows)],
+                                              names=["block", "numbers", "sizes", "ids"])
 
         for b in batches:
-            t = pa.Table.from_batches([b]).sort_by("block").combine_chunks()
-            names = t.column("block").to_pylist()
-            edges = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
-            for s, e in zip(edges, edges[1:]):
-                if e > s:
-                    part = t.slice(s, e - s)
-                    held.setdefault(names[s], []).append(
-                        [part.column(c).combine_chunks() for c in ("number", "ids", "decoded")])
-            count += len(names)
-            if count >= 2_000_000:
+            if not b.num_rows:
+                continue
+            words = pc.dictionary_encode(b.column("word"))
+            distinct = words.dictionary.to_pylist()
+            ids = [e.ids for e in model.encode_batch(
+                [w for w in distinct if w != last[0] and w not in special], add_special_tokens=False)]
+            fresh = iter(ids)
+            coded = [last[1] if w == last[0] else special[w] if w in special else next(fresh)
+                     for w in distinct]
+            last = (distinct[-1], coded[-1])
+            size = np.array([len(c) for c in coded], np.int64)
+            flat = np.array([i for c in coded for i in c], np.int64)
+            start = np.cumsum(size) - size
+            which = words.indices.to_numpy()
+            blocks = pc.dictionary_encode(b.column("block"))
+            owner, number = blocks.indices.to_numpy(), b.column("number").to_numpy()
+            order = np.argsort(owner, kind="stable")
+            edges = np.searchsorted(owner[order], np.arange(len(blocks.dictionary) + 1))
+            for k, name in enumerate(blocks.dictionary.to_pylist()):
+                at = order[edges[k]:edges[k + 1]]
+                n = size[which[at]]
+                where = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(
+                    start[which[at]], n)
+                held.setdefault(name, []).append((number[at], n, flat[where]))
+            count += b.num_rows
+            if count >= 1_000_000:
                 yield out()
                 held, count = {}, 0
         if held:
             yield out()
 
-    return coded.select("block", "number", "ids", "decoded").mapInArrow(
-        run, "block binary, numbers binary, sizes binary, ids binary, decoded binary")
+    return (words.repartition("word").sortWithinPartitions("word")
+            .select("block", "number", "word")
+            .mapInArrow(run, "block binary, numbers binary, sizes binary, ids binary"))
+
+
+def piece_names(vocabulary: str) -> dict[int, str]:
+    """The piece of every id."""
+    spec = json.loads(vocabulary)
+    return {**{i: t for t, i in spec["model"]["vocab"].items()},
+            **{t["id"]: t["content"] for t in spec["added_tokens"]}}
+
+
+def pieces(spark: SparkSession, vocabulary: str) -> DataFrame:
+    """``id, piece``: one row for each id; as many as the tokenizer has."""
+    names = piece_names(vocabulary)
+    return spark.createDataFrame(
+        pa.table({"id": pa.array(list(names), pa.int32()), "piece": pa.array(list(names.values()))}))
 
 
 class _Coded:
-    """The encoded words of one block, by number."""
+    """The encoded words of one block, by number, joined to their pieces."""
 
-    def __init__(self, table: pa.Table):
-        numbers, sizes, ids, decoded = [], [], [], []
+    def __init__(self, table: pa.Table, names: dict[int, str]):
+        numbers, sizes, ids = [], [], []
         for r in table.to_pylist():
             numbers.append(_spread(r["numbers"]))
-            sizes.append(_spread(r["sizes"]).astype(np.int64))
+            sizes.append(_spread(r["sizes"]))
             ids.append(_spread(r["ids"]))
-            decoded += zlib.decompress(r["decoded"]).decode().split("\n")
         none = np.zeros(0, np.int64)
         numbers, sizes, ids = (np.concatenate([*x, none]).astype(np.int64) for x in (numbers, sizes, ids))
         top = int(numbers.max()) + 1 if len(numbers) else 0
         self.at, self.size = np.zeros(top, np.int64), np.full(top, -1, np.int64)
         self.at[numbers], self.size[numbers] = np.cumsum(sizes) - sizes, sizes
         self.ids = ids.astype("<u4")
-        self.decoded = [""] * top
-        for n, d in zip(numbers.tolist(), decoded):
-            self.decoded[n] = d
+        shown = list(map(names.__getitem__, ids.tolist()))
+        self.decoded = [" ".join(shown[a:a + n]) if n > 1 else shown[a] if n == 1 else ""
+                        for a, n in zip(self.at.tolist(), self.size.tolist())]
 
     def text(self, numbers: np.ndarray) -> tuple[np.ndarray, str]:
         if len(numbers) and (numbers.max() >= len(self.size) or (self.size[numbers] < 0).any()):
@@ -311,21 +323,18 @@ def _assemble(docs: DataFrame, vocabulary: str, of, names: str) -> DataFrame:
     """``doc_id`` and the columns ``names`` that ``of(ids, decoded)`` returns."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     check_form(json.loads(vocabulary))
-    words = block_words(docs, shared)
-    coded = (encode_words(words, shared)
-             .select(F.explode("places").alias("place"), "ids", "decoded")
-             .select("place.block", "place.number", "ids", "decoded"))
+    coded = encoded_words(block_words(docs, shared), shared)
     texts = block_texts(docs, shared)
     kind = texts.schema["doc_id"].dataType.simpleString()
     fields = [x.split(" ")[0] for x in names.split(", ")]
 
     def put(left: pa.Table, right: pa.Table) -> pa.Table:
-        words = _Coded(right)
+        words = _Coded(right, piece_names(shared.value))
         rows = [of(*words.text(_spread(x.as_py()).astype(np.int64))) for x in left.column("numbers")]
         return pa.table([left.column("doc_id"), *(pa.array(c) for c in zip(*rows))],
                         names=["doc_id", *fields])
 
-    return (texts.groupBy("block").cogroup(_packed_words(coded).groupBy("block"))
+    return (texts.groupBy("block").cogroup(coded.groupBy("block"))
             .applyInArrow(put, f"doc_id {kind}, {names}"))
 
 
