@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import unicodedata
 import zlib
@@ -26,6 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duetto.llm.common import per_process
+
 #: A block ends with its task's input or at about so many characters.
 BLOCK_CHARS = 64_000_000
 #: Texts whose characters are all below this code point are split by Python's re,
@@ -111,6 +114,29 @@ class Splitter:
         return out
 
 
+def _key(vocabulary: str, role: str) -> str:
+    return f"bpe {role} {hashlib.blake2b(vocabulary.encode(), digest_size=12).hexdigest()}"
+
+
+def _splitter(vocabulary: str) -> Splitter:
+    return per_process(_key(vocabulary, "splitter"), lambda: Splitter(vocabulary))
+
+
+def _word_model(vocabulary: str):
+    """The tokenizer without normaliser and splitting rule, for words."""
+    def build():
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")    # a task has one core
+        from tokenizers import Tokenizer
+
+        spec = json.loads(vocabulary)
+        return Tokenizer.from_str(json.dumps({
+            **spec, "added_tokens": [], "normalizer": None, "post_processor": None,
+            "truncation": None, "padding": None,
+            "pre_tokenizer": spec["pre_tokenizer"]["pretokenizers"][1]}))
+
+    return per_process(_key(vocabulary, "words"), build)
+
+
 class _Numbers(dict):
     """Words by number, in the order in which they came."""
 
@@ -175,12 +201,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], splitter: Splitter) -> Iterator[t
             block, kept = Numbered(), []
     if kept:
         yield block, kept
+    del block, kept
+    pa.default_memory_pool().release_unused()
 
 
 def block_words(docs: DataFrame, vocabulary) -> DataFrame:
     """``block, number, word``: the distinct words of every block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _ in _blocks(batches, Splitter(vocabulary.value)):
+        for block, _ in _blocks(batches, _splitter(vocabulary.value)):
             words = block.words()
             name = _name(words)
             for at in range(0, len(words), 20_000):
@@ -196,7 +224,7 @@ def block_words(docs: DataFrame, vocabulary) -> DataFrame:
 def block_texts(docs: DataFrame, vocabulary) -> DataFrame:
     """``block, doc_id, numbers``: every row of ``docs`` as word numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, ids in _blocks(batches, Splitter(vocabulary.value)):
+        for block, ids in _blocks(batches, _splitter(vocabulary.value)):
             name, at = _name(block.words()), 0
             for part in ids:
                 texts = block.texts[at:at + len(part)]
@@ -219,15 +247,8 @@ def encoded_words(words: DataFrame, vocabulary) -> DataFrame:
     once and kept no longer than its rows last.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        spec = json.loads(vocabulary.value)
-        special = {t["content"]: [t["id"]] for t in spec["added_tokens"]}
-        model = Tokenizer.from_str(json.dumps({
-            **spec, "added_tokens": [], "normalizer": None, "post_processor": None,
-            "truncation": None, "padding": None,
-            "pre_tokenizer": spec["pre_tokenizer"]["pretokenizers"][1]}))
-        del spec
+        special = {w: [i] for w, i in _splitter(vocabulary.value).specials.items()}
+        model = _word_model(vocabulary.value)
         held: dict[bytes, list[tuple]] = {}
         count, last = 0, (None, [])
 
@@ -329,7 +350,8 @@ def _assemble(docs: DataFrame, vocabulary: str, of, names: str) -> DataFrame:
     fields = [x.split(" ")[0] for x in names.split(", ")]
 
     def put(left: pa.Table, right: pa.Table) -> pa.Table:
-        words = _Coded(right, piece_names(shared.value))
+        names = per_process(_key(shared.value, "pieces"), lambda: piece_names(shared.value))
+        words = _Coded(right, names)
         rows = [of(*words.text(_spread(x.as_py()).astype(np.int64))) for x in left.column("numbers")]
         return pa.table([left.column("doc_id"), *(pa.array(c) for c in zip(*rows))],
                         names=["doc_id", *fields])

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duetto.session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["cut", "ensure_checkpoint_dir", "fold_of", "fresh", "table"]
+__all__ = ["cut", "ensure_checkpoint_dir", "fold_of", "fresh", "per_process", "table"]
 
 #: One document in ``FOLDS`` is held out of every fit.
 FOLDS = 5
@@ -40,3 +44,12 @@ def fold_of(doc_id: Column) -> Column:
     is ever learned from it.
     """
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
+
+
+def per_process(key: str, build: Callable[[], object]) -> object:
+    """What ``build`` returns, made once in a process: later tasks of the same
+    worker find it again, although their functions come anew with each task."""
+    kept = vars(sys.modules.setdefault("_duetto_kept", types.ModuleType("_duetto_kept")))
+    if key not in kept:
+        kept[key] = build()
+    return kept[key]
