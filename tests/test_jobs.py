@@ -31,3 +31,26 @@ def test_main_exit_code(spark):
     base = scratch_path(spark, "jobs-main")
     assert jobs.main(["generate", base, "--doctors", "20", "--hospitals", "4", "--choices", "3"]) == 0
     assert jobs.main(["match", f"{base}/doctors", f"{base}/hospitals", "--quota", "2"]) == 0
+
+
+def _scans(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [value")
+
+
+def test_a_read_market_is_parsed_once(spark, tmp_path):
+    from duetto.session import cut_lineage
+    from duetto.sources.text import read_market_text, read_preferences_text
+    jobs.generate(spark, str(tmp_path / "m"), 40, 6, 4)
+    one = read_preferences_text(spark, str(tmp_path / "m" / "doctors"), "doctor_id")
+    assert _scans(one) == 1             # numbering the lines reads no second time
+    edges, _ = read_market_text(spark, str(tmp_path / "m" / "doctors"), str(tmp_path / "m" / "hospitals"))
+    assert _scans(edges) == 2 and _scans(cut_lineage(edges)) == 0
+
+
+def test_what_fails_its_check_is_not_written(spark, tmp_path):
+    import os
+    jobs.generate(spark, str(tmp_path / "m"), 60, 6, 4)
+    out = tmp_path / "out"
+    rep = jobs.match(spark, str(tmp_path / "m" / "doctors"), str(tmp_path / "m" / "hospitals"),
+                algorithm="contracts", max_iter=1, out=str(out))
+    assert not rep["converged"] and "out" not in rep and not os.path.exists(out)
