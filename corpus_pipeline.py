@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from duetto.llm import language, neardup, packing, secrets, toxicity
 from duetto.llm.common import ensure_checkpoint_dir, table
 
+#: Documents that share so much of their shingles' union are near-duplicates here.
+NEAR_PERCENT = 80
+
 
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxicity: documents with a score of 0.5 or more go."""
@@ -26,7 +29,7 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near-duplicates: the smallest doc_id of each group stays."""
-    return neardup.keep_one_of_each(docs)
+    return neardup.keep_one_of_each(docs, NEAR_PERCENT)
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,10 +30,11 @@ from duetto.llm.common import cut, fresh
 from duetto.llm.components import components
 
 SHINGLE = 5
-SIMILAR_PERCENT = 85        # of the union
-#: A pair at the threshold shares a band with probability 1 - 3e-7.
-BANDS, ROWS = 32, 6
-MINIMA = BANDS * ROWS
+SIMILAR_PERCENT = 85        # of the union, unless a caller names another threshold
+#: Minima of a set, and the most of them that one band joins.
+MINIMA, ROWS = 192, 6
+#: A pair at the threshold shares no band with this probability at most.
+MISSED = 3e-7
 BITS = 2
 #: Estimates lie within this many standard deviations (beyond: 3e-7).
 DEVIATIONS = 5.0
@@ -91,9 +92,19 @@ def minima_of(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(minima: np.ndarray) -> np.ndarray:
-    rows = (minima.reshape(BANDS, ROWS).astype(np.uint64) + np.uint64(1)) * _ROW
-    return _mix(rows.sum(axis=1) + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+def bands_for(percent: int) -> tuple[int, int]:
+    """Bands and rows of a band: the longest bands that miss few enough pairs at
+    the threshold (85: 32 of 6; 80: 38 of 5)."""
+    for rows in range(ROWS, 0, -1):
+        if (1 - (percent / 100) ** rows) ** (MINIMA // rows) <= MISSED:
+            return MINIMA // rows, rows
+    raise ValueError(f"{MINIMA} minima don't find pairs that share {percent} % of the union")
+
+
+def band_keys(minima: np.ndarray, percent: int = SIMILAR_PERCENT) -> np.ndarray:
+    bands, n = bands_for(percent)
+    rows = (minima[:bands * n].reshape(bands, n).astype(np.uint64) + np.uint64(1)) * _ROW[:n]
+    return _mix(rows.sum(axis=1) + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def pack(minima: np.ndarray) -> bytes:
@@ -102,11 +113,11 @@ def pack(minima: np.ndarray) -> bytes:
     return (low[:, 0] | low[:, 1] << 2 | low[:, 2] << 4 | low[:, 3] << 6).astype(np.uint8).tobytes()
 
 
-def least_estimate() -> float:
+def least_estimate(percent: int = SIMILAR_PERCENT) -> float:
     """Pairs at the threshold are estimated above this, but for chance."""
     chance = 0.5 ** BITS
-    p = chance + (1 - chance) * SIMILAR_PERCENT / 100
-    return SIMILAR_PERCENT / 100 - DEVIATIONS * np.sqrt(p * (1 - p) / MINIMA) / (1 - chance)
+    p = chance + (1 - chance) * percent / 100
+    return percent / 100 - DEVIATIONS * np.sqrt(p * (1 - p) / MINIMA) / (1 - chance)
 
 
 def estimates(one: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -117,7 +128,7 @@ def estimates(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return (1 - differ / MINIMA - chance) / (1 - chance)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """``doc_id, th, n, s1, s2, bands, packed`` for every row: size and
     fingerprint of its set, band keys and packed bits (empty without words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +142,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 s2.append(int(_mix(s + np.uint64(1)).sum().astype(np.int64)))
                 if len(s):
                     m = minima_of(s)
-                    bands.append(band_keys(m).view(np.int64))
+                    bands.append(band_keys(m, percent).view(np.int64))
                     packed.append(pack(m))
                 else:
                     bands.append(np.zeros(0, np.int64))
@@ -166,7 +177,7 @@ class _Parts:
         return a != b
 
 
-def links_within(members: pd.DataFrame) -> list[tuple[int, int]]:
+def links_within(members: pd.DataFrame, percent: int = SIMILAR_PERCENT) -> list[tuple[int, int]]:
     """Confirmed links that join the members of one unit: ``rep, th, n, block,
     packed, text``.  With two blocks, only pairs across them are compared.
 
@@ -176,11 +187,11 @@ def links_within(members: pd.DataFrame) -> list[tuple[int, int]]:
     n = members["n"].to_numpy(dtype=np.int64)
     block = members["block"].to_numpy()
     packed = np.frombuffer(b"".join(members["packed"]), dtype=np.uint64).reshape(len(n), -1)
-    across, least = len(set(block)) > 1, least_estimate()
+    across, least = len(set(block)) > 1, least_estimate(percent)
     first, second, near = [], [], []
     for a in range(len(n) - 1):
         rest = n[a + 1:]
-        fits = (100 * np.minimum(rest, n[a]) >= SIMILAR_PERCENT * np.maximum(rest, n[a]))
+        fits = (100 * np.minimum(rest, n[a]) >= percent * np.maximum(rest, n[a]))
         if across:
             fits &= block[a + 1:] != block[a]
         at = np.flatnonzero(fits)
@@ -204,7 +215,7 @@ def links_within(members: pd.DataFrame) -> list[tuple[int, int]]:
             if x not in sets:
                 sets[x] = shingle_set(texts[x], hashes)
         both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-        if 100 * both >= SIMILAR_PERCENT * (len(sets[a]) + len(sets[b]) - both):
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
             parts.join(a, b)
             out.append((rep[a], rep[b]))
     return out
@@ -228,11 +239,12 @@ def _clusters(classes: DataFrame) -> DataFrame:
                       .select(F.col("rep").alias("u"), F.col("hub").alias("v")))
 
 
-def confirmed_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def confirmed_links(docs: DataFrame, classes: DataFrame,
+                    percent: int = SIMILAR_PERCENT) -> DataFrame:
     """``u, v``: links between classes' representatives; within every cluster
     they join exactly what the links of all its pairs would join."""
     def unit(members: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(links_within(members), columns=["u", "v"], dtype="int64")
+        return pd.DataFrame(links_within(members, percent), columns=["u", "v"], dtype="int64")
 
     cluster = (_clusters(classes).join(classes.withColumnRenamed("rep", "node").drop("bands"), "node")
                .select("component", F.col("node").alias("rep"), "th", "n", "packed",
@@ -250,35 +262,35 @@ def confirmed_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
             .groupBy("component", "i", "j").applyInPandas(unit, "u bigint, v bigint"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """``doc_id, th, n_shingles, component_id, kept`` for every row of ``docs``
     (``doc_id, text``; further columns are ignored); ``th`` is xxhash64 of the text.
 
-    Documents are linked if their sets share ``SIMILAR_PERCENT`` of the union;
+    Documents are linked if their sets share ``percent`` of the union or more;
     a component is named by its smallest doc_id.  A text without words is linked
     with nothing, nor is a row without doc_id, whose component is null and which
     is kept.  Rows that share a doc_id are one document with several texts.  An
     empty table gives an empty result.
     """
-    sigs = cut(signatures(docs))
+    sigs = cut(signatures(docs, percent))
     classes = cut(_classes(sigs))
     own = (sigs.select("doc_id", "th", F.col("n").alias("n_shingles"), "n", "s1", "s2")
            .join(classes.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"], "left")
            .withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))))
     same = (own.filter("doc_id is not null").groupBy("doc_id")
             .agg(F.min("rep").alias("u"), F.max("rep").alias("v")).filter("u <> v").select("u", "v"))
-    cc = components(confirmed_links(docs, classes).unionByName(same))
+    cc = components(confirmed_links(docs, classes, percent).unionByName(same))
     component = F.coalesce("component", "rep")
     return (own.join(cc, own["rep"] == cc["node"], "left")
             .select("doc_id", "th", "n_shingles", component.alias("component_id"),
                     F.col("doc_id").eqNullSafe(component).alias("kept")))
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps, all columns as
     they are; of rows that repeat id and text one stays."""
     h = fresh(docs, "th")
-    gone = (near_duplicates(docs).filter("not kept")
+    gone = (near_duplicates(docs, percent).filter("not kept")
             .select("doc_id", F.col("th").alias(h)).distinct())
     return (docs.withColumn(h, F.xxhash64("text")).join(gone, ["doc_id", h], "left_anti")
             .dropDuplicates(["doc_id", h]).select(*docs.columns))

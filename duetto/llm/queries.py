@@ -15,6 +15,7 @@ from duetto.llm.common import table
 from duetto.llm.oracle import SQL  # noqa: F401
 
 WORD_BPE = "word_bpe_49k.json"
+OP3_PERCENT = 85            # of the union, by the query's contract
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +30,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near-duplicates of every document."""
-    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), OP3_PERCENT)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 

@@ -51,7 +51,7 @@ def shingles(text: str | None) -> frozenset:
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4))
 
 
-def near_components(docs: list[tuple]) -> dict:
+def near_components(docs: list[tuple], percent: int = 85) -> dict:
     """doc_id -> smallest doc_id of its component, by comparing all pairs."""
     up = {i: i for i, _ in docs if i is not None}
 
@@ -64,7 +64,7 @@ def near_components(docs: list[tuple]) -> dict:
     for a, (i, s) in enumerate(sets):
         for j, t in sets[:a]:
             both = len(s & t)
-            if s and t and 100 * both >= 85 * (len(s) + len(t) - both):
+            if s and t and 100 * both >= percent * (len(s) + len(t) - both):
                 x, y = root(i), root(j)
                 up[max(x, y)] = min(x, y)
     return {i: root(i) for i in up}

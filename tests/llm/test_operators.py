@@ -214,6 +214,34 @@ def test_one_of_each_stays(odd, clash):
     assert kept.count(None) == 2
 
 
+def at_similarity(rng, n, percent):
+    """A text and an edited copy whose sets share about ``percent`` of the union:
+    a few words at one end differ."""
+    w = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    k = round((n - 4) * (1 - percent / 100) / (1 + percent / 100))
+    return " ".join(w), " ".join(w[:n - k] + [f"x{rng.randrange(10**9)}" for _ in range(k)])
+
+
+def test_stage_links_at_four_fifths(spark):
+    rng = random.Random(80)
+    texts = [t for k in range(60) for t in at_similarity(rng, 120 + 3 * k, 78 + k % 8)]
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], DOC)
+    kept = {p: {i for i, c in brute.near_components(docs, p).items() if i == c} for p in (80, 85)}
+    assert len(kept[80]) < len(kept[85]) < len(docs)
+    assert {r["doc_id"] for r in corpus_pipeline.deduplicated(spark, df, "").collect()} == kept[80]
+    assert {r["doc_id"] for r in neardup.keep_one_of_each(df, 85).collect()} == kept[85]
+
+
+def test_bands_miss_few_pairs_at_any_threshold():
+    assert neardup.bands_for(85) == (32, 6) and neardup.bands_for(80) == (38, 5)
+    for percent in range(10, 101):
+        bands, rows = neardup.bands_for(percent)
+        assert bands * rows <= neardup.MINIMA and (1 - (percent / 100) ** rows) ** bands <= neardup.MISSED
+    with pytest.raises(ValueError):
+        neardup.bands_for(5)
+
+
 def test_estimates_are_unbiased_and_cover_the_threshold():
     rng = np.random.default_rng(1)
     errors = []
