@@ -32,25 +32,52 @@ from duetto.llm.common import fold_of, fresh
 SAMPLE_SYMBOLS, LANGUAGE_SYMBOLS, DOCUMENT_SYMBOLS = 131_072, 16_384, 2_048
 #: Expected number of documents drawn for a language.
 LANGUAGE_DOCS = 64
-ALPHABET = 61           # letters that are told apart; the rest is one symbol
 BLOCK = 1024            # texts are parsed in blocks of so many symbols
 LANES = 4096            # blocks that advance together
 UNDETERMINED = "und"
 ABOVE_CHANCE = 1.05     # a score that is no better than this times chance tells nothing
 SCORE_SCALE = 1.0       # bits a symbol; the score is a softmax of -entropy / scale
 
-GAP, OTHER, FIRST = 0, 1, 2     # symbols: between letters; a letter beyond the alphabet
-WIDTH = 64                      # symbols of an automaton's row
+GAP, OTHER, FIRST = 0, 1, 2     # symbols: between letters; a letter that no sample has
+WIDTH = 64                      # symbols of an automaton's row; those above have keys
+_SYMBOL = 21                    # bits of a symbol in a key
 _COUNT, _STATE = 28, (1 << 28) - 1
 
 
 class Model(NamedTuple):
     languages: list[str]
     symbols: bytes          # of every code point, compressed
-    tables: list[bytes]     # by language: state and phrase count after (state, symbol)
+    tables: list[tuple]     # by language: the parts of its Automaton, compressed
     bits: list[float]       # by language: log2 of the sample's size
 
 
+class Automaton(NamedTuple):
+    """Entries of (state, symbol): the next state, and above bit 28 how many
+    phrases end at this step.  The frequent symbols, those below ``WIDTH``, have a
+    flat table; the transitions of all others are found by their sorted keys."""
+
+    table: np.ndarray       # by state and symbol below WIDTH
+    keys: np.ndarray        # state << _SYMBOL | symbol
+    entries: np.ndarray     # of the keys
+    fail: np.ndarray        # by symbol: the entry without a transition; the last is for absent symbols
+
+    def rare(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Entries of symbols that are not below ``WIDTH``."""
+        out = self.fail[np.minimum(symbol, len(self.fail) - 1)]
+        out = np.where(state == 0, 1 << _COUNT, out)
+        if len(self.keys):
+            key = state.astype(np.int64) << _SYMBOL | symbol
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out = np.where(self.keys[at] == key, self.entries[at], out)
+        return out
+
+
+def _fold(c: str) -> str:
+    """A letter in lower case, if that is one letter."""
+    low = c.lower()
+    return low if len(low) == 1 else c
+
+
 def _code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All code points after one another, and the end of each text."""
     texts = [unicodedata.normalize("NFC", t) for t in texts]
@@ -72,21 +99,21 @@ def to_symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def symbol_table(texts: list[str]) -> np.ndarray:
-    """The symbol of every code point; letters of either case are one symbol."""
-    seen = Counter(c for t in texts for c in t.lower() if c.isalpha())
-    order = sorted(seen, key=lambda c: (-seen[c], c))[:ALPHABET]
+    """The symbol of every code point: every letter of ``texts`` has its own, the
+    frequent ones the smallest; letters of either case are one symbol."""
+    seen = Counter(_fold(c) for t in texts for c in unicodedata.normalize("NFC", t) if c.isalpha())
+    order = sorted(seen, key=lambda c: (-seen[c], c))
     known = {c: FIRST + i for i, c in enumerate(order)}
-    table = np.zeros(0x110000, dtype=np.uint8)
+    table = np.zeros(0x110000, dtype=np.int32)
     for c in range(0x110000):
         ch = chr(c)
         if ch.isalpha():
-            table[c] = known.get(ch.lower(), OTHER)
+            table[c] = known.get(_fold(ch), OTHER)
     return table
 
 
-def automaton(symbols: np.ndarray) -> np.ndarray:
-    """The suffix automaton of ``symbols`` as a flat table of ``WIDTH`` entries a
-    state: the next state, and above bit 28 how many phrases end at this step.
+def automaton(symbols: np.ndarray) -> Automaton:
+    """The suffix automaton of ``symbols``.
 
     A symbol that goes on within the sample ends none.  One that does not ends
     the phrase so far and starts the next; one that the sample lacks is a phrase
@@ -116,19 +143,25 @@ def automaton(symbols: np.ndarray) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    root = np.zeros(WIDTH, dtype=np.int32)
-    fail = np.full(WIDTH, 2 << _COUNT, dtype=np.int32)      # the phrase, and the symbol alone
+    top = max(WIDTH, int(symbols.max(initial=0)) + 1)
+    root = np.zeros(top, dtype=np.int32)
+    fail = np.full(top + 1, 2 << _COUNT, dtype=np.int32)    # the phrase, and the symbol alone
     for c, q in nxt[0].items():
         root[c], fail[c] = q, q | 1 << _COUNT
-    table = np.tile(fail, (len(nxt), 1))
-    table[0] = np.where(root > 0, root, 1 << _COUNT)
+    table = np.tile(fail[:WIDTH], (len(nxt), 1))
+    table[0] = np.where(root[:WIDTH] > 0, root[:WIDTH], 1 << _COUNT)
+    rare = []
     for s, go in enumerate(nxt):
         for c, q in go.items():
-            table[s, c] = q
-    return table.ravel()
+            if c < WIDTH:
+                table[s, c] = q
+            else:
+                rare.append((s << _SYMBOL | c, q))
+    keys, entries = np.array(sorted(rare), dtype=np.int64).reshape(-1, 2).T
+    return Automaton(table.ravel(), np.ascontiguousarray(keys), entries.astype(np.int32), fail)
 
 
-def phrase_counts(sym: np.ndarray, ends: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+def phrase_counts(sym: np.ndarray, ends: np.ndarray, tables: list[Automaton]) -> np.ndarray:
     """Phrases of every text (rows) against every automaton (columns)."""
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     blocks = -(-(ends - starts) // BLOCK)
@@ -145,12 +178,18 @@ def phrase_counts(sym: np.ndarray, ends: np.ndarray, tables: list[np.ndarray]) -
         where = np.minimum(begin[lane][None, :] + steps, len(sym) - 1)
         grid = sym[where].astype(np.int32)
         active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
-        for k, table in enumerate(tables):
+        seldom = (grid >= WIDTH).any(axis=1)
+        frequent = np.minimum(grid, WIDTH - 1)
+        for k, parser in enumerate(tables):
+            table = parser.table
             state = np.zeros(len(lane), dtype=np.int32)
             count = np.zeros(len(lane), dtype=np.int32)
             for t in range(int(sizes[0])):
                 n = active[t]
-                e = table.take((state[:n] << 6) + grid[t, :n])
+                e = table.take((state[:n] << 6) + frequent[t, :n])
+                if seldom[t]:
+                    at = np.flatnonzero(grid[t, :n] >= WIDTH)
+                    e[at] = parser.rare(state[at], grid[t, at])
                 count[:n] += e >> _COUNT
                 state[:n] = e & _STATE
             out[:, k] += np.bincount(owner[lane], weights=count + (state != 0),
@@ -168,13 +207,13 @@ def fit(samples: dict[str, list[str]]) -> Model:
         parts, left = [], room
         for s, e in zip(np.concatenate([[0], ends[:-1]]), ends):
             part = sym[s:min(e, s + DOCUMENT_SYMBOLS)][:left]
-            parts.append(np.append(part, np.uint8(GAP)))
+            parts.append(np.append(part, np.int32(GAP)))
             left -= len(part)
             if left <= 0:
                 break
         text = np.concatenate(parts)
         languages.append(lang)
-        tables.append(zlib.compress(automaton(text).tobytes(), 1))
+        tables.append(tuple(zlib.compress(part.tobytes(), 1) for part in automaton(text)))
         bits.append(float(np.log2(max(2, len(text)))))
     return Model(languages, zlib.compress(table.tobytes(), 1), tables, bits)
 
@@ -213,8 +252,10 @@ def predict(docs: DataFrame, model: Model, name: str = "language") -> DataFrame:
     @F.pandas_udf("lang_pred string, score double, bits double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = Model(*shared.value)
-        table = np.frombuffer(zlib.decompress(m.symbols), dtype=np.uint8)
-        tables = [np.frombuffer(zlib.decompress(t), dtype=np.int32) for t in m.tables]
+        table = np.frombuffer(zlib.decompress(m.symbols), dtype=np.int32)
+        kinds = (np.int32, np.int64, np.int32, np.int32)
+        tables = [Automaton(*(np.frombuffer(zlib.decompress(x), dtype=d) for x, d in zip(t, kinds)))
+                  for t in m.tables]
         names = np.array([*m.languages, UNDETERMINED], dtype=object)
         bits = np.array(m.bits)
 

@@ -566,6 +566,40 @@ def test_phrase_counts_equal_a_plain_cross_parsing():
     assert got.tolist() == [brute.phrases_of(sym[s:e].tolist(), sample.tolist()) for s, e in zip(starts, ends)]
 
 
+def test_every_letter_of_the_samples_is_its_own_symbol():
+    rng = random.Random(8)
+    letters = [chr(0x4E00 + k) for k in range(300)] + [chr(0xAC00 + k) for k in range(300)] + list("abcİß")
+    samples = ["".join(rng.choice([*letters[:k], " "]) for _ in range(2000)) for k in (40, 300, 605)]
+    samples.append("".join(letters) + "\u1100\u1161")      # composes to one more of the letters
+    table = language.symbol_table(samples)
+    own = [int(table[ord(c)]) for c in letters]
+    assert len(set(own)) == len(own) and min(own) >= language.FIRST
+    assert table[ord("A")] == table[ord("a")] and table[ord("ሀ")] == language.OTHER
+    texts = ["".join(rng.choice([*letters[::3], " ", "ሀ"]) for _ in range(rng.randrange(1, 300)))
+             for _ in range(20)]
+    texts += [s[k:k + 200] for s in samples for k in range(0, 1000, 130)]
+    sym, ends = language.to_symbols(texts, table)
+    starts = [0, *ends[:-1]]
+    for text in samples:
+        sample, _ = language.to_symbols([text], table)
+        got = language.phrase_counts(sym, ends, [language.automaton(sample)])[:, 0]
+        assert got.tolist() == [brute.phrases_of(sym[s:e].tolist(), sample.tolist())
+                                for s, e in zip(starts, ends)]
+
+
+def test_languages_of_scripts_with_many_letters(spark):
+    rng, rows = random.Random(12), []
+    bases = {"am": 0x1200, "h1": 0x4E00, "h2": 0x5E00, "k1": 0xAC00, "k2": 0xBC00}
+    for k in range(150):
+        lang = sorted(bases)[k % 5]
+        # am has the frequent letters; the words of the others differ in theirs only.
+        t = " ".join("".join(chr(bases[lang] + rng.randrange(70)) for _ in range(5))
+                     for _ in range(500 if lang == "am" else 40))
+        rows.append((k, t, lang, "s", 0))
+    got = language.identify(spark.createDataFrame(rows, DOC)).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {r[0]: r[2] for r in rows}
+
+
 def test_without_labels_the_language_is_undetermined(spark):
     df = spark.createDataFrame([(1, "text", None, "s", 4)], DOC)
     assert language.identify(df).first()["lang_pred"] == "und"
