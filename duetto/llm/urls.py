@@ -101,12 +101,13 @@ def absolute(href: Column, base: Column) -> Column:
 
 
 def alias_links(pages: DataFrame) -> DataFrame:
-    """``src, dst``: links between resources that the pages declare."""
+    """``src, dst``: links between resources that the pages declare, by all of
+    their canonical and refresh tags."""
     found = pages.select(F.col("url").alias("u"), F.col("html").alias("h")).filter(
         "u is not null and h is not null").filter(
         F.col("h").rlike(r"(?i)\bcanonical\b|\brefresh\b"))
-    target = F.explode(F.array(F.regexp_extract("h", _CANONICAL, 1),
-                               F.regexp_extract("h", _REFRESH, 1)))
+    target = F.explode(F.concat(F.regexp_extract_all("h", F.lit(_CANONICAL), F.lit(1)),
+                                F.regexp_extract_all("h", F.lit(_REFRESH), F.lit(1))))
     return (found.select("u", target.alias("t")).filter("t <> ''")
             .select(resource_of(F.col("u")).alias("src"),
                     resource_of(absolute(F.col("t"), F.col("u"))).alias("dst"))

@@ -342,6 +342,27 @@ def test_url_rules_and_aliases(spark):
     assert {r["page_id"]: r["verdict"] for r in urls.judge_urls(df, links=more).collect()}[17] == "block"
 
 
+def test_every_alias_tag_of_a_page_counts(spark, tmp_path):
+    import duckdb
+    from duetto.llm.oracle import SQL
+    two = lambda a, b: f'<link rel="canonical" href="{a}"><p>\n<LINK href=\'{b}\' rel=canonical>'     # noqa: E731
+    again = '<meta http-equiv="refresh" content="5;url=/r1"><meta http-equiv=refresh content="0; URL=/r2">'
+    rows = [(1, "https://c.com/1", two("https://c.com/2", "https://spam.net/x")),     # the second is blocked
+            (2, "https://c.com/2", None),
+            (3, "https://spam.net/y", two("/a", "/b") + again + '<link rel="canonical" href="https://d.com/9">'),
+            (4, "https://d.com/9", "<html>"),
+            (5, "https://e.com/1", again + two("https://e.com/r9", "https://b.org/fr/1")),
+            (6, "https://e.com/r2", two("https://spam.net/z", "https://f.com/1")),    # an allowed member
+            (7, "https://f.com/1", ""), (8, "https://f.com/2", two("https://f.com/3", "https://f.com/4"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = urls.judge_urls(df).select("page_id", "host", "path", "rule", "verdict")
+    assert {r["page_id"] for r in got.collect() if r["verdict"] == "block"} == {1, 2, 3, 4}
+    df.coalesce(1).write.parquet(f"{tmp_path}/pages")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages/*.parquet')")
+    assert sorted(map(repr, con.execute(SQL["op5_urls"]).fetchall())) == sorted(repr(tuple(r)) for r in got.collect())
+
+
 # --- packing ----------------------------------------------------------------
 
 def check_packing(rows, lengths, sizes):
