@@ -7,8 +7,9 @@ go back to the blocks that have it.  There the ids are joined to the vocabulary'
 pieces, and every text is put together by position.
 
 What is shuffled is the distinct words of each block, not the words of each
-text.  A block is named by a digest of its words, so that a block and its words
-still match if a lost executor's task runs again.
+text.  A block is named by its place in the input and a digest of its words, so
+that a block and its words still match if a lost executor's task runs again, and
+blocks of copies, whose words are the same, stay apart.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -173,9 +175,10 @@ class Numbered:
         return [own[i] for i in order.tolist()]
 
 
-def _name(words: list[str]) -> bytes:
-    return hashlib.blake2b("\0".join(words).encode("utf-8", "surrogatepass"),
-                           digest_size=12).digest()
+def _name(words: list[str], place: int) -> bytes:
+    """Of the task's block number ``place``, in both scans of the input."""
+    digest = hashlib.blake2b("\0".join(words).encode("utf-8", "surrogatepass"), digest_size=12).digest()
+    return digest + TaskContext.get().partitionId().to_bytes(4, "big") + place.to_bytes(4, "big")
 
 
 def _squeeze(numbers: np.ndarray) -> bytes:
@@ -208,9 +211,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], splitter: Splitter) -> Iterator[t
 def block_words(docs: DataFrame, vocabulary) -> DataFrame:
     """``block, number, word``: the distinct words of every block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _ in _blocks(batches, _splitter(vocabulary.value)):
+        for place, (block, _) in enumerate(_blocks(batches, _splitter(vocabulary.value))):
             words = block.words()
-            name = _name(words)
+            name = _name(words, place)
             for at in range(0, len(words), 20_000):
                 some = words[at:at + 20_000]
                 yield pa.RecordBatch.from_arrays(
@@ -224,8 +227,8 @@ def block_words(docs: DataFrame, vocabulary) -> DataFrame:
 def block_texts(docs: DataFrame, vocabulary) -> DataFrame:
     """``block, doc_id, numbers``: every row of ``docs`` as word numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, ids in _blocks(batches, _splitter(vocabulary.value)):
-            name, at = _name(block.words()), 0
+        for place, (block, ids) in enumerate(_blocks(batches, _splitter(vocabulary.value))):
+            name, at = _name(block.words(), place), 0
             for part in ids:
                 texts = block.texts[at:at + len(part)]
                 at += len(part)

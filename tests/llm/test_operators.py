@@ -283,6 +283,23 @@ def test_blocks_of_any_size_give_the_same_ids(odd, monkeypatch):
     assert sorted(map(repr, bpe.digests(df, vocabulary).collect())) == before
 
 
+def test_blocks_of_copies_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", 100)
+    vocabulary = bpe.vocabulary_file("word_bpe_49k.json")
+    df = spark.range(24, numPartitions=4).select(F.col("id").alias("doc_id"), F.lit(prose("en", 40, 5)).alias("text"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        shared = spark.sparkContext.broadcast(vocabulary)
+        rows = {r["block"]: r["count"] for r in bpe.block_texts(df, shared).groupBy("block").count().collect()}
+        words = {r["block"] for r in bpe.block_words(df, shared).collect()}
+        got = bpe.digests(df, vocabulary).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(rows) == 12 and set(rows.values()) == {2} and words == set(rows)
+    assert sorted(r["doc_id"] for r in got) == list(range(24))
+    assert len({(r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got}) == 1
+
+
 def test_plain_splitting_equals_the_tokenizers_own():
     splitter = bpe.Splitter(bpe.vocabulary_file("word_bpe_49k.json"))
     rng = random.Random(1)
