@@ -32,6 +32,8 @@ from duetto.llm.common import fold_of, fresh
 SAMPLE_SYMBOLS, LANGUAGE_SYMBOLS, DOCUMENT_SYMBOLS = 131_072, 16_384, 2_048
 #: Expected number of documents drawn for a language.
 LANGUAGE_DOCS = 64
+#: A language of which fewer were drawn gives so many of its texts, if it has them.
+LEAST_DOCS = 8
 BLOCK = 1024            # texts are parsed in blocks of so many symbols
 LANES = 4096            # blocks that advance together
 UNDETERMINED = "und"
@@ -223,9 +225,7 @@ def training_sample(docs: DataFrame) -> dict[str, list[str]]:
     held out, by a hash of the id; no more text than the bounds admit."""
     usable = docs.select("doc_id", "lang", "text").filter(
         ~fold_of(F.col("doc_id"))).filter("lang is not null and text rlike '\\\\p{L}'")
-    counts = {r["lang"]: r["n"] for r in docs.select("doc_id", "lang").filter(
-        ~fold_of(F.col("doc_id"))).filter("lang is not null")
-        .groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     h = F.xxhash64(F.lit("language sample"), "doc_id")
     pick = F.lit(False)
     for lang, n in sorted(counts.items()):
@@ -233,9 +233,13 @@ def training_sample(docs: DataFrame) -> dict[str, list[str]]:
         pick = pick | ((F.col("lang") == lang)
                        & (F.pmod(h, F.lit(1_000_000)) < int(1_000_000 * share) + 1))
     texts: dict[str, list[tuple]] = {}
-    for r in usable.filter(pick).select(
-            "lang", h.alias("h"), F.substring("text", 1, 2 * DOCUMENT_SYMBOLS).alias("t")).collect():
+    columns = ["lang", h.alias("h"), F.substring("text", 1, 2 * DOCUMENT_SYMBOLS).alias("t")]
+    for r in usable.filter(pick).select(*columns).collect():
         texts.setdefault(r["lang"], []).append((r["h"], r["t"]))
+    for lang, n in sorted(counts.items()):
+        if len(texts.get(lang, [])) < min(n, LEAST_DOCS):
+            first = usable.filter(F.col("lang") == lang).select(*columns).orderBy("h", "t").limit(LEAST_DOCS)
+            texts[lang] = [(r["h"], r["t"]) for r in first.collect()]
     return {lang: [t for _, t in sorted(rows)] for lang, rows in texts.items()}
 
 

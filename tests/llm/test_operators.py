@@ -638,6 +638,22 @@ def test_languages_of_scripts_with_many_letters(spark):
     assert {r["doc_id"]: r["lang_pred"] for r in got} == {r[0]: r[2] for r in rows}
 
 
+def test_empty_texts_do_not_thin_a_languages_sample(spark):
+    full = [(k, prose(lang, 60, k), lang, "s", 0) for k in range(40) for lang in [("en", "fr")[k % 2]]]
+    df = spark.createDataFrame(full, DOC)
+    empty = spark.range(1000, 41000).selectExpr("id as doc_id", "if(id % 2 = 0, '', ' 1 ') as text",
+                                                "'fr' as lang", "'hot' as source", "0L as n_chars")
+    usable = sum(r[2] == "fr" and not brute.held_out(r[0]) for r in full)
+    got = language.training_sample(df.unionByName(empty))
+    assert len(got["fr"]) == usable and got == language.training_sample(df)
+
+
+def test_every_language_has_a_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGE_DOCS", 1e-9)
+    got = language.training_sample(spark.createDataFrame(lang_docs(90), DOC))
+    assert {lang: len(t) for lang, t in got.items()} == dict.fromkeys(WORDS, language.LEAST_DOCS)
+
+
 def test_without_labels_the_language_is_undetermined(spark):
     df = spark.createDataFrame([(1, "text", None, "s", 4)], DOC)
     assert language.identify(df).first()["lang_pred"] == "und"
