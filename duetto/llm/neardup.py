@@ -277,8 +277,10 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFram
     own = (sigs.select("doc_id", "th", F.col("n").alias("n_shingles"), "n", "s1", "s2")
            .join(classes.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"], "left")
            .withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))))
-    same = (own.filter("doc_id is not null").groupBy("doc_id")
-            .agg(F.min("rep").alias("u"), F.max("rep").alias("v")).filter("u <> v").select("u", "v"))
+    several = (own.filter("doc_id is not null").groupBy("doc_id")
+               .agg(F.min("rep").alias("v"), F.max("rep").alias("top")).filter("v < top").select("doc_id", "v"))
+    same = (own.select("doc_id", F.col("rep").alias("u")).join(several, "doc_id").filter("u <> v")
+            .select("u", "v").distinct())
     cc = components(confirmed_links(docs, classes, percent).unionByName(same))
     component = F.coalesce("component", "rep")
     return (own.join(cc, own["rep"] == cc["node"], "left")

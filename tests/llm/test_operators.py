@@ -204,6 +204,14 @@ def test_texts_of_one_id_are_one_document(spark):
     assert {r["component_id"] for r in neardup.near_duplicates(docs).collect()} == {5}
 
 
+def test_all_texts_of_one_id_are_linked(spark):
+    t = [prose("en", 60, 20 + k) for k in range(5)]
+    rows = [(k, t[k]) for k in range(1, 5)] + [(9, t[k]) for k in range(1, 5)] + [(9, t[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["component_id"] for r in neardup.near_duplicates(docs).collect()} == {1}
+    assert [r["doc_id"] for r in neardup.keep_one_of_each(docs).collect()] == [1]
+
+
 def test_one_of_each_stays(odd, clash):
     rows, _ = odd
     got = neardup.keep_one_of_each(clash)
