@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from duetto.session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["cut", "ensure_checkpoint_dir", "fold_of", "fresh", "per_process", "table"]
+__all__ = ["cut", "ensure_checkpoint_dir", "fold_of", "fresh", "per_process", "repeated", "table"]
 
 #: One document in ``FOLDS`` is held out of every fit.
 FOLDS = 5
@@ -46,6 +46,21 @@ def fold_of(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
 
 
+def repeated(df: DataFrame, count: str) -> DataFrame:
+    """Every row as often as its column ``count`` says, without that column.
+
+    The numbers of copies are made in two steps, so that none is one long array.
+    """
+    n, part = F.col(count), 1 << 16
+    block = fresh(df, "block")
+    room = F.least(n - F.col(block) * part, F.lit(part).cast("bigint"))
+    copy = fresh(df, "copy")
+    return (df.filter(n > 0)
+            .withColumn(block, F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(`{count}` - 1) div {part}"))))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), room)))
+            .drop(count, block, copy))
+
+
 def per_process(key: str, build: Callable[[], object]) -> object:
     """What ``build`` returns, made once in a process: later tasks of the same
     worker find it again, although their functions come anew with each task."""

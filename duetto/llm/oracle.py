@@ -7,6 +7,7 @@ these are tested against brute-force versions instead.
 
 from __future__ import annotations
 
+from duetto.llm.decontam import WINDOW
 from duetto.llm.licenses import K, MAX_SHIFT, MIN_COVER, PHRASES, TEMPLATES
 from duetto.llm.quality import (MAX_DUP_LINE_SHARE, MAX_HOST_RATE, MAX_REPEAT_PERCENT,
                                 MAX_SYMBOLS_PER_WORD, MEAN_WORD_CHARS, MIN_WORDS)
@@ -181,10 +182,33 @@ SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, count(*) FILTER (f.exact)::BIGINT
 FROM w LEFT JOIN final f USING (doc_id) GROUP BY w.doc_id, len(w.ws)"""
 
 
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+LEAKS = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all({_lower("coalesce(text, '')")}, '{_LETTERS}') AS ws FROM documents),
+i AS (SELECT item_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{_LETTERS}') AS ws FROM benchmark),
+win AS (SELECT DISTINCT item_id, n, array_to_string(ws[s + 1:s + n], ' ') AS w
+        FROM (SELECT item_id, ws, n, unnest(range(0, len(ws) - n + 1)) AS s
+              FROM (SELECT *, least({WINDOW}, len(ws)) AS n FROM i WHERE len(ws) > 0))),
+own AS (SELECT r, s, n, array_to_string(ws[s + 1:s + n], ' ') AS w
+        FROM (SELECT r, ws, n, unnest(range(0, len(ws) - n + 1)) AS s
+              FROM d JOIN (SELECT DISTINCT n FROM win) ON len(ws) >= n)),
+hit AS (SELECT * FROM own WHERE w IN (SELECT w FROM win)),
+pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
+ids AS (SELECT r, count(item_id) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT r, item_id, item_id::VARCHAR AS id FROM hit JOIN win USING (w)) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (r) LEFT JOIN ids USING (r)"""
+
+
 SQL: dict[str, str] = {
     "op3_neardup": NEARDUP,
     "op5_urls": URLS,
     "op7_quality": QUALITY,
     "op8_topk": TOPK,
     "op9_licenses": _licenses(),
+    "op13_decontamination": LEAKS,
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duetto.llm import (bpe, language, licenses, neardup, packing, quality, secrets, topk,
+from duetto.llm import (bpe, decontam, language, licenses, neardup, packing, quality, secrets, topk,
                         toxicity, urls)
 from duetto.llm.common import table
 from duetto.llm.oracle import SQL  # noqa: F401
@@ -70,5 +70,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in every document."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_language, op2_secrets, op3_neardup, op4_bpe, op5_urls,
-                                   op6_packing, op7_quality, op8_topk, op9_licenses, op10_toxicity)}
+                                   op6_packing, op7_quality, op8_topk, op9_licenses, op10_toxicity,
+                                   op13_decontamination)}

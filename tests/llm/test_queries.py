@@ -22,7 +22,7 @@ def con():
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == [*range(1, 11), 13]
     assert "pipeline" in ent.queries()
 
 
@@ -46,6 +46,8 @@ COLUMNS = {
     "op9": {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint",
             "last_word": "bigint", "base_labels": "string", "labels": "string", "score": "double"},
     "op10": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op13": {"doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint",
+             "items_sha256": "string", "contaminated": "boolean"},
 }
 
 
@@ -75,7 +77,7 @@ def test_stages_on_the_documents(spark):
     assert kept == {i for i, r in judged.items() if r["lang_pred"] != "und" and r["score"] >= language.least_score(4)}
     # Near-duplicates: the smallest of each component, by comparing all pairs.
     three = corpus_pipeline.deduplicated(spark, two, SF).checkpoint()
-    comp = brute.near_components([(i, texts[i]) for i in sorted(kept)])
+    comp = brute.near_components([(i, texts[i]) for i in sorted(kept)], corpus_pipeline.NEAR_PERCENT)
     kept = {r["doc_id"] for r in three.collect()}
     assert kept == {i for i in comp if comp[i] == i}
     # Secrets: all rows stay, no base span is left.
