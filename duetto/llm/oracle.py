@@ -7,6 +7,7 @@ these are tested against brute-force versions instead.
 
 from __future__ import annotations
 
+from duetto.llm.centroids import CLUSTERS, DIM, ROUNDS, SCALE
 from duetto.llm.decontam import WINDOW
 from duetto.llm.licenses import K, MAX_SHIFT, MIN_COVER, PHRASES, TEMPLATES
 from duetto.llm.quality import (MAX_DUP_LINE_SHARE, MAX_HOST_RATE, MAX_REPEAT_PERCENT,
@@ -204,11 +205,42 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN pos USING (r) LEFT JOIN ids USING (r)"""
 
 
+def _centroids() -> str:
+    """All rounds, unrolled.  Scalar products of whole numbers are exact in floating
+    point below 2^53, which holds for components up to some 30,000."""
+    dot = "list_inner_product"
+    parts = [f"""k AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding,
+         list_transform(embedding, lambda v: floor({SCALE} * v::DOUBLE)) AS x FROM embeddings
+  WHERE len(embedding) = {DIM}
+    AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v::DOUBLE))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR), embedding, r) - 1 AS c, x
+  FROM k WHERE vec_id IS NOT NULL QUALIFY c < {CLUSTERS})"""]
+    for i in range(ROUNDS + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, b[1]::BIGINT AS d, b[2]::INTEGER AS c
+  FROM (SELECT k.r, min([{dot}(k.x, k.x) + {dot}(c.x, c.x) - 2 * {dot}(k.x, c.x), c.c::DOUBLE]) AS b
+        FROM k, c{i} c GROUP BY k.r))""")
+        if i < ROUNDS:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+    SELECT c, list(floor(s / n) ORDER BY j) AS x
+    FROM (SELECT a.c, j, sum(k.x[j]) AS s, count(*) AS n
+          FROM a{i} a JOIN k USING (r), range(1, {DIM} + 1) t(j) GROUP BY a.c, j) GROUP BY c) m ON m.c = c.c)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT k.vec_id, a.c AS cluster, a.d AS distance, sum(a.d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia,
+       sum(a.d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(m.x, lambda v: v::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM a{ROUNDS} a JOIN k USING (r) JOIN c{ROUNDS} m ON m.c = a.c"""
+
+
 SQL: dict[str, str] = {
     "op3_neardup": NEARDUP,
     "op5_urls": URLS,
     "op7_quality": QUALITY,
     "op8_topk": TOPK,
     "op9_licenses": _licenses(),
+    "op12_centroids": _centroids(),
     "op13_decontamination": LEAKS,
 }
