@@ -10,6 +10,7 @@ from __future__ import annotations
 from duetto.llm.centroids import CLUSTERS, DIM, ROUNDS, SCALE
 from duetto.llm.decontam import WINDOW
 from duetto.llm.licenses import K, MAX_SHIFT, MIN_COVER, PHRASES, TEMPLATES
+from duetto.llm.prefixtrie import GROUP, SHARED
 from duetto.llm.quality import (MAX_DUP_LINE_SHARE, MAX_HOST_RATE, MAX_REPEAT_PERCENT,
                                 MAX_SYMBOLS_PER_WORD, MEAN_WORD_CHARS, MIN_WORDS)
 from duetto.llm.urls import RULES
@@ -235,12 +236,46 @@ SELECT k.vec_id, a.c AS cluster, a.d AS distance, sum(a.d) OVER (PARTITION BY a.
 FROM a{ROUNDS} a JOIN k USING (r) JOIN c{ROUNDS} m ON m.c = a.c"""
 
 
+#: The CRC-32 of the decimal ``conv_id``, byte by byte and bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)), lambda c, b:
+    list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i:
+      xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+TRIE = f"""
+WITH t AS (SELECT conv_id, coalesce(text, '') AS x, md5(coalesce(role, '')) || md5(coalesce(text, '')) AS m,
+                  row_number() OVER (PARTITION BY conv_id
+                                     ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+           FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id, {_CRC} % {SHARED} AS h, conv_id - conv_id % {GROUP} AS base
+        FROM (SELECT DISTINCT conv_id FROM t)),
+turns AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, p) AS d, m, len(x) AS chars FROM (
+            SELECT ids.conv_id AS c, 0 AS part, p, m, x FROM ids JOIN t ON t.conv_id = base AND p <= h
+            UNION ALL SELECT ids.conv_id, 1, p, m, x FROM ids JOIN t USING (conv_id) WHERE p > h)),
+paths AS (SELECT c, d, chars, string_agg(m, ',') OVER (PARTITION BY c ORDER BY d) AS k FROM turns
+          UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+nodes AS (SELECT k, any_value(d) AS d, any_value(chars) AS chars, min(c) AS conv_id, count(*) AS n FROM paths GROUP BY k),
+up AS (SELECT DISTINCT b.k, a.k AS parent FROM paths a JOIN paths b ON a.c = b.c AND b.d = a.d + 1),
+below AS (SELECT DISTINCT a.k, b.k AS lower FROM paths a JOIN paths b ON a.c = b.c AND b.d >= a.d),
+kids AS (SELECT parent AS k, count(*) AS n FROM up GROUP BY parent),
+sums AS (SELECT b.k, count(*) FILTER (WHERE kids.n IS NULL) AS leaves, sum((nodes.n - 1) * nodes.chars) AS saved
+         FROM below b JOIN nodes ON nodes.k = b.lower LEFT JOIN kids ON kids.k = b.lower GROUP BY b.k),
+ends AS (SELECT k, string_agg(c::VARCHAR, ',' ORDER BY c) AS list
+         FROM (SELECT * FROM paths QUALIFY d = max(d) OVER (PARTITION BY c)) GROUP BY k)
+SELECT nodes.conv_id, nodes.d::BIGINT AS depth, p.conv_id AS parent_conv_id, nodes.n::BIGINT AS n_convs,
+       coalesce(kids.n, 0)::BIGINT AS n_children, sums.leaves::BIGINT AS n_leaves,
+       sums.saved::BIGINT AS saved_tokens, sha256(coalesce(ends.list, '')) AS ends_sha256
+FROM nodes LEFT JOIN up USING (k) LEFT JOIN nodes p ON p.k = up.parent LEFT JOIN kids ON kids.k = nodes.k
+JOIN sums ON sums.k = nodes.k LEFT JOIN ends ON ends.k = nodes.k"""
+
+
 SQL: dict[str, str] = {
     "op3_neardup": NEARDUP,
     "op5_urls": URLS,
     "op7_quality": QUALITY,
     "op8_topk": TOPK,
     "op9_licenses": _licenses(),
+    "op11_prefix_trie": TRIE,
     "op12_centroids": _centroids(),
     "op13_decontamination": LEAKS,
 }

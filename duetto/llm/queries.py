@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duetto.llm import (bpe, centroids, decontam, language, licenses, neardup, packing, quality, secrets, topk,
-                        toxicity, urls)
+from duetto.llm import (bpe, centroids, decontam, language, licenses, neardup, packing, prefixtrie, quality, secrets,
+                        topk, toxicity, urls)
 from duetto.llm.common import table
 from duetto.llm.oracle import SQL  # noqa: F401
 
@@ -70,6 +70,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared beginning of the rebuilt conversations."""
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every vector."""
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
@@ -82,4 +87,4 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_language, op2_secrets, op3_neardup, op4_bpe, op5_urls,
                                    op6_packing, op7_quality, op8_topk, op9_licenses, op10_toxicity,
-                                   op12_centroids, op13_decontamination)}
+                                   op11_prefix_trie, op12_centroids, op13_decontamination)}

@@ -22,7 +22,7 @@ def con():
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == [*range(1, 11), 12, 13]
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 14))
     assert "pipeline" in ent.queries()
 
 
@@ -46,6 +46,8 @@ COLUMNS = {
     "op9": {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint",
             "last_word": "bigint", "base_labels": "string", "labels": "string", "score": "double"},
     "op10": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint",
+             "n_children": "bigint", "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string"},
     "op12": {"vec_id": "bigint", "cluster": "int", "distance": "bigint", "cluster_inertia": "bigint",
              "inertia": "bigint", "centroid_sha256": "string"},
     "op13": {"doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint",
