@@ -134,12 +134,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged j JOIN verdicts v ON j.source IS NOT DISTINCT FROM v.source"""
 
 TOPK = """
-WITH x AS (SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
-           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+WITH x AS (SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::HUGEINT) AS x FROM embeddings
+           WHERE len(embedding) > 0 AND vec_id IS NOT NULL
              AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
-s AS (SELECT q.vec_id AS query_id, p.vec_id, list_dot_product(q.x, p.x)::BIGINT AS score
+s AS (SELECT q.vec_id AS query_id, p.vec_id,
+             list_sum(list_transform(range(1, least(len(q.x), len(p.x)) + 1), lambda i: q.x[i] * p.x[i])) AS score
       FROM x q JOIN x p ON q.vec_id <> p.vec_id WHERE q.vec_id % 50 = 0)
-SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM s
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, try_cast(score AS BIGINT) AS score FROM s
 WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER best <= 5"""
 
 

@@ -474,13 +474,13 @@ def brute_top(rows, k):
     for i, v in rows:
         if i is None or not v or any(c is None or not np.isfinite(c) for c in v):
             continue
-        x = [int(np.floor(256 * np.float64(np.float32(c)))) for c in v]
+        x = [int(np.floor(256 * np.float64(np.float32(c)))) for c in v]     # whole doubles
         vectors[i] = min(vectors.get(i, x), x)
     out = []
     for q in vectors:
         if q % 5 == 0:
             s = sorted(((-sum(a * b for a, b in zip(vectors[q], vectors[p])), p) for p in vectors if p != q))
-            out += [(q, n + 1, p, -v) for n, (v, p) in enumerate(s[:k])]
+            out += [(q, n + 1, p, -v if abs(v) < 2 ** 63 else None) for n, (v, p) in enumerate(s[:k])]
     return sorted(out)
 
 
@@ -502,6 +502,35 @@ def test_top_k_is_exact(spark, monkeypatch, shard):
     assert same_rows(got, topk.top_k(extra, F.col("vec_id") % 5 == 0, 4))
 
 
+@pytest.mark.parametrize("size", [2e3, 1e6, 1e12, 3.4028234e38])
+def test_top_k_of_large_components(spark, monkeypatch, size):
+    monkeypatch.setattr(topk, "SHARD_VECTORS", 20)
+    rng = np.random.default_rng(4)
+    rows = [(0, [1.0, 1.0]), (1, [0.6 * size, 0.0]), (2, [size, 0.0]), (3, [0.7 * size, 1.0])]
+    rows += [(5 + k, [float(c) * size for c in rng.uniform(-1, 1, size=2)]) for k in range(60)]
+    rows += [(90, rows[2][1]), (95, [1e-3, -1e-3])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(df, F.col("vec_id") % 5 == 0, 5)
+    want = brute_top(rows, 5)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[:2]) == sorted(want, key=lambda r: r[:2])
+    assert (size < 1e11) == all(r[3] is not None for r in want)
+
+
+def test_top_k_of_large_components_matches_the_sql(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = [(k, [float(c) for c in rng.normal(size=8) * 1e6]) for k in range(120)]
+    rows += [(200, [1.0, 1.0]), (201, [6e5, 0.0]), (202, [1e6, 0.0]), (203, [7e5, 1.0])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(
+        str(tmp_path / "embeddings.parquet"))
+    import duckdb
+
+    from duetto.llm import oracle, queries
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = con.execute(f"SELECT query_id, rank, vec_id, score FROM ({oracle.TOPK})").fetchall()
+    assert sorted(map(tuple, queries.op8_topk(spark, str(tmp_path)).collect())) == sorted(want) and len(want) == 20
+
+
 def test_top_k_of_few_or_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     assert topk.top_k(spark.createDataFrame([], schema), F.lit(True)).count() == 0
