@@ -22,18 +22,21 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duetto.llm.common import fold_of, fresh
 
-#: Bound of the training sample: symbols in all languages together, in one
-#: language, and of one document.
-SAMPLE_SYMBOLS, LANGUAGE_SYMBOLS, DOCUMENT_SYMBOLS = 131_072, 16_384, 2_048
-#: Expected number of documents drawn for a language.
+#: Bound of the training sample: symbols in all languages together, and in one.
+SAMPLE_SYMBOLS, LANGUAGE_SYMBOLS = 131_072, 16_384
+#: Whole texts are dealt into pieces of so many code points, each of which may be drawn.
+PIECE = 2_048
+#: Expected number of pieces drawn for a language.
 LANGUAGE_DOCS = 64
-#: A language of which fewer were drawn gives so many of its texts, if it has them.
+#: A language of which fewer were drawn gives so many of its pieces, if it has them.
 LEAST_DOCS = 8
+#: So many languages are learned, those with the most pieces.
+MAX_LANGUAGES = 256
 BLOCK = 1024            # texts are parsed in blocks of so many symbols
 LANES = 4096            # blocks that advance together
 UNDETERMINED = "und"
@@ -208,11 +211,10 @@ def fit(samples: dict[str, list[str]]) -> Model:
         sym, ends = to_symbols(samples[lang], table)
         parts, left = [], room
         for s, e in zip(np.concatenate([[0], ends[:-1]]), ends):
-            part = sym[s:min(e, s + DOCUMENT_SYMBOLS)][:left]
-            parts.append(np.append(part, np.int32(GAP)))
-            left -= len(part)
-            if left <= 0:
-                break
+            if parts and e - s > left:      # whole ones only, and one at least
+                continue
+            parts.append(np.append(sym[s:e], np.int32(GAP)))
+            left -= e - s
         text = np.concatenate(parts)
         languages.append(lang)
         tables.append(tuple(zlib.compress(part.tobytes(), 1) for part in automaton(text)))
@@ -221,26 +223,47 @@ def fit(samples: dict[str, list[str]]) -> Model:
 
 
 def training_sample(docs: DataFrame) -> dict[str, list[str]]:
-    """About ``LANGUAGE_DOCS`` texts of each language, from rows that are not
-    held out, by a hash of the id; no more text than the bounds admit."""
-    usable = docs.select("doc_id", "lang", "text").filter(
-        ~fold_of(F.col("doc_id"))).filter("lang is not null and text rlike '\\\\p{L}'")
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    h = F.xxhash64(F.lit("language sample"), "doc_id")
-    pick = F.lit(False)
-    for lang, n in sorted(counts.items()):
-        share = min(1.0, LANGUAGE_DOCS / n)
-        pick = pick | ((F.col("lang") == lang)
-                       & (F.pmod(h, F.lit(1_000_000)) < int(1_000_000 * share) + 1))
+    """About ``LANGUAGE_DOCS`` pieces of the texts of each language, from rows that
+    are not held out and have a letter, by a hash of id, text and place.
+
+    Pieces of all places of all texts are drawn alike.  Copies of a row are one.
+    Only the ``MAX_LANGUAGES`` languages with the most pieces are drawn, so that the
+    sample is bounded however many values ``lang`` has.
+    """
+    usable = docs.select("lang", "text", F.xxhash64("doc_id", "text").alias("th"),
+                         fold_of(F.col("doc_id")).alias("held")).filter(
+        "not held and lang is not null and text rlike '\\\\p{L}'")
+    count = F.ceil(F.char_length("text") / PIECE)
+    # As many rows as languages that are learned.
+    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.sum(count).alias("n"))
+             .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    if not sizes:
+        return {}
+    pieces = usable.withColumn("at", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))))
+    h = F.xxhash64("th", "at")
+    one = ["lang", h.alias("h"), F.substring("text", F.col("at") * PIECE + 1, F.lit(PIECE)).alias("t")]
+    million = 1_000_000
+    limits = docs.sparkSession.createDataFrame(
+        [(lang, int(million * min(1.0, LANGUAGE_DOCS / n)) + 1) for lang, n in sorted(sizes.items())],
+        "lang string, most int")
+    drawn = (pieces.join(F.broadcast(limits), "lang").filter(F.pmod(h, F.lit(million)) < F.col("most"))
+             .select(*one).groupBy("lang", "h").agg(F.first("t").alias("t")))
     texts: dict[str, list[tuple]] = {}
-    columns = ["lang", h.alias("h"), F.substring("text", 1, 2 * DOCUMENT_SYMBOLS).alias("t")]
-    for r in usable.filter(pick).select(*columns).collect():
+    for r in drawn.collect():
         texts.setdefault(r["lang"], []).append((r["h"], r["t"]))
-    for lang, n in sorted(counts.items()):
-        if len(texts.get(lang, [])) < min(n, LEAST_DOCS):
-            first = usable.filter(F.col("lang") == lang).select(*columns).orderBy("h", "t").limit(LEAST_DOCS)
-            texts[lang] = [(r["h"], r["t"]) for r in first.collect()]
-    return {lang: [t for _, t in sorted(rows)] for lang, rows in texts.items()}
+    few = [lang for lang, n in sorted(sizes.items()) if len(texts.get(lang, [])) < min(n, LEAST_DOCS)]
+    if few:
+        order = Window.partitionBy("lang").orderBy("h")
+        some = docs.sparkSession.createDataFrame([(lang,) for lang in few], "lang string")
+        keys = (pieces.join(F.broadcast(some), "lang").select("lang", h.alias("h")).distinct()
+                .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= LEAST_DOCS).select("lang", "h"))
+        # LEAST_DOCS rows a language at most.
+        first = (pieces.withColumn("h", h).join(F.broadcast(keys), ["lang", "h"])
+                 .select("lang", "h", one[2]).groupBy("lang", "h").agg(F.first("t").alias("t")))
+        texts |= dict.fromkeys(few, ())
+        for r in first.collect():
+            texts[r["lang"]] = [*texts[r["lang"]], (r["h"], r["t"])]
+    return {lang: [t for _, t in sorted(rows)] for lang, rows in texts.items() if rows}
 
 
 def predict(docs: DataFrame, model: Model, name: str = "language") -> DataFrame:
@@ -299,9 +322,11 @@ def identify(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, bits`` for every row of ``docs``
     (``doc_id, text, lang``; further columns are ignored).
 
-    The model is fitted to rows that are not held out.  Without any labelled
-    text every prediction is ``und``.  Repeated rows are each returned; an empty
-    table gives an empty result.
+    The model is fitted to rows that are not held out, see :func:`training_sample`;
+    any number of values of ``lang`` will do.  Null and empty texts are ``und``; very
+    long ones are parsed whole, block by block.  Languages that need equally many
+    phrases are ranked by name.  Without any labelled text every prediction is
+    ``und``.  Repeated rows are each returned; an empty table gives an empty result.
     """
     model = fit(training_sample(docs))
     own = predict(docs.select("doc_id", "text"), model)
@@ -317,7 +342,9 @@ def least_score(languages: int) -> float:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is known: predicted, and with a score
-    of :func:`least_score` at least.  All columns stay as they are."""
+    of :func:`least_score` at least.  All columns stay as they are, whatever their
+    names.  Null and empty texts go; long ones are judged whole; repeated rows stay
+    or go together; an empty table stays empty."""
     name, model = fresh(docs, "language"), fit(training_sample(docs))
     judged = predict(docs, model, name)
     return judged.filter((F.col(f"{name}.lang_pred") != UNDETERMINED)

@@ -751,6 +751,93 @@ def test_noisy_or_of_sentences():
     model = toxicity.Model(-3.0, np.array(sorted(set(toxicity.word_features("vermin")))), np.full(4, 1.5))
     s = toxicity.Scorer(model)
     p = [s.sentence(x) for x in ("a vermin", "clean")]
-    assert s.document("a vermin. clean")[0] == pytest.approx(1 - (1 - p[0]) * (1 - p[1]))
-    assert s.document("clean. clean")[0] == pytest.approx(1 - (1 - p[1]) ** 2)
+    assert p[1] == 0.0 and s.document("clean. clean")[0] == 0.0
+    assert s.document("a vermin. clean")[0] == pytest.approx(p[0])
+    assert s.document("a vermin. clean. vermin!")[0] == pytest.approx(1 - (1 - p[0]) ** 2)
     assert s.document(None)[0] == s.document("")[0] == 0.0
+
+
+def test_length_alone_is_not_toxic(spark):
+    rows, labels = toxic_docs(400)
+    model = toxicity.train(spark.createDataFrame(rows, DOC),
+                           spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    scorer = toxicity.Scorer(model)
+    clean = [prose("en", 12, f"long{k}").replace(".", "") for k in range(20_000)]
+    assert scorer.document(". ".join(clean))[0] < 0.5
+    clean[15_000] += " vermin"
+    score, n, start, end = scorer.document(". ".join(clean))
+    assert score > 0.5 and n == 1 and "vermin" in ". ".join(clean)[start:end]
+    assert scorer.document("x. " * 30_000)[0] == 0.0
+
+
+def plain_loss(theta, bags, weights):
+    """Noisy-or and penalty, sentence by sentence."""
+    total = 0.0
+    for (toxic, sentences), w in zip(bags, weights):
+        none = 1.0
+        for features, times in sentences:
+            p = 1 / (1 + np.exp(-(theta[-1] + sum(theta[f] for f in features))))
+            none *= (1 - p) ** times
+        total -= w / sum(weights) * np.log((1 - none) if toxic else none)
+    k = len(theta) - 1
+    return total + toxicity.SHRINK * sum(t * t for t in theta[:-1]) / (2 * k)
+
+
+def test_fit_follows_the_plain_gradient():
+    rng = np.random.default_rng(11)
+    bags = []
+    for d in range(60):
+        sentences = [(np.unique(rng.integers(1, 6, size=2)), int(rng.integers(1, 4))) for _ in range(d % 4)]
+        if d % 3 == 0:
+            sentences.append((np.array([0, int(rng.integers(1, 6))]), 1))
+        bags.append(toxicity.Bag(int(d % 3 == 0), sentences))
+    weights = [1.0 + d % 2 for d in range(60)]
+    e = toxicity.entries(bags, weights)
+    for theta in (np.zeros(7), rng.normal(size=7)):
+        value, gradient = toxicity.loss(theta, e)
+        assert value == pytest.approx(plain_loss(theta, bags, weights))
+        for j in range(7):
+            step = np.eye(7)[j] * 1e-5
+            slope = (plain_loss(theta + step, bags, weights) - plain_loss(theta - step, bags, weights)) / 2e-5
+            assert gradient[j] == pytest.approx(slope, abs=1e-6)
+    model = toxicity.fit(np.arange(6), e)
+    full = np.zeros(7)
+    full[model.features], full[-1] = model.weights, model.bias
+    # Plain descent, many small steps, from the same start.
+    theta = np.append(np.zeros(6), -4.0)
+    for _ in range(3000):
+        theta = theta - 0.5 * toxicity.loss(theta, e)[1]
+    assert plain_loss(full, bags, weights) < plain_loss(theta, bags, weights) + 0.02
+    assert model.weights[0] == max(model.weights)
+
+
+def test_samples_bound_rows_and_read_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCS", 20)
+    rows, labels = toxic_docs(100)
+    one = next(k for k, _, toxic in labels if toxic and not brute.held_out(k))
+    many = [(one, f"text {j}", "en", "s", 0) for j in range(3000)] + [(one, "same", "en", "s", 0)] * 3000
+    df = spark.createDataFrame(rows + many, DOC)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    sample, _ = toxicity.labelled_sample(df, lab)
+    assert sample.where("toxic = 1").count() <= 40
+    monkeypatch.undo()
+    late = [(k, "calm words here. " * 3000 + text, lang, s, n) for k, text, lang, s, n in toxic_docs(200)[0]]
+    model = toxicity.train(spark.createDataFrame(late, DOC),
+                           spark.createDataFrame(toxic_docs(200)[1], "doc_id long, quality int, toxic int"))
+    assert toxicity.Scorer(model).document("you vermin")[0] > 0.5
+
+
+def test_any_number_of_languages(spark):
+    many = [(k, f"word{k} text", f"l{k}", "s", 0) for k in range(5000)]
+    df = spark.createDataFrame(many + [(9000 + k, prose("en", 40, k), "en", "s", 0) for k in range(60)], DOC)
+    got = language.training_sample(df)
+    assert len(got) == language.MAX_LANGUAGES and "en" in got
+    out = language.identify(df.where("doc_id % 50 = 0")).collect()
+    assert len(out) == 101 + 1
+    one = next(k for k in range(100) if not brute.held_out(k))
+    copies = [(one, f"letters {k % 3}", "en", "s", 0) for k in range(50_000)]
+    got = language.training_sample(spark.createDataFrame(copies, DOC))
+    assert len(got["en"]) == 3
+    long = [(one, "early " * 3000 + "zebra " * 3000, "en", "s", 0)]
+    got = language.training_sample(spark.createDataFrame(long, DOC))
+    assert any("zebra" in t for t in got["en"]) and any("early" in t for t in got["en"])
