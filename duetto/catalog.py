@@ -87,13 +87,13 @@ def market(spark: SparkSession, sf_dir: str, variant: str = "price") -> DataFram
 def hospital_optimal(spark, sf_dir, variant="price", trace=False):
     return _memo(spark, ("I2", sf_dir, variant, trace),
                  lambda: match_hospital_optimal(market(spark, sf_dir, variant),
-                                                QUOTA, trace=trace))
+                                                QUOTA, trace=trace, local=not trace))
 
 
 def doctor_optimal(spark, sf_dir, variant="price", trace=False):
     return _memo(spark, ("I1", sf_dir, variant, trace),
                  lambda: match_doctor_optimal(market(spark, sf_dir, variant),
-                                              QUOTA, trace=trace))
+                                              QUOTA, trace=trace, local=not trace))
 
 
 def first_proposals(spark, sf_dir) -> DataFrame:

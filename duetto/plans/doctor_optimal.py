@@ -34,6 +34,7 @@ from duetto.operators.ranking import top_n_per_group
 from duetto.plans import common
 from duetto.plans.common import (MatchResult, NotConverged, attach_quota, changes_frame,
                                  count_changes, observed_count, round_numbers, with_row_count)
+from duetto.plans.local import settle
 from duetto.session import (bounded_broadcast, compacted, cut_lineage, fits_broadcast, layout_partitions,
                             pin_layout)
 
@@ -225,18 +226,24 @@ def _plain(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool):
 
 def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int | None = None,
                          accelerate: bool = True,
-                         trace: bool = False) -> MatchResult:
+                         trace: bool = False, local: bool = False) -> MatchResult:
     """Doctor-optimal stable matching of ``edges`` with ``quota`` places.
 
     ``quota``: int or DataFrame ``(hospital_id, quota)``.  ``accelerate``
     drops every edge below a full hospital's worst held proposal each round
     (same matching, far fewer rounds).  Every round but the last deletes an
     edge, so the loop ends; a ``max_iter`` that ends it earlier raises
-    :class:`NotConverged`.
+    :class:`NotConverged`.  ``local`` brings every partition to rest before each
+    exchange (``plans.local``): the same matching in fewer rounds, where the edges
+    fit few partitions; it has no trace.
     """
     spark = edges.sparkSession
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
     size = e.count()
+    if local and not trace:
+        settled = settle(e, n, max_n, DOCTOR, size, max_iter)
+        if settled is not None:
+            return MatchResult(settled[0].select(*EDGE_COLUMNS), settled[1], True)
     n_parts = layout_partitions(spark, size)
     e = pin_layout(_layout(e, n_parts))
     try:

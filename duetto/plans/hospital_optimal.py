@@ -53,6 +53,7 @@ from duetto.operators.ranking import top_n_per_group
 from duetto.plans import common
 from duetto.plans.common import (MatchResult, NotConverged, attach_quota, observed_count,
                                  round_numbers, with_row_count)
+from duetto.plans.local import settle
 from duetto.session import (bounded_broadcast, compacted, cut_lineage, fits_broadcast,
                             layout_partitions, pin_layout)
 
@@ -129,7 +130,8 @@ def layout(e: DataFrame, n_parts: int, by_doctor: bool = False) -> DataFrame:
 
 
 def match_hospital_optimal(edges: DataFrame, quota=6, max_iter: int | None = None,
-                           trace: bool = False, n_parts: int | None = None) -> MatchResult:
+                           trace: bool = False, n_parts: int | None = None,
+                           local: bool = False) -> MatchResult:
     """Hospital-optimal stable matching of ``edges`` with ``quota`` places.
 
     ``quota`` is an int for all hospitals or a DataFrame
@@ -137,12 +139,18 @@ def match_hospital_optimal(edges: DataFrame, quota=6, max_iter: int | None = Non
     number of rounds and, with ``trace``, the match changes per round
     (``changes``).  Every round but the last deletes an edge, so the loop ends;
     a ``max_iter`` that ends it earlier raises :class:`NotConverged`.
-    ``n_parts`` overrides the number of partitions of the layout.
+    ``n_parts`` overrides the number of partitions of the layout.  ``local`` brings
+    every partition to rest before each exchange (``plans.local``): the same matching
+    in fewer rounds, where the edges fit few partitions; it has no trace.
     """
     spark = edges.sparkSession
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
     size = e.agg(F.count(F.lit(1)).alias("edges"),
                  F.approx_count_distinct(HOSPITAL, 0.01).alias("hospitals")).first()
+    if local and not trace:
+        settled = settle(e, n, max_n, HOSPITAL, size["edges"], max_iter)
+        if settled is not None:
+            return MatchResult(settled[0].select(*EDGE_COLUMNS), settled[1], True)
     n_parts = n_parts or layout_partitions(spark, size["edges"])
     # The estimate only picks the layout; both give the same rounds.
     by_doctor = not fits_broadcast(spark, int(1.1 * max_n * size["hospitals"]) + 1, 24)
