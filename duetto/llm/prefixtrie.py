@@ -34,12 +34,14 @@ from pyspark.sql import functions as F
 
 from duetto.llm.common import Tables
 from duetto.operators.ranking import largest_groups, rank_within
-from duetto.session import counted_broadcast, cut_lineage
+from duetto.session import counted_broadcast, cut_lineage, fits_broadcast
 
 SHARED, GROUP = 6, 100      # a conversation takes up to 5 first turns of its hundred's first one
 BLOCK = 1024                # turns whose running values one task computes at a time
 HOT_ROWS = 200_000          # a join key with more rows is dealt over several tasks
 IDS = 4096                  # ids of one piece of a list to be hashed
+ROWS_PER_PARTITION = 1_000_000      # turns of one partition
+ROW_BYTES = 64              # of a row of the tables that are joined, about
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: list[str], spread: str, how: str, most: int,
@@ -61,6 +63,11 @@ def spread_join(left: DataFrame, right: DataFrame, on: list[str], spread: str, h
     return dealt.join(again, [*on, "_salt"], how).drop("_salt")
 
 
+def near(df: DataFrame, most: int) -> DataFrame:
+    """``df``, which has ``most`` rows at most, to be broadcast if these fit."""
+    return F.broadcast(df) if fits_broadcast(df.sparkSession, most, ROW_BYTES) else df
+
+
 # --- conversations as strings ------------------------------------------------
 
 
@@ -133,7 +140,7 @@ def fattest(a: str, b: str) -> Column:
 
 def _at(rows: DataFrame, depth: str, paths: DataFrame) -> DataFrame:
     """``rows`` with the hashes ``h1, h2`` of conversation ``c`` at ``depth``; a depth
-    of -1 has none, and keys that match nothing."""
+    of -1 has none, and keys that match nothing.  ``paths`` may be broadcast."""
     got = rows.join(paths.select("c", F.col("d").alias(depth), "h1", "h2"), ["c", depth], "left")
     return got.withColumn("h1", F.coalesce("h1", "c")).withColumn("h2", F.coalesce("h2", F.lit(0).cast("bigint")))
 
@@ -148,11 +155,11 @@ def file_nodes(edges: DataFrame, paths: DataFrame) -> DataFrame:
             .select("handle", "d", "h1", "h2", F.col("c").alias("ref"), "e"))
 
 
-def locate(pending: DataFrame, filed: DataFrame, paths: DataFrame, deepest: int, tables: Tables) -> DataFrame:
-    """``c, length, ref, lcp`` of every row of ``pending(c, length, a)``, which is known
+def locate(pending: DataFrame, n: int, filed: DataFrame, paths: DataFrame, deepest: int, tables: Tables) -> DataFrame:
+    """``c, length, ref, lcp`` of each of the ``n`` rows of ``pending(c, length, a)``, known
     to share its first ``a`` turns with the trie: the conversation of the exit edge
     (null: the root), and how many turns they share."""
-    n = pending.count()
+    filed = near(filed, filed.count())
     handles = filed.filter("handle").select(F.col("d").alias("f"), "h1", "h2", F.col("ref").alias("found"), "e")
     now = pending.select("c", "length", "a", F.col("a").alias("low"), F.col("length").alias("b"),
                          F.lit(None).cast("bigint").alias("ref"))
@@ -178,43 +185,43 @@ def build(strings: DataFrame, paths: DataFrame, deepest: int, tables: Tables) ->
     """The trie of ``strings(c, length)``, all different and not empty: its edges
     ``ref, s, e``; ``ref, up, s``, where the path of each ref leaves that of ``up``
     (null: the root); and ``c, ref, e``, the node at which each string ends."""
-    long = "bigint"
-    pending = strings.select("c", "length", F.lit(0).cast(long).alias("a"))
-    spark = strings.sparkSession
-    bounds = spark.createDataFrame([], "ref bigint, d bigint")
-    tops = spark.createDataFrame([], "ref bigint, up bigint, s bigint")
-    ends = spark.createDataFrame([], "c bigint, ref bigint, e bigint")
-    filed = None
+    long, zero = "bigint", F.lit(0).cast("bigint")
+    pending, left = strings.select("c", "length", zero.alias("a")), strings.count()
+    bounds = tops = ends = filed = None
+    also = lambda all_, more: more if all_ is None else all_.unionByName(more)      # noqa: E731
+    batch = 0
     while True:
+        batch += 1
         if filed is None:       # the root alone
-            found = pending.select("c", "length", F.lit(None).cast(long).alias("ref"), F.lit(0).cast(long).alias("lcp"))
+            found = pending.select("c", "length", F.lit(None).cast(long).alias("ref"), zero.alias("lcp"))
         else:
-            found = locate(pending, filed, paths, deepest, tables)
+            found = locate(pending, left, filed, paths, deepest, tables)
         turn = F.when(F.col("lcp") < F.col("length"), F.col("lcp") + 1).otherwise(F.lit(-1).cast(long))
-        found = tables.put("found", _at(found.withColumn("f", turn), "f", paths))
-        new = tables.put("new", found.filter("f > 0").groupBy("f", "h1", "h2")
-                  .agg(F.min(F.struct(F.xxhash64("c").alias("by"), "c", "ref", "lcp", "length")).alias("x"))
-                  .select("x.c", "x.ref", "x.lcp", "x.length"))
+        found = tables.put(f"found{batch}", _at(found.withColumn("f", turn), "f", paths))
+        new = tables.put(f"new{batch}", found.filter("f > 0").groupBy("f", "h1", "h2")
+                         .agg(F.min(F.struct(F.xxhash64("c").alias("by"), "c", "ref", "lcp", "length")).alias("x"))
+                         .select("x.c", "x.ref", "x.lcp", "x.length"))
         done = found.filter("f < 0").select("c", "ref", F.col("lcp").alias("e"))
-        marks = (new.filter("ref is not null").select("ref", F.col("lcp").alias("d"))
-                 .unionByName(done.select("ref", F.col("e").alias("d")))
-                 .unionByName(new.select(F.col("c").alias("ref"), F.explode(F.array("lcp", "length")).alias("d"))))
-        bounds = tables.put("bounds", bounds.unionByName(marks).distinct())
-        tops = tables.put("tops", tops.unionByName(new.select(F.col("c").alias("ref"), F.col("ref").alias("up"), F.col("lcp").alias("s"))))
-        ends = tables.put("ends", ends.unionByName(done).unionByName(new.select("c", F.col("c").alias("ref"), F.col("length").alias("e"))))
+        bounds = also(bounds, new.filter("ref is not null").select("ref", F.col("lcp").alias("d"))
+                      .unionByName(done.select("ref", F.col("e").alias("d")))
+                      .unionByName(new.select(F.col("c").alias("ref"), F.explode(F.array("lcp", "length")).alias("d"))))
+        tops = also(tops, new.select(F.col("c").alias("ref"), F.col("ref").alias("up"), F.col("lcp").alias("s")))
+        ends = also(ends, done.unionByName(new.select("c", F.col("c").alias("ref"), F.col("length").alias("e"))))
         s = F.lag("d").over(Window.partitionBy("ref").orderBy("d"))
-        edges = tables.put("edges", bounds.select("ref", s.alias("s"), F.col("d").alias("e")).filter("s is not null"))
-        pending = tables.put("pending", found.filter("f > 0").join(new.select("c"), "c", "left_anti")
-                      .select("c", "length", F.col("lcp").alias("a")))
-        if pending.isEmpty():
-            return edges, tops, ends
+        edges = bounds.distinct().select("ref", s.alias("s"), F.col("d").alias("e")).filter("s is not null")
+        inserted = new.count()
+        left = found.filter("f > 0").count() - inserted
+        if not left:
+            return tables.put("edges", edges), tables.put("tops", tops), tables.put("ends", ends)
+        pending = (found.filter("f > 0").join(near(new.select("c"), inserted), "c", "left_anti")
+                   .select("c", "length", F.col("lcp").alias("a")))
         filed = tables.put("filed", file_nodes(edges, paths))
 
 
 def parents(edges: DataFrame, tops: DataFrame) -> DataFrame:
     """``ref, s, e, up, at``: every node and its parent, the node of ``up`` at depth
     ``at``; nodes of the root's edges have the parent (0, 0)."""
-    top = tops.select("ref", "up", "s")
+    top = near(tops.select("ref", "up", "s"), tops.count())
     got = edges.join(top, ["ref", "s"], "left").join(top.select("ref", F.lit(1).alias("one"), "s"), ["ref", "s"], "left")
     up = F.when(F.col("s") == 0, F.lit(0).cast("bigint")).when(F.col("one").isNull(), F.col("ref")).otherwise(F.col("up"))
     return got.select("ref", "s", "e", up.alias("up"), F.col("s").alias("at"))
@@ -228,14 +235,14 @@ def summed(nodes: DataFrame, sums: list[str], least: list[str], tables: Tables)
     now = tables.put("sums", nodes.select("ref", "e", "up", "at", *figures))
     n = now.count()
     while not now.filter("up is not null").isEmpty():
-        given = (now.filter("up is not null").groupBy(F.col("up").alias("ref"), F.col("at").alias("e"))
-                 .agg(*[F.sum(c).alias(f"_{c}") for c in sums], *[F.min(c).alias(f"_{c}") for c in least]))
-        above = now.select(F.col("ref").alias("up"), F.col("e").alias("at"),
-                           F.col("up").alias("up2"), F.col("at").alias("at2")).filter("up2 is not null")
+        given = near(now.filter("up is not null").groupBy(F.col("up").alias("ref"), F.col("at").alias("e"))
+                     .agg(*[F.sum(c).alias(f"_{c}") for c in sums], *[F.min(c).alias(f"_{c}") for c in least]), n)
+        above = near(now.select(F.col("ref").alias("up"), F.col("e").alias("at"),
+                                F.col("up").alias("up2"), F.col("at").alias("at2")).filter("up2 is not null"), n)
         # Nodes whose ancestor is the root are done; all others look their ancestor's up.
         moving = now.filter("at > 0").select("ref", "e", "up", "at")
-        moved = (spread_join(moving, above, ["up", "at"], "ref", "inner", n, tables)
-                 .select("ref", "e", F.col("up2").alias("up"), F.col("at2").alias("at")))
+        moved = near(spread_join(moving, above, ["up", "at"], "ref", "inner", n, tables)
+                 .select("ref", "e", F.col("up2").alias("up"), F.col("at2").alias("at")), n)
         now = tables.put("sums", now.drop("up", "at").join(given, ["ref", "e"], "left").join(moved, ["ref", "e"], "left")
                   .select("ref", "e", "up", "at",
                           *[(F.col(c) + F.coalesce(f"_{c}", F.lit(0))).cast("bigint").alias(c) for c in sums],
@@ -319,20 +326,23 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     strings = tables.put("strings", rebuilt(turns, convs, tables))
     deepest = strings.agg(F.max("d")).first()[0] or 0
     every = tables.put("every", prefixes(strings, deepest))
-    last = strings.groupBy("c").agg(F.max("d").alias("d"))
+    last = every.groupBy("c").agg(F.max(F.struct("d", "h1", "h2", "k")).alias("x")).select("c", "x.*")
     zero = F.lit(0).cast("bigint")
     members = tables.put("members", convs.select(F.col("conv_id").alias("c"))
-                  .join(every.join(last, ["c", "d"]), "c", "left")
+                  .join(last, "c", "left")
                   .select("c", F.coalesce("d", zero).alias("length"), F.coalesce("h1", zero).alias("h1"),
                           F.coalesce("h2", zero).alias("h2"), F.coalesce("k", zero).alias("k")))
     kinds = tables.put("kinds", members.groupBy("length", "h1", "h2")
                 .agg(F.min("c").alias("c"), F.count(F.lit(1)).alias("n"), F.first("k").alias("k")))
     digests = kinds.join(id_digests(members), ["length", "h1", "h2"]).select("c", "length", "n", "k", "digest")
     digests = tables.put("digests", digests)
-    own = kinds.filter("length > 0").select("c", "length")
-    paths = every.join(own.select("c"), "c")
-    parts = max(1, paths.sparkSession.sparkContext.defaultParallelism)
-    paths = cut_lineage(paths.repartition(parts, "c", "d").sortWithinPartitions("c", "d"), keep_layout=True)
+    own = tables.put("strings", kinds.filter("length > 0").select("c", "length"))
+    paths, n = every.join(own.select("c"), "c"), every.count()
+    if fits_broadcast(conversations.sparkSession, n, ROW_BYTES):
+        paths = near(tables.put("paths", paths), n)
+    else:       # too large to be sent around: laid out once, where every probe finds it
+        parts = max(conversations.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_PARTITION))
+        paths = cut_lineage(paths.repartition(parts, "c", "d").sortWithinPartitions("c", "d"), keep_layout=True)
     edges, tops, ends = build(own, paths, deepest, tables)
 
     # Figures of each node itself, then of its subtree.
@@ -341,7 +351,8 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     known = (known.join(depth, ["ref", "e"])
              .join(depth.select("ref", F.col("e").alias("s"), F.col("k").alias("ks")), ["ref", "s"], "left")
              .withColumn("ks", F.coalesce("ks", zero)))
-    there = ends.join(digests, "c").select("ref", "e", "c", "n", "k", "digest")
+    n = digests.count()
+    there = ends.join(near(digests, n), "c").select("ref", "e", "c", "n", "k", "digest")
     root = digests.filter("length = 0")
     there = there.select("ref", "e", "c", "n", (F.col("n") * F.col("k")).alias("nk"), "digest").unionByName(
         root.select(zero.alias("ref"), zero.alias("e"), "c", "n", zero.alias("nk"), "digest"))
@@ -356,20 +367,22 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
                         F.when(F.col("n_children") > 0, zero).otherwise(zero + 1).alias("n_leaves"),
                         F.coalesce("digest", F.lit(none)).alias("digest")))
     whole = tables.put("whole", summed(own_nodes, ["n_convs", "nk", "kept", "n_leaves"], ["conv_id"], tables))
-    nodes = own_nodes.select("ref", "s", "e", "up", "at", "ks", "n_children", "digest").join(whole, ["ref", "e"])
+    nodes = own_nodes.select("ref", "s", "e", "up", "at", "ks", "n_children", "digest").join(near(whole, whole.count()), ["ref", "e"])
     above = whole.select(F.col("ref").alias("up"), F.col("e").alias("at"), F.col("conv_id").alias("parent_conv_id"))
+    above = near(above, whole.count())
     nodes = tables.put("nodes", spread_join(nodes, above, ["up", "at"], "ref", "left", whole.count(), tables))
 
     # Only the nodes and the paths are read from here on.
-    tables.drop(*[name for name in tables.paths if name != "nodes"])
+    tables.drop(*[name for name in tables.paths if name not in ("nodes", "paths")])
 
     # Edges expanded: one row for each depth, from the path of the edge's conversation.
     block = lambda d: F.expr(f"({d}) div {BLOCK}")      # noqa: E731
     blocks = (nodes.filter("e > 0").withColumn("block", F.explode(F.sequence(block("s + 1"), block("e")))))
-    steps = paths.select(F.col("c").alias("ref"), "d", "k", block("d").alias("block"))
+    blocks = near(blocks, nodes.count() + n * (1 + deepest // BLOCK))
+    steps = paths.select(F.col("c").alias("ref"), "d", block("d").alias("block"))
     before = depth.select("ref", (F.col("e") + 1).alias("d"), F.col("k").alias("before"))
     steps = steps.join(before, ["ref", "d"], "left").withColumn("before", F.coalesce("before", zero))
-    rows = blocks.join(steps.drop("k"), ["ref", "block"]).filter("s < d and d <= e")
+    rows = steps.join(blocks, ["ref", "block"]).filter("s < d and d <= e")
     # Of all of a subtree's turns, each member's count and each node's once less; the edge above d is not below it.
     saved = F.col("nk") - F.col("n_convs") * F.col("before") - (F.col("kept") - (F.col("before") - F.col("ks")))
     out = rows.select(

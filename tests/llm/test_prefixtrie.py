@@ -79,6 +79,7 @@ def test_equals_a_dictionary_of_prefixes(spark, monkeypatch, hot):
         monkeypatch.setattr(prefixtrie, "HOT_ROWS", 5)
         monkeypatch.setattr(prefixtrie, "IDS", 3)
         monkeypatch.setattr(ranking, "MAX_GROUP_ROWS", 10)
+        monkeypatch.setattr(prefixtrie, "fits_broadcast", lambda *_: False)
     rows = cases(1, 40 if hot else 120)
     assert run(spark, rows) == plain(rows)
 
