@@ -19,7 +19,9 @@ Spark does the heavy lifting and bounds the work per group:
   ``WindowGroupLimit``, so even a hospital holding a third of all rows is
   trimmed on every map task before its shuffle.
 * The remaining, bounded group runs a numpy dynamic programme inside
-  ``applyInPandas`` (vectorised over the budget axis).
+  ``applyInPandas`` (vectorised over the budget axis).  Its way back needs a bit for
+  each applicant and spend; where these exceed ``TRACE_BYTES`` the applicants are
+  halved until they fit, so that memory is linear in the budget.
 """
 
 from __future__ import annotations
@@ -49,6 +51,65 @@ CHOICE_SCHEMA = T.StructType([
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+#: Bytes of the table of decisions that one hospital's search may hold.
+TRACE_BYTES = 64 << 20
+
+
+def _take(dp: np.ndarray, price: int, value: int) -> np.ndarray:
+    """Offers one more item to ``dp``, the best utility by spend, in place; whether it
+    is taken at each spend from its price on (also on equal utility)."""
+    with_it = dp[:len(dp) - price] + value
+    better = with_it >= dp[price:]
+    dp[price:] = np.where(better, with_it, dp[price:])
+    return better
+
+
+def _choose(prices: list[int], values: list[int], lo: int, hi: int, dp: np.ndarray,
+            spend: int | None) -> tuple[list[int], int]:
+    """The items among ``lo..hi-1`` of the best choice with ``spend``, and what is spent
+    on the items before; ``dp`` is the best utility by spend of those.  Without
+    ``spend`` it is the smallest one of the largest utility.
+
+    All decisions are kept, a bit each, if they fit ``TRACE_BYTES``.  Else the items
+    are halved: the second half carries along, for each spend, what of it the way back
+    leaves to the first half; so both halves can be searched alone, in memory that is
+    linear in the budget.
+    """
+    if lo == hi:
+        return [], int(np.argmax(dp)) if spend is None else spend
+    if spend is not None:
+        dp = dp[:spend + 1]         # more can't be spent
+    now = dp.copy()
+    if (hi - lo) * len(dp) <= 8 * TRACE_BYTES or hi - lo == 1:
+        taken = [np.packbits(_take(now, prices[i], values[i])) if prices[i] < len(now) else None
+                 for i in range(lo, hi)]
+        j = int(np.argmax(now)) if spend is None else spend
+        chosen = []
+        for i in range(hi - 1, lo - 1, -1):
+            at = j - prices[i]
+            if at >= 0 and taken[i - lo][at >> 3] >> (7 - (at & 7)) & 1:
+                chosen.append(i)
+                j = at
+        return chosen[::-1], j
+    middle = (lo + hi) // 2
+    for i in range(lo, middle):
+        if prices[i] < len(now):
+            _take(now, prices[i], values[i])
+    half = now.copy()
+    left = np.arange(len(now))      # what is spent before the middle
+    for i in range(middle, hi):
+        p = prices[i]
+        if p < len(now):
+            better = _take(now, p, values[i])
+            left[p:] = np.where(better, left[:len(left) - p], left[p:])
+    j = int(np.argmax(now)) if spend is None else spend
+    before = int(left[j])
+    del now, left
+    second, _ = _choose(prices, values, middle, hi, half, j)
+    first, rest = _choose(prices, values, lo, middle, dp, before)
+    return first + second, rest
+
+
 def solve_knapsack(pdf: pd.DataFrame, keep: tuple[str, ...] = ()) -> pd.DataFrame:
     """Exact 0/1 knapsack for one hospital's (bounded) candidate rows.
 
@@ -65,24 +126,10 @@ def solve_knapsack(pdf: pd.DataFrame, keep: tuple[str, ...] = ()) -> pd.DataFram
         raise ValueError("a hospital has more than one budget")
     vals = pdf["utility"].to_numpy(np.int64)
     prices = pdf["price"].to_numpy(np.int64)
-    n = len(pdf)
-    dp = np.zeros(cap, dtype=np.int64)         # best utility with spend <= j
-    take = np.zeros((n, cap), dtype=bool)
-    for i in range(n):
-        p, v = int(prices[i]), int(vals[i])
-        if p >= cap:
-            continue
-        with_i = dp[:cap - p] + v
-        without = dp[p:]
-        t = with_i >= without
-        take[i, p:] = t
-        dp[p:] = np.where(t, with_i, without)
-    j = int(np.argmax(dp))                     # first column of the max value
-    chosen = []
-    for i in range(n - 1, -1, -1):
-        if take[i, j]:
-            chosen.append(i)
-            j -= int(prices[i])
+    payable = np.flatnonzero(prices < cap)
+    chosen, _ = _choose(prices[payable].tolist(), vals[payable].tolist(), 0, len(payable),
+                        np.zeros(cap, dtype=np.int64), None)
+    chosen = payable[np.array(chosen, dtype=np.int64)]
     res = pdf.iloc[sorted(chosen)][out_cols].astype("int64")
     return res.reset_index(drop=True)
 

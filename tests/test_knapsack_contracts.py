@@ -155,3 +155,60 @@ def test_contracts_that_repeat_a_matching_raise_or_end(spark):
         assert match_contracts(e).converged
     except NotConverged as err:
         assert "came before" in str(err)
+
+
+def full_table(pdf):
+    """The choice by a table of all decisions: items in order, later ones on equal utility."""
+    pdf = pdf.sort_values(DOCTOR, kind="stable")
+    cap = int(pdf["budget"].iloc[0])
+    items = [(int(p), int(v)) for p, v in zip(pdf["price"], pdf["utility"])]
+    dp, taken = [0] * cap, []
+    for p, v in items:
+        row = [j >= p and dp[j - p] + v >= dp[j] for j in range(cap)]
+        dp = [dp[j - p] + v if row[j] else dp[j] for j in range(cap)]
+        taken.append(row)
+    j, chosen = dp.index(max(dp)), []
+    for i in range(len(items) - 1, -1, -1):
+        if taken[i][j]:
+            chosen.append(int(pdf["doctor_id"].iloc[i]))
+            j -= items[i][0]
+    return chosen[::-1]
+
+
+@pytest.mark.parametrize("trace", [1, 4, 40, 64 << 20])
+def test_any_memory_gives_the_choice_of_the_full_table(monkeypatch, trace):
+    import pandas as pd
+
+    from duetto.operators import knapsack
+    monkeypatch.setattr(knapsack, "TRACE_BYTES", trace)
+    for seed in range(60):
+        rng = random.Random(seed)
+        cap, top = rng.randint(1, 60), rng.choice([2, 6, 70])
+        rows = [(0, d, rng.randint(0, top), rng.randint(0, top), cap) for d in range(rng.randint(1, 45))]
+        pdf = pd.DataFrame(rows, columns=["hospital_id", "doctor_id", "utility", "price", "budget"])
+        assert solve_knapsack(pdf)["doctor_id"].tolist() == full_table(pdf)
+
+
+def test_memory_is_linear_in_the_budget():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    from duetto.operators import knapsack
+    rng, n, cap = np.random.default_rng(6), 4000, 200_000      # a bit each: 100 MB
+    pdf = pd.DataFrame({"hospital_id": 0, "doctor_id": np.arange(n), "utility": rng.integers(1, 1000, n),
+                        "price": rng.integers(1, 2000, n), "budget": cap})
+    tracemalloc.start()
+    got = solve_knapsack(pdf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < knapsack.TRACE_BYTES + 16 * 8 * cap
+    assert 0 < got["price"].sum() < cap
+    # No item that was left fits beside, or is better than, a dearer one that was chosen.
+    left = pdf[~pdf["doctor_id"].isin(got["doctor_id"])]
+    room = cap - 1 - got["price"].sum()
+    assert not (left["price"] <= room).any()
+    worst = got.groupby("price")["utility"].min()
+    best = left.groupby("price")["utility"].max()
+    assert all(best[p] <= worst[p] for p in worst.index.intersection(best.index))
