@@ -171,6 +171,12 @@ def q_convergence_trace_doctor(spark, sf_dir):
     return bigint_out(doctor_optimal(spark, sf_dir, trace=True).trace(spark))
 
 
+def q_convergence_trace_doctor_plain(spark, sf_dir):
+    """Changes in each of the classic rounds, one choice of a rejected doctor a round."""
+    r = match_doctor_optimal(market(spark, sf_dir), QUOTA, accelerate=False, trace=True)
+    return bigint_out(r.trace(spark))
+
+
 def q_convergence_report(spark, sf_dir):
     i2 = hospital_optimal(spark, sf_dir, trace=True).trace(spark)
     i1 = doctor_optimal(spark, sf_dir, trace=True).trace(spark)
@@ -488,6 +494,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "match_doctor_optimal": q_match_doctor_optimal,
     "convergence_trace": q_convergence_trace,
     "convergence_trace_doctor": q_convergence_trace_doctor,
+    "convergence_trace_doctor_plain": q_convergence_trace_doctor_plain,
     "convergence_report": q_convergence_report,
     "convergence_running": q_convergence_running,
     "blocking_pairs": q_blocking_pairs,

@@ -552,3 +552,5 @@ PLAIN_SQL = {
     "match_doctor_optimal_plain": _w(MARKET, I1_PLAIN, recursive=True) + f"SELECT {EDGE_SELECT} FROM ip",
     "convergence_trace_plain": _w(MARKET, I1_PLAIN, TRACE_PLAIN, recursive=True) + "SELECT * FROM tp",
 }
+
+SQL["convergence_trace_doctor_plain"] = PLAIN_SQL["convergence_trace_plain"]

@@ -19,9 +19,8 @@ pass with no exchange and no sort.  Step 2 works on at most one row per
 doctor, trimmed to ``quota`` rows per hospital on every map task before its
 shuffle.  Accelerated mode never rewrites the edges: its state is the held
 proposals, and step 3 is an anti join with one cut per full hospital
-(broadcast below the session's threshold).  Plain mode rewrites the edges
-without the rejected proposals (at most one per doctor), keyed by doctor so
-the layout is kept.
+(broadcast below the session's threshold).  Plain rounds read only the edges at
+the cursors of rejected doctors (``plans.frontier``).
 """
 
 from __future__ import annotations
@@ -33,7 +32,8 @@ from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_R
 from duetto.operators.ranking import top_n_per_group
 from duetto.plans import common
 from duetto.plans.common import (MatchResult, NotConverged, attach_quota, changes_frame,
-                                 count_changes, observed_count, round_numbers, with_row_count)
+                                 observed_count, round_numbers, with_row_count)
+from duetto.plans.frontier import plain_rounds
 from duetto.plans.local import settle
 from duetto.session import (bounded_broadcast, compacted, cut_lineage, fits_broadcast, layout_partitions,
                             pin_layout)
@@ -183,50 +183,10 @@ def _accelerated(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool,
     raise NotConverged(f"edges are still deleted after {max_iter} rounds")
 
 
-def _plain(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool):
-    """Plain rounds: only the rejected proposals' edges are deleted.
-
-    A doctor proposes down its list, so the edges it has lost are exactly
-    those ranked at or above its last rejected proposal: the state is one
-    "floor" per doctor ever rejected, and the edges are never rewritten.
-    Two jobs per round: the proposals (one pass over the edges), then the
-    new floors (at most one row per doctor), whose job also observes how
-    many proposals were rejected; a zero is confirmed exactly before
-    stopping.
-    """
-    changes: list[int] = []
-    floors, n_floors = None, 0
-    prop = prev_prop = None
-    for rounds in round_numbers(max_iter):
-        live = e
-        if floors is not None:
-            live = e.join(bounded_broadcast(floors, n_floors, row_bytes=16),
-                          (F.col(DOCTOR) == F.col("_d")) & (F.col(DOCTOR_RANK) <= F.col("_floor")),
-                          "left_anti")
-        prop = cut_lineage(proposals(live))
-        held = held_proposals(prop, n, max_n)
-        if trace:
-            changes.append(count_changes(
-                held, None if prev_prop is None else held_proposals(prev_prop, n, max_n),
-                count_lost=True))
-        rejected = (prop.join(held.select(DOCTOR), DOCTOR, "left_anti")
-                    .select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_floor")))
-        observed, obs_rej = with_row_count(rejected)      # an Observation serves one query
-        grown = observed if floors is None else floors.unionByName(observed)
-        grown, obs_all = with_row_count(grown.groupBy("_d").agg(F.max("_floor").alias("_floor")))
-        new_floors = cut_lineage(grown)
-        n_rej = observed_count(obs_rej)
-        if (n_rej is None or n_rej == 0) and rejected.isEmpty():   # observed, then exact
-            return cut_lineage(held), rounds, True, changes
-        n_all = observed_count(obs_all)
-        floors, prev_prop = new_floors, prop
-        n_floors = n_all if n_all is not None else new_floors.count()
-    raise NotConverged(f"proposals are still rejected after {max_iter} rounds")
-
-
 def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int | None = None,
                          accelerate: bool = True,
-                         trace: bool = False, local: bool = False) -> MatchResult:
+                         trace: bool = False, local: bool = False,
+                         journal: str | None = None) -> MatchResult:
     """Doctor-optimal stable matching of ``edges`` with ``quota`` places.
 
     ``quota``: int or DataFrame ``(hospital_id, quota)``.  ``accelerate``
@@ -235,11 +195,18 @@ def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int | None = None,
     edge, so the loop ends; a ``max_iter`` that ends it earlier raises
     :class:`NotConverged`.  ``local`` brings every partition to rest before each
     exchange (``plans.local``): the same matching in fewer rounds, where the edges
-    fit few partitions; it has no trace.
+    fit few partitions; it has no trace.  Without ``accelerate`` the rounds are the
+    classic ones, by a frontier (``plans.frontier``): with a ``journal``, a name in
+    the checkpoint folder, a loop whose driver was lost is resumed by the same call.
     """
     spark = edges.sparkSession
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
     size = e.count()
+    if not accelerate:
+        held, rounds, changes = plain_rounds(e, n, max_n, size, max_iter, journal)
+        return MatchResult(held.select(*EDGE_COLUMNS), rounds, True, changes if trace else [])
+    if journal:
+        raise ValueError("only the classic rounds keep a journal")
     if local and not trace:
         settled = settle(e, n, max_n, DOCTOR, size, max_iter)
         if settled is not None:
@@ -247,10 +214,7 @@ def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int | None = None,
     n_parts = layout_partitions(spark, size)
     e = pin_layout(_layout(e, n_parts))
     try:
-        if accelerate:
-            held, rounds, converged, changes = _accelerated(e, n, max_n, max_iter, trace, n_parts, size)
-        else:
-            held, rounds, converged, changes = _plain(e, n, max_n, max_iter, trace)
+        held, rounds, converged, changes = _accelerated(e, n, max_n, max_iter, trace, n_parts, size)
     finally:
         e.unpersist()
     return MatchResult(matching=held.select(*EDGE_COLUMNS), rounds=rounds,

@@ -80,6 +80,76 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+#: Rows of one file of a written table whose size is known.
+ROWS_PER_FILE = 500_000
+
+
+def few_partitions(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most ``rows`` rows, in no more partitions than there are cores or
+    than these rows need, whatever the number of shuffle partitions is."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_FILE)))
+
+
+class Tables:
+    """Written tables of one run, in a folder in the shared checkpoint folder.
+
+    A loop that cuts its lineage this way also starts anew from measured sizes,
+    where a checkpoint would keep estimates that grow with every join.  With a
+    ``name`` of its own the folder outlives the driver: notes written there say from
+    where a new one goes on.
+    """
+
+    def __init__(self, spark: SparkSession, stem: str, name: str | None = None):
+        self.spark = spark
+        self.folder = os.path.join(ensure_checkpoint_dir(spark), name) if name else scratch_path(spark, stem)
+        self.paths: dict[str, str] = {}
+        self.count = 0
+
+    def put(self, name: str, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """``df`` written and read back; what ``name`` was before is deleted then.
+        Of at most ``rows`` rows, no more files are made than their number asks for."""
+        self.count += 1
+        df = df if rows is None else few_partitions(df, rows)
+        path, old = f"{self.folder}/{name}-{self.count}-{uuid.uuid4().hex[:8]}", self.paths.get(name)
+        df.write.parquet(path)
+        self.paths[name] = path
+        if old:
+            self.forget(old)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.paths:
+                self.forget(self.paths.pop(name))
+
+    def forget(self, path: str) -> None:
+        """Deletes one table."""
+        fs, where = self._file_system(path)
+        fs.delete(where, True)
+
+    def note(self, number: int, text: str) -> None:
+        """Writes an ASCII note: whole under its number or not at all."""
+        fs, draft = self._file_system(f"{self.folder}/note-{uuid.uuid4().hex}.tmp")
+        out = fs.create(draft, True)
+        out.writeBytes(text)
+        out.close()
+        _, final = self._file_system(f"{self.folder}/note-{number:09d}")
+        fs.delete(final, False)
+        if not fs.rename(draft, final):
+            raise OSError(f"{final} can't be written")
+
+    def last_note(self) -> str | None:
+        """The note with the largest number, if there is one."""
+        fs, where = self._file_system(self.folder)
+        found = fs.globStatus(self._file_system(f"{self.folder}/note-?????????")[1]) if fs.exists(where) else None
+        paths = sorted(f.getPath().toString() for f in found or [])
+        return self.spark.read.text(paths[-1], wholetext=True).first()[0] if paths else None
+
+    def _file_system(self, path: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+
 def cut_lineage(df: DataFrame, keep_layout: bool = False) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder.
 
