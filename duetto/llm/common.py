@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duetto.session import cut_lineage, ensure_checkpoint_dir, scratch_path
+from duetto.session import Tables, cut_lineage, ensure_checkpoint_dir
 
 __all__ = ["Tables", "cut", "ensure_checkpoint_dir", "fold_of", "fresh", "per_process", "repeated", "table"]
 
@@ -27,36 +27,6 @@ def cut(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-class Tables:
-    """Written tables of one run, in a folder of its own in the shared checkpoint
-    folder.  A loop that cuts its lineage this way also starts anew from measured
-    sizes, where a checkpoint would keep estimates that grow with every join."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.folder = spark, scratch_path(spark, name)
-        self.paths: dict[str, str] = {}
-        self.count = 0
-
-    def put(self, name: str, df: DataFrame) -> DataFrame:
-        """``df`` written and read back; what ``name`` was before is deleted then."""
-        self.count += 1
-        path, old = f"{self.folder}/{name}-{self.count}", self.paths.get(name)
-        df.write.parquet(path)
-        self.paths[name] = path
-        if old:
-            self._delete(old)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *names: str) -> None:
-        for name in names:
-            if name in self.paths:
-                self._delete(self.paths.pop(name))
-
-    def _delete(self, path: str) -> None:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have (names compare without case)."""
     taken = {c.lower() for c in df.columns}

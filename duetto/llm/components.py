@@ -40,9 +40,10 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star rewiring until the edges stop
     changing; then each edge points from a node to the root of its star.  Every
-    step is two groupings and two joins on the edges: minima combine before the
-    shuffle, so a hub that holds a third of the edges is no single task's work,
-    and the number of rounds grows with the logarithm of the longest path.
+    step is two groupings and two joins on the edges.  Minima combine before the
+    shuffle; the joins bring the edges of a hub together, which adaptive execution
+    splits where it is skewed.  The number of rounds grows with the logarithm of the
+    longest path.
     Edges with a null end and self-loops are ignored; an empty table gives an
     empty result.
     """

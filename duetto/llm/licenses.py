@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from duetto.llm.common import cut
+
 K = 3                   # words in a gram
 MAX_SHIFT = 4           # neighbouring diagonals differ by so many words at most
 MIN_COVER = 0.7         # share of a template's grams that a span must cover
@@ -95,22 +97,21 @@ def license_hits(docs: DataFrame, grams: DataFrame) -> DataFrame:
     hits, and one row with null ``template`` for each row of ``docs``."""
     words = docs.select("doc_id", F.xxhash64("text").alias("th"),
                         words_of(F.col("text")).alias("words"))
-    n = F.size("words")
-    rolled = F.when(n >= K, F.transform(
-        F.sequence(F.lit(0), n - K),
-        lambda i: F.xxhash64(*[F.get(F.col("words"), i + j) for j in range(K)]))
-    ).otherwise(F.array().cast("array<bigint>"))
+    n, d = F.size("words").cast("bigint"), F.col("d")
     marker = grams.limit(1).select(
         *[F.lit(None).cast(t).alias(c) for c, t in grams.dtypes if c != "gram"],
         F.lit(_EVERY).cast("bigint").alias("gram"))
     table = F.broadcast(grams.unionByName(marker))
-    each = words.select("doc_id", "th", "words", n.cast("bigint").alias("n_words"),
-                        F.posexplode(F.array_append(rolled, F.lit(_EVERY).cast("bigint")))
-                        .alias("d", "gram"))
+    # The place after the last word stands for the row itself.
+    each = words.select("doc_id", "th", "words", n.alias("n_words"),
+                        F.posexplode(F.array_append("words", "")).alias("d", "w")).drop("w")
+    last = d == F.col("n_words")
+    gram = F.xxhash64(*[F.get(F.col("words"), d + j) for j in range(K)])
+    each = (each.filter(last | (d + K <= F.col("n_words")))
+            .withColumn("gram", F.when(last, F.lit(_EVERY).cast("bigint")).otherwise(gram)))
     same = F.lit(True)
     for j in range(K):
-        same = same & (F.get(F.col("words"), F.col("d") + j) == F.col(f"w{j}"))
-    last = F.col("d") == F.greatest(F.col("n_words") - K + 1, F.lit(0))
+        same = same & (F.get(F.col("words"), d + j) == F.col(f"w{j}"))
     return (each.join(table, "gram")
             .filter(F.when(F.col("template").isNull(), last).otherwise(same))
             .select("doc_id", "th", "n_words", "template", "label", "exact", "grams", "t", "d"))
@@ -165,9 +166,10 @@ def scan_licenses(docs: DataFrame, grams: DataFrame | None = None) -> DataFrame:
         grams = template_grams(docs.sparkSession)
     key = ["doc_id", "th"]
     # Rows that repeat id and text make the same hits: they count once and return as often.
-    hits = (license_hits(docs, grams)
-            .groupBy(*key, "n_words", "template", "label", "exact", "grams", "t", "d")
-            .agg(F.count(F.lit(1)).alias("copies")))
+    # Written, since spans and rows are read from it: the texts are read once.
+    hits = cut(license_hits(docs, grams)
+               .groupBy(*key, "n_words", "template", "label", "exact", "grams", "t", "d")
+               .agg(F.count(F.lit(1)).alias("copies")))
     spans = license_spans(hits)
     each = hits.filter("template is null").select(
         *key, "n_words", "copies", F.lit(None).cast("struct<start:bigint,end:bigint,"

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from duetto.llm.common import Tables
 from duetto.operators.ranking import largest_groups, rank_within
-from duetto.session import counted_broadcast, cut_lineage, fits_broadcast
+from duetto.session import counted_broadcast, cut_lineage, few_partitions, fits_broadcast
 
 SHARED, GROUP = 6, 100      # a conversation takes up to 5 first turns of its hundred's first one
 BLOCK = 1024                # turns whose running values one task computes at a time
@@ -65,7 +65,7 @@ def spread_join(left: DataFrame, right: DataFrame, on: list[str], spread: str, h
 
 def near(df: DataFrame, most: int) -> DataFrame:
     """``df``, which has ``most`` rows at most, to be broadcast if these fit."""
-    return F.broadcast(df) if fits_broadcast(df.sparkSession, most, ROW_BYTES) else df
+    return F.broadcast(few_partitions(df, most)) if fits_broadcast(df.sparkSession, most, ROW_BYTES) else df
 
 
 # --- conversations as strings ------------------------------------------------
@@ -173,11 +173,12 @@ def locate(pending: DataFrame, n: int, filed: DataFrame, paths: DataFrame, deepe
     first = filed.filter("not handle").select(F.col("d").alias("f"), "h1", "h2", F.col("ref").alias("child"))
     below = now.withColumn("f", F.when(F.col("low") < F.col("length"), F.col("low") + 1).otherwise(F.lit(-1).cast("bigint")))
     left = tables.put("left", spread_join(_at(below, "f", paths), first, ["f", "h1", "h2"], "c", "left", n, tables)
-               .select("c", "length", "a", F.coalesce("child", "ref").alias("ref")))
+               .select("c", "length", "a", F.coalesce("child", "ref").alias("ref")), n)
     other = paths.select(F.col("c").alias("ref"), "d", F.col("h1").alias("o1"), F.col("h2").alias("o2"))
     own = left.filter("ref is not null").join(paths, "c").filter("d > a").select("c", "ref", "d", "h1", "h2")
     same = (spread_join(own, other, ["ref", "d"], "c", "inner", n * deepest, tables).filter("h1 = o1 and h2 = o2")
             .groupBy("c").agg(F.max("d").alias("lcp")))
+    same = near(same, n)
     return left.join(same, "c", "left").select("c", "length", "ref", F.coalesce("lcp", "a").alias("lcp"))
 
 
@@ -186,7 +187,8 @@ def build(strings: DataFrame, paths: DataFrame, deepest: int, tables: Tables) ->
     ``ref, s, e``; ``ref, up, s``, where the path of each ref leaves that of ``up``
     (null: the root); and ``c, ref, e``, the node at which each string ends."""
     long, zero = "bigint", F.lit(0).cast("bigint")
-    pending, left = strings.select("c", "length", zero.alias("a")), strings.count()
+    n = left = strings.count()
+    pending = strings.select("c", "length", zero.alias("a"))
     bounds = tops = ends = filed = None
     also = lambda all_, more: more if all_ is None else all_.unionByName(more)      # noqa: E731
     batch = 0
@@ -197,10 +199,10 @@ def build(strings: DataFrame, paths: DataFrame, deepest: int, tables: Tables) ->
         else:
             found = locate(pending, left, filed, paths, deepest, tables)
         turn = F.when(F.col("lcp") < F.col("length"), F.col("lcp") + 1).otherwise(F.lit(-1).cast(long))
-        found = tables.put(f"found{batch}", _at(found.withColumn("f", turn), "f", paths))
+        found = tables.put(f"found{batch}", _at(found.withColumn("f", turn), "f", paths), left)
         new = tables.put(f"new{batch}", found.filter("f > 0").groupBy("f", "h1", "h2")
                          .agg(F.min(F.struct(F.xxhash64("c").alias("by"), "c", "ref", "lcp", "length")).alias("x"))
-                         .select("x.c", "x.ref", "x.lcp", "x.length"))
+                         .select("x.c", "x.ref", "x.lcp", "x.length"), left)
         done = found.filter("f < 0").select("c", "ref", F.col("lcp").alias("e"))
         bounds = also(bounds, new.filter("ref is not null").select("ref", F.col("lcp").alias("d"))
                       .unionByName(done.select("ref", F.col("e").alias("d")))
@@ -208,14 +210,14 @@ def build(strings: DataFrame, paths: DataFrame, deepest: int, tables: Tables) ->
         tops = also(tops, new.select(F.col("c").alias("ref"), F.col("ref").alias("up"), F.col("lcp").alias("s")))
         ends = also(ends, done.unionByName(new.select("c", F.col("c").alias("ref"), F.col("length").alias("e"))))
         s = F.lag("d").over(Window.partitionBy("ref").orderBy("d"))
-        edges = bounds.distinct().select("ref", s.alias("s"), F.col("d").alias("e")).filter("s is not null")
+        edges = bounds.repartition("ref").distinct().select("ref", s.alias("s"), F.col("d").alias("e")).filter("s is not null")
         inserted = new.count()
         left = found.filter("f > 0").count() - inserted
         if not left:
-            return tables.put("edges", edges), tables.put("tops", tops), tables.put("ends", ends)
+            return tables.put("edges", edges, 2 * n), tables.put("tops", tops, n), tables.put("ends", ends, n)
         pending = (found.filter("f > 0").join(near(new.select("c"), inserted), "c", "left_anti")
                    .select("c", "length", F.col("lcp").alias("a")))
-        filed = tables.put("filed", file_nodes(edges, paths))
+        filed = tables.put("filed", file_nodes(edges, paths), 4 * n)     # twice each edge
 
 
 def parents(edges: DataFrame, tops: DataFrame) -> DataFrame:
@@ -232,8 +234,8 @@ def summed(nodes: DataFrame, sums: list[str], least: list[str], tables: Tables)
     the smallest over each node's subtree, by pointer doubling: every node hands what
     it has from fewer than 2^k generations to its ancestor 2^k above."""
     figures = [*sums, *least]
-    now = tables.put("sums", nodes.select("ref", "e", "up", "at", *figures))
-    n = now.count()
+    n = nodes.count()
+    now = tables.put("sums", nodes.select("ref", "e", "up", "at", *figures), n)
     while not now.filter("up is not null").isEmpty():
         given = near(now.filter("up is not null").groupBy(F.col("up").alias("ref"), F.col("at").alias("e"))
                      .agg(*[F.sum(c).alias(f"_{c}") for c in sums], *[F.min(c).alias(f"_{c}") for c in least]), n)
@@ -246,7 +248,7 @@ def summed(nodes: DataFrame, sums: list[str], least: list[str], tables: Tables)
         now = tables.put("sums", now.drop("up", "at").join(given, ["ref", "e"], "left").join(moved, ["ref", "e"], "left")
                   .select("ref", "e", "up", "at",
                           *[(F.col(c) + F.coalesce(f"_{c}", F.lit(0))).cast("bigint").alias(c) for c in sums],
-                          *[F.least(c, f"_{c}").alias(c) for c in least]))
+                          *[F.least(c, f"_{c}").alias(c) for c in least]), n)
     return now.select("ref", "e", *figures)
 
 
@@ -321,25 +323,27 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     """
     none = hashlib.sha256(b"").hexdigest()
     tables = Tables(conversations.sparkSession, "trie")
-    turns = tables.put("turns", numbered_turns(conversations))
-    convs = tables.put("convs", turns.groupBy("conv_id").agg(F.max("p").alias("n")))
-    strings = tables.put("strings", rebuilt(turns, convs, tables))
+    rows = conversations.count()
+    turns = tables.put("turns", numbered_turns(conversations), rows)
+    convs = tables.put("convs", turns.groupBy("conv_id").agg(F.max("p").alias("n")), rows)
+    n = convs.count()
+    strings = tables.put("strings", rebuilt(turns, convs, tables), rows + (SHARED - 1) * n)
     deepest = strings.agg(F.max("d")).first()[0] or 0
-    every = tables.put("every", prefixes(strings, deepest))
+    every = tables.put("every", prefixes(strings, deepest), rows + (SHARED - 1) * n)
     last = every.groupBy("c").agg(F.max(F.struct("d", "h1", "h2", "k")).alias("x")).select("c", "x.*")
     zero = F.lit(0).cast("bigint")
     members = tables.put("members", convs.select(F.col("conv_id").alias("c"))
-                  .join(last, "c", "left")
-                  .select("c", F.coalesce("d", zero).alias("length"), F.coalesce("h1", zero).alias("h1"),
-                          F.coalesce("h2", zero).alias("h2"), F.coalesce("k", zero).alias("k")))
+                         .join(near(last, n), "c", "left")
+                         .select("c", F.coalesce("d", zero).alias("length"), F.coalesce("h1", zero).alias("h1"),
+                                 F.coalesce("h2", zero).alias("h2"), F.coalesce("k", zero).alias("k")), n)
     kinds = tables.put("kinds", members.groupBy("length", "h1", "h2")
-                .agg(F.min("c").alias("c"), F.count(F.lit(1)).alias("n"), F.first("k").alias("k")))
-    digests = kinds.join(id_digests(members), ["length", "h1", "h2"]).select("c", "length", "n", "k", "digest")
-    digests = tables.put("digests", digests)
-    own = tables.put("strings", kinds.filter("length > 0").select("c", "length"))
-    paths, n = every.join(own.select("c"), "c"), every.count()
+                       .agg(F.min("c").alias("c"), F.count(F.lit(1)).alias("n"), F.first("k").alias("k")), n)
+    digests = tables.put("digests", kinds.join(near(id_digests(members), n), ["length", "h1", "h2"])
+                         .select("c", "length", "n", "k", "digest"), n)
+    own = tables.put("strings", kinds.filter("length > 0").select("c", "length"), n)
+    paths, n = every.join(near(own.select("c"), n), "c"), every.count()
     if fits_broadcast(conversations.sparkSession, n, ROW_BYTES):
-        paths = near(tables.put("paths", paths), n)
+        paths = near(tables.put("paths", paths, n), n)
     else:       # too large to be sent around: laid out once, where every probe finds it
         parts = max(conversations.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_PARTITION))
         paths = cut_lineage(paths.repartition(parts, "c", "d").sortWithinPartitions("c", "d"), keep_layout=True)
@@ -360,17 +364,18 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     top = (convs.limit(1).select(zero.alias("ref"), zero.alias("s"), zero.alias("e"), F.lit(None).cast("bigint").alias("up"),
                                  F.lit(None).cast("bigint").alias("at"), zero.alias("k"), zero.alias("ks")))
     children = known.groupBy(F.col("up").alias("ref"), F.col("at").alias("e")).agg(F.count(F.lit(1)).alias("n_children"))
-    own_nodes = tables.put("own", known.unionByName(top).join(children, ["ref", "e"], "left").join(there, ["ref", "e"], "left")
+    most = 2 * n + 1        # nodes: no inner one has a single way on unless a string ends there
+    own_nodes = tables.put("own", known.unionByName(top).join(near(children, most), ["ref", "e"], "left")
+                           .join(near(there, n), ["ref", "e"], "left")
                 .select("ref", "s", "e", "up", "at", "k", "ks", F.coalesce("n_children", zero).alias("n_children"),
                         F.coalesce("n", zero).alias("n_convs"), F.col("c").alias("conv_id"),
                         F.coalesce("nk", zero).alias("nk"), (F.col("k") - F.col("ks")).alias("kept"),
                         F.when(F.col("n_children") > 0, zero).otherwise(zero + 1).alias("n_leaves"),
-                        F.coalesce("digest", F.lit(none)).alias("digest")))
-    whole = tables.put("whole", summed(own_nodes, ["n_convs", "nk", "kept", "n_leaves"], ["conv_id"], tables))
-    nodes = own_nodes.select("ref", "s", "e", "up", "at", "ks", "n_children", "digest").join(near(whole, whole.count()), ["ref", "e"])
+                        F.coalesce("digest", F.lit(none)).alias("digest")), most)
+    whole = summed(own_nodes, ["n_convs", "nk", "kept", "n_leaves"], ["conv_id"], tables)
+    nodes = own_nodes.select("ref", "s", "e", "up", "at", "ks", "n_children", "digest").join(near(whole, most), ["ref", "e"])
     above = whole.select(F.col("ref").alias("up"), F.col("e").alias("at"), F.col("conv_id").alias("parent_conv_id"))
-    above = near(above, whole.count())
-    nodes = tables.put("nodes", spread_join(nodes, above, ["up", "at"], "ref", "left", whole.count(), tables))
+    nodes = tables.put("nodes", spread_join(nodes, near(above, most), ["up", "at"], "ref", "left", most, tables), most)
 
     # Only the nodes and the paths are read from here on.
     tables.drop(*[name for name in tables.paths if name not in ("nodes", "paths")])
@@ -378,7 +383,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     # Edges expanded: one row for each depth, from the path of the edge's conversation.
     block = lambda d: F.expr(f"({d}) div {BLOCK}")      # noqa: E731
     blocks = (nodes.filter("e > 0").withColumn("block", F.explode(F.sequence(block("s + 1"), block("e")))))
-    blocks = near(blocks, nodes.count() + n * (1 + deepest // BLOCK))
+    blocks = near(blocks, most + n * (1 + deepest // BLOCK))
     steps = paths.select(F.col("c").alias("ref"), "d", block("d").alias("block"))
     before = depth.select("ref", (F.col("e") + 1).alias("d"), F.col("k").alias("before"))
     steps = steps.join(before, ["ref", "d"], "left").withColumn("before", F.coalesce("before", zero))
