@@ -11,7 +11,8 @@ comes for ever, and without ``max_iter`` is reported as an error; a ``max_iter``
 ends the loop with ``converged`` false.  No stability claim is made.
 
 Physical shape: contract terms are computed once on the edges, which are laid
-out once (checkpointed and cached).  Each round anti-joins them with the
+out once by doctor and block of ranks (checkpointed and cached), so that a long
+list is in several partitions.  Each round anti-joins them with the
 previous round's acceptances (broadcast when their observed size is small),
 trims applicants per (hospital, price) on the map side, and solves the
 bounded groups in pandas; the per-doctor best acceptance is computed only on
@@ -28,7 +29,9 @@ from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.knapsack import affordable, knapsack_select
 from duetto.plans.common import (MatchResult, NotConverged, count_changes, observed_count,
                                  round_numbers, with_row_count)
-from duetto.session import bounded_broadcast, cut_lineage, layout_partitions, pin_layout
+from duetto.plans.doctor_optimal import LIST_BLOCK
+from duetto.session import (bounded_broadcast, counted_broadcast, cut_lineage, layout_partitions,
+                            pin_layout)
 
 
 def _best(accepted: DataFrame) -> DataFrame:
@@ -38,6 +41,17 @@ def _best(accepted: DataFrame) -> DataFrame:
     return b.select(DOCTOR, "_b.*")
 
 
+def _by_block(accepted: DataFrame, long: DataFrame | None) -> DataFrame:
+    """The acceptances' ranks ``_d, _b, _mr``, for each block of their doctor's list;
+    ``long`` has the last block of the lists with more than one."""
+    st = accepted.select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_mr"))
+    if long is None:
+        return st.withColumn("_b", F.lit(0))
+    last = F.coalesce("_last", F.lit(0))
+    return st.join(counted_broadcast(long, row_bytes=24), "_d", "left").select(
+        "_d", "_mr", F.explode(F.sequence(F.lit(0), last)).alias("_b"))
+
+
 def _digest(matching: DataFrame) -> tuple[int, int]:
     """Size and order-free checksum of a matching."""
     row = matching.agg(F.count(F.lit(1)).alias("n"), F.sum(
@@ -57,15 +71,23 @@ def match_contracts(edges: DataFrame, max_iter: int | None = None, tolerance: in
     if max_iter is not None and max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     spark = edges.sparkSession
-    n_parts = layout_partitions(spark, edges.count())
+    measured = edges.agg(F.count(F.lit(1)).alias("n"), F.max(DOCTOR_RANK).alias("rank")).first()
+    n_parts = layout_partitions(spark, measured["n"])
     e = edges.select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK)
     if terms is None:
         e = contract_terms(e)
     else:
         e = e.join(terms.select(DOCTOR, HOSPITAL, "utility", "price", "budget"),
                    [DOCTOR, HOSPITAL])
-    e = pin_layout(e.repartition(n_parts, DOCTOR))
+    # A block of a list's ranks stays together; most lists have one.
+    e = e.withColumn("_block", F.floor(F.col(DOCTOR_RANK) / LIST_BLOCK).cast("int"))
+    e = pin_layout(e.repartition(n_parts, DOCTOR, "_block"))
     most = affordable(e)
+    long = None
+    if (measured["rank"] or 0) >= LIST_BLOCK:       # at most one row for each LIST_BLOCK edges
+        long = cut_lineage(e.groupBy(F.col(DOCTOR).alias("_d")).agg(F.max("_block").alias("_last"))
+                           .where("_last > 0"))
+    n_blocks = (measured["rank"] or 0) // LIST_BLOCK + 1
     seen: set[tuple[int, int]] = set()
     accepted, n_acc = None, 0    # the state: this round's acceptances
     changes: list[int] = []
@@ -82,10 +104,10 @@ def match_contracts(edges: DataFrame, max_iter: int | None = None, tolerance: in
             # Their size was observed while they were written; observed
             # counts can only over-count, so the check errs towards not
             # broadcasting.
-            st = accepted.select(F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_mr"))
-            apps = e.join(bounded_broadcast(st, n_acc, row_bytes=16),
-                          (F.col(DOCTOR) == F.col("_d")) & (F.col(DOCTOR_RANK) > F.col("_mr")),
-                          "left_anti")
+            apps = e.join(bounded_broadcast(_by_block(accepted, long), n_acc * (1 if long is None else n_blocks),
+                                            row_bytes=20),
+                          (F.col(DOCTOR) == F.col("_d")) & (F.col("_block") == F.col("_b"))
+                          & (F.col(DOCTOR_RANK) > F.col("_mr")), "left_anti")
         chosen, obs = with_row_count(knapsack_select(
             apps, keep=(DOCTOR_RANK, HOSPITAL_RANK), most=most))
         new = cut_lineage(chosen)

@@ -15,7 +15,9 @@ Stop when a round deletes nothing; the proposals then are the matching.
 
 Physical layout: edges hash-partitioned by doctor and sorted by
 (doctor, doctor_rank) once, checkpointed and cached, so step 1 is a streaming
-pass with no exchange and no sort.  Step 2 works on at most one row per
+pass with no exchange and no sort.  Where a list reaches ``LIST_BLOCK`` ranks, the
+edges are partitioned by (doctor, block of ranks); step 1 then exchanges one row for
+each doctor and block.  Step 2 works on at most one row per
 doctor, trimmed to ``quota`` rows per hospital on every map task before its
 shuffle.  Accelerated mode never rewrites the edges: its state is the held
 proposals, and step 3 is an anti join with one cut per full hospital
@@ -25,6 +27,8 @@ the cursors of rejected doctors (``plans.frontier``).
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +43,16 @@ from duetto.session import (bounded_broadcast, compacted, cut_lineage, fits_broa
                             pin_layout)
 
 
-def _layout(e: DataFrame, n_parts: int) -> DataFrame:
-    return e.repartition(n_parts, DOCTOR).sortWithinPartitions(DOCTOR, DOCTOR_RANK)
+#: Doctor ranks that stay together in one partition where lists are longer.
+LIST_BLOCK = 1 << 20
+
+
+def _layout(e: DataFrame, n_parts: int, blocks: bool = False) -> DataFrame:
+    """The edges as the rounds read them: by doctor, or with ``blocks`` by doctor and
+    block of ranks, so that a doctor's long list is in several partitions and its best
+    remaining edge is the best one of its blocks."""
+    keys = [F.col(DOCTOR)] + [F.floor(F.col(DOCTOR_RANK) / LIST_BLOCK)] * blocks
+    return e.repartition(n_parts, *keys).sortWithinPartitions(DOCTOR, DOCTOR_RANK)
 
 
 def proposals(e: DataFrame) -> DataFrame:
@@ -97,7 +109,7 @@ def _moved_cuts(new: DataFrame, old: DataFrame | None, n) -> DataFrame:
 
 
 def _accelerated_rewrite(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool,
-                         worst_h: DataFrame, bound: int, n_parts: int):
+                         worst_h: DataFrame, bound: int, lay):
     """Accelerated rounds when the cut table is too big to broadcast.
 
     Edges below an unchanged cut were deleted when that cut was set, so each
@@ -123,14 +135,14 @@ def _accelerated_rewrite(e: DataFrame, n, max_n: int, max_iter: int | None, trac
         if fits_broadcast(spark, n_moved, 24):
             nxt = cur.join(F.broadcast(moved), below, "left_anti")
         else:
-            nxt = _layout(cur.join(moved.hint("shuffle_hash"), below, "left_anti"), n_parts)
+            nxt = lay(cur.join(moved.hint("shuffle_hash"), below, "left_anti"))
         cur = cut_lineage(nxt, keep_layout=True)
         held = new
     raise NotConverged(f"edges are still deleted after {max_iter} rounds")
 
 
 def _accelerated(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool,
-                 n_parts: int, size: int):
+                 lay, size: int):
     """Accelerated rounds.  Cuts only move up (a hospital's held proposals
     keep proposing to it), so the remaining edges are always "original edges
     minus those below their hospital's current cut": the state is the held
@@ -146,7 +158,7 @@ def _accelerated(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool,
     worst_h = cut_lineage(e.groupBy(HOSPITAL).agg(F.max(HOSPITAL_RANK).alias("_worst")))
     bound = worst_h.count()              # one cut per hospital at most
     if not fits_broadcast(e.sparkSession, bound, 24):
-        return _accelerated_rewrite(e, n, max_n, max_iter, trace, worst_h, bound, n_parts)
+        return _accelerated_rewrite(e, n, max_n, max_iter, trace, worst_h, bound, lay)
     changes: list[int] = []
     held = older = None
     n_live_prev = None
@@ -201,7 +213,8 @@ def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int | None = None,
     """
     spark = edges.sparkSession
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
-    size = e.count()
+    measured = e.agg(F.count(F.lit(1)).alias("n"), F.max(DOCTOR_RANK).alias("rank")).first()
+    size, blocks = measured["n"], (measured["rank"] or 0) >= LIST_BLOCK
     if not accelerate:
         held, rounds, changes = plain_rounds(e, n, max_n, size, max_iter, journal)
         return MatchResult(held.select(*EDGE_COLUMNS), rounds, True, changes if trace else [])
@@ -211,10 +224,10 @@ def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int | None = None,
         settled = settle(e, n, max_n, DOCTOR, size, max_iter)
         if settled is not None:
             return MatchResult(settled[0].select(*EDGE_COLUMNS), settled[1], True)
-    n_parts = layout_partitions(spark, size)
-    e = pin_layout(_layout(e, n_parts))
+    lay = partial(_layout, n_parts=layout_partitions(spark, size), blocks=blocks)
+    e = pin_layout(lay(e))
     try:
-        held, rounds, converged, changes = _accelerated(e, n, max_n, max_iter, trace, n_parts, size)
+        held, rounds, converged, changes = _accelerated(e, n, max_n, max_iter, trace, lay, size)
     finally:
         e.unpersist()
     return MatchResult(matching=held.select(*EDGE_COLUMNS), rounds=rounds,

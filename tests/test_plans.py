@@ -112,3 +112,36 @@ def test_knapsack_trims_before_its_shuffle(spark):
     plan = _plan(knapsack_select(items))
     below = _below(plan, f"row_number(), {affordable(items)}, Partial")
     assert not [x for x in below if "Exchange hashpartitioning" in x]
+
+
+def hot_market(spark):
+    """Doctor 0 lists every hospital: a third of all edges."""
+    rows = [(0, h, h + 1, 1 + h % 7) for h in range(60)]
+    rows += [(d, (7 * d + k) % 60, k + 1, 8 + d) for d in range(1, 41) for k in range(3)]
+    return spark.createDataFrame(rows, "doctor_id long, hospital_id long, doctor_rank int, hospital_rank int")
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "100"])
+def test_a_hot_doctor_is_in_several_partitions(spark, monkeypatch, threshold):
+    from duetto.plans import contracts
+    import bruteforce as bf
+    e = hot_market(spark).cache()
+    rows = [tuple(r) for r in e.collect()]
+    plain = contracts.match_contracts(e, max_iter=4)
+    monkeypatch.setattr(D, "LIST_BLOCK", 8)
+    monkeypatch.setattr(contracts, "LIST_BLOCK", 8)
+    laid = pin_layout(D._layout(e, 8, blocks=True))
+    parts = laid.where("doctor_id = 0").select(F.spark_partition_id()).distinct().count()
+    assert parts > 3
+    laid.unpersist()
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, threshold)
+    try:
+        got = D.match_doctor_optimal(e, 1)
+        assert {r[DOCTOR]: r[HOSPITAL] for r in got.matching.collect()} == bf.doctor_proposing(rows, 1)
+        blocked = contracts.match_contracts(e, max_iter=4)
+        assert sorted(blocked.matching.collect()) == sorted(plain.matching.collect())
+        assert blocked.changes == plain.changes
+    finally:
+        spark.conf.set(key, before)
