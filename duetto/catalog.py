@@ -465,8 +465,11 @@ def q_match_contracts(spark, sf_dir):
     """The budgeted loop after ``CONTRACT_ROUNDS`` rounds: the limit is part of
     the query (the loop need not converge), and its outcome of the result."""
     res = match_contracts(market(spark, sf_dir), max_iter=CONTRACT_ROUNDS)
+    start, length = res.cycle or (None, None)
     return bigint_out(res.matching.withColumn("rounds", F.lit(res.rounds))
-                      .withColumn("converged", F.lit(res.converged)))
+                      .withColumn("converged", F.lit(res.converged))
+                      .withColumn("cycle_start", F.lit(start).cast("bigint"))
+                      .withColumn("cycle_length", F.lit(length).cast("bigint")))
 
 
 def q_synthetic_market(spark, sf_dir):

@@ -235,6 +235,16 @@ n{r} AS (SELECT count(*) AS n FROM m{r} a {f"FULL JOIN m{r - 1} b USING (doctor_
 
 CONTRACT_ROUNDS = 4
 
+_SEEN = " UNION ALL ".join(f"""
+  SELECT {r} AS r, (SELECT n FROM n{r}) AS n, (SELECT coalesce(string_agg(doctor_id || ':' || hospital_id, ','
+         ORDER BY doctor_id), '') FROM m{r}) AS g""" for r in range(1, CONTRACT_ROUNDS + 1))
+
+# The first round without a change, or the last; and which matchings came before.
+CONTRACT_END = f"""
+seen AS ({_SEEN}),
+past AS (SELECT a.r, a.n, max(b.r) AS j FROM seen a LEFT JOIN seen b ON b.r < a.r AND b.g = a.g GROUP BY a.r, a.n),
+last AS (SELECT * FROM past WHERE n = 0 OR r = {CONTRACT_ROUNDS} ORDER BY r LIMIT 1)"""
+
 KNAPSACK = """
 kp AS (SELECT DISTINCT doctor_id AS d, hospital_id AS h FROM edges),
 ki AS (SELECT h, d, ((d + 17) * (h + 79) % 200 * 393342739) % 200 AS v,
@@ -513,13 +523,14 @@ SELECT h::BIGINT AS hospital_id, list_max(dp)::BIGINT AS utility,
     "synthetic_market": _w(SYNTH) + f"SELECT {EDGE_SELECT} FROM edges",
 
     "match_contracts": _w(MARKET, TERMS, *[_contract_round(r) for r in range(1, CONTRACT_ROUNDS + 1)],
-                          recursive=True) + f"""
+                          CONTRACT_END, recursive=True) + f"""
 SELECT doctor_id::BIGINT AS doctor_id, hospital_id::BIGINT AS hospital_id, doctor_rank::BIGINT AS doctor_rank,
        hospital_rank::BIGINT AS hospital_rank, v::BIGINT AS utility, p::BIGINT AS price,
-       (CASE {" ".join(f"WHEN (SELECT n FROM n{r}) = 0 THEN {r}" for r in range(1, CONTRACT_ROUNDS))}
-        ELSE {CONTRACT_ROUNDS} END)::BIGINT AS rounds,
-       {" OR ".join(f"(SELECT n FROM n{r}) = 0" for r in range(1, CONTRACT_ROUNDS + 1))} AS converged
-FROM m{CONTRACT_ROUNDS}""",
+       last.r::BIGINT AS rounds, last.n = 0 AS converged,
+       (SELECT min_by(j, r) FROM past WHERE n > 0 AND j IS NOT NULL)::BIGINT AS cycle_start,
+       (SELECT min_by(r - j, r) FROM past WHERE n > 0 AND j IS NOT NULL)::BIGINT AS cycle_length
+FROM ({" UNION ALL ".join(f"SELECT {r} AS r, * FROM m{r}" for r in range(1, CONTRACT_ROUNDS + 1))}) m
+JOIN last USING (r)""",
 
     "synthetic_market_distinct": _w(DISTINCT_SYNTH) + f"SELECT {EDGE_SELECT} FROM edges",
 

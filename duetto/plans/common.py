@@ -46,12 +46,15 @@ class MatchResult:
     ``matching`` has one row per matched doctor.  ``changes`` holds the number
     of doctors whose match changed in each round (round 1 counts everyone
     matched in it); it is filled only when the plan ran with ``trace=True``.
+    ``cycle`` is the first round and the length of a cycle of matchings in which a
+    loop was caught.
     """
 
     matching: DataFrame
     rounds: int
     converged: bool
     changes: list[int] = field(default_factory=list)
+    cycle: tuple[int, int] | None = None
 
     def trace(self, spark: SparkSession | None = None) -> DataFrame:
         """Changes per round as ``(iteration, n_changes)``.

@@ -6,9 +6,11 @@ match (everywhere if unmatched); every hospital picks the applicants of
 maximal total utility it can pay for (I4); every doctor takes its best
 acceptance.  It stops when the number of changed matches is at most
 ``tolerance``.  The knapsack is not a substitutes choice rule, so that need not
-happen: a round depends on the matching only, so a matching that comes again
-comes for ever, and without ``max_iter`` is reported as an error; a ``max_iter``
-ends the loop with ``converged`` false.  No stability claim is made.
+happen: a round depends on the matching only, so a matching that comes again comes
+for ever.  The loop keeps a checksum of every round's matching until one repeats;
+without ``max_iter`` that is an error, with it the result names the cycle.  A
+``max_iter`` that is reached ends the loop with ``converged`` false.  No stability
+claim is made.
 
 Physical shape: contract terms are computed once on the edges, which are laid
 out once by doctor and block of ranks (checkpointed and cached), so that a long
@@ -66,7 +68,9 @@ def match_contracts(edges: DataFrame, max_iter: int | None = None, tolerance: in
     ``terms``: optional (doctor_id, hospital_id, utility, price, budget), the
     budget constant within a hospital; defaults to :func:`contract_terms`.  The
     result's ``changes`` holds the changed matches per round.  Without
-    ``max_iter``, raises :class:`NotConverged` if a matching comes again.
+    ``max_iter``, raises :class:`NotConverged` if a matching comes again; with it, the
+    result's ``cycle`` is the round at which the matching first came and after how
+    many rounds it comes again.
     """
     if max_iter is not None and max_iter < 1:
         raise ValueError("max_iter must be at least 1")
@@ -88,7 +92,8 @@ def match_contracts(edges: DataFrame, max_iter: int | None = None, tolerance: in
         long = cut_lineage(e.groupBy(F.col(DOCTOR).alias("_d")).agg(F.max("_block").alias("_last"))
                            .where("_last > 0"))
     n_blocks = (measured["rank"] or 0) // LIST_BLOCK + 1
-    seen: set[tuple[int, int]] = set()
+    seen: dict[tuple[int, int], int] = {}
+    cycle = None
     accepted, n_acc = None, 0    # the state: this round's acceptances
     changes: list[int] = []
     converged = False
@@ -121,15 +126,17 @@ def match_contracts(edges: DataFrame, max_iter: int | None = None, tolerance: in
         if n_changed <= tolerance:
             converged = n_changed == 0
             break
-        if max_iter is None:
+        if cycle is None:
             digest = _digest(_best(new))
             if digest in seen:
-                e.unpersist()
-                raise NotConverged(f"the matching of round {rounds} came before")
-            seen.add(digest)
+                cycle = (seen[digest], rounds - seen[digest])
+                if max_iter is None:
+                    e.unpersist()
+                    raise NotConverged(f"the matching of round {rounds} came before, {cycle[1]} rounds ago")
+            seen[digest] = rounds
     state = cut_lineage(_best(accepted))
     e.unpersist()
     return MatchResult(
         matching=state.select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK,
                               "utility", "price"),
-        rounds=rounds, converged=converged, changes=changes)
+        rounds=rounds, converged=converged, changes=changes, cycle=cycle)

@@ -212,3 +212,19 @@ def test_memory_is_linear_in_the_budget():
     worst = got.groupby("price")["utility"].min()
     best = left.groupby("price")["utility"].max()
     assert all(best[p] <= worst[p] for p in worst.index.intersection(best.index))
+
+
+def test_a_cycle_of_two_matchings_is_named(spark):
+    lists = {0: [2, 1, 0], 1: [1, 2, 0], 2: [0, 1, 2]}
+    budget = {0: 4, 1: 6, 2: 4}
+    terms = {(0, 0): (7, 1), (0, 1): (7, 1), (0, 2): (3, 3), (1, 0): (5, 3), (1, 1): (1, 3), (1, 2): (4, 3),
+             (2, 0): (1, 2), (2, 1): (5, 3), (2, 2): (4, 3)}
+    e = spark.createDataFrame([(d, h, r + 1, d + 1) for d, hs in lists.items() for r, h in enumerate(hs)],
+                              "doctor_id long, hospital_id long, doctor_rank int, hospital_rank int")
+    t = spark.createDataFrame([(d, h, u, p, budget[h]) for (d, h), (u, p) in terms.items()],
+                              "doctor_id long, hospital_id long, utility long, price long, budget long")
+    got = match_contracts(e, max_iter=10, terms=t)
+    assert got.cycle == (1, 2) and got.rounds == 10 and not got.converged
+    assert match_contracts(e, max_iter=2, terms=t).cycle is None
+    with pytest.raises(NotConverged, match="2 rounds ago"):
+        match_contracts(e, terms=t)
