@@ -37,13 +37,14 @@ from duetto.operators.ranking import rank_within, rejected_applicants, top_n_per
 from duetto.plans.contracts import match_contracts
 from duetto.plans.doctor_optimal import held_proposals, match_doctor_optimal, proposals
 from duetto.plans.hospital_optimal import match_hospital_optimal
-from duetto.plans.report import convergence_report, label_trace, running_changes
+from duetto.plans.report import (append_trace, convergence_report, label_trace, read_traces,
+                                 running_changes)
 from duetto.session import cut_lineage, ensure_checkpoint_dir, scratch_path
 from duetto.sources.market import order_lines, read_table, tpch_market
 from duetto.sources.sinks import write_matching
 from duetto.sources.synth import generate_preferences
-from duetto.sources.text import (read_market_text, read_preferences_text, write_market_text,
-                                 write_preferences_text)
+from duetto.sources.text import (read_market_text, read_preferences_rescued, read_preferences_text,
+                                 write_market_text, write_preferences_text)
 
 QUOTA = 6
 STATE_QUOTA = 20
@@ -184,6 +185,17 @@ def q_convergence_report(spark, sf_dir):
     return bigint_out(convergence_report(traces))
 
 
+def q_convergence_history(spark, sf_dir):
+    """The report over a table to which two runs were added, one of them twice."""
+    path = scratch_path(spark, "traces")
+    i2 = hospital_optimal(spark, sf_dir, trace=True).trace(spark)
+    for run, trace in (("hospital_optimal", i2),
+                       ("doctor_optimal", doctor_optimal(spark, sf_dir, trace=True).trace(spark)),
+                       ("hospital_optimal", i2)):
+        append_trace(trace, run, path)
+    return bigint_out(convergence_report(read_traces(spark, path)))
+
+
 def q_convergence_running(spark, sf_dir):
     i2 = hospital_optimal(spark, sf_dir, trace=True).trace(spark)
     i1 = doctor_optimal(spark, sf_dir, trace=True).trace(spark)
@@ -289,6 +301,20 @@ def q_pref_text_roundtrip(spark, sf_dir):
     return _list_rows(back, HOSPITAL)
 
 
+def q_pref_text_rescued(spark, sf_dir):
+    """Hospitals' lists read back from text in which some lines have bad tokens."""
+    lists = rs.collapse_preferences(market(spark, sf_dir), HOSPITAL, DOCTOR, HOSPITAL_RANK)
+    key, text = F.col(HOSPITAL), F.coalesce(rs.list_text("prefs"), F.lit(""))
+    lines = suppliers(spark, sf_dir).join(lists, HOSPITAL, "left").select(HOSPITAL, F.concat(
+        F.when(key % 7 == 3, F.concat(F.lit("x"), key, F.lit(" "))).otherwise(F.lit("")), text,
+        F.when(key % 11 == 5, F.lit(" 99999999999999999999")).otherwise(F.lit(""))).alias("value"))
+    path = scratch_path(spark, "bad-prefs")
+    lines.orderBy(HOSPITAL).select("value").write.text(path)
+    back = read_preferences_rescued(spark, path, HOSPITAL)
+    return bigint_out(back.select(HOSPITAL, rs.list_text("prefs").alias("prefs_text"),
+                                  "text", "reason", F.col("line").isNotNull().alias("has_line")))
+
+
 def q_market_text_roundtrip(spark, sf_dir):
     base = scratch_path(spark, "market-text")
     write_market_text(market(spark, sf_dir), customers(spark, sf_dir), suppliers(spark, sf_dir),
@@ -499,6 +525,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "convergence_trace_doctor": q_convergence_trace_doctor,
     "convergence_trace_doctor_plain": q_convergence_trace_doctor_plain,
     "convergence_report": q_convergence_report,
+    "convergence_history": q_convergence_history,
     "convergence_running": q_convergence_running,
     "blocking_pairs": q_blocking_pairs,
     "stability_check": q_stability_check,
@@ -514,6 +541,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "explode_preferences": q_explode_preferences,
     "collapse_preferences": q_collapse_preferences,
     "pref_text_roundtrip": q_pref_text_roundtrip,
+    "pref_text_rescued": q_pref_text_rescued,
     "market_text_roundtrip": q_market_text_roundtrip,
     "matching_text_output": q_matching_text_output,
     "next_choice": q_next_choice,

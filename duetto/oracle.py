@@ -368,6 +368,17 @@ SELECT s_suppkey::BIGINT AS hospital_id, count(e.doctor_id)::BIGINT AS n_prefs,
        coalesce(string_agg(e.doctor_id::VARCHAR, ' ' ORDER BY e.hospital_rank), '') AS prefs_text
 FROM supplier LEFT JOIN edges e ON e.hospital_id = s_suppkey GROUP BY s_suppkey""",
 
+    "pref_text_rescued": _w(MARKET) + """
+SELECT hospital_id, CASE WHEN reason IS NULL THEN t END AS prefs_text, CASE WHEN reason IS NOT NULL THEN t END AS text,
+       reason, reason IS NOT NULL AS has_line
+FROM (SELECT hospital_id, CASE WHEN hospital_id % 7 = 3 THEN 'x' || hospital_id || ' ' ELSE '' END || t
+             || CASE WHEN hospital_id % 11 = 5 THEN ' 99999999999999999999' ELSE '' END AS t,
+             CASE WHEN hospital_id % 7 = 3 THEN 'not an integer: x' || hospital_id
+                  WHEN hospital_id % 11 = 5 THEN 'beyond 64 bits: 99999999999999999999' END AS reason
+      FROM (SELECT s_suppkey::BIGINT AS hospital_id,
+                   coalesce(string_agg(e.doctor_id::VARCHAR, ' ' ORDER BY e.hospital_rank), '') AS t
+            FROM supplier LEFT JOIN edges e ON e.hospital_id = s_suppkey GROUP BY s_suppkey))""",
+
     "market_text_roundtrip": _w(MARKET) + """
 SELECT doctor_id::BIGINT AS doctor_id, hospital_id::BIGINT AS hospital_id,
        (doctor_rank - 1)::BIGINT AS doctor_rank, (hospital_rank - 1)::BIGINT AS hospital_rank FROM edges""",
@@ -565,3 +576,4 @@ PLAIN_SQL = {
 }
 
 SQL["convergence_trace_doctor_plain"] = PLAIN_SQL["convergence_trace_plain"]
+SQL["convergence_history"] = SQL["convergence_report"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -11,6 +11,19 @@ def label_trace(trace: DataFrame, run: str) -> DataFrame:
     return trace.select(F.lit(run).alias("run"), "iteration", "n_changes")
 
 
+def append_trace(trace: DataFrame, run: str, path: str) -> None:
+    """Adds the trace of a run to the table at ``path``; a run that is written again
+    replaces itself, so a repeated job leaves one."""
+    (label_trace(trace, run).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run").parquet(path))
+
+
+def read_traces(spark: SparkSession, path: str) -> DataFrame:
+    """All runs that were appended: ``run, iteration, n_changes``."""
+    return (spark.read.schema("iteration int, n_changes bigint, run string").parquet(path)
+            .select("run", "iteration", "n_changes"))
+
+
 def running_changes(traces: DataFrame) -> DataFrame:
     """Per run and round: changes and their running total."""
     w = Window.partitionBy("run").orderBy("iteration").rowsBetween(

@@ -29,9 +29,16 @@ def parse_id_list(line) -> F.Column:
         F.split(t, " ").cast("array<bigint>"))
 
 
-def read_preferences_text(spark: SparkSession, path: str, id_col: str,
-                          prefs_col: str = "prefs") -> DataFrame:
-    """Read a preference file (or folder of part files, in name order)."""
+def bad_token(line) -> F.Column:
+    """The first token of a line that is no 64-bit integer, or null."""
+    tokens = F.filter(F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " "),
+                      lambda t: (t != "") & t.try_cast("bigint").isNull())
+    return F.get(tokens, 0)
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``number, file, line, value`` of every line of a file (or folder of part files,
+    in name order): its number from 0 over all files, and from 1 in its own."""
     raw = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("_f"),
@@ -41,12 +48,45 @@ def read_preferences_text(spark: SparkSession, path: str, id_col: str,
                                          F.count(F.lit(1)).alias("_n"))
     # One row per file split: the running total is tiny.
     w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     # Written once: counting it for the broadcast must not read the lines again.
-    splits = cut_lineage(splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))))
-    return (raw.join(counted_broadcast(splits.select("_f", "_b", "_first", "_off"),
+    splits = cut_lineage(splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+                         .withColumn("_own", F.coalesce(F.sum("_n").over(own), F.lit(0))))
+    at = F.col("_mid") - F.col("_first")
+    return (raw.join(counted_broadcast(splits.select("_f", "_b", "_first", "_off", "_own"),
                                        row_bytes=200), ["_f", "_b"])
-            .select((F.col("_off") + F.col("_mid") - F.col("_first")).alias(id_col),
-                    parse_id_list(F.col("value")).alias(prefs_col)))
+            .select((F.col("_off") + at).alias("number"), F.col("_f").alias("file"),
+                    (F.col("_own") + at + 1).alias("line"), "value"))
+
+
+def read_preferences_text(spark: SparkSession, path: str, id_col: str,
+                          prefs_col: str = "prefs") -> DataFrame:
+    """Read a preference file (or folder of part files, in name order).
+
+    A token that is no 64-bit integer is an error, see :func:`read_preferences_rescued`.
+    """
+    return numbered_lines(spark, path).select(
+        F.col("number").alias(id_col), parse_id_list(F.col("value")).alias(prefs_col))
+
+
+def read_preferences_rescued(spark: SparkSession, path: str, id_col: str,
+                             prefs_col: str = "prefs") -> DataFrame:
+    """Like :func:`read_preferences_text`, but bad lines are rows of their own: the
+    columns are the id, the list, and ``file, line, text, reason``.
+
+    Of a good line the last four are null.  A line with a token that is no 64-bit
+    integer keeps its id, has no list (null), and tells where it stands, what it says
+    and which token is the first bad one.  One pass reads both kinds.
+    """
+    bad = bad_token(F.col("value"))
+    of_bad = lambda c: F.when(F.col("_bad").isNotNull(), F.col(c))      # noqa: E731
+    reason = F.concat(F.when(F.col("_bad").rlike("^[+-]?[0-9]+$"), F.lit("beyond 64 bits: "))
+                      .otherwise(F.lit("not an integer: ")), F.col("_bad"))
+    return (numbered_lines(spark, path).withColumn("_bad", bad)
+            .select(F.col("number").alias(id_col),
+                    F.when(F.col("_bad").isNull(), parse_id_list(F.col("value"))).alias(prefs_col),
+                    of_bad("file").alias("file"), of_bad("line").alias("line"),
+                    of_bad("value").alias("text"), reason.alias("reason")))
 
 
 def write_preferences_text(lists: DataFrame, id_col: str, path: str,
@@ -79,6 +119,20 @@ def write_market_text(edges: DataFrame, doctors: DataFrame, hospitals: DataFrame
     write_preferences_text(hl, HOSPITAL, hospital_path, entities=hospitals)
 
 
+def rescue_market_text(spark: SparkSession, doctor_path: str,
+                       hospital_path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Like :func:`read_market_text`, with a third result: the bad lines of both files
+    (``side, id, file, line, text, reason``), whose entities list nobody.  Both files
+    are read once and written to the checkpoint folder."""
+    lists, bad = [], []
+    for side, path in ((DOCTOR, doctor_path), (HOSPITAL, hospital_path)):
+        rows = cut_lineage(read_preferences_rescued(spark, path, side))
+        lists.append(rows.where("reason is null").select(side, "prefs"))
+        bad.append(rows.where("reason is not null").select(
+            F.lit(side).alias("side"), F.col(side).alias("id"), "file", "line", "text", "reason"))
+    return (*_market(*lists), bad[0].unionByName(bad[1]))
+
+
 def read_market_text(spark: SparkSession, doctor_path: str,
                      hospital_path: str) -> tuple[DataFrame, DataFrame]:
     """Read the two preference files into (edges, one-sided pairs).
@@ -87,8 +141,11 @@ def read_market_text(spark: SparkSession, doctor_path: str,
     by one side only are not edges; they are returned separately so they can
     be reported instead of failing the run.
     """
-    dl = read_preferences_text(spark, doctor_path, DOCTOR)
-    hl = read_preferences_text(spark, hospital_path, HOSPITAL)
+    return _market(read_preferences_text(spark, doctor_path, DOCTOR),
+                   read_preferences_text(spark, hospital_path, HOSPITAL))
+
+
+def _market(dl: DataFrame, hl: DataFrame) -> tuple[DataFrame, DataFrame]:
     de = explode_preferences(dl, DOCTOR, "prefs", HOSPITAL, DOCTOR_RANK)
     he = explode_preferences(hl, HOSPITAL, "prefs", DOCTOR, HOSPITAL_RANK)
     edges = mutual_edges(de, he).select(DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK)

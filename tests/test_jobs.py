@@ -1,5 +1,7 @@
 """The command-line workflow end to end: generate files, match, verify, write."""
 
+import pytest
+
 import bruteforce as bf
 from duetto import jobs
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
@@ -54,3 +56,29 @@ def test_what_fails_its_check_is_not_written(spark, tmp_path):
     rep = jobs.match(spark, str(tmp_path / "m" / "doctors"), str(tmp_path / "m" / "hospitals"),
                 algorithm="contracts", max_iter=1, out=str(out))
     assert not rep["converged"] and "out" not in rep and not os.path.exists(out)
+
+
+def test_bad_lines_are_set_aside_and_runs_are_added_to_a_table(spark, tmp_path):
+    from duetto.plans.report import convergence_report, read_traces
+    good = {"doctors": "1 0\n0 1\n1\n", "hospitals": "0 1 2\n1 0\n"}
+    for name, text in good.items():
+        (tmp_path / name).write_text(text)
+    (tmp_path / "doctors-bad").write_text("1 0\n0 1.5 one\n1\n\n")
+    (tmp_path / "hospitals-bad").write_text("0 1 2\r\n-1 +1 0\n 99999999999999999999\n")
+    bad = str(tmp_path / "bad")
+    with pytest.raises(Exception):
+        jobs.match(spark, str(tmp_path / "doctors-bad"), str(tmp_path / "hospitals"))
+    got = jobs.match(spark, str(tmp_path / "doctors-bad"), str(tmp_path / "hospitals-bad"), quota=1, bad_lines=bad)
+    assert got["bad_lines"] == 2 and got["matched"] == 1
+    rows = sorted((r["side"], r["id"], r["line"], r["text"], r["reason"], r["file"].split("/")[-1])
+                  for r in spark.read.parquet(bad).collect())
+    assert rows == [("doctor_id", 1, 2, "0 1.5 one", "not an integer: 1.5", "doctors-bad"),
+                    ("hospital_id", 2, 3, " 99999999999999999999", "beyond 64 bits: 99999999999999999999",
+                     "hospitals-bad")]
+    traces = str(tmp_path / "traces")
+    for algorithm, run in (("hospital", "2024"), ("doctor-plain", "b/ c"), ("hospital", "2024")):
+        jobs.match(spark, str(tmp_path / "doctors"), str(tmp_path / "hospitals"), algorithm, quota=1,
+                   traces=traces, run=run)
+    report = {r["run"]: r for r in convergence_report(read_traces(spark, traces)).collect()}
+    assert set(report) == {"2024", "b/ c"}
+    assert read_traces(spark, traces).where("run = '2024'").count() == report["2024"]["rounds"]
