@@ -430,6 +430,38 @@ def test_packing_in_many_shards(spark, monkeypatch):
     check_packing(packing.pack_documents(docs, (4, 8, 16)).collect(), lengths, (4, 8, 16))
 
 
+def plain_packing(lengths, sizes):
+    """Longest first into the open bin with the least room, of equal ones the last one
+    used; else into a new one of the least cost a word; then bins shrink."""
+    bins, where, left, clock = [], {}, sum(lengths), 0
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        n, clock = lengths[i], clock + 1
+        fit = [b for b in bins if b["size"] - b["used"] >= n]
+        if fit:
+            b = min(fit, key=lambda b: (b["size"] - b["used"], -b["last"]))
+        else:
+            size = min((s for s in sizes if s >= n),
+                       key=lambda s: ((16 + s + s * s / 16384) / max(1, min(s, left)), s))
+            b = {"id": len(bins), "size": size, "used": 0}
+            bins.append(b)
+        where[i] = (b["id"], b["used"])
+        b["used"], b["last"] = b["used"] + n, clock
+        left -= n
+    return [where[i] for i in range(len(lengths))], [min(s for s in sizes if s >= b["used"]) for b in bins]
+
+
+def test_best_fit_agrees_bin_by_bin_with_a_plain_one():
+    for seed in range(40):
+        rng = random.Random(seed)
+        sizes = rng.choice([(256, 512, 1024, 2048, 4096), (8, 16, 32), (10,), (5, 50)])
+        most = rng.choice([sizes[-1], max(1, sizes[0] // 2)])
+        lengths = [rng.randint(0, most) for _ in range(rng.randint(1, 150))]
+        bins, offsets, final = packing.pack(np.array(lengths, dtype=np.int64), sizes)
+        where, shrunk = plain_packing(lengths, sizes)
+        assert list(zip(bins.tolist(), offsets.tolist())) == where
+        assert np.asarray(final).tolist() == shrunk
+
+
 def test_best_fit_takes_the_fullest_bin_and_cheapest_size():
     bins, offsets, final = packing.pack(np.array([9, 6, 7, 1]), (10, 16))
     assert bins[0] == bins[2] and bins.tolist().count(bins[0]) == 2       # 9 + 7 fill 16
