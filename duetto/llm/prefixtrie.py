@@ -163,7 +163,8 @@ def locate(pending: DataFrame, n: int, filed: DataFrame, paths: DataFrame, deepe
     handles = filed.filter("handle").select(F.col("d").alias("f"), "h1", "h2", F.col("ref").alias("found"), "e")
     now = pending.select("c", "length", "a", F.col("a").alias("low"), F.col("length").alias("b"),
                          F.lit(None).cast("bigint").alias("ref"))
-    for _ in range(int(deepest).bit_length() + 1):
+    # Every probe takes the highest bit away in which the interval's ends differ.
+    for _ in range(int(deepest).bit_length()):
         now = now.withColumn("f", F.when(F.col("low") < F.col("b"), fattest("low", "b")).otherwise(F.lit(-1).cast("bigint")))
         hit = spread_join(_at(now, "f", paths), handles, ["f", "h1", "h2"], "c", "left", n, tables)
         now = hit.select("c", "length", "a", F.coalesce("e", "low").alias("low"),
