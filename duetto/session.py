@@ -80,14 +80,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-#: Rows of one file of a written table whose size is known.
+#: Rows of one file of a written table, or of one task, whose size is known.
 ROWS_PER_FILE = 500_000
 
 
+def row_partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions for ``rows`` rows of which a task sorts or groups its own: what it
+    holds does not grow with the table."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_FILE))
+
+
 def few_partitions(df: DataFrame, rows: int) -> DataFrame:
     """``df``, of at most ``rows`` rows, in no more partitions than there are cores or
     than these rows need, whatever the number of shuffle partitions is."""
-    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_FILE)))
+    return df.coalesce(row_partitions(df.sparkSession, rows))
 
 
 class Tables:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import rank_within
-from duetto.session import cut_lineage
+from duetto.session import cut_lineage, row_partitions
 
 PRIME = 2147483647          # 2**31 - 1; every product below stays < 2**62
 STRIDE = 1000003            # separates draw numbers, and hospitals in pairs
@@ -81,8 +81,10 @@ def generate_preferences(doctors: DataFrame | int, n_hospitals: int, k: int,
     """
     if isinstance(doctors, int):
         doctors = spark.range(doctors).select(F.col("id").alias(DOCTOR))
-    d = F.col(DOCTOR)
-    draws = _draws(doctors.select(DOCTOR), n_hospitals, k, seed, replace)
+    d, doctors = F.col(DOCTOR), doctors.select(DOCTOR)
+    # A small file of doctors is one task's, the draws of all of them would be too.
+    n_parts = row_partitions(doctors.sparkSession, k * doctors.count())
+    draws = _draws(doctors.repartition(n_parts), n_hospitals, k, seed, replace)
     pairs = draws.groupBy(DOCTOR, HOSPITAL).agg(F.min("_i").cast("int").alias(DOCTOR_RANK))
     pairs = cut_lineage(pairs.withColumn("_key", pair_mix(d, F.col(HOSPITAL), seed + 1)))
     ranked = rank_within(pairs, HOSPITAL, [F.col("_key"), d], HOSPITAL_RANK)
