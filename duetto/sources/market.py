@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
 from duetto.operators.ranking import MAX_GROUP_ROWS, largest_groups, rank_within
-from duetto.session import cut_lineage
+from duetto.session import cut_lineage, row_partitions
 
 
 def market_from_interactions(pairs: DataFrame,
@@ -47,13 +47,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to its order's customer: the interaction table.
 
-    Only the four columns the markets use are read (column pruning reaches
-    the parquet scans).
+    Only the columns the markets use are read (column pruning reaches the
+    parquet scans).  Both sides are dealt out by the number of lines, so a
+    task joins and groups no more of them in a larger table.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_returnflag")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    n_parts = row_partitions(spark, li.count())
+    li, od = li.repartition(n_parts, "l_orderkey"), od.repartition(n_parts, "o_orderkey")
     return li.join(od, li.l_orderkey == od.o_orderkey).select(
         F.col("o_custkey").alias(DOCTOR), F.col("l_suppkey").alias(HOSPITAL),
         "l_quantity", "l_extendedprice", "l_returnflag", "l_orderkey")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 import duetto.session as session
+import duetto.sources.market as source
 from duetto.names import DOCTOR
 from duetto.sources import synth
 
@@ -20,3 +21,19 @@ def test_draws_of_one_small_file_are_many_tasks(spark, monkeypatch):
     for replace in (True, False):
         assert synth.generate_preferences(one_task, 20, 5, replace=replace).select(DOCTOR).distinct().count() == 200
     assert dealt == [25, 25]        # 200 lists of 5 are 1000 draws, 40 a task
+
+
+def test_lines_are_dealt_out_by_their_number(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(session, "ROWS_PER_FILE", 100)
+    n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    lines = source.order_lines(spark, sf)
+    assert "hashpartitioning(l_orderkey" in lines._jdf.queryExecution().toString()
+    assert f", {-(-n // 100)})" in lines._jdf.queryExecution().toString()
+    assert lines.count() == n
+
+
+def test_a_large_layout_has_more_partitions(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert session.layout_partitions(spark, 1000) == cores
+    assert session.layout_partitions(spark, 36_000_000) == max(cores, 36)
