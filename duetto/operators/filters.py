@@ -33,10 +33,16 @@ def changed_matches(old: DataFrame, new: DataFrame) -> DataFrame:
 def one_sided_pairs(doctor_side: DataFrame, hospital_side: DataFrame) -> DataFrame:
     """Pairs listed by one side only (C4), with ``side`` saying which.
 
-    Both inputs are (doctor_id, hospital_id) pair tables; duplicates ignored.
+    Both inputs are (doctor_id, hospital_id) pair tables; duplicates ignored.  A
+    pair with a missing id equals no other side's pair, so each side lists it alone.
+
+    One aggregation of both sides: a task holds one table of pairs, not the sorted
+    sides of two joins.
     """
-    d = doctor_side.select(DOCTOR, HOSPITAL).distinct()
-    h = hospital_side.select(DOCTOR, HOSPITAL).distinct()
-    return (d.join(h, [DOCTOR, HOSPITAL], "left_anti").withColumn("side", F.lit("doctor"))
-            .unionByName(h.join(d, [DOCTOR, HOSPITAL], "left_anti")
-                         .withColumn("side", F.lit("hospital"))))
+    rows = (doctor_side.select(DOCTOR, HOSPITAL, F.lit(1).alias("_side"))
+            .unionByName(hospital_side.select(DOCTOR, HOSPITAL, F.lit(2).alias("_side"))))
+    pairs = rows.groupBy(DOCTOR, HOSPITAL).agg(F.min("_side").alias("_first"), F.max("_side").alias("_last"))
+    no_id = F.col(DOCTOR).isNull() | F.col(HOSPITAL).isNull()
+    sides = F.explode(F.array_distinct(F.array("_first", "_last")))
+    return (pairs.where((F.col("_first") == F.col("_last")) | no_id).select(DOCTOR, HOSPITAL, sides.alias("_side"))
+            .select(DOCTOR, HOSPITAL, F.when(F.col("_side") == 1, "doctor").otherwise("hospital").alias("side")))

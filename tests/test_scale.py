@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 import duetto.session as session
 import duetto.sources.market as source
 from duetto.names import DOCTOR
+from duetto.operators import filters as flt
 from duetto.sources import synth
 
 
@@ -37,3 +38,14 @@ def test_a_large_layout_has_more_partitions(spark):
     cores = spark.sparkContext.defaultParallelism
     assert session.layout_partitions(spark, 1000) == cores
     assert session.layout_partitions(spark, 36_000_000) == max(cores, 36)
+
+
+def test_one_sided_pairs_without_a_join(spark):
+    schema = "doctor_id long, hospital_id long"
+    d = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (None, 1), (3, None), (None, None)], schema)
+    h = spark.createDataFrame([(2, 1), (4, 4), (4, 4), (None, 1), (None, 1), (5, None)], schema)
+    got = flt.one_sided_pairs(d, h)
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, [
+        (1, 1, "doctor"), (None, 1, "doctor"), (3, None, "doctor"), (None, None, "doctor"),
+        (4, 4, "hospital"), (None, 1, "hospital"), (5, None, "hospital")]))
+    assert "Join" not in got._jdf.queryExecution().toString()
