@@ -18,7 +18,8 @@ A chain of rejections costs a round only where it crosses partitions.  Therefore
 the edges are laid out in as few partitions as ``LOCAL_EDGES`` allows, and again in
 fewer whenever most of them are dead.  The held proposals (places x hospitals at
 most) go to every task and have to fit the broadcast budget; a partition has to fit
-a task.  Otherwise :func:`settle` returns None and the caller runs global rounds.
+a task.  Otherwise, and beyond ``SETTLE_EDGES``, :func:`settle` returns None and the
+caller runs global rounds.
 """
 
 from __future__ import annotations
@@ -43,6 +44,9 @@ from duetto.session import broadcast_budget, compacted, cut_lineage, pin_layout
 LOCAL_EDGES = 1_500_000
 #: A partition may be larger than that by this factor, by a large proposer.
 MOST = 2
+#: Edges up to which these rounds are worth it.  They use a core for each partition,
+#: so few partitions leave most cores idle, and more of them save few rounds.
+SETTLE_EDGES = 3_000_000
 
 # The task function travels by value: workers need numpy and pandas only.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -98,11 +102,13 @@ def _largest_partition(e: DataFrame) -> int:
 def settle(edges: DataFrame, n: int | str, max_n: int, by: str, size: int,
            max_iter: int | None = None) -> tuple[DataFrame, int] | None:
     """The matching that is best for the side ``by`` (DOCTOR or HOSPITAL), and the
-    number of rounds, or None where the edges or the state are too large for a task.
+    number of rounds, or None where the edges are too many or the state too large for a task.
 
     ``n`` is the hospitals' number of places or the name of its column, ``max_n`` its
     bound, ``size`` the number of edges.
     """
+    if size > SETTLE_EDGES:
+        return None
     spark = edges.sparkSession
     doctors = by == DOCTOR
     other, own_rank, rank = ((HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK) if doctors

@@ -4,8 +4,11 @@ from pyspark.sql import functions as F
 
 import duetto.session as session
 import duetto.sources.market as source
-from duetto.names import DOCTOR
+from duetto.names import DOCTOR, HOSPITAL
 from duetto.operators import filters as flt
+from duetto.plans import local
+from duetto.plans.doctor_optimal import match_doctor_optimal
+from duetto.plans.hospital_optimal import match_hospital_optimal
 from duetto.sources import synth
 
 
@@ -40,6 +43,18 @@ def test_a_large_layout_has_more_partitions(spark):
     assert session.layout_partitions(spark, 36_000_000) == max(cores, 36)
 
 
+def test_many_edges_run_in_global_rounds(spark, monkeypatch):
+    e = synth.generate_preferences(spark.range(40).select(F.col("id").alias(DOCTOR)), 6, 4, 12).cache()
+    want = [sorted(m(e, 3, local=True).matching.collect()) for m in (match_doctor_optimal, match_hospital_optimal)]
+    n = e.count()
+    assert local.settle(e, 3, 3, DOCTOR, n) is not None
+    monkeypatch.setattr(local, "SETTLE_EDGES", n - 1)
+    assert local.settle(e, 3, 3, DOCTOR, n) is None
+    assert local.settle(e, 3, 3, HOSPITAL, n) is None
+    got = [sorted(m(e, 3, local=True).matching.collect()) for m in (match_doctor_optimal, match_hospital_optimal)]
+    assert got == want
+
+
 def test_one_sided_pairs_without_a_join(spark):
     schema = "doctor_id long, hospital_id long"
     d = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (None, 1), (3, None), (None, None)], schema)
