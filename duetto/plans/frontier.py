@@ -7,9 +7,12 @@ to the next hospital of its list.  So a round needs the held proposals, the fron
 Lists are written once, in cells: the powers of two between which a place on the
 list lies, and a bucket of doctors.  There are at most 31 cells for each
 ``EDGES_PER_PARTITION`` edges, so a long list is in several of them, and a hot
-doctor is no single partition.  A cell's files are sorted by place.  A round reads
-the cells of its cursors alone, and of these the pages with such places: what it
-costs follows the frontier, not the edges.
+doctor is no single partition.  A cell's files are sorted by place.
+
+A cursor moves by one place a round at most.  So every ``AHEAD`` rounds the lists
+are read once, for the next ``AHEAD`` places of all doctors that hold or make a
+proposal, and these are cached; the rounds until then read them alone, and of these
+the cells and places of their cursors.
 
 The state of a round is one small table of held and rejected proposals.  With a
 ``journal`` it is written, together with the counters, under that name in the
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,11 +32,13 @@ from duetto.names import DOCTOR, DOCTOR_RANK, HOSPITAL, HOSPITAL_RANK
 from duetto.operators import ranking
 from duetto.operators.ranking import largest_groups, rank_within, top_n_per_group
 from duetto.plans.common import NotConverged, round_numbers
-from duetto.session import EDGES_PER_PARTITION, Tables, bounded_broadcast
+from duetto.session import EDGES_PER_PARTITION, Tables, bounded_broadcast, few_partitions
 
 _EDGE = [DOCTOR, HOSPITAL, DOCTOR_RANK, HOSPITAL_RANK, "_places"]
 #: A filter lists so many places at most; more are a range.
 LISTED_PLACES = 200
+#: Rounds whose edges are taken from the lists at once.
+AHEAD = 32
 
 
 def _cell(at: Column, buckets: int) -> Column:
@@ -51,6 +57,19 @@ def write_lists(edges: DataFrame, tables: Tables, buckets: int) -> str:
     return path
 
 
+def places_ahead(lists: DataFrame, judged: DataFrame, state: dict, buckets: int) -> DataFrame:
+    """The next ``AHEAD`` places on the lists of all doctors in ``judged``, cached: all
+    edges that can be proposed in as many rounds."""
+    rows, first, last = state["held"] + state["rejected"], state["first"] + 1, state["last"] + AHEAD
+    cells = F.col("_cell").between((first.bit_length() - 1) * buckets, last.bit_length() * buckets - 1)
+    now = bounded_broadcast(judged.select(F.col(DOCTOR).alias("_d"), F.col("_at").alias("_now")), rows, row_bytes=24)
+    # No list has more than last - first places here, so none is hot.
+    near = (lists.where(cells & F.col("_at").between(first, last))
+            .join(now, (F.col(DOCTOR) == F.col("_d")) & F.col("_at").between(F.col("_now") + 1, F.col("_now") + AHEAD))
+            .drop("_d", "_now"))
+    return few_partitions(near, rows * AHEAD).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def next_proposals(lists: DataFrame, frontier: DataFrame | None, state: dict, buckets: int) -> DataFrame:
     """The edges at the cursors ``_at`` of the frontier; without one, at the first place."""
     if frontier is None:
@@ -58,8 +77,13 @@ def next_proposals(lists: DataFrame, frontier: DataFrame | None, state: dict, bu
     places = state["places"]
     at = (F.col("_at").isin(places) if len(places) <= LISTED_PLACES
           else F.col("_at").between(min(places), max(places)))
-    cursors = bounded_broadcast(frontier.select(DOCTOR, "_at"), state["rejected"], row_bytes=24)
-    return lists.where(F.col("_cell").isin(state["cells"]) & at).drop("_cell").join(cursors, [DOCTOR, "_at"])
+    cursors = bounded_broadcast(frontier.select(F.col(DOCTOR).alias("_d"), F.col("_at").alias("_next")),
+                                state["rejected"], row_bytes=24)
+    # A doctor has one cursor.  Written as a range, the place is no part of the join's
+    # key, which then is one long, several times as fast to look up as a pair.
+    here = (F.col(DOCTOR) == F.col("_d")) & F.col("_at").between(F.col("_next"), F.col("_next"))
+    return (lists.where(F.col("_cell").isin(state["cells"]) & at).drop("_cell")
+            .join(cursors, here).drop("_d", "_next"))
 
 
 def _judged(proposals: DataFrame, rows: int, n, max_n: int) -> DataFrame:
@@ -80,6 +104,7 @@ def _summary(judged: DataFrame, buckets: int) -> dict:
     row = judged.agg(
         F.count(F.when(F.col("_held"), 1)).alias("held"), F.count(cursor).alias("rejected"),
         F.count(F.when(F.col("_held") == F.col("_new"), 1)).alias("changed"),
+        F.min("_at").alias("first"), F.max("_at").alias("last"),
         F.collect_set(cursor).alias("places"), F.collect_set(_cell(cursor, buckets)).alias("cells")).first()
     return {**row.asDict(), "places": sorted(row["places"]), "cells": sorted(row["cells"])}
 
@@ -106,27 +131,46 @@ def plain_rounds(edges: DataFrame, n, max_n: int, size: int, max_iter: int | Non
         path = write_lists(e, tables, buckets)
         state, judged = {"round": 0, "changes": [], "held": 0, "rejected": 0, "lists": path, "size": size}, None
     lists = spark.read.schema(schema).parquet(path)
-    for rounds in round_numbers(max_iter):
-        if rounds <= state["round"]:
-            continue
-        if judged is not None and not state["rejected"]:
-            break
-        new = next_proposals(lists, None if judged is None else judged.where(~F.col("_held"))
-                             .select(DOCTOR, (F.col("_at") + 1).alias("_at")), state, buckets)
-        now = new.select(*_EDGE, "_at", F.lit(True).alias("_new"))
-        if judged is None:
-            rows = now.count()
-        else:
-            now = now.unionByName(judged.where("_held").select(*_EDGE, "_at", F.lit(False).alias("_new")))
-            rows = state["held"] + state["rejected"]
-        judged = tables.put(f"round{rounds}", _judged(now, rows, n, max_n), rows)
-        old = state
-        state = {**old, **_summary(judged, buckets), "round": rounds, "table": tables.paths[f"round{rounds}"]}
-        state["changes"] = [*old["changes"], state["changed"]]
-        if journal:
-            tables.note(rounds, json.dumps(state))
-        if "table" in old:      # only now is the round before not needed any more
-            tables.forget(old["table"])
+    if judged is not None and "last" not in state:      # a note of an older version
+        state = {**state, **_summary(judged, buckets)}
+    near, base = None, (0, None)     # the places ahead, and the round and table they were taken from
+    try:
+        for rounds in round_numbers(max_iter):
+            if rounds <= state["round"]:
+                continue
+            if judged is not None and not state["rejected"]:
+                break
+            if judged is None:
+                new = next_proposals(lists, None, state, buckets)
+            else:
+                if near is None or rounds > base[0] + AHEAD:
+                    if near is not None:
+                        near.unpersist()
+                        tables.forget(base[1])
+                    near, base = places_ahead(lists, judged, state, buckets), (state["round"], state["table"])
+                new = next_proposals(near, judged.where(~F.col("_held"))
+                                     .select(DOCTOR, (F.col("_at") + 1).alias("_at")), state, buckets)
+            now = new.select(*_EDGE, "_at", F.lit(True).alias("_new"))
+            if judged is None:
+                rows = now.count()
+            else:
+                now = now.unionByName(judged.where("_held").select(*_EDGE, "_at", F.lit(False).alias("_new")))
+                rows = state["held"] + state["rejected"]
+            judged = tables.put(f"round{rounds}", _judged(now, rows, n, max_n), rows)
+            old = state
+            state = {**old, **_summary(judged, buckets), "round": rounds, "table": tables.paths[f"round{rounds}"]}
+            state["changes"] = [*old["changes"], state["changed"]]
+            if journal:
+                tables.note(rounds, json.dumps(state))
+            # Only now is the round before not needed any more; lost blocks of the places
+            # ahead would be made anew from theirs.
+            if "table" in old and old["table"] != base[1]:
+                tables.forget(old["table"])
+    finally:
+        if near is not None:
+            near.unpersist()
     if judged is None or state["rejected"]:
         raise NotConverged(f"proposals are still rejected after {max_iter} rounds")
+    if base[1] not in (None, state["table"]):
+        tables.forget(base[1])
     return judged.where("_held"), state["round"], state["changes"]

@@ -54,6 +54,18 @@ def test_rounds_of_the_serial_loop(spark, monkeypatch, small):
     assert got.changes == classic_changes(rows, 2) and got.rounds == len(got.changes)
 
 
+@pytest.mark.parametrize("ahead", [1, 3])
+def test_the_lists_are_read_once_for_several_rounds(spark, monkeypatch, ahead):
+    monkeypatch.setattr(frontier, "AHEAD", ahead)
+    read = []
+    real = frontier.places_ahead
+    monkeypatch.setattr(frontier, "places_ahead", lambda *a: read.append(1) or real(*a))
+    e, rows = market(spark, 30, 30, 6, 3)
+    got = match_doctor_optimal(e, 1, accelerate=False, trace=True)
+    assert pairs(got) == bf.doctor_proposing(rows, 1) and got.changes == classic_changes(rows, 1)
+    assert got.rounds > 4 and len(read) == -(-(got.rounds - 1) // ahead)
+
+
 def test_a_loop_goes_on_where_its_driver_was_lost(spark, monkeypatch):
     e, rows = market(spark, 30, 30, 6, 3)
     want = match_doctor_optimal(e, 1, accelerate=False, trace=True)
