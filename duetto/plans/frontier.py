@@ -80,7 +80,7 @@ def next_proposals(lists: DataFrame, frontier: DataFrame | None, state: dict, bu
     cursors = bounded_broadcast(frontier.select(F.col(DOCTOR).alias("_d"), F.col("_at").alias("_next")),
                                 state["rejected"], row_bytes=24)
     # A doctor has one cursor.  Written as a range, the place is no part of the join's
-    # key, which then is one long, several times as fast to look up as a pair.
+    # key, which then is one long.
     here = (F.col(DOCTOR) == F.col("_d")) & F.col("_at").between(F.col("_next"), F.col("_next"))
     return (lists.where(F.col("_cell").isin(state["cells"]) & at).drop("_cell")
             .join(cursors, here).drop("_d", "_next"))
