@@ -18,15 +18,18 @@ Spark does the heavy lifting and bounds the work per group:
   larger doctor_id is better, as in the search.  The top-n is planned with a partial
   ``WindowGroupLimit``, so even a hospital holding a third of all rows is
   trimmed on every map task before its shuffle.
-* The remaining, bounded group runs a numpy dynamic programme inside
-  ``applyInPandas`` (vectorised over the budget axis).  Its way back needs a bit for
-  each applicant and spend; where these exceed ``TRACE_BYTES`` the applicants are
-  halved until they fit, so that memory is linear in the budget.
+* The remaining, bounded groups run a numpy dynamic programme (vectorised over the
+  budget axis) inside ``mapInPandas``: Spark deals the rows out by hospital and sorts
+  them, and a task solves one hospital after another from slices of its batches, so
+  that a small hospital costs no data frame of its own.  The way back needs a byte for
+  each applicant and spend, or a bit where bytes exceed ``TRACE_BYTES``; where bits do
+  too the applicants are halved until they fit, so that memory is linear in the budget.
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -64,13 +67,33 @@ def _take(dp: np.ndarray, price: int, value: int) -> np.ndarray:
     return better
 
 
+def _choose_kept(prices: list[int], values: list[int], lo: int, hi: int, dp: np.ndarray,
+                 spend: int | None) -> tuple[list[int], int]:
+    """:func:`_choose` with a byte for each item and spend; changes ``dp``."""
+    taken, with_it = np.empty((hi - lo, len(dp)), dtype=bool), np.empty_like(dp)
+    for i in range(lo, hi):
+        p = prices[i]
+        if p < len(dp):
+            new, rest = with_it[p:], dp[p:]
+            np.add(dp[:len(dp) - p], values[i], out=new)
+            np.greater_equal(new, rest, out=taken[i - lo, p:])
+            np.maximum(new, rest, out=rest)
+    j = int(np.argmax(dp)) if spend is None else spend
+    chosen = []
+    for i in range(hi - 1, lo - 1, -1):
+        if j >= prices[i] and taken[i - lo, j]:
+            chosen.append(i)
+            j -= prices[i]
+    return chosen[::-1], j
+
+
 def _choose(prices: list[int], values: list[int], lo: int, hi: int, dp: np.ndarray,
             spend: int | None) -> tuple[list[int], int]:
     """The items among ``lo..hi-1`` of the best choice with ``spend``, and what is spent
     on the items before; ``dp`` is the best utility by spend of those.  Without
     ``spend`` it is the smallest one of the largest utility.
 
-    All decisions are kept, a bit each, if they fit ``TRACE_BYTES``.  Else the items
+    All decisions are kept, a byte each or a bit, if they fit ``TRACE_BYTES``.  Else the items
     are halved: the second half carries along, for each spend, what of it the way back
     leaves to the first half; so both halves can be searched alone, in memory that is
     linear in the budget.
@@ -80,6 +103,8 @@ def _choose(prices: list[int], values: list[int], lo: int, hi: int, dp: np.ndarr
     if spend is not None:
         dp = dp[:spend + 1]         # more can't be spent
     now = dp.copy()
+    if (hi - lo) * len(dp) <= TRACE_BYTES:
+        return _choose_kept(prices, values, lo, hi, now, spend)
     if (hi - lo) * len(dp) <= 8 * TRACE_BYTES or hi - lo == 1:
         taken = [np.packbits(_take(now, prices[i], values[i])) if prices[i] < len(now) else None
                  for i in range(lo, hi)]
@@ -121,17 +146,59 @@ def solve_knapsack(pdf: pd.DataFrame, keep: tuple[str, ...] = ()) -> pd.DataFram
     if pdf.empty:
         return pd.DataFrame({c: pd.Series(dtype="int64") for c in out_cols})
     pdf = pdf.sort_values(DOCTOR, kind="stable").reset_index(drop=True)
-    cap = int(pdf["budget"].iloc[0])          # columns 0..cap-1: spend <= cap-1
-    if (pdf["budget"] != cap).any():
+    chosen = _best_choice(pdf["utility"].to_numpy(np.int64), pdf["price"].to_numpy(np.int64),
+                          pdf["budget"].to_numpy(np.int64))
+    res = pdf.iloc[chosen][out_cols].astype("int64")
+    return res.reset_index(drop=True)
+
+
+def _best_choice(utility: np.ndarray, price: np.ndarray, budget: np.ndarray) -> np.ndarray:
+    """Positions of the chosen ones among one hospital's applicants in doctor_id order."""
+    cap = int(budget[0])                      # columns 0..cap-1: spend <= cap-1
+    if (budget != cap).any():
         raise ValueError("a hospital has more than one budget")
-    vals = pdf["utility"].to_numpy(np.int64)
-    prices = pdf["price"].to_numpy(np.int64)
-    payable = np.flatnonzero(prices < cap)
-    chosen, _ = _choose(prices[payable].tolist(), vals[payable].tolist(), 0, len(payable),
+    payable = np.flatnonzero(price < cap)
+    chosen, _ = _choose(price[payable].tolist(), utility[payable].tolist(), 0, len(payable),
                         np.zeros(cap, dtype=np.int64), None)
-    chosen = payable[np.array(chosen, dtype=np.int64)]
-    res = pdf.iloc[sorted(chosen)][out_cols].astype("int64")
-    return res.reset_index(drop=True)
+    return payable[np.array(chosen, dtype=np.int64)]
+
+
+def solve_sorted(batches: Iterator[pd.DataFrame], keep: tuple[str, ...] = ()) -> Iterator[pd.DataFrame]:
+    """:func:`solve_knapsack` for all hospitals of a partition, whose rows come sorted by
+    hospital and doctor.  The last hospital of a batch waits for the next one."""
+    out_cols = [HOSPITAL, DOCTOR, "utility", "price", *keep]
+
+    def solved(rows: pd.DataFrame) -> pd.DataFrame:
+        # Missing hospitals come first and are one group, as in a groupBy.
+        key = rows[HOSPITAL].to_numpy()
+        new = (key[1:] != key[:-1]) & ~(pd.isna(key[1:]) & pd.isna(key[:-1]))
+        starts = np.flatnonzero(np.append(True, new))
+        figures = [rows[c].to_numpy(np.int64) for c in ("utility", "price", "budget")]
+        chosen = [a + _best_choice(*[f[a:b] for f in figures])
+                  for a, b in zip(starts, np.append(starts[1:], len(rows)))]
+        return rows.iloc[np.concatenate(chosen)][out_cols].astype("int64")
+
+    waiting: list[pd.DataFrame] = []            # parts of one hospital
+    for batch in batches:
+        if not len(batch):
+            continue
+        key = batch[HOSPITAL].to_numpy()
+        last = key[-1]
+        same = pd.isna(key) if pd.isna(last) else key == last
+        begin = int(np.argmax(same))
+        if begin:
+            yield solved(pd.concat([*waiting, batch.iloc[:begin]], ignore_index=True))
+            waiting = []
+        elif waiting and not _same_key(waiting[-1][HOSPITAL].iloc[-1], last):
+            yield solved(pd.concat(waiting, ignore_index=True))
+            waiting = []
+        waiting.append(batch.iloc[begin:])
+    if waiting:
+        yield solved(pd.concat(waiting, ignore_index=True))
+
+
+def _same_key(a, b) -> bool:
+    return bool(a == b) or (pd.isna(a) and pd.isna(b))
 
 
 def affordable(items: DataFrame) -> int:
@@ -171,6 +238,6 @@ def knapsack_select(items: DataFrame, keep: tuple[str, ...] = (),
                            "_n", max_n=most).drop("_n")
     schema = T.StructType(CHOICE_SCHEMA.fields
                           + [T.StructField(k, T.LongType(), False) for k in keep])
-    picked = paid.groupBy(HOSPITAL).applyInPandas(
-        lambda pdf: solve_knapsack(pdf, keep), schema)
+    picked = (paid.repartition(HOSPITAL).sortWithinPartitions(HOSPITAL, F.col(DOCTOR).asc_nulls_last())
+              .mapInPandas(lambda batches: solve_sorted(batches, keep), schema))
     return picked.unionByName(free)
