@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duetto.names import DOCTOR, HOSPITAL
-from duetto.session import counted_broadcast, cut_lineage
+from duetto.session import Tables, counted_broadcast, cut_lineage
 
 class NotConverged(RuntimeError):
     """A caller's round limit ended a loop, or the loop can never end."""
@@ -26,6 +26,26 @@ class NotConverged(RuntimeError):
 #: edges then cost no more than the live ones, and all the copies together are
 #: smaller than the first.
 COMPACT_BELOW = 0.5
+#: Ranks of the first cell of the proposers' lists; the lists up to a cell's end are
+#: four times as long as up to the one before.
+HEAD_RANKS = 8
+
+
+def write_cells(e: DataFrame, rank: str, tables: Tables) -> tuple[DataFrame, int]:
+    """The edges, written in cells ``_cell`` of the proposers' ``rank``, and the last cell.
+
+    A proposer needs no edge below those that it proposes, so the rounds lay out the
+    first cells alone and take in the next one when some list's live edges there run
+    out.  Cells are at most 15.
+    """
+    cell = F.expr(f"(length(bin(({rank} - 1) div {HEAD_RANKS})) + 1) div 2")
+    cell = F.when(F.col(rank) > HEAD_RANKS, cell).otherwise(0)
+    out = e.withColumn("_cell", cell.cast("int"))
+    path = f"{tables.folder}/cells"
+    out.write.partitionBy("_cell").parquet(path)
+    tables.paths["cells"] = path
+    lists = e.sparkSession.read.schema(out.schema).parquet(path)
+    return lists, lists.agg(F.max("_cell")).first()[0] or 0
 
 
 def round_numbers(max_iter: int | None):

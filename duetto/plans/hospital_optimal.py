@@ -24,10 +24,16 @@ top-n rows).
 
 Stop rule without counting edges: round k deletes something iff some doctor's
 best offer is now better than its previous one, or a doctor got its first
-offer and still lists a hospital below it (compared with the doctor's worst
-rank, a per-doctor table computed once).
+offer and still lists a hospital below it.
 
-Physical layout: the edges are hash-partitioned once by (hospital, block of
+Head: a hospital offers to its best remaining doctors, so the rounds need no edge
+far down its list.  The edges are written once in cells of hospital ranks, each four
+times as wide as all before.  The rounds run on the first cell; when a hospital makes
+fewer offers than it has places there though its list goes on, the live edges of the
+next cell are added for all, before the round counts.  So the edges are read once for
+every cell that is needed, and not in every round.
+
+Physical layout: the head is hash-partitioned by (hospital, block of
 ``RANK_BLOCK`` hospital ranks) and sorted by (hospital, hospital_rank) inside
 each partition.  Each round is then one pass: broadcast anti join (keeps the
 layout) -> partial ``WindowGroupLimit`` that trims every partition to ``quota``
@@ -52,9 +58,9 @@ from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_R
 from duetto.operators.ranking import top_n_per_group
 from duetto.plans import common
 from duetto.plans.common import (MatchResult, NotConverged, attach_quota, observed_count,
-                                 round_numbers, with_row_count)
+                                 round_numbers, with_row_count, write_cells)
 from duetto.plans.local import settle
-from duetto.session import (bounded_broadcast, compacted, cut_lineage, fits_broadcast,
+from duetto.session import (Tables, bounded_broadcast, compacted, cut_lineage, fits_broadcast,
                             layout_partitions, pin_layout)
 
 #: Hospital ranks that stay together in one partition.
@@ -98,12 +104,13 @@ def remaining_edges(e: DataFrame, offers: DataFrame | None, bound: int) -> DataF
                   "left_anti")
 
 
-def _round_summary(match: DataFrame, prev: DataFrame | None, worst: DataFrame,
+def _round_summary(match: DataFrame, prev: DataFrame | None, edges: list[DataFrame],
                    bound: int) -> tuple[int, int, bool]:
     """(rows in match, doctors whose match changed, whether edges were deleted).
 
-    One small job: the new matching against the previous one and against
-    each doctor's worst rank (only doctors in the matching are looked up).
+    One small job: the new matching against the previous one.  An offer that is better
+    than the one before deletes that one's edge.  Only where there is none are doctors
+    with their first offer looked up in ``edges``, the head first.
     """
     cur = match.select(DOCTOR, HOSPITAL, DOCTOR_RANK)
     if prev is None:
@@ -112,14 +119,33 @@ def _round_summary(match: DataFrame, prev: DataFrame | None, worst: DataFrame,
     else:
         p = prev.select(DOCTOR, F.col(HOSPITAL).alias("_ph"), F.col(DOCTOR_RANK).alias("_pr"))
         j = cur.join(p, DOCTOR, "left")
-    j = bounded_broadcast(j, bound, row_bytes=48).join(worst, DOCTOR)
+    j = j.where(F.col(DOCTOR).isNotNull())
     row = j.agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(~F.col(HOSPITAL).eqNullSafe(F.col("_ph")), 1).otherwise(0)).alias("changed"),
-        F.sum(F.when(F.col(DOCTOR_RANK) < F.coalesce(F.col("_pr"), F.col("_worst")), 1)
-              .otherwise(0)).alias("deleting"),
+        F.count(F.when(~F.col(HOSPITAL).eqNullSafe(F.col("_ph")), 1)).alias("changed"),
+        F.count(F.when(F.col(DOCTOR_RANK) < F.col("_pr"), 1)).alias("better"),
+        F.count(F.when(F.col("_pr").isNull(), 1)).alias("first"),
     ).first()
-    return int(row["n"]), int(row["changed"] or 0), bool(row["deleting"])
+    deleting = bool(row["better"])
+    if row["first"] and not deleting:
+        first = bounded_broadcast(j.where(F.col("_pr").isNull()).select(
+            F.col(DOCTOR).alias("_d"), F.col(DOCTOR_RANK).alias("_cap")), bound, row_bytes=24)
+        below = (F.col(DOCTOR) == F.col("_d")) & (F.col(DOCTOR_RANK) > F.col("_cap"))
+        deleting = any(not e.join(first, below, "left_semi").isEmpty() for e in edges)
+    return row["n"], row["changed"], deleting
+
+
+def _runs_out(offers: DataFrame, ends: DataFrame, places: int, cell: int) -> bool:
+    """Whether a hospital makes fewer offers than it has places although its list goes
+    on behind ``cell``.  All have ``places`` places."""
+    if offers.count() == places:
+        return False
+    made = offers.select(HOSPITAL, F.lit(1).alias("_made"), F.lit(None).cast("int").alias("_last"),
+                         F.lit(None).cast("int").alias("_cap"))
+    listed = ends.select(HOSPITAL, F.lit(0).alias("_made"), "_last", "_cap")
+    per = made.unionByName(listed).groupBy(HOSPITAL).agg(
+        F.sum("_made").alias("_made"), F.max("_last").alias("_last"), F.max("_cap").alias("_cap"))
+    return not per.where((F.col("_last") > cell) & (F.col("_made") < F.col("_cap"))).isEmpty()
 
 
 def layout(e: DataFrame, n_parts: int, by_doctor: bool = False) -> DataFrame:
@@ -145,43 +171,60 @@ def match_hospital_optimal(edges: DataFrame, quota=6, max_iter: int | None = Non
     """
     spark = edges.sparkSession
     e, n, max_n = attach_quota(edges.select(*EDGE_COLUMNS), quota)
-    size = e.agg(F.count(F.lit(1)).alias("edges"),
-                 F.approx_count_distinct(HOSPITAL, 0.01).alias("hospitals")).first()
     if local and not trace:
-        settled = settle(e, n, max_n, HOSPITAL, size["edges"], max_iter)
+        settled = settle(e, n, max_n, HOSPITAL, e.count(), max_iter)
         if settled is not None:
             return MatchResult(settled[0].select(*EDGE_COLUMNS), settled[1], True)
-    n_parts = n_parts or layout_partitions(spark, size["edges"])
-    # The estimate only picks the layout; both give the same rounds.
-    by_doctor = not fits_broadcast(spark, int(1.1 * max_n * size["hospitals"]) + 1, 24)
-    e = pin_layout(layout(e, n_parts, by_doctor))
-    worst = cut_lineage(e.groupBy(DOCTOR).agg(F.max(DOCTOR_RANK).alias("_worst")))
+    tables = Tables(spark, "lists")
+    lists, last = write_cells(e, HOSPITAL_RANK, tables)
+    # Every hospital's last cell and places.
+    ends = cut_lineage(lists.groupBy(HOSPITAL).agg(
+        F.max("_cell").alias("_last"), F.max(F.lit(n) if isinstance(n, int) else F.col(n)).cast("int").alias("_cap")))
     # Proven bound on the matching: at most max_n offers per hospital.
-    bound = max_n * e.select(HOSPITAL).distinct().count()
-    match, rounds, changes = _rounds(e, n, max_n, max_iter, trace, worst, bound, size["edges"])
+    total = ends.agg(F.count(F.lit(1)).alias("hospitals"), F.sum("_cap").alias("places")).first()
+    bound = max_n * total["hospitals"]
+    by_doctor = not fits_broadcast(spark, bound, 24)
+
+    def lay(head: DataFrame) -> DataFrame:
+        return layout(head, n_parts or layout_partitions(spark, head.count()), by_doctor)
+
+    try:
+        match, rounds, changes = _rounds(lists, last, ends, total["places"], n, max_n, max_iter, trace, bound, lay)
+    finally:
+        tables.drop("cells")
     return MatchResult(matching=match.select(*EDGE_COLUMNS), rounds=rounds,
                        converged=True, changes=changes)
 
 
-def _rounds(e, n, max_n, max_iter, trace, worst, bound, size):
-    """The loop.  The live edges only shrink, so round k-1 deleted nothing iff
+def _rounds(lists, last, ends, places, n, max_n, max_iter, trace, bound, lay):
+    """The loop, on the cells of the ``lists`` in which all offers are found.  The live edges only shrink, so round k-1 deleted nothing iff
     round k sees as many live edges; that count is observed inside the
     round's one job, and only a repeated count triggers the exact check.
     With ``trace`` every round runs the exact check and the change count
     (one small job)."""
     changes: list[int] = []
     offers = older = None       # this round's and the previous round's offers
-    n_live_prev = None
+    n_live_prev = size = None
+    cell = 0
+    e = pin_layout(lay(lists.where(F.col("_cell") == cell).drop("_cell")))
 
     def summary(cur, prev):
         return _round_summary(best_of(cur), None if prev is None else best_of(prev),
-                              worst, bound)
+                              [e, lists], bound)
 
     for rounds in round_numbers(max_iter):
-        left = remaining_edges(e, offers, bound)
-        live, obs = with_row_count(left)
-        new = cut_lineage(round_offers(live, n, max_n))
+        while True:
+            left = remaining_edges(e, offers, bound)
+            live, obs = with_row_count(left)
+            new = cut_lineage(round_offers(live, n, max_n))
+            if cell == last or not _runs_out(new, ends, places, cell):
+                break
+            cell += 1
+            more = remaining_edges(lists.where(F.col("_cell") == cell).drop("_cell"), offers, bound)
+            e = compacted(lay(left.unionByName(more)), e)
+            n_live_prev = size = None
         n_live = observed_count(obs)
+        size = size or n_live
         if trace:
             _, changed, deleting = summary(new, offers)
             changes.append(changed)
