@@ -13,8 +13,9 @@ Round on the remaining edges ``e``:
 
 Stop when a round deletes nothing; the proposals then are the matching.
 
-Physical layout: edges hash-partitioned by doctor and sorted by
-(doctor, doctor_rank) once, checkpointed and cached, so step 1 is a streaming
+Physical layout: the edges are written once in cells of doctor ranks, and the rounds
+lay out the cells in which every doctor still has an edge: hash-partitioned by doctor
+and sorted by (doctor, doctor_rank), checkpointed and cached, so step 1 is a streaming
 pass with no exchange and no sort.  Where a list reaches ``LIST_BLOCK`` ranks, the
 edges are partitioned by (doctor, block of ranks); step 1 then exchanges one row for
 each doctor and block.  Step 2 works on at most one row per
@@ -36,11 +37,11 @@ from duetto.names import DOCTOR, DOCTOR_RANK, EDGE_COLUMNS, HOSPITAL, HOSPITAL_R
 from duetto.operators.ranking import top_n_per_group
 from duetto.plans import common
 from duetto.plans.common import (MatchResult, NotConverged, attach_quota, changes_frame,
-                                 observed_count, round_numbers, with_row_count)
+                                 observed_count, round_numbers, with_row_count, write_cells)
 from duetto.plans.frontier import plain_rounds
 from duetto.plans.local import settle
-from duetto.session import (bounded_broadcast, compacted, cut_lineage, fits_broadcast, layout_partitions,
-                            pin_layout)
+from duetto.session import (Tables, bounded_broadcast, compacted, cut_lineage, fits_broadcast,
+                            layout_partitions, pin_layout)
 
 
 #: Doctor ranks that stay together in one partition where lists are longer.
@@ -141,37 +142,58 @@ def _accelerated_rewrite(e: DataFrame, n, max_n: int, max_iter: int | None, trac
     raise NotConverged(f"edges are still deleted after {max_iter} rounds")
 
 
-def _accelerated(e: DataFrame, n, max_n: int, max_iter: int | None, trace: bool,
-                 lay, size: int):
+def _without(e: DataFrame, held: DataFrame | None, n, bound: int) -> DataFrame:
+    """``e`` without the edges below the cuts of the held proposals."""
+    if held is None:
+        return e
+    return e.join(bounded_broadcast(_cuts(held, n), bound, row_bytes=24),
+                  (F.col(HOSPITAL) == F.col("_h")) & (F.col(HOSPITAL_RANK) > F.col("_cut")), "left_anti")
+
+
+def _accelerated(lists: DataFrame, last: int, n, max_n: int, max_iter: int | None, trace: bool, lay):
     """Accelerated rounds.  Cuts only move up (a hospital's held proposals
     keep proposing to it), so the remaining edges are always "original edges
     minus those below their hospital's current cut": the state is the held
     proposals (at most quota x hospitals rows).  The edges are written anew,
     without the dead ones, only when most of them are dead.
 
+    The rounds run on the first cells of the doctors' ``lists``.  When some doctor has
+    no live edge there though its list goes on, the live edges of the next cell are
+    added for all, before the round counts.
+
     The live edges only shrink, so round k-1 deleted nothing iff round k sees
     as many live edges as round k-1.  That count is observed inside the
     round's one job; only when it repeats does an exact small-table check
     run to confirm the fixpoint.  With ``trace`` every round runs the exact
     check together with the change count instead.
     """
-    worst_h = cut_lineage(e.groupBy(HOSPITAL).agg(F.max(HOSPITAL_RANK).alias("_worst")))
+    worst_h = cut_lineage(lists.groupBy(HOSPITAL).agg(F.max(HOSPITAL_RANK).alias("_worst")))
     bound = worst_h.count()              # one cut per hospital at most
-    if not fits_broadcast(e.sparkSession, bound, 24):
-        return _accelerated_rewrite(e, n, max_n, max_iter, trace, worst_h, bound, lay)
+    if not fits_broadcast(lists.sparkSession, bound, 24):
+        e = pin_layout(lay(lists.drop("_cell")))
+        try:
+            return _accelerated_rewrite(e, n, max_n, max_iter, trace, worst_h, bound, lay)
+        finally:
+            e.unpersist()
+    ends = cut_lineage(lists.where("_cell > 0").groupBy(DOCTOR).agg(F.max("_cell").alias("_last")))
     changes: list[int] = []
     held = older = None
-    n_live_prev = None
+    n_live_prev = size = None
+    cell = 0
+    e = pin_layout(lay(lists.where(F.col("_cell") == cell).drop("_cell")))
     for rounds in round_numbers(max_iter):
-        live = e
-        if held is not None:
-            live = e.join(bounded_broadcast(_cuts(held, n), bound, row_bytes=24),
-                          (F.col(HOSPITAL) == F.col("_h")) & (F.col(HOSPITAL_RANK) > F.col("_cut")),
-                          "left_anti")
-        left = live
+        left = _without(e, held, n, bound)
+        while cell < last and not (ends.where(F.col("_last") > cell)
+                                   .join(left.select(DOCTOR), DOCTOR, "left_anti").isEmpty()):
+            cell += 1
+            more = _without(lists.where(F.col("_cell") == cell).drop("_cell"), held, n, bound)
+            e = compacted(lay(left.unionByName(more)), e)
+            n_live_prev = size = None
+            left = _without(e, held, n, bound)
         live, obs = with_row_count(left)
         new = cut_lineage(held_proposals(proposals(live), n, max_n))
         n_live = observed_count(obs)
+        size = size or n_live
         if trace:
             deleting, changed = _round_summary(new, held, n, worst_h, bound, True)
             changes.append(changed)
@@ -225,10 +247,11 @@ def match_doctor_optimal(edges: DataFrame, quota=6, max_iter: int | None = None,
         if settled is not None:
             return MatchResult(settled[0].select(*EDGE_COLUMNS), settled[1], True)
     lay = partial(_layout, n_parts=layout_partitions(spark, size), blocks=blocks)
-    e = pin_layout(lay(e))
+    tables = Tables(spark, "lists")
     try:
-        held, rounds, converged, changes = _accelerated(e, n, max_n, max_iter, trace, lay, size)
+        held, rounds, converged, changes = _accelerated(*write_cells(e, DOCTOR_RANK, tables),
+                                                        n, max_n, max_iter, trace, lay)
     finally:
-        e.unpersist()
+        tables.drop("cells")
     return MatchResult(matching=held.select(*EDGE_COLUMNS), rounds=rounds,
                        converged=converged, changes=changes)
